@@ -34,7 +34,7 @@ def normalize_space(c) -> Column:
 
 def slugify(c) -> Column:
     lowered = F.replace(F.lower(F.trim(F.coalesce(col(c), F.lit("")))), F.lit("&"), F.lit("and"))
-    return F.trim(F.lit("-"), F.regexp_replace(lowered, "[^a-z0-9]+", "-"))
+    return F.trim(F.regexp_replace(lowered, "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 def contains_any(c, words: list[str]) -> Column:

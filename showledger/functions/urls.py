@@ -26,12 +26,12 @@ def url_path(c) -> Column:
 
 def slug_from_url(c) -> Column:
     """Last path segment; '' when the path is empty."""
-    return F.trim(F.regexp_extract(F.trim(F.lit("/"), url_path(c)), r"([^/]*)$", 1))
+    return F.trim(F.regexp_extract(F.trim(url_path(c), F.lit("/")), r"([^/]*)$", 1))
 
 
 def slug_from_text(c) -> Column:
     """String-only variant: text after the last inner slash, query text kept; NULL when blank."""
-    return F.nullif(F.regexp_extract(F.trim(F.lit("/"), _text(c)), r"([^/]*)$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(F.trim(_text(c), F.lit("/")), r"([^/]*)$", 1), F.lit(""))
 
 
 def domain(c) -> Column:
@@ -83,4 +83,4 @@ def resolve_url(base: pd.Series, ref: pd.Series) -> pd.Series:
 def page_url(base: str, slug, section: str = "") -> Column:
     """`<base>/[section/]<slug>/`."""
     parts = base.rstrip("/") + "/" + (section.strip("/") + "/" if section else "")
-    return F.concat(F.lit(parts), F.trim(F.lit("/"), _text(slug)), F.lit("/"))
+    return F.concat(F.lit(parts), F.trim(_text(slug), F.lit("/")), F.lit("/"))

@@ -439,7 +439,7 @@ def repair_provenance(df: DataFrame, primary_prefix: str) -> DataFrame:
 
     prefix = primary_prefix.rstrip("/") + "/"
     own = F.col("canonical_url").startswith(prefix)
-    home = F.concat(F.lit(prefix), F.trim(F.lit("/"), F.col("slug")), F.lit("/"))
+    home = F.concat(F.lit(prefix), F.trim(F.col("slug"), F.lit("/")), F.lit("/"))
     settled = df.withColumns({
         "primary_url": first_present("primary_url", home),
         "secondary_url": first_present("secondary_url", F.when(~own, F.col("canonical_url"))),

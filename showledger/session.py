@@ -61,7 +61,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own upper estimate of the size of `df`."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:
