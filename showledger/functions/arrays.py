@@ -28,9 +28,12 @@ def union_ordered(*cols) -> Column:
 
 def compact_ci(*cols) -> Column:
     """First-seen order, case-insensitive; the first spelling is kept."""
-    values = F.concat(*[trimmed(c) for c in cols])
-    lowered = F.transform(values, lambda x: F.lower(x))
-    return F.filter(values, lambda x, i: F.array_position(lowered, F.lower(x)) == i + 1)
+    # a fold, so that the input lists are evaluated once per row
+    return F.aggregate(
+        F.concat(*[trimmed(c) for c in cols]),
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.array_append(acc, x)),
+    )
 
 
 def merge_codes(a, b) -> Column:

@@ -27,6 +27,18 @@ def get_list(v, path: str) -> Column:
     return F.coalesce(as_list, split_values(F.try_variant_get(col(v), "$." + path, "string")))
 
 
+def text_fields(c, keys: list[str]) -> Column:
+    """Top-level values as text, read in a single parse; lists stay JSON text."""
+    wanted = ", ".join(f"`{k}` string" for k in dict.fromkeys(keys))
+    return F.from_json(F.coalesce(col(c), F.lit("{}")), f"struct<{wanted}>")
+
+
+def text_list(c) -> Column:
+    """List kept as text: JSON array text, or comma-separated text."""
+    raw = F.trim(F.coalesce(col(c), F.lit("")))
+    return F.when(raw.startswith("["), F.from_json(raw, "array<string>")).otherwise(split_values(raw))
+
+
 def first_text(v, paths: list[str]) -> Column:
     return first_present(*[get_text(v, p) for p in paths])
 

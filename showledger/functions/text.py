@@ -84,43 +84,48 @@ def html_lines(c) -> Column:
     return F.filter(F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def _label_parts(line: Column) -> tuple[Column, Column]:
-    at = F.instr(line, ":")
-    key = F.trim(F.when(at > 0, F.left(line, at - 1)).otherwise(F.lit("")))
-    value = F.trim(F.when(at > 0, F.substring(line, at + 1, F.length(line))).otherwise(F.lit("")))
-    return key, value
+def label_pairs(c) -> Column:
+    """array<struct<line, key, value>> of the lines, split at the first `:`; key and
+    value are blank in a line without a label."""
+    def split(line: Column) -> Column:
+        at = F.instr(line, ":")
+        return F.struct(
+            line.alias("line"), F.trim(F.substring_index(line, ":", 1)).alias("key"),
+            F.when(at > 0, F.trim(F.substring(line, at + 1, F.length(line)))).otherwise(F.lit("")).alias("value"),
+        )
 
+    return F.transform(html_lines(c), split)
 
-def is_labeled(line: Column) -> Column:
-    key, value = _label_parts(line)
-    return (key != "") & (value != "")
+
+def is_labeled(pair: Column) -> Column:
+    return (pair["key"] != "") & (pair["value"] != "")
 
 
 def labeled_fields(c) -> Column:
     """HTML -> map(label -> value); labels lower-cased without spaces, last one wins."""
-    pairs = F.transform(
-        F.filter(html_lines(c), is_labeled),
-        lambda line: F.struct(
-            F.replace(F.lower(_label_parts(line)[0]), F.lit(" "), F.lit("")).alias("key"),
-            _label_parts(line)[1].alias("value"),
-        ),
+    return entries_last_wins(
+        F.transform(
+            F.filter(label_pairs(c), is_labeled),
+            lambda p: F.struct(
+                F.replace(F.lower(p["key"]), F.lit(" "), F.lit("")).alias("key"), p["value"].alias("value")
+            ),
+        )
     )
-    return entries_last_wins(pairs)
 
 
 def entries_last_wins(pairs: Column) -> Column:
     """array<struct<key,value>> -> map, keeping the last value of a repeated key."""
-    last_only = F.filter(
-        pairs,
-        lambda x, i: ~F.exists(F.slice(pairs, i + F.lit(2), F.greatest(F.size(pairs), F.lit(1))), lambda y: y["key"] == x["key"]),
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    return F.aggregate(
+        pairs, empty,
+        lambda acc, x: F.map_concat(F.map_filter(acc, lambda k, v: k != x["key"]), F.create_map(x["key"], x["value"])),
     )
-    return F.map_from_entries(last_only)
 
 
 def first_unlabeled(c, min_chars: int = 24) -> Column:
     """First line that is not `label: value` and has at least `min_chars` characters."""
-    found = F.filter(html_lines(c), lambda x: ~is_labeled(x) & (F.length(x) >= min_chars))
-    return F.coalesce(F.get(found, 0), F.lit(""))
+    found = F.filter(label_pairs(c), lambda p: ~is_labeled(p) & (F.length(p["line"]) >= min_chars))
+    return F.coalesce(F.get(found, 0)["line"], F.lit(""))
 
 
 def keep_paragraphs(paragraphs, drop_prefixes: list[str]) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import jsoncol, schedule
-from ..functions.arrays import trimmed
+from ..functions.arrays import compact_ci
 from ..functions.codes import first_country, lookup
 from ..functions.text import contains_any, first_present
 
@@ -31,17 +31,24 @@ def _by_rule(source: Column, kind: Column, fmt: Column, table: list, pick) -> Co
     return out if out is not None else F.lit(None)
 
 
-def variety_flag(v: Column) -> Column:
+# everything classify() reads from detail
+_DETAIL_KEYS = (
+    ["content_format", "cadence", "runtime", "tags"] + rules.LABEL_KEYS + rules.COUNTRY_KEYS + rules.DAY_KEYS + rules.WINDOW_KEYS
+    + rules.TIMEZONE_KEYS + rules.STATUS_KEYS + rules.VARIETY_TEXT_KEYS + rules.VARIETY_LIST_KEYS
+)
+
+
+def variety_flag(f: Column) -> Column:
     """True when a text or list value of detail names a variety programme."""
-    texts = F.concat_ws("\n", *[jsoncol.get_text(v, k) for k in rules.VARIETY_TEXT_KEYS])
-    lists = F.concat_ws("\n", *[F.array_join(trimmed(jsoncol.get_list(v, k)), "\n") for k in rules.VARIETY_LIST_KEYS])
-    return contains_any(F.concat_ws("\n", texts, lists), rules.VARIETY_KEYWORDS)
+    keys = rules.VARIETY_TEXT_KEYS + rules.VARIETY_LIST_KEYS
+    return contains_any(F.concat_ws("\n", *[f[k] for k in keys]), rules.VARIETY_KEYWORDS)
 
 
-def cadence(status: Column, explicit: Column, surface: Column, origin: Column, source: Column, kind: Column) -> Column:
+def cadence(status: Column, explicit: Column, surface: Column, origin: Column, source: Column, kind: Column,
+            weekly_rules: list = rules.WEEKLY_RULES) -> Column:
     """Completed wins; then an explicit value; then weekly for airing series of weekly sources."""
     weekly = F.lit(False)
-    for src, wanted in rules.WEEKLY_RULES:
+    for src, wanted in weekly_rules:
         weekly = weekly | ((source == src) & (F.lit(True) if wanted == "*" else kind == wanted))
     return (
         F.when(status.isin(rules.COMPLETED_STATUSES), "completed")
@@ -50,19 +57,24 @@ def cadence(status: Column, explicit: Column, surface: Column, origin: Column, s
     )
 
 
-def classify(items: DataFrame, now: Column, source_rules: list = rules.SOURCE_RULES, type_rules: dict = rules.TYPE_RULES) -> DataFrame:
+def classify(items: DataFrame, now: Column, source_rules: list = rules.SOURCE_RULES, type_rules: dict = rules.TYPE_RULES,
+             weekly_rules: list = rules.WEEKLY_RULES) -> DataFrame:
     """Items with the thirteen taxonomy and schedule columns (re)derived from
     source, media_type and detail. Blank results are NULL where the column is optional."""
-    source, kind = _low("source"), _low("media_type")
-    # detail is parsed once and read many times
-    df = items.withColumn("_v", jsoncol.variant("detail"))
-    v = F.col("_v")
-    fmt = F.lower(F.coalesce(jsoncol.get_text(v, "content_format"), F.lit("")))
+    # detail is parsed once; what several rules read is computed once, in own columns
+    df = items.withColumns({
+        "_f": jsoncol.text_fields("detail", _DETAIL_KEYS), "_source": _low("source"), "_kind": _low("media_type"),
+    })
+    f, source, kind = F.col("_f"), F.col("_source"), F.col("_kind")
+    first = lambda keys: first_present(*[f[k] for k in keys])
+    df = df.withColumns({
+        "_fmt": F.lower(F.trim(F.coalesce(f["content_format"], F.lit("")))),
+        "_named": first_country(*[f[k] for k in rules.COUNTRY_KEYS]),
+    })
+    fmt, named = F.col("_fmt"), F.col("_named")
     by = lambda pick: _by_rule(source, kind, fmt, source_rules, pick)
     typed = lambda n: lookup({k: t[n] for k, t in type_rules.items()}, kind)
-    named = first_country(*[jsoncol.get_text(v, k) for k in rules.COUNTRY_KEYS])
-
-    df = df.withColumn("genre_names", jsoncol.labels(v, rules.LABEL_KEYS))
+    df = df.withColumn("genre_names", compact_ci(*[jsoncol.text_list(f[k]) for k in rules.LABEL_KEYS]))
     df = df.withColumn(
         "surface_type",
         F.coalesce(
@@ -74,7 +86,7 @@ def classify(items: DataFrame, now: Column, source_rules: list = rules.SOURCE_RU
     df = df.withColumn(
         "origin_type",
         F.coalesce(
-            by(lambda r: F.when(variety_flag(v), "variety").otherwise("drama") if r[5] == "variety_check" else r[5]),
+            by(lambda r: F.when(variety_flag(f), "variety").otherwise("drama") if r[5] == "variety_check" else r[5]),
             typed(2), F.nullif(kind, F.lit("")), F.lit("unknown"),
         ),
     )
@@ -93,24 +105,21 @@ def classify(items: DataFrame, now: Column, source_rules: list = rules.SOURCE_RU
         "taxonomy_source", F.coalesce(by(lambda r: rules.RULE_TAXONOMY_SOURCE), F.lit(rules.FALLBACK_TAXONOMY_SOURCE))
     )
     adult_sources = sorted({r[0] for r in source_rules if r[8] == "true"})
-    told = F.exists(F.concat("genre_names", trimmed(jsoncol.get_list(v, "tags"))), lambda g: F.lower(F.trim(g)).isin(rules.ADULT_LABELS))
+    told = F.exists("genre_names", lambda g: F.lower(F.trim(g)).isin(rules.ADULT_LABELS))
     df = df.withColumn("is_nsfw", source.isin(adult_sources) | told)
 
     df = df.withColumns({
-        "release_day": F.nullif(schedule.weekday_name(jsoncol.first_text(v, rules.DAY_KEYS)), F.lit("")),
-        "release_window": F.nullif(
-            first_present(jsoncol.first_text(v, rules.WINDOW_KEYS), schedule.time_window(jsoncol.get_text(v, "runtime"))), F.lit("")
-        ),
+        "release_day": F.nullif(schedule.weekday_name(first(rules.DAY_KEYS)), F.lit("")),
+        "release_window": F.nullif(first_present(first(rules.WINDOW_KEYS), schedule.time_window(f["runtime"])), F.lit("")),
         "release_timezone": F.nullif(
-            first_present(jsoncol.first_text(v, rules.TIMEZONE_KEYS), lookup(rules.TIMEZONE_BY_COUNTRY, F.col("release_country"))),
-            F.lit(""),
+            first_present(first(rules.TIMEZONE_KEYS), lookup(rules.TIMEZONE_BY_COUNTRY, F.col("release_country"))), F.lit("")
         ),
         "cadence": cadence(
-            F.lower(jsoncol.first_text(v, rules.STATUS_KEYS)), F.lower(F.coalesce(jsoncol.get_text(v, "cadence"), F.lit(""))),
-            F.col("surface_type"), F.col("origin_type"), source, kind,
+            F.lower(first(rules.STATUS_KEYS)), F.lower(F.trim(F.coalesce(f["cadence"], F.lit("")))),
+            F.col("surface_type"), F.col("origin_type"), source, kind, weekly_rules,
         ),
     })
-    return with_next_release(df.drop("_v"), now)
+    return with_next_release(df.drop("_f", "_source", "_kind", "_fmt", "_named"), now)
 
 
 def with_next_release(df: DataFrame, now: Column) -> DataFrame:
@@ -122,12 +131,12 @@ def with_next_release(df: DataFrame, now: Column) -> DataFrame:
 
 def refine_video(items: DataFrame, source: str = "drakorid") -> DataFrame:
     """Movies and variety programmes of one source, decided on title and detail text."""
-    v = jsoncol.variant("detail")
-    words = F.concat_ws(" ", "title", *[jsoncol.get_text(v, k) for k in rules.VARIETY_TEXT_KEYS])
+    f = jsoncol.text_fields("detail", rules.VARIETY_TEXT_KEYS + ["country"])
+    words = F.concat_ws(" ", "title", *[f[k] for k in rules.VARIETY_TEXT_KEYS])
     mine = F.lower(F.trim("source")) == source
     movie = mine & (F.col("media_type") == "movie")
     variety = mine & ~movie & contains_any(words, rules.VARIETY_KEYWORDS)
-    told = F.upper(F.coalesce(jsoncol.get_text(v, "country"), F.lit("")))
+    told = F.upper(F.trim(F.coalesce(f["country"], F.lit(""))))
     country = F.coalesce(
         F.nullif("release_country", F.lit("")),
         F.when(told.isin("CHINA", "CN"), "CN").when(told.isin("JAPAN", "JP"), "JP").otherwise("KR"),
@@ -178,20 +187,21 @@ def infer_release_window(items: DataFrame, units: DataFrame, tz: str) -> DataFra
 def infer_schedule(items: DataFrame, units: DataFrame, now: Column, tz: str | None = None) -> DataFrame:
     """Schedule of classified items as one precedence: stated in detail, found in its
     free text, modal over units, stored. updated_at moves only on a real change."""
-    v = jsoncol.variant("detail")
-    stated_day = F.nullif(schedule.weekday_name(jsoncol.first_text(v, rules.DAY_KEYS)), F.lit(""))
-    stated_window = F.nullif(
-        first_present(jsoncol.first_text(v, rules.WINDOW_KEYS), schedule.time_window(jsoncol.get_text(v, "runtime"))), F.lit("")
-    )
-    out = items.join(modal_weekday(units).select("item_key", F.col("release_day").alias("_d")), "item_key", "left")
+    f = F.col("_f")
+    first = lambda keys: first_present(*[f[k] for k in keys])
+    stated_day = F.nullif(schedule.weekday_name(first(rules.DAY_KEYS)), F.lit(""))
+    stated_window = F.nullif(first_present(first(rules.WINDOW_KEYS), schedule.time_window(f["runtime"])), F.lit(""))
+    parsed = items.withColumn("_f", jsoncol.text_fields("detail", rules.DAY_KEYS + rules.WINDOW_KEYS)).withColumns(
+        {"_stated_day": stated_day, "_stated_window": stated_window})
+    out = parsed.join(modal_weekday(units).select("item_key", F.col("release_day").alias("_d")), "item_key", "left")
     window = F.lit(None).cast("string")
     if tz:
         out = out.join(modal_time(units, tz).select("item_key", F.col("release_window").alias("_w")), "item_key", "left")
         window = F.col("_w")
     old = {c: F.col(c) for c in ("release_day", "release_window", "release_timezone", "next_release_at")}
     out = out.withColumn("_old", F.struct(*[c.alias(n) for n, c in old.items()])).withColumns({
-        "release_day": F.coalesce(stated_day, "_d", F.nullif("release_day", F.lit(""))),
-        "release_window": F.coalesce(stated_window, window, F.nullif("release_window", F.lit(""))),
+        "release_day": F.coalesce("_stated_day", "_d", F.nullif("release_day", F.lit(""))),
+        "release_window": F.coalesce("_stated_window", window, F.nullif("release_window", F.lit(""))),
         "release_timezone": F.coalesce(F.nullif("release_timezone", F.lit("")), lookup(rules.TIMEZONE_BY_COUNTRY, F.col("release_country"))),
     })
     out = with_next_release(out, now)

@@ -1 +1,283 @@
+from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from showledger import rules
+from showledger.functions import arrays, codes, dates, jsoncol, numbers, people, text, titles, urls
+from showledger.functions.register import read_recordset, register_functions
+from showledger.plans.taxonomy import fill_published_at
+
+from .base import Tables, joined, query, r6, shown
+
+S = F.lit
+
+
+@query("url_functions", r"""
+WITH p AS (SELECT page_id, url, regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, regexp_extract(trim(path, '/'), '([^/]*)$', 1) AS slug, regexp_replace(regexp_extract(lower(url), '^https?://([^/?#:]*)', 1), '^www\.', '') AS host,
+  regexp_extract(url, '^https?://([^/?#]*)', 1) AS domain, regexp_extract(url, 'https?://[^/]+(/.*)$', 1) AS stripped,
+  regexp_extract(trim(url, '/'), '([^/]*)$', 1) AS text_slug, regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/next/' || page_id AS resolved FROM p
+""")
+def _urls(t: Tables):
+    return t.pages.select(
+        "page_id", urls.slug_from_url("url").alias("slug"), urls.host_norm("url").alias("host"), urls.domain("url").alias("domain"),
+        urls.strip_url_path("url").alias("stripped"), urls.slug_from_text("url").alias("text_slug"),
+        urls.resolve_url("url", F.concat(S("/next/"), "page_id")).alias("resolved"))
+
+
+@query("youtube_ids", """
+SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'key_' || (o_orderkey + 100000) WHEN '2-HIGH' THEN 'k-' || (o_orderkey + 100000) WHEN '3-MEDIUM' THEN 'emb' || (o_orderkey + 100000)
+  ELSE '' END AS id FROM orders
+""")
+def _youtube(t: Tables):
+    key = (F.col("o_orderkey") + 100000).cast("string")
+    p = F.col("o_orderpriority")
+    url = (F.when(p == "1-URGENT", F.concat(S("https://youtu.be/key_"), key, S("?t=1"))).when(p == "2-HIGH", F.concat(S("https://www.youtube.com/watch?a=b&v=k-"), key))
+           .when(p == "3-MEDIUM", F.concat(S("https://www.youtube.com/embed/emb"), key, S("?x"))).when(p == "4-NOT SPECIFIED", "https://youtu.be/abc").otherwise(key))
+    return t.orders.select("o_orderkey", urls.youtube_id(url).alias("id"))
+
+
+@query("number_functions", """
+SELECT p_partkey, CAST(CASE WHEN p_size > 25 THEN p_size END AS BIGINT) AS si, CASE WHEN p_size > 25 THEN NULL ELSE p_retailprice END AS re,
+  CAST(CASE WHEN p_size <= 10 THEN p_size WHEN p_size <= 40 THEN 60 + p_size ELSE NULL END AS BIGINT) AS minutes, CAST(p_size AS DOUBLE) + 0.5 AS chapter,
+  CAST(p_size AS DOUBLE) AS episode, CAST(p_size AS VARCHAR) || CASE WHEN p_size > 20 THEN '.25' ELSE '' END AS shown,
+  CASE WHEN p_size > 30 THEN CAST(p_size AS VARCHAR) || '.5' ELSE CAST(p_size AS VARCHAR) END AS ch,
+  CAST(p_partkey * 1000 + p_size AS BIGINT) AS views, CASE WHEN p_size > 40 THEN '1080P' WHEN p_size > 20 THEN '' ELSE '480P' END AS quality,
+  CAST(1950 + p_size AS BIGINT) AS yr, CAST(CASE WHEN p_size > 10 THEN 2000 + p_size END AS BIGINT) AS bounded FROM part
+""")
+def _numbers(t: Tables):
+    n = F.col("p_size")
+    s = n.cast("string")
+    return t.part.select(
+        "p_partkey", numbers.parse_smallint(F.when(n > 25, F.concat(S(" "), s)).otherwise("12x")).cast("bigint").alias("si"),
+        numbers.parse_real(F.when(n > 25, "1.").otherwise(F.col("p_retailprice").cast("string"))).alias("re"),
+        numbers.parse_duration_minutes(F.when(n <= 10, F.concat(s, S(" min"))).when(n <= 40, F.concat(S("1h "), s, S("m per ep"))).otherwise("unknown")).cast("bigint").alias("minutes"),
+        numbers.sequence_index(F.when(n > 20, F.concat(s, S(",5"))).otherwise(F.concat(S("Chapter "), s, S(".5"))), S(9)).alias("chapter"),
+        numbers.episode_number(F.when(n > 20, s).otherwise(""), F.concat(S("Show Episode "), s)).alias("episode"),
+        numbers.format_number(F.when(n > 20, n + 0.25).otherwise(n)).alias("shown"),
+        numbers.chapter_number(F.when(n > 30, F.concat(S("Chapter "), s, S(".5"))).otherwise(F.concat(S("Ch. "), s))).alias("ch"),
+        numbers.card_views(F.concat(F.format_number(F.col("p_partkey") * 1000 + n, 0), S(" Views"))).alias("views"),
+        numbers.quality_label(F.when(n > 40, "BD 1080p x265").when(n > 20, "none1080px").otherwise("(480P)")).alias("quality"),
+        numbers.release_year(S(""), F.concat(S("aired "), (n + 1950).cast("string"))).cast("bigint").alias("yr"),
+        numbers.bounded_year(F.when(n > 10, (n + 2000).cast("string")).otherwise("1700")).cast("bigint").alias("bounded"))
+
+
+@query("date_functions", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'F' THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS parsed,
+  strftime(o_orderdate, '%Y-%m-%d') || ' 10:30:00' AS feed, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS embedded,
+  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM orders
+""")
+def _dates(t: Tables):
+    d, p = F.col("o_orderdate"), F.col("o_orderpriority")
+    month_id = F.element_at(F.array(*[S(m.title()) for m in rules.MONTHS_ID]), F.month(d))
+    raw = (F.when(p == "1-URGENT", F.date_format(d, "yyyy-MM-dd")).when(p == "2-HIGH", F.date_format(d, "d/M/yyyy"))
+           .when(p == "3-MEDIUM", F.concat(F.dayofmonth(d), S(" "), month_id, S(" "), F.year(d))).when(p == "4-NOT SPECIFIED", F.date_format(d, "MMMM d, yyyy"))
+           .when(F.col("o_orderstatus") == "F", "3 jam lalu").otherwise(F.date_format(d, "dd MMM yyyy")))
+    feed = F.when(p < "3", F.concat(F.date_format(d, "EEE, dd MMM yyyy"), S(" 17:30:00 +0700"))).otherwise(F.concat(F.date_format(d, "EEE, dd MMM yyyy"), S(" 10:30:00 GMT")))
+    blob = F.concat(S('{"img":"/cover/'), F.date_format(d, "yyyy-MM-dd"), S('.jpg"}'))
+    return t.orders.select("o_orderkey", shown(dates.parse_localized_date(raw)).alias("parsed"), shown(dates.parse_feed_date(feed)).alias("feed"),
+                           shown(dates.embedded_date(blob)).alias("embedded"), dates.iso_z("o_orderdate").alias("iso"))
+
+
+@query("published_dates", """
+SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y-%m-%d') || ' 05:00:00' WHEN '5-LOW' THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS published_at FROM orders
+""")
+def _published(t: Tables):
+    d, p = F.col("o_orderdate"), F.col("o_orderpriority")
+    day = F.date_format(d, "yyyy-MM-dd")
+    detail = (F.when(p == "1-URGENT", F.concat(S('{"source_meta_json":{"published_at":"'), day, S('T12:00:00+07:00"}}')))
+              .when(p == "2-HIGH", F.concat(S('{"img":"x '), day, S(' y"}'))).otherwise("{}"))
+    df = t.orders.select("o_orderkey", F.when(p == "3-MEDIUM", d).alias("published_at"), F.when(p == "4-NOT SPECIFIED", F.date_format(d, "d MMMM yyyy")).otherwise("").alias("label"), detail.alias("detail"))
+    return fill_published_at(df).select("o_orderkey", shown("published_at").alias("published_at"))
+
+
+@query("code_functions", """
+SELECT p_partkey, CASE p_type WHEN 'ECONOMY' THEN 't' WHEN 'STANDARD' THEN 'm' WHEN 'PROMO' THEN 'o' ELSE 'u' END AS type_code,
+  CASE WHEN p_size > 40 THEN 'a' WHEN p_size > 30 THEN 'f' WHEN p_size > 20 THEN 'u' ELSE 'x' END AS status_code,
+  CASE p_type WHEN 'ECONOMY' THEN 'TV' WHEN 'STANDARD' THEN 'Movie' WHEN 'PROMO' THEN 'OVA' ELSE '' END AS type_label,
+  CASE WHEN p_size > 40 THEN 'b' WHEN p_size > 30 THEN 'w' WHEN p_size > 20 THEN 'h' WHEN p_size > 10 THEN 'm' ELSE 'u' END AS quality_code,
+  CASE WHEN p_size > 40 THEN 'a' WHEN p_size > 30 THEN 'b' WHEN p_size > 20 THEN 'd' ELSE 'x' END AS option_code,
+  CASE WHEN p_size > 40 THEN 's' WHEN p_size > 30 THEN 'b' WHEN p_size > 20 THEN 'p' ELSE 'x' END AS fetch_code,
+  CASE WHEN p_size > 40 THEN 'r' WHEN p_size > 30 THEN 'r' WHEN p_size > 20 THEN 'b' WHEN p_size > 10 THEN 'p' ELSE 'x' END AS download_code,
+  CASE WHEN p_size > 40 THEN 'KR' WHEN p_size > 30 THEN 'FR' WHEN p_size > 20 THEN 'US' ELSE '' END AS country,
+  CASE WHEN p_size > 40 THEN 'animation_3d' WHEN p_size > 20 THEN 'animation_2d' ELSE 'live_action' END AS fmt,
+  CASE p_type WHEN 'ECONOMY' THEN 'completed' WHEN 'STANDARD' THEN 'ongoing' WHEN 'PROMO' THEN 'ongoing' ELSE '' END AS card_status,
+  CASE WHEN p_type = 'SMALL' THEN 'ongoing' ELSE 'completed' END AS aired_status,
+  CASE p_type WHEN 'PROMO' THEN 'komiku' ELSE 'manhwaindo' END AS source_key, CASE p_type WHEN 'PROMO' THEN 'manhua' WHEN 'SMALL' THEN 'manhwa' ELSE 'manga' END AS comic FROM part
+""")
+def _codes(t: Tables):
+    n, k = F.col("p_size"), F.col("p_type")
+    by = lambda *v: F.when(n > 40, v[0]).when(n > 30, v[1]).when(n > 20, v[2]).when(n > 10, v[3]).otherwise(v[4])
+    kind = F.when(k == "ECONOMY", " TV").when(k == "STANDARD", "Movie").when(k == "PROMO", "ova").otherwise("radio")
+    code = codes.encode("anime_type", kind)
+    download = codes.download_status_code(
+        by("", "", "http_block", "fetched", " "), S(""), by('{"resolved_count":2}', '{"resolved_count":0,"links":["a"]}', '{"links":[]}', "{}", "{}"))
+    return t.part.select(
+        "p_partkey", code.alias("type_code"), codes.encode("anime_status", by("Currently Airing", "Completed", "An Upcoming show", "", "?")).alias("status_code"),
+        codes.decode("anime_type", code).alias("type_label"), codes.encode("movie_quality", by("BluRay 1080p", "WEB-DL", "720p", "480p", "cam")).alias("quality_code"),
+        codes.encode("option_status", by("Ready", "geo-blocked", "link dead", "", "new")).alias("option_code"),
+        codes.fetch_status_code(by("", "blocked", "primary_fetched", "", "x"), S(""), by(" Secondary", "", "", "", "")).alias("fetch_code"), download.alias("download_code"),
+        codes.country_code(by("South Korea", "fr", "usa", "Mars", "")).alias("country"),
+        codes.content_format(F.when(n > 40, F.array(S("x"), S("3D Animation"))).otherwise(F.array(S("x"))), F.when(n > 20, "A [2D] title").otherwise("A title")).alias("fmt"),
+        codes.card_status(F.when(k == "ECONOMY", "Movie").otherwise("drama"), F.when(k == "STANDARD", "EPISODE 3").otherwise("x"), F.when(k == "PROMO", "Ongoing").otherwise("Done")).alias("card_status"),
+        codes.aired_status(F.when(k == "LARGE", "movie").otherwise("drama"), F.when(k.isin("SMALL", "LARGE"), "Jan 2024 to ?").otherwise("2020")).alias("aired_status"),
+        codes.source_key(F.when(k == "PROMO", " Komiku ").otherwise("other")).alias("source_key"),
+        codes.comic_type(F.when(k == "PROMO", "a Manhua").when(k == "SMALL", "MANHWA").otherwise("x")).alias("comic"))
+
+
+@query("text_functions", r"""
+WITH d AS (SELECT doc_id, text, trim(regexp_replace(text, '[\s\p{Z}]+', ' ', 'g')) AS ns FROM documents)
+SELECT doc_id, md5(ns) AS spaced, trim(regexp_replace(replace(lower(trim(text)), '&', 'and'), '[^a-z0-9]+', '-', 'g'), '-') AS slug,
+  CASE WHEN length(ns) <= 160 THEN ns ELSE
+    CASE WHEN instr(trim(left(ns, 160)), ' ') > 0 AND length(trim(left(ns, 160))) - instr(reverse(trim(left(ns, 160))), ' ') > length(trim(left(ns, 160))) // 2
+      THEN left(trim(left(ns, 160)), length(trim(left(ns, 160))) - instr(reverse(trim(left(ns, 160))), ' ')) ELSE trim(left(ns, 160)) END || '...' END AS excerpt,
+  len(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> ''))) AS tokens FROM d
+""")
+def _text(t: Tables):
+    return t.documents.select("doc_id", F.md5(text.normalize_space("text")).alias("spaced"), text.slugify("text").alias("slug"),
+                              text.truncate_excerpt("text", 160).alias("excerpt"), F.size(text.tokens("text")).cast("bigint").alias("tokens"))
+
+
+_AMP = "replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+
+
+@query("html_to_text", r"""
+SELECT page_id, md5(trim(regexp_replace(""" + _AMP.format(x=r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+  '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g')""") + r""", '[\s\p{Z}]+', ' ', 'g'))) AS body FROM pages
+""")
+def _html_text(t: Tables):
+    return t.pages.select("page_id", F.md5(text.html_text("html")).alias("body"))
+
+
+@query("labeled_fields", """
+SELECT o_orderkey, o_orderpriority AS originaltitle, o_orderstatus || ', x/y' AS genres, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS size,
+  'A plain line of order ' || (o_orderkey + 1000) AS excerpt, o_orderstatus || '|x|y' AS genre_list FROM orders
+""")
+def _labeled(t: Tables):
+    html = F.concat(S("<p>Original Title : old</p><p><b>Original Title</b>: "), "o_orderpriority", S("<br/>Genres:"), "o_orderstatus", S(", x/y<BR>short<br>A plain line of order "),
+                    F.col("o_orderkey") + 1000, S("</div>Size: "), F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_custkey").cast("string")), S("</li>"))
+    df = t.orders.select("o_orderkey", text.labeled_fields(html).alias("m"), text.first_unlabeled(html).alias("excerpt"))
+    return df.select("o_orderkey", *[F.try_element_at("m", S(k)).alias(k) for k in ("originaltitle", "genres", "size")], "excerpt",
+                     joined(arrays.compact_ci(arrays.split_values(F.col("m")["genres"], "[,/|]"))).alias("genre_list"))
+
+
+@query("array_functions", """
+SELECT p_partkey, array_to_string(list_sort(list_distinct([trim(p_name), p_type, p_brand])), '|') AS sorted, p_name || '|' || p_type || '|' || p_brand AS ordered,
+  upper(p_name) || '|' || p_type AS ci, p_type || '|10 bolts' AS chips, array_to_string(list_sort(list_distinct([p_size, 3, 7])), '|') AS codes FROM part
+""")
+def _arrays(t: Tables):
+    a = F.array(F.col("p_name"), F.concat(S(" "), F.col("p_type"), S(" ")), S(" "))
+    return t.part.select(
+        "p_partkey", joined(arrays.distinct_trimmed_sorted(F.concat(a, F.array("p_brand", "p_type")))).alias("sorted"),
+        joined(arrays.union_ordered(a, F.array("p_type", "p_brand"))).alias("ordered"),
+        joined(arrays.compact_ci(F.array(F.upper("p_name")), F.array(F.col("p_name"), F.col("p_type"), S("")))).alias("ci"),
+        joined(arrays.drop_numeric_chips(F.array(F.col("p_type"), S("2026"), S("4.5"), S("10 bolts"), F.lower("p_type")))).alias("chips"),
+        joined(arrays.merge_codes(F.array(F.col("p_size").cast("smallint"), S(7).cast("smallint")), F.array(S(3).cast("smallint"), S(7).cast("smallint")))).alias("codes"))
+
+
+@query("compact_payloads", """
+SELECT p_partkey, nullif(CASE WHEN p_size > 20 THEN p_name ELSE '' END, '') AS title, CAST(nullif(greatest(p_size - 25, 0), 0) AS BIGINT) AS runtime,
+  CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_type || '|' || p_brand END AS genres, 'https://image.tmdb.org/t/p/w500/' || p_partkey || '.jpg' AS poster,
+  p_name || '|' || p_brand AS directors, p_name || '=lead|' || p_type || '=' AS cast_list, 'https://www.youtube.com/watch?v=' || CASE WHEN p_size > 25 THEN 'off' ELSE 'first' END || p_partkey AS trailer,
+  CASE WHEN p_size > 25 THEN 'France|South Korea' ELSE 'France' END AS countries FROM part
+""")
+def _payload(t: Tables):
+    key = F.col("p_partkey").cast("string")
+    p = t.part.withColumns({
+        "crew": F.array(*[F.struct(n.alias("name"), S(j).alias("job")) for n, j in ((F.col("p_name"), "Director"), (S("nobody"), "Editor"), (F.col("p_brand"), "director"), (F.col("p_name"), "Director"))]),
+        "cast": F.array(*[F.struct(n.alias("name"), S(c).alias("character")) for n, c in ((F.col("p_name"), "lead"), (S(" "), "x"), (F.col("p_type"), ""))]),
+        "videos": F.array(*[F.struct(S(s).alias("site"), k.alias("key"), S(y).alias("type"), o.alias("official")) for s, k, y, o in (
+            ("Vimeo", key, "Trailer", S(True)), ("YouTube", F.concat(S("first"), key), "Teaser", S(False)), ("YouTube", F.concat(S("off"), key), "Trailer", F.col("p_size") > 25))]),
+    })
+    body = jsoncol.compact_payload({
+        "title": (F.when(F.col("p_size") > 20, F.col("p_name")).otherwise(" "), "text"), "runtime": (F.col("p_size") - 25, "number"),
+        "genres": (F.when(F.col("p_type") == "PROMO", F.array(S(" "))).otherwise(F.array("p_type", "p_brand", "p_type")), "list")})
+    df = p.withColumn("body", body)
+    at = lambda k: F.get_json_object("body", "$." + k)
+    cast = F.transform(people.cast_entries("cast", 6), lambda c: F.concat(c["name"], S("="), F.coalesce(c["role"], S(""))))
+    return df.select(
+        "p_partkey", at("title").alias("title"), at("runtime").cast("bigint").alias("runtime"), joined(F.from_json(at("genres"), "array<string>")).alias("genres"),
+        people.poster_url(F.concat(key, S(".jpg"))).alias("poster"), joined(people.directors("crew")).alias("directors"), joined(cast).alias("cast_list"),
+        people.trailer_url("videos").alias("trailer"), joined(people.country_names(F.array(S("France"), S("")), F.when(F.col("p_size") > 25, "ko").otherwise("fr"))).alias("countries"))
+
+
+@query("fetch_outcomes", """
+WITH a AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'fetched' WHEN 'O' THEN 'challenge_blocked' ELSE 'fetch_failed' END AS p,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'fetched' WHEN '2-HIGH' THEN 'fetch_failed' WHEN '3-MEDIUM' THEN 'empty' ELSE 'not_attempted' END AS s FROM orders)
+SELECT o_orderkey, CASE WHEN p = 'fetched' AND s = 'not_attempted' THEN 'primary_fetched' WHEN p = 'fetched' AND s = 'fetched' THEN 'primary_fetched_secondary_fetched'
+   WHEN s = 'fetched' THEN 'primary_' || p || '_secondary_fetched' WHEN p = 'challenge_blocked' AND s = 'fetch_failed' THEN 'primary_challenge_blocked_secondary_failed'
+   ELSE 'primary_' || p END AS overall,
+  CASE WHEN p <> 'fetched' AND s = 'fetched' THEN 'secondary' ELSE 'primary' END AS kind,
+  CASE WHEN p <> 'fetched' AND s = 'fetch_failed' THEN 'primary: ' || p || ' | secondary: timeout' WHEN p <> 'fetched' THEN 'primary: ' || p WHEN s = 'fetch_failed' THEN 'secondary: timeout' ELSE '' END AS error FROM a
+""")
+def _outcomes(t: Tables):
+    st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
+    df = t.orders.select(
+        "o_orderkey", F.when(st == "F", "fetched").when(st == "O", "challenge_blocked").otherwise("fetch_failed").alias("p"),
+        F.when(pr == "1-URGENT", "fetched").when(pr == "2-HIGH", "fetch_failed").when(pr == "3-MEDIUM", "empty").otherwise("not_attempted").alias("s"))
+    attempt = lambda c, host: F.struct(S(f"https://{host}/").alias("url"), S(host).alias("domain"), F.col(c).alias("status"))
+    return df.select(
+        "o_orderkey", codes.overall_fetch_status("p", "s").alias("overall"), codes.effective_source(attempt("p", "a.example.org"), attempt("s", "b.example.org"))["kind"].alias("kind"),
+        codes.fetch_error(F.when(F.col("p") != "fetched", F.col("p")).otherwise(""), F.when(F.col("s") == "fetch_failed", "timeout").otherwise("")).alias("error"))
+
+
+@query("title_functions", """
+SELECT p_partkey, CASE WHEN p_size > 25 THEN p_name ELSE p_name || ' X' END AS cleaned, upper(left(p_name, 1)) || substr(p_name, 2, strpos(p_name, ' ') - 1) || upper(substr(p_name, strpos(p_name, ' ') + 1, 1)) || substr(p_name, strpos(p_name, ' ') + 2) AS from_url,
+  p_name AS before_episode, 'it-' || p_partkey || '-episode-' || p_size || '-5' AS child_slug, p_name || ' Episode ' || p_size AS child_title,
+  lower(p_name || ' ' || p_type) AS normalized, p_type AS meta_type, p_name AS meta_genre, p_brand AS meta_status, round(CASE WHEN p_size > 25 THEN 2.0 / 3 - 0.03 ELSE 1.0 END, 6) AS jaccard FROM part
+""")
+def _titles(t: Tables):
+    n = F.col("p_name")
+    raw = F.concat(n, F.when(F.col("p_size") > 25, " Sub Indo (Episode 1-12) | Otaku Desu").otherwise("  X Subtitle Indonesia"))
+    meta = text.split_meta_line(F.concat("p_type", S(" •  "), n, S("  Status: "), "p_brand"))
+    return t.part.select(
+        "p_partkey", titles.clean_title(raw).alias("cleaned"), titles.parent_title(n, F.concat(S("https://x.example.org/a/"), F.replace(n, S(" "), S("-")), S("/"))).alias("from_url"),
+        titles.parent_title(F.concat(n, S(" Episode 3")), S("")).alias("before_episode"),
+        titles.child_slug(F.concat(S("it-"), "p_partkey"), F.concat(F.col("p_size"), S(".5"))).alias("child_slug"), titles.child_title(n, F.col("p_size").cast("string")).alias("child_title"),
+        titles.normalize_title(F.concat(n, S("!? ("), "p_type", S(")"))).alias("normalized"),
+        meta["type_label"].alias("meta_type"), meta["genre_label"].alias("meta_genre"), meta["status"].alias("meta_status"),
+        r6(titles.title_jaccard(F.concat(n, S(" sub indo")), F.concat(n, F.when(F.col("p_size") > 25, " zz").otherwise(" Episode")))).alias("jaccard"))
+
+
+@query("title_decompose", """
+SELECT o_orderkey, o_orderstatus || '|HD' AS labels,
+  CASE WHEN o_orderpriority = '1-URGENT' THEN 'preview' WHEN o_orderpriority = '2-HIGH' THEN 'compilation' WHEN o_orderpriority = '3-MEDIUM' THEN 'episode' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'part' ELSE 'standalone' END AS kind,
+  CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN o_custkey % 1000 + 1 ELSE 0 END AS BIGINT) AS episode, CAST(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_custkey % 1000 + 1 ELSE 0 END AS BIGINT) AS part,
+  o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'P' AS candidate
+FROM orders
+""")
+def _decompose(t: Tables):
+    n, p = (F.col("o_custkey") % 1000 + 1).cast("string"), F.col("o_orderpriority")
+    body = (F.when(p == "1-URGENT", F.concat(S("Preview Episode "), n)).when(p == "2-HIGH", "Best  compilation").when(p == "3-MEDIUM", F.concat(S("Show &amp; Tell EPISODE "), n))
+            .when(p == "4-NOT SPECIFIED", F.concat(S("Show Part "), n)).otherwise("Alone"))
+    fmt = F.when(F.col("o_orderstatus") == "P", "live_action").otherwise("animation_2d")
+    df = t.orders.select("o_orderkey", titles.decompose_labeled(F.concat(S(" ["), F.lower("o_orderstatus"), S("] [HD][hd] "), body), fmt).alias("d"))
+    return df.select("o_orderkey", joined("d.labels").alias("labels"), F.col("d.entry_kind").alias("kind"), F.col("d.episode_number").cast("bigint").alias("episode"),
+                     F.col("d.part_number").cast("bigint").alias("part"), F.col("d.series_candidate").alias("candidate"))
+
+
+@query("paragraph_filter", r"""
+SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[\s\p{Z}]+', ' ', 'g'))),
+  lambda x: x <> '' AND NOT starts_with(lower(x), 'the ') AND NOT starts_with(lower(x), 'de ')), chr(10) || chr(10))) AS body FROM documents
+""")
+def _paragraphs(t: Tables):
+    return t.documents.select("doc_id", F.md5(text.keep_paragraphs(F.split("text", "\n"), ["the ", "de "])).alias("body"))
+
+
+@query("sql_functions", r"""
+SELECT page_id, regexp_replace(regexp_extract(lower(url), '^https?://([^/?#:]*)', 1), '^www\.', '') AS host, 'web:page:' || page_id AS item_key,
+  trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-') AS slug, CAST(page_id AS INTEGER) AS id FROM (SELECT page_id, replace(url, '&', 'and') AS url FROM pages)
+""")
+def _sql(t: Tables):
+    register_functions(t.spark)
+    t.pages.createOrReplaceTempView("showledger_pages")
+    return t.spark.sql("""
+        SELECT page_id, sl_host_norm(url) AS host, sl_item_key(' Web', 'PAGE', cast(page_id AS string)) AS item_key, sl_slugify(url) AS slug,
+               sl_parse_integer(cast(page_id AS string)) AS id FROM showledger_pages""")
+
+
+@query("recordset_rows", "SELECT event_id AS id, event_type AS kind, value AS v FROM events UNION ALL SELECT event_id, 'copy', NULL FROM events")
+def _recordset(t: Tables):
+    pair = F.array(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("value").alias("v")),
+                   F.struct(F.col("event_id").alias("id"), S("copy").alias("kind"), S(None).cast("double").alias("v")))
+    return read_recordset(t.events.select(F.to_json(pair).alias("j")), "j", "id bigint, kind string, v double")
