@@ -1 +1,111 @@
+from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from showledger.operators import search as X
+from showledger.operators.ranking import numeric_sort_keys, page, rows_to_json, top_per_group, work_queue
+from showledger.plans.backfill import select_slugs
+from showledger.plans.views import lookup_item
+
+from .base import Tables, query, shop_items
+from .taxonomy import doc_items
+
+
+def _parts(t: Tables) -> DataFrame:
+    return t.part.select(F.col("p_partkey").alias("id"), F.initcap("p_name").alias("title"), F.concat(F.replace("p_name", F.lit(" "), F.lit("-")), F.lit("-"), F.lower("p_brand")).alias("slug"))
+
+
+_PARTS_SQL = """
+parts AS (SELECT p_partkey AS id, p_name AS lt, replace(p_name, ' ', '-') || '-' || lower(p_brand) AS slug FROM part),
+m AS (SELECT id, q.query, CASE WHEN lt = q.query THEN 0 WHEN slug = s THEN 1 WHEN starts_with(lt, q.query) THEN 2 WHEN starts_with(slug, s) THEN 3
+        WHEN contains(lt, ' ' || q.query) THEN 4 WHEN contains(lt, q.query) THEN 5 WHEN contains(slug, s) THEN 6 END AS rank_bucket,
+        CASE WHEN strpos(lt, q.query) > 0 THEN strpos(lt, q.query) ELSE 9999 END AS pos, lt, slug
+      FROM parts, q),
+r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY rank_bucket, pos, lt, slug, id) AS rn FROM m WHERE rank_bucket IS NOT NULL)
+"""
+
+
+@query("search_titles", "WITH q AS (SELECT 'bolt' AS query, 'bolt' AS s)," + _PARTS_SQL + """
+SELECT lt AS title, slug, CAST(rank_bucket AS BIGINT) AS rank_bucket FROM r WHERE rn <= 12
+""")
+def _search(t: Tables):
+    return X.search_titles(_parts(t), " Bolt ", 12).select(F.lower("title").alias("title"), "slug", F.col("rank_bucket").cast("bigint").alias("rank_bucket"))
+
+
+@query("search_titles_batch", "WITH q AS (SELECT query, regexp_replace(query, '\\s+', '-', 'g') AS s FROM (SELECT unnest(['red', 'bolt', 'hot gizmo', 'ring-brand#1', 'd r', 'brand#25', 'zzz']) AS query))," + _PARTS_SQL + """
+SELECT query, rn AS place, lt AS title, slug, CAST(rank_bucket AS BIGINT) AS rank_bucket FROM r WHERE rn <= 8
+""")
+def _batch(t: Tables):
+    out = X.search_titles_batch(_parts(t), ["red", "Bolt", "hot gizmo", "ring-brand#1", "d r", "brand#25", "zzz", "x"])
+    return out.select("query", F.col("place").cast("bigint").alias("place"), F.lower("title").alias("title"), "slug", F.col("rank_bucket").cast("bigint").alias("rank_bucket"))
+
+
+_TOKENS = r"list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^\p{{L}}\p{{N}}]+'), lambda v: v <> ''))"
+
+
+@query("token_search", "SELECT doc_id FROM documents WHERE list_has_all(" + _TOKENS.format(x="text") + ", ['the', 'and', 'nd'])")
+def _tokens(t: Tables):
+    return X.token_search(t.documents, ["text"], "The, nd AND").select("doc_id")
+
+
+@query("token_search_batch", f"""
+WITH d AS (SELECT doc_id, {_TOKENS.format(x='text')} AS have FROM documents), b AS (SELECT item_id, {_TOKENS.format(x='text')} AS want FROM benchmark)
+SELECT item_id, doc_id FROM b JOIN d ON list_has_all(have, want)
+""")
+def _token_batch(t: Tables):
+    return X.token_search_batch(t.documents, "doc_id", ["text"], t.benchmark, "item_id", "text")
+
+
+@query("token_index", f"SELECT token, count(*) AS docs FROM (SELECT unnest({_TOKENS.format(x='text')}) AS token FROM documents) GROUP BY 1")
+def _index(t: Tables):
+    return X.token_index(t.documents, "doc_id", ["text"]).groupBy("token").agg(F.count("*").alias("docs"))
+
+
+@query("work_queue", """
+WITH f AS (SELECT d.doc_id, d.source, l.quality IS NULL AS m1, n_chars < 300 AS m2, lang = 'fr' AS m3, n_chars FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
+SELECT doc_id, m1 AS missing_label, m2 AS missing_body, m3 AS missing_lang FROM f WHERE m1 OR m2 OR m3
+ORDER BY m1 DESC, m2 DESC, m3 DESC, n_chars DESC, doc_id LIMIT 60
+""")
+def _queue(t: Tables):
+    df = t.documents.join(t.labels.select("doc_id", "quality"), "doc_id", "left")
+    out = work_queue(df, {"label": F.col("quality").isNull(), "body": F.col("n_chars") < 300, "lang": F.col("lang") == "fr"}, [F.col("n_chars").desc(), F.col("doc_id")], 60)
+    return out.select("doc_id", "missing_label", "missing_body", "missing_lang")
+
+
+@query("numeric_sort_page", """
+WITH l AS (SELECT DISTINCT CASE WHEN l_returnflag = 'N' THEN 'Part ' || l_linenumber WHEN l_returnflag = 'R' THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) ELSE l_linenumber || '.5' END AS label FROM lineitem),
+r AS (SELECT label, row_number() OVER (ORDER BY TRY_CAST(label AS DOUBLE) IS NULL, coalesce(TRY_CAST(label AS DOUBLE), 0), label) AS rn FROM l)
+SELECT label FROM r WHERE rn > 10 AND rn <= 50
+""")
+def _numeric(t: Tables):
+    f = F.col("l_returnflag")
+    label = F.when(f == "N", F.concat(F.lit("Part "), "l_linenumber")).when(f == "R", F.col("l_quantity").cast("bigint").cast("string")).otherwise(F.concat("l_linenumber", F.lit(".5")))
+    return page(t.lineitem.select(label.alias("label")).distinct(), numeric_sort_keys("label"), 40, 10)
+
+
+@query("capped_children", """
+SELECT o_custkey, o_orderkey, rn AS place FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) WHERE rn <= 3
+""")
+def _capped(t: Tables):
+    out = top_per_group(t.orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], 3, rank="place")
+    return out.select("o_custkey", "o_orderkey", F.col("place").cast("bigint").alias("place"))
+
+
+@query("rows_as_json", """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+SELECT o_custkey, '[' || string_agg('{"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","o_orderkey":' || o_orderkey || '}', ',' ORDER BY rn) || ']' AS rows_json FROM r WHERE rn <= 5 GROUP BY 1
+""")
+def _json(t: Tables):
+    df = t.orders.select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderkey")
+    return rows_to_json(df, ["o_custkey"], ["o_orderdate", "o_orderkey"], 5)
+
+
+@query("lookup_item", "SELECT CAST(doc_id AS VARCHAR) AS item_key, 0::BIGINT AS page_number FROM documents WHERE source = 'src3' AND doc_id = 3")
+def _lookup(t: Tables):
+    return lookup_item(doc_items(t), "src3", "doc-3").select("item_key", F.col("page_number").cast("bigint").alias("page_number"))
+
+
+@query("select_slugs", "SELECT lower(replace(c_name, '#', '-')) AS slug FROM customer WHERE c_name IN ('Customer#000000003', 'Customer#000000120')")
+def _slugs(t: Tables):
+    return select_slugs(shop_items(t), ["customer-000000003", "customer-000000120"], [F.col("slug")], 1).select("slug")
