@@ -1 +1,217 @@
+from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from showledger.functions import urls
+from showledger.operators.ranking import keep_first
+from showledger.plans.ingest import ingest_series, new_cards
+from showledger.plans.links import link_audit, url_inventory
+from showledger.sources import pages as P
+from showledger.sources.feeds import extract_feed, hydrate_feed
+
+from .base import Tables, joined, query, shown
+
+S = F.lit
+NAV_SPEC = {"item": "nav li", "fields": {"title": ["a|text"], "href": ["a[href]|@href"]}}
+NAV_CHILDREN = {"item": "nav li a", "fields": {"href": ["|@href"], "title": ["|text"]}}
+
+_UN = "replace(replace({x}, '&quot;', '\"'), '&amp;', '&')"
+_NAV_SQL = r"""
+li AS (SELECT page_id, url, unnest(h) AS h, unnest(l) AS l, generate_subscripts(h, 1) AS pos FROM (
+  SELECT page_id, url, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1) AS h, regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2) AS l FROM pages)),
+nav AS (SELECT page_id, url, pos, """ + _UN.format(x="h") + " AS href, trim(" + _UN.format(x="l") + """) AS label FROM li)
+"""
+
+
+@query("page_cards", "WITH " + _NAV_SQL + r"""
+SELECT page_id, pos, href, label AS title, regexp_extract(trim(regexp_extract(href, '^([^?#]*)', 1), '/'), '([^/]*)$', 1) AS slug FROM nav WHERE href <> '' AND label <> ''
+""")
+def _cards(t: Tables):
+    return P.extract_cards(t.pages, NAV_SPEC).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "title", "slug")
+
+
+@query("page_detail", r"""
+SELECT page_id, trim(regexp_replace(""" + _UN.format(x="regexp_extract(html, '<h1>(.*?)</h1>', 1)") + r""", '\s+', ' ', 'g')) AS title, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang, url AS canonical_url,
+  len(regexp_extract_all(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<p>')) AS paragraphs FROM pages
+""")
+def _detail(t: Tables):
+    ok, _ = P.extract_detail(t.pages)
+    return ok.select("page_id", "title", "lang", "canonical_url", F.size("paragraphs").cast("bigint").alias("paragraphs"))
+
+
+@query("page_rejects", "SELECT page_id, 'missing title' AS reason FROM pages WHERE url LIKE 'https://m.%'")
+def _rejects(t: Tables):
+    blank = F.regexp_replace("html", "<(h1|title)>.*?</(h1|title)>", "<h2>none</h2>")
+    pages = t.pages.withColumn("html", F.when(F.col("url").startswith("https://m."), blank).otherwise(F.col("html")))
+    return P.extract_detail(pages)[1].select("page_id", "reason")
+
+
+@query("page_children", "WITH " + _NAV_SQL + "SELECT page_id, pos, href, label, lower(label) AS number_text FROM nav WHERE href <> ''")
+def _children(t: Tables):
+    return P.extract_children(t.pages, NAV_CHILDREN).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "label", "number_text")
+
+
+_LINKS_SQL = "WITH " + _NAV_SQL + """,
+k AS (SELECT * FROM nav WHERE href <> '' AND NOT starts_with(href, '#') AND (contains(lower(label), 'the') OR contains(lower(href), 'tion')) AND NOT contains(lower(href), 'and')),
+p AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS place FROM k),
+n AS (SELECT page_id, href, pos, CASE WHEN label = '' THEN 'link_' || place ELSE label END AS label, place FROM p),
+u AS (SELECT *, row_number() OVER (PARTITION BY page_id, label ORDER BY pos) AS again FROM n),
+links AS (SELECT page_id, pos, href, CASE WHEN again > 1 THEN label || '_' || place ELSE label END AS label FROM u)
+"""
+
+
+def _harvest(t: Tables) -> DataFrame:
+    # the nav list of a page is repeated so that label collisions occur
+    return P.extract_links(t.pages, ["the", "tion"], ["and"], spec={"item": "nav a", "fields": {"href": ["|@href"], "label": ["|text"]}})
+
+
+@query("page_links", _LINKS_SQL.replace("contains(lower(label), 'the') OR", "contains(lower(label), 'the') OR contains(lower(href), 'the') OR contains(lower(label), 'tion') OR") + "SELECT page_id, href, label FROM links")
+def _links(t: Tables):
+    return _harvest(t).select("page_id", "href", "label")
+
+
+@query("page_link_summary", "WITH " + _NAV_SQL + """,
+d AS (SELECT *, row_number() OVER (PARTITION BY page_id, label ORDER BY pos) AS rn FROM nav)
+SELECT page_id, count(*) AS links, string_agg(label, '|' ORDER BY pos) FILTER (rn = 1 AND label <> '') AS labels FROM d GROUP BY 1
+""")
+def _summary(t: Tables):
+    raw = P.extract_raw(t.pages, P.LINK_SPEC).select("page_id", "pos", F.col("fields")["href"].alias("href"), F.col("fields")["label"].alias("label"))
+    return P.page_link_summary(raw).select("page_id", "links", joined("labels").alias("labels"))
+
+
+@query("page_assets", """
+SELECT page_id, u.n AS position, u.url AS image_url FROM pages, LATERAL (SELECT * FROM (VALUES (1, 'https://img.example.org/' || page_id || '/1.jpg'), (3, 'http://img.example.org/' || page_id || '/3.jpg')) AS v(n, url)) u WHERE pages.url LIKE 'https://%'
+UNION ALL SELECT page_id, u.n, u.url FROM pages, LATERAL (SELECT * FROM (VALUES (1, 'https://img.example.org/' || page_id || '/a.jpg'), (2, 'https://img.example.org/' || page_id || '/b.jpg')) AS v(n, url)) u WHERE pages.url LIKE 'http://%'
+""")
+def _assets(t: Tables):
+    k = F.col("page_id").cast("string")
+    script = F.concat(F.col("html"), S('<script>ts_reader.run({"prevUrl":"","sources":[{"source":"s","images":["https://img.example.org/'), k, S('/1.jpg","data:image/png;base64,xx","http://img.example.org/'), k, S('/3.jpg"]}]});</script>'))
+    area = F.concat(S('<div id="readerarea"><img data-src="https://img.example.org/'), k, S('/a.jpg" src="x"><img src="data:x"><img src="https://img.example.org/assets/l.png"><p><img src="https://img.example.org/'), k, S('/b.jpg"></p></div>'), F.col("html"))
+    pages = t.pages.withColumn("html", F.when(F.col("url").startswith("https://"), script).otherwise(area))
+    return P.extract_assets(pages).select("page_id", "position", "image_url")
+
+
+@query("feed_items", """
+SELECT doc_id AS page_id, '[PV] Show ' || lang || ' Episode ' || doc_id AS title, 'show-' || doc_id AS slug, 'animation_2d' AS content_format,
+  CASE WHEN n_chars > 500 THEN '2026-03-01 05:30:00' ELSE '2026-03-01 12:30:00' END AS published_at, 'preview' AS entry_kind, lang || '|Drama' AS genres, 'https://img.example.org/' || doc_id || '.jpg' AS cover_url,
+  'Original ' || source AS original_title, md5(trim(regexp_replace(text, '[\\s\\p{Z}]+', ' ', 'g'))) AS body FROM documents
+""")
+def _feed(t: Tables):
+    k = F.col("doc_id").cast("string")
+    # text is escaped as a feed writer would
+    safe = F.replace(F.replace(F.replace("text", S("&"), S("&amp;")), S("<"), S("&lt;")), S(">"), S("&gt;"))
+    zone = F.when(F.col("n_chars") > 500, "+0700").otherwise("GMT")
+    xml = F.concat(
+        S("<rss><channel><title>all</title><item><title><![CDATA[[PV] Show "), "lang", S(" Episode "), k, S("]]></title><link>https://example.org/a/show-"), k, S("/</link><pubDate>Sun, 01 Mar 2026 12:30:00 "), zone,
+        S("</pubDate><category>L2D</category><category>l2d</category><description>"), safe, S("</description><content:encoded><![CDATA[<img src=\"https://img.example.org/"), k,
+        S(".jpg\"><p>Original Title: Original "), "source", S("</p><p>Genre : "), "lang", S(", Drama / "), "lang", S("</p>]]></content:encoded></item><item><title>no link</title></item></channel></rss>"))
+    pages = t.documents.select(F.col("doc_id").alias("page_id"), S("https://example.org/feed").alias("url"), xml.alias("html"))
+    out = hydrate_feed(extract_feed(pages))
+    return out.select("page_id", "title", "slug", "content_format", shown("published_at").alias("published_at"), F.col("title_parts.entry_kind").alias("entry_kind"), joined("genres").alias("genres"), "cover_url",
+                      "original_title", F.md5(F.trim(F.regexp_replace("description", r"[\s\p{Z}]+", " "))).alias("body"))
+
+
+@query("flatten_links", """
+SELECT p_partkey, 'mp4' AS container, '720p' AS quality, 'h' || p_size AS host, 'https://a.example.org/' || p_partkey AS url FROM part
+UNION ALL SELECT p_partkey, 'mkv', 'unknown', 'h0', 'https://b.example.org/' || p_partkey FROM part WHERE p_size > 25
+""")
+def _flatten(t: Tables):
+    k = F.col("p_partkey").cast("string")
+    doc = F.concat(S('{"mp4":{"720p":{"h'), "p_size", S('":"https://a.example.org/'), k, S('","dead":""}}'), F.when(F.col("p_size") > 25, F.concat(S(',"mkv":{" ":{"h0":"https://b.example.org/'), k, S('"}}'))).otherwise(""), S("}"))
+    return P.flatten_links(t.part.select("p_partkey", doc.alias("links")), "links")
+
+
+_URLS = r"""list_distinct(list_transform(regexp_extract_all({x}, 'https?://[^\s"''<>]+'), lambda u: regexp_replace(u, '\\+$', '')))"""
+
+
+@query("url_inventory", "SELECT page_id, unnest(" + _URLS.format(x=r"html || ' ' || url || '\ ' || lower(url)") + ") AS url FROM pages")
+def _inventory(t: Tables):
+    df = t.pages.select("page_id", F.concat("html", S(" "), "url", S("\\ "), F.lower("url")).alias("body"))
+    return url_inventory(df, ["page_id"], "body").select("page_id", "url")
+
+
+def _audit(t: Tables):
+    section = F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1)
+    rows = t.pages.select(section.alias("source_type"), F.col("page_id").alias("slug"), F.concat("html", S(" "), "url", S(" http://mirror.example.org/"), "page_id").alias("text"))
+    known = t.pages.filter(F.col("url").startswith("https")).select("url").distinct().select(
+        "url", F.col("url").alias("final_url"), urls.host_norm("url").alias("final_host"), S(200).alias("status_code"), S("").alias("error"))
+    return link_audit(rows, known, [F.col("slug").desc()], 10, 50)
+
+
+_AUDIT_SQL = r"""WITH r AS (SELECT regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS source_type, page_id AS slug, """ + _URLS.format(x="html || ' ' || url || ' http://mirror.example.org/' || page_id") + r""" AS urls FROM pages),
+k AS (SELECT *, row_number() OVER (PARTITION BY source_type ORDER BY slug DESC) AS pr FROM r),
+x AS (SELECT source_type, slug, pr, unnest(list_sort(urls)) AS url, generate_subscripts(urls, 1) AS up FROM k WHERE pr <= 10),
+s AS (SELECT *, row_number() OVER (ORDER BY source_type, pr, up) AS rn FROM x),
+known AS (SELECT DISTINCT url, regexp_replace(regexp_extract(lower(url), '^https?://([^/?#:]*)', 1), '^www\.', '') AS final_host FROM pages WHERE url LIKE 'https%'),
+e AS (SELECT s.source_type, s.slug, s.url, known.final_host FROM s LEFT JOIN known ON known.url = s.url WHERE rn <= 50)
+"""
+
+
+@query("link_audit", _AUDIT_SQL + "SELECT source_type, slug, url, final_host FROM e")
+def _audit_entries(t: Tables):
+    return _audit(t)[0].select("source_type", "slug", "url", "final_host")
+
+
+@query("link_audit_hosts", _AUDIT_SQL + "SELECT source_type, coalesce(final_host, 'unresolved') AS host, count(*) AS n FROM e GROUP BY 1, 2")
+def _audit_hosts(t: Tables):
+    return _audit(t)[1]
+
+
+_FIRST_SQL = "WITH " + _NAV_SQL + """,
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY href ORDER BY page_id, pos) AS rn FROM nav WHERE href <> '') WHERE rn = 1)
+"""
+
+
+@query("keep_first_cards", _FIRST_SQL + "SELECT href, page_id, pos FROM f")
+def _first(t: Tables):
+    cards = P.extract_raw(t.pages, NAV_SPEC).select("page_id", "pos", F.col("fields")["href"].alias("href")).filter(F.col("href") != "")
+    return keep_first(cards, ["href"], [F.col("page_id"), F.col("pos")]).select("href", "page_id", F.col("pos").cast("bigint").alias("pos"))
+
+
+@query("crawl_ingest", r"""
+WITH """ + _NAV_SQL + r""",
+c AS (SELECT *, regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS source FROM nav WHERE href <> '' AND label <> ''),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, href ORDER BY page_id, pos) AS rn FROM c) WHERE rn = 1),
+a AS (SELECT source, page_id, count(*) AS n FROM f GROUP BY 1, 2),
+w AS (SELECT regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS source, page_id FROM pages),
+e AS (SELECT w.source, min(w.page_id) AS stop FROM w LEFT JOIN a ON a.source = w.source AND a.page_id = w.page_id WHERE a.n IS NULL GROUP BY 1)
+SELECT f.source, f.page_id AS page_number, f.pos, f.href FROM f LEFT JOIN e ON e.source = f.source WHERE stop IS NULL OR f.page_id < stop
+""")
+def _crawl(t: Tables):
+    pages = t.pages.select("page_id", "url", "html", F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1).alias("source"), F.col("page_id").alias("page_number"))
+    cards = P.extract_cards(pages, NAV_SPEC).join(pages.select("page_id", "source", "page_number"), "page_id")
+    return new_cards(cards, pages).select("source", "page_number", F.col("pos").cast("bigint").alias("pos"), "href")
+
+
+def _series(t: Tables):
+    p = t.part
+    details = p.select(F.when(F.col("p_type") == "PROMO", "Komiku").otherwise("kanzenin").alias("source"), F.col("p_partkey").cast("string").alias("slug"), F.col("p_name").alias("title"), S("").alias("cover_url"),
+                       S(" Ongoing").alias("status"), F.when(F.col("p_size") > 25, "Manga").otherwise("").alias("media_type"), (F.col("p_size") + 1780).cast("string").alias("released"), F.array(F.col("p_brand"), F.lower("p_brand"), S("Drama")).alias("genres"))
+    lines = t.lineitem.join(p.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
+    children = lines.select(F.when(F.col("p_type") == "PROMO", "Komiku").otherwise("kanzenin").alias("source"), F.col("l_partkey").cast("string").alias("series_slug"),
+                            F.concat(S("https://x.example.org/c/"), "l_orderkey", S("-"), "l_linenumber", S("/")).alias("href"), F.concat(S(" Chapter "), "l_linenumber").alias("label"),
+                            F.concat("l_linenumber", S(",5")).alias("number_text"), F.date_format("l_shipdate", "dd/MM/yyyy").alias("date_label"), F.col("l_linenumber").alias("pos"))
+    return ingest_series(details, children)
+
+
+_SRC = "CASE WHEN p_type = 'PROMO' THEN 'komiku' ELSE 'kanzenin' END"
+_KEY = f"{_SRC} || ':' || CASE WHEN p_size > 25 THEN 'manga' WHEN p_type = 'PROMO' THEN 'komiku' ELSE 'manhwa' END || ':' || p_partkey"
+
+
+@query("ingest_series", f"""
+SELECT {_KEY} AS item_key, 'ongoing' AS status, CAST(CASE WHEN p_size >= 20 THEN p_size + 1780 END AS BIGINT) AS release_year,
+  p_brand || '|Drama' || CASE WHEN p_type = 'PROMO' THEN '' ELSE '|nsfw' END AS genres FROM part
+""")
+def _series_items(t: Tables):
+    items, _ = _series(t)
+    return items.select("item_key", "status", F.col("release_year").cast("bigint").alias("release_year"), joined(F.from_json(F.get_json_object("detail", "$.genres"), "array<string>")).alias("genres"))
+
+
+@query("ingest_chapters", f"""
+SELECT {_SRC} || ':chapter:' || l_orderkey || '-' || l_linenumber AS unit_key, {_KEY} AS item_key, 'Chapter ' || l_linenumber AS label, l_linenumber + 0.5::DOUBLE AS number,
+  strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS published_at FROM lineitem JOIN part ON p_partkey = l_partkey
+""")
+def _series_units(t: Tables):
+    _, units = _series(t)
+    return units.select("unit_key", "item_key", "label", F.col("number").cast("double").alias("number"), shown("published_at").alias("published_at"))
