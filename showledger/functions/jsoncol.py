@@ -53,16 +53,24 @@ def as_map(c) -> Column:
     return F.coalesce(F.from_json(F.coalesce(col(c), F.lit("{}")), _MAP), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>")))
 
 
+def _put_all(base: Column, extra: Column) -> Column:
+    """`base` with the entries of `extra` over it. A fold: both maps are evaluated
+    once per row, and no session-wide rule for repeated keys is needed."""
+    return F.aggregate(
+        F.map_entries(extra), base,
+        lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, v: k != e["key"]), F.create_map(e["key"], e["value"])),
+    )
+
+
 def map_merge_right(a: Column, b: Column) -> Column:
-    """Shallow merge, right side wins, left key order kept for its own keys."""
-    return F.map_concat(F.map_filter(a, lambda k, v: ~F.map_contains_key(b, k)), b)
+    """Shallow merge, right side wins."""
+    return _put_all(a, b)
 
 
 def map_merge_left(a: Column, b: Column) -> Column:
     """Text maps: left side wins; blank keys and values are dropped from both."""
     clean = lambda m: F.map_filter(m, lambda k, v: (F.trim(k) != "") & (F.trim(F.coalesce(v, F.lit(""))) != ""))
-    left, right = clean(a), clean(b)
-    return F.map_concat(left, F.map_filter(right, lambda k, v: ~F.map_contains_key(left, k)))
+    return _put_all(clean(b), clean(a))
 
 
 def merge_shallow(old, new) -> Column:

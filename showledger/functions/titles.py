@@ -51,20 +51,47 @@ def title_jaccard(a, b, profile: str = "1") -> Column:
     return jaccard_from_sizes(F.size(F.array_intersect(left, right)), F.size(left), F.size(right))
 
 
-def shared_tokens(a: Column, b: Column) -> Column:
-    """Number of tokens of `a`, repeats counted, that occur in `b`."""
-    other = F.split(b, " ")
-    return F.size(F.filter(F.split(a, " "), lambda t: (t != "") & F.array_contains(other, t)))
+def query_parts(query, profile: str = "A") -> Column:
+    """What scoring needs of a query: the normalised text, its tokens, and the
+    further occurrences of tokens it repeats."""
+    def cut(text: Column) -> Column:
+        words = F.filter(F.split(text, " "), lambda t: t != "")
+        return F.struct(text.alias("text"), words.alias("words"))
 
+    def add_repeats(s: Column) -> Column:
+        again = F.filter(s["words"], lambda w, i: F.array_position(s["words"], w) <= i)
+        return F.struct(s["text"].alias("text"), s["words"].alias("words"), again.alias("repeats"))
 
-def candidate_score(target: Column, value: Column, profile: dict) -> Column:
+    # one-element lists bind an intermediate value, so it is computed once
+    text = normalize_title(query, rules.SCORE_PROFILES[profile]["pipe_is_space"])
+    return F.get(F.transform(F.transform(F.array(text), cut), add_repeats), 0)
+
+
+def title_parts(titles, profile: str = "A") -> Column:
+    """Non-blank normalised titles of a hit, each with its tokens."""
+    norm = lambda c: normalize_title(c, rules.SCORE_PROFILES[profile]["pipe_is_space"])
+    values = F.filter(F.transform(col(titles), norm), lambda v: v != "")
+    return F.transform(values, lambda v: F.struct(v.alias("text"), F.split(v, " ").alias("words")))
+
+
+def shared_tokens(query: Column, title: Column) -> Column:
+    """Number of query tokens, repeats counted, that occur in the title."""
+    repeats = F.when(F.size(query["repeats"]) == 0, 0).otherwise(
+        F.size(F.filter(query["repeats"], lambda w: F.array_contains(title["words"], w)))
+    )
+    return F.size(F.array_intersect(query["words"], title["words"])) + repeats
+
+
+def candidate_score(query: Column, title: Column, profile: dict) -> Column:
     """Score of one normalised candidate title against the normalised query."""
-    shared = shared_tokens(target, value)
+    target, value, shared = query["text"], title["text"], shared_tokens(query, title)
+    by_tokens = F.get(
+        F.transform(F.array(shared), lambda n: F.when(n >= profile["min_shared"], n + profile["shared_base"]).otherwise(0)), 0
+    )
     score = (
         F.when(value == target, profile["exact"])
         .when(value.contains(target) | target.contains(value), profile["contains"])
-        .when(shared >= profile["min_shared"], shared + profile["shared_base"])
-        .otherwise(0)
+        .otherwise(by_tokens)
     )
     if profile["season"]:
         same = F.lit(False)
@@ -74,26 +101,27 @@ def candidate_score(target: Column, value: Column, profile: dict) -> Column:
     return score
 
 
-def hit_score(query, titles, query_year, hit_year, profile: str = "A", require_title: bool = True) -> Column:
-    """Best score over a hit's titles plus the year bonus.
-
-    With `require_title` the year bonus needs a title score above 0; without it a
-    matching year alone scores, as the catalogs being migrated do.
-    """
+def prepared_score(query: Column, titles: Column, query_year, hit_year, profile: str = "A", require_title: bool = True) -> Column:
+    """`hit_score` over columns made by `query_parts` and `title_parts`."""
     rule = rules.SCORE_PROFILES[profile]
-    norm = lambda c: normalize_title(c, rule["pipe_is_space"])
-    target = norm(query)
-    values = F.filter(F.transform(col(titles), norm), lambda v: v != "")
-    best = F.array_max(F.transform(values, lambda v: candidate_score(target, v, rule)))
+    best = F.array_max(F.transform(titles, lambda t: candidate_score(query, t, rule)))
     qy, hy = F.coalesce(col(query_year), F.lit(0)), F.coalesce(col(hit_year), F.lit(0))
     bonus = (
         F.when((qy > 0) & (hy == qy), rule["year_same"])
         .when((qy > 0) & (hy > 0) & (F.abs(qy - hy) == 1), rule["year_near"])
         .otherwise(0)
     )
-    counted = (best > 0) if require_title else best.isNotNull()
-    total = F.when(counted, best + bonus).otherwise(F.lit(0))
-    return F.when(target == "", F.lit(0)).otherwise(total)
+    total = lambda s: F.when((s > 0) if require_title else s.isNotNull(), s + bonus).otherwise(F.lit(0))
+    return F.when(query["text"] == "", F.lit(0)).otherwise(F.get(F.transform(F.array(best), total), 0))
+
+
+def hit_score(query, titles, query_year, hit_year, profile: str = "A", require_title: bool = True) -> Column:
+    """Best score over a hit's titles plus the year bonus.
+
+    With `require_title` the year bonus needs a title score above 0; without it a
+    matching year alone scores, as the catalogs being migrated do.
+    """
+    return prepared_score(query_parts(query, profile), title_parts(titles, profile), query_year, hit_year, profile, require_title)
 
 
 def decompose_labeled(c, fmt=None) -> Column:

@@ -26,12 +26,12 @@ def url_path(c) -> Column:
 
 def slug_from_url(c) -> Column:
     """Last path segment; '' when the path is empty."""
-    return F.trim(F.regexp_extract(F.trim(url_path(c), F.lit("/")), r"([^/]*)$", 1))
+    return F.trim(F.substring_index(F.trim(url_path(c), F.lit("/")), "/", -1))
 
 
 def slug_from_text(c) -> Column:
     """String-only variant: text after the last inner slash, query text kept; NULL when blank."""
-    return F.nullif(F.regexp_extract(F.trim(_text(c), F.lit("/")), r"([^/]*)$", 1), F.lit(""))
+    return F.nullif(F.substring_index(F.trim(_text(c), F.lit("/")), "/", -1), F.lit(""))
 
 
 def domain(c) -> Column:

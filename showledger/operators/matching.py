@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import first_present
-from ..functions.titles import hit_score, jaccard_from_sizes, title_tokens
+from ..functions.titles import jaccard_from_sizes, prepared_score, query_parts, title_parts, title_tokens
 from .ranking import top_per_group
 
 
@@ -86,9 +86,11 @@ def score_hits(queries: DataFrame, hits: DataFrame, profile: str = "A", require_
     queries: query_id, query_pos, query, year; hits: query_id, query_pos, hit_pos,
     external_id, titles, year. Blank queries score 0.
     """
-    q = queries.select("query_id", "query_pos", "query", F.col("year").alias("query_year"))
-    score = hit_score("query", "titles", "query_year", "year", profile, require_title)
-    return hits.join(q, ["query_id", "query_pos"]).withColumn("score", score).drop("query_year")
+    # each text is normalised once, on its own side of the join
+    q = queries.select("query_id", "query_pos", "query", F.col("year").alias("query_year"), query_parts("query", profile).alias("_q"))
+    h = hits.withColumn("_t", title_parts("titles", profile))
+    score = prepared_score(F.col("_q"), F.col("_t"), "query_year", "year", profile, require_title)
+    return h.join(q, ["query_id", "query_pos"]).withColumn("score", score).drop("query_year", "_q", "_t")
 
 
 def pick_best(

@@ -66,7 +66,12 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def broadcast_limit(spark: SparkSession) -> int:
     """`spark.sql.autoBroadcastJoinThreshold` in bytes (-1 when disabled)."""
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip().lower()
+    return _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def _bytes(setting: str) -> int:
+    """A Spark size setting such as `10485760`, `10MB` or `-1` in bytes."""
+    raw = setting.strip().lower()
     units = {"kb": 1 << 10, "mb": 1 << 20, "gb": 1 << 30, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "b": 1}
     for suffix, factor in units.items():
         if raw.endswith(suffix):
@@ -77,3 +82,16 @@ def broadcast_limit(spark: SparkSession) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """True when the estimate of `df` is below the session's broadcast limit."""
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows over the cores before CPU-heavy work on an input with few splits.
+
+    A table of many splits is returned as it is, so nothing is shuffled at scale;
+    the case helped is a small file that one task would otherwise process alone.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))
+    few = 4 * (estimated_bytes(df) // split + 1) <= cores
+    return df.repartition(cores) if few else df

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import codes, dates, titles, urls
 from ..functions.arrays import compact_ci, split_values
 from ..functions.text import first_present, first_unlabeled, html_text, labeled_fields, unescape_html
+from ..session import spread
 
 
 def _unwrap(c: Column) -> Column:
@@ -31,7 +32,7 @@ def image_url(c: Column) -> Column:
 def extract_feed(pages: DataFrame, body: str = "html") -> DataFrame:
     """One row per feed item; items without link, slug or title are dropped."""
     blocks = F.regexp_extract_all(F.col(body), F.lit(r"(?is)<item\b[^>]*>(.*?)</item>"), F.lit(1))
-    items = pages.select("page_id", F.col("url").alias("feed_url"), F.posexplode(blocks).alias("pos", "block"))
+    items = spread(pages.select("page_id", "url", body)).select("page_id", F.col("url").alias("feed_url"), F.posexplode(blocks).alias("pos", "block"))
     block = F.col("block")
     rows = items.select(
         "page_id", "feed_url", "pos", _tag(block, "title").alias("title"), _tag(block, "link").alias("link"),

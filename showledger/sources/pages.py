@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..functions.numbers import card_score, card_views, chapter_number, episode_number
 from ..functions.text import contains_any, entries_last_wins, is_blank, normalize_space
+from ..session import spread
 
 _RAW = "page_id long, url string, pos int, fields map<string,string>, lists map<string,array<string>>"
 
@@ -76,7 +77,7 @@ def extract_raw(pages: DataFrame, spec: dict) -> DataFrame:
                     rows.append((page_id, url, pos, fields, lists))
             yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "fields", "lists"])
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, _RAW)
+    return spread(pages.select("page_id", "url", "html")).mapInPandas(run, _RAW)
 
 
 def _field(name: str):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showledger.session import configure
+from showledger.session import configure, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,11 @@ class Tables:
         return df.withColumns(zoneless) if zoneless else df
 
 
+    def heavy(self, name: str) -> DataFrame:
+        """A table about to get CPU-heavy per-row work (dealt out when it has few splits)."""
+        return spread(getattr(self, name))
+
+
 def at(stamp: str) -> Column:
     return F.to_timestamp(F.lit(stamp))
 

@@ -19,7 +19,7 @@ SELECT page_id, regexp_extract(trim(path, '/'), '([^/]*)$', 1) AS slug, regexp_r
   regexp_extract(trim(url, '/'), '([^/]*)$', 1) AS text_slug, regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/next/' || page_id AS resolved FROM p
 """)
 def _urls(t: Tables):
-    return t.pages.select(
+    return t.heavy("pages").select(
         "page_id", urls.slug_from_url("url").alias("slug"), urls.host_norm("url").alias("host"), urls.domain("url").alias("domain"),
         urls.strip_url_path("url").alias("stripped"), urls.slug_from_text("url").alias("text_slug"),
         urls.resolve_url("url", F.concat(S("/next/"), "page_id")).alias("resolved"))
@@ -34,7 +34,7 @@ def _youtube(t: Tables):
     p = F.col("o_orderpriority")
     url = (F.when(p == "1-URGENT", F.concat(S("https://youtu.be/key_"), key, S("?t=1"))).when(p == "2-HIGH", F.concat(S("https://www.youtube.com/watch?a=b&v=k-"), key))
            .when(p == "3-MEDIUM", F.concat(S("https://www.youtube.com/embed/emb"), key, S("?x"))).when(p == "4-NOT SPECIFIED", "https://youtu.be/abc").otherwise(key))
-    return t.orders.select("o_orderkey", urls.youtube_id(url).alias("id"))
+    return t.heavy("orders").select("o_orderkey", urls.youtube_id(url).alias("id"))
 
 
 @query("number_functions", """
@@ -48,7 +48,7 @@ SELECT p_partkey, CAST(CASE WHEN p_size > 25 THEN p_size END AS BIGINT) AS si, C
 def _numbers(t: Tables):
     n = F.col("p_size")
     s = n.cast("string")
-    return t.part.select(
+    return t.heavy("part").select(
         "p_partkey", numbers.parse_smallint(F.when(n > 25, F.concat(S(" "), s)).otherwise("12x")).cast("bigint").alias("si"),
         numbers.parse_real(F.when(n > 25, "1.").otherwise(F.col("p_retailprice").cast("string"))).alias("re"),
         numbers.parse_duration_minutes(F.when(n <= 10, F.concat(s, S(" min"))).when(n <= 40, F.concat(S("1h "), s, S("m per ep"))).otherwise("unknown")).cast("bigint").alias("minutes"),
@@ -75,7 +75,7 @@ def _dates(t: Tables):
            .when(F.col("o_orderstatus") == "F", "3 jam lalu").otherwise(F.date_format(d, "dd MMM yyyy")))
     feed = F.when(p < "3", F.concat(F.date_format(d, "EEE, dd MMM yyyy"), S(" 17:30:00 +0700"))).otherwise(F.concat(F.date_format(d, "EEE, dd MMM yyyy"), S(" 10:30:00 GMT")))
     blob = F.concat(S('{"img":"/cover/'), F.date_format(d, "yyyy-MM-dd"), S('.jpg"}'))
-    return t.orders.select("o_orderkey", shown(dates.parse_localized_date(raw)).alias("parsed"), shown(dates.parse_feed_date(feed)).alias("feed"),
+    return t.heavy("orders").select("o_orderkey", shown(dates.parse_localized_date(raw)).alias("parsed"), shown(dates.parse_feed_date(feed)).alias("feed"),
                            shown(dates.embedded_date(blob)).alias("embedded"), dates.iso_z("o_orderdate").alias("iso"))
 
 
@@ -87,7 +87,7 @@ def _published(t: Tables):
     day = F.date_format(d, "yyyy-MM-dd")
     detail = (F.when(p == "1-URGENT", F.concat(S('{"source_meta_json":{"published_at":"'), day, S('T12:00:00+07:00"}}')))
               .when(p == "2-HIGH", F.concat(S('{"img":"x '), day, S(' y"}'))).otherwise("{}"))
-    df = t.orders.select("o_orderkey", F.when(p == "3-MEDIUM", d).alias("published_at"), F.when(p == "4-NOT SPECIFIED", F.date_format(d, "d MMMM yyyy")).otherwise("").alias("label"), detail.alias("detail"))
+    df = t.heavy("orders").select("o_orderkey", F.when(p == "3-MEDIUM", d).alias("published_at"), F.when(p == "4-NOT SPECIFIED", F.date_format(d, "d MMMM yyyy")).otherwise("").alias("label"), detail.alias("detail"))
     return fill_published_at(df).select("o_orderkey", shown("published_at").alias("published_at"))
 
 
@@ -112,7 +112,7 @@ def _codes(t: Tables):
     code = codes.encode("anime_type", kind)
     download = codes.download_status_code(
         by("", "", "http_block", "fetched", " "), S(""), by('{"resolved_count":2}', '{"resolved_count":0,"links":["a"]}', '{"links":[]}', "{}", "{}"))
-    return t.part.select(
+    return t.heavy("part").select(
         "p_partkey", code.alias("type_code"), codes.encode("anime_status", by("Currently Airing", "Completed", "An Upcoming show", "", "?")).alias("status_code"),
         codes.decode("anime_type", code).alias("type_label"), codes.encode("movie_quality", by("BluRay 1080p", "WEB-DL", "720p", "480p", "cam")).alias("quality_code"),
         codes.encode("option_status", by("Ready", "geo-blocked", "link dead", "", "new")).alias("option_code"),
@@ -134,7 +134,7 @@ SELECT doc_id, md5(ns) AS spaced, trim(regexp_replace(replace(lower(trim(text)),
   len(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> ''))) AS tokens FROM d
 """)
 def _text(t: Tables):
-    return t.documents.select("doc_id", F.md5(text.normalize_space("text")).alias("spaced"), text.slugify("text").alias("slug"),
+    return t.heavy("documents").select("doc_id", F.md5(text.normalize_space("text")).alias("spaced"), text.slugify("text").alias("slug"),
                               text.truncate_excerpt("text", 160).alias("excerpt"), F.size(text.tokens("text")).cast("bigint").alias("tokens"))
 
 
@@ -146,7 +146,7 @@ SELECT page_id, md5(trim(regexp_replace(""" + _AMP.format(x=r"""regexp_replace(r
   '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g')""") + r""", '[\s\p{Z}]+', ' ', 'g'))) AS body FROM pages
 """)
 def _html_text(t: Tables):
-    return t.pages.select("page_id", F.md5(text.html_text("html")).alias("body"))
+    return t.heavy("pages").select("page_id", F.md5(text.html_text("html")).alias("body"))
 
 
 @query("labeled_fields", """
@@ -156,7 +156,7 @@ SELECT o_orderkey, o_orderpriority AS originaltitle, o_orderstatus || ', x/y' AS
 def _labeled(t: Tables):
     html = F.concat(S("<p>Original Title : old</p><p><b>Original Title</b>: "), "o_orderpriority", S("<br/>Genres:"), "o_orderstatus", S(", x/y<BR>short<br>A plain line of order "),
                     F.col("o_orderkey") + 1000, S("</div>Size: "), F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_custkey").cast("string")), S("</li>"))
-    df = t.orders.select("o_orderkey", text.labeled_fields(html).alias("m"), text.first_unlabeled(html).alias("excerpt"))
+    df = t.heavy("orders").select("o_orderkey", text.labeled_fields(html).alias("m"), text.first_unlabeled(html).alias("excerpt"))
     return df.select("o_orderkey", *[F.try_element_at("m", S(k)).alias(k) for k in ("originaltitle", "genres", "size")], "excerpt",
                      joined(arrays.compact_ci(arrays.split_values(F.col("m")["genres"], "[,/|]"))).alias("genre_list"))
 
@@ -167,7 +167,7 @@ SELECT p_partkey, array_to_string(list_sort(list_distinct([trim(p_name), p_type,
 """)
 def _arrays(t: Tables):
     a = F.array(F.col("p_name"), F.concat(S(" "), F.col("p_type"), S(" ")), S(" "))
-    return t.part.select(
+    return t.heavy("part").select(
         "p_partkey", joined(arrays.distinct_trimmed_sorted(F.concat(a, F.array("p_brand", "p_type")))).alias("sorted"),
         joined(arrays.union_ordered(a, F.array("p_type", "p_brand"))).alias("ordered"),
         joined(arrays.compact_ci(F.array(F.upper("p_name")), F.array(F.col("p_name"), F.col("p_type"), S("")))).alias("ci"),
@@ -183,7 +183,7 @@ SELECT p_partkey, nullif(CASE WHEN p_size > 20 THEN p_name ELSE '' END, '') AS t
 """)
 def _payload(t: Tables):
     key = F.col("p_partkey").cast("string")
-    p = t.part.withColumns({
+    p = t.heavy("part").withColumns({
         "crew": F.array(*[F.struct(n.alias("name"), S(j).alias("job")) for n, j in ((F.col("p_name"), "Director"), (S("nobody"), "Editor"), (F.col("p_brand"), "director"), (F.col("p_name"), "Director"))]),
         "cast": F.array(*[F.struct(n.alias("name"), S(c).alias("character")) for n, c in ((F.col("p_name"), "lead"), (S(" "), "x"), (F.col("p_type"), ""))]),
         "videos": F.array(*[F.struct(S(s).alias("site"), k.alias("key"), S(y).alias("type"), o.alias("official")) for s, k, y, o in (
@@ -212,7 +212,7 @@ SELECT o_orderkey, CASE WHEN p = 'fetched' AND s = 'not_attempted' THEN 'primary
 """)
 def _outcomes(t: Tables):
     st, pr = F.col("o_orderstatus"), F.col("o_orderpriority")
-    df = t.orders.select(
+    df = t.heavy("orders").select(
         "o_orderkey", F.when(st == "F", "fetched").when(st == "O", "challenge_blocked").otherwise("fetch_failed").alias("p"),
         F.when(pr == "1-URGENT", "fetched").when(pr == "2-HIGH", "fetch_failed").when(pr == "3-MEDIUM", "empty").otherwise("not_attempted").alias("s"))
     attempt = lambda c, host: F.struct(S(f"https://{host}/").alias("url"), S(host).alias("domain"), F.col(c).alias("status"))
@@ -230,7 +230,7 @@ def _titles(t: Tables):
     n = F.col("p_name")
     raw = F.concat(n, F.when(F.col("p_size") > 25, " Sub Indo (Episode 1-12) | Otaku Desu").otherwise("  X Subtitle Indonesia"))
     meta = text.split_meta_line(F.concat("p_type", S(" •  "), n, S("  Status: "), "p_brand"))
-    return t.part.select(
+    return t.heavy("part").select(
         "p_partkey", titles.clean_title(raw).alias("cleaned"), titles.parent_title(n, F.concat(S("https://x.example.org/a/"), F.replace(n, S(" "), S("-")), S("/"))).alias("from_url"),
         titles.parent_title(F.concat(n, S(" Episode 3")), S("")).alias("before_episode"),
         titles.child_slug(F.concat(S("it-"), "p_partkey"), F.concat(F.col("p_size"), S(".5"))).alias("child_slug"), titles.child_title(n, F.col("p_size").cast("string")).alias("child_title"),
@@ -251,7 +251,7 @@ def _decompose(t: Tables):
     body = (F.when(p == "1-URGENT", F.concat(S("Preview Episode "), n)).when(p == "2-HIGH", "Best  compilation").when(p == "3-MEDIUM", F.concat(S("Show &amp; Tell EPISODE "), n))
             .when(p == "4-NOT SPECIFIED", F.concat(S("Show Part "), n)).otherwise("Alone"))
     fmt = F.when(F.col("o_orderstatus") == "P", "live_action").otherwise("animation_2d")
-    df = t.orders.select("o_orderkey", titles.decompose_labeled(F.concat(S(" ["), F.lower("o_orderstatus"), S("] [HD][hd] "), body), fmt).alias("d"))
+    df = t.heavy("orders").select("o_orderkey", titles.decompose_labeled(F.concat(S(" ["), F.lower("o_orderstatus"), S("] [HD][hd] "), body), fmt).alias("d"))
     return df.select("o_orderkey", joined("d.labels").alias("labels"), F.col("d.entry_kind").alias("kind"), F.col("d.episode_number").cast("bigint").alias("episode"),
                      F.col("d.part_number").cast("bigint").alias("part"), F.col("d.series_candidate").alias("candidate"))
 
@@ -261,7 +261,7 @@ SELECT doc_id, md5(array_to_string(list_filter(list_transform(string_split(text,
   lambda x: x <> '' AND NOT starts_with(lower(x), 'the ') AND NOT starts_with(lower(x), 'de ')), chr(10) || chr(10))) AS body FROM documents
 """)
 def _paragraphs(t: Tables):
-    return t.documents.select("doc_id", F.md5(text.keep_paragraphs(F.split("text", "\n"), ["the ", "de "])).alias("body"))
+    return t.heavy("documents").select("doc_id", F.md5(text.keep_paragraphs(F.split("text", "\n"), ["the ", "de "])).alias("body"))
 
 
 @query("sql_functions", r"""

@@ -57,7 +57,7 @@ scored AS (SELECT *, CASE WHEN ts > 0 THEN ts + CASE WHEN yr = 2003 THEN 20 WHEN
 
 
 def _turns(t: Tables):
-    c = t.conversations
+    c = t.heavy("conversations")
     queries = c.select(F.col("conv_id").alias("query_id"), F.col("turn").alias("query_pos"), F.col("text").alias("query"), S(2003).alias("year"))
     answers = c.select(F.col("conv_id").alias("query_id"), "turn", F.array("text").alias("titles"), (F.col("turn") + 2000).cast("int").alias("year"))
     hits = answers.select(

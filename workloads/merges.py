@@ -334,7 +334,7 @@ SELECT event_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'vie
 def _shallow(t: Tables):
     kind = F.col("event_type")
     new = F.concat(S('{"t":"'), kind, S('"'), F.when(kind == "error", ',"k":null').when(kind == "view", ',"k":-1').otherwise(""), S("}"))
-    old = t.events.withColumn("detail", jsoncol.merge_shallow("props", F.concat(S('{"u":'), F.col("user_id").cast("string"), S("}"))))
+    old = t.heavy("events").withColumn("detail", jsoncol.merge_shallow("props", F.concat(S('{"u":'), F.col("user_id").cast("string"), S("}"))))
     out = old.withColumn("detail", jsoncol.merge_shallow("detail", new))
     return out.select("event_id", js("detail", "k").alias("k"), js("detail", "t").alias("t"), js("detail", "u").alias("u"))
 
@@ -344,7 +344,7 @@ SELECT event_id, json_extract_string(props, '$.k') AS k, CASE WHEN event_type =
        CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS p2, 'side' AS sibling FROM events
 """)
 def _subdoc(t: Tables):
-    base = t.events.withColumn("detail", jsoncol.merge_shallow("props", S('{"sources":{"p1":{"v":"old"},"s":"side"}}')))
+    base = t.heavy("events").withColumn("detail", jsoncol.merge_shallow("props", S('{"sources":{"p1":{"v":"old"},"s":"side"}}')))
     payload = F.concat(S('{"v":"'), "event_type", S('"}'))
     one = base.withColumn("d1", jsoncol.merge_subdoc("detail", "sources", "p1", payload)).withColumn("d2", jsoncol.merge_subdoc("detail", "sources", "p2", payload))
     d = F.when(F.col("event_type") == "view", F.col("d1")).otherwise(F.col("d2"))

@@ -106,7 +106,7 @@ def _feed(t: Tables):
         S("<rss><channel><title>all</title><item><title><![CDATA[[PV] Show "), "lang", S(" Episode "), k, S("]]></title><link>https://example.org/a/show-"), k, S("/</link><pubDate>Sun, 01 Mar 2026 12:30:00 "), zone,
         S("</pubDate><category>L2D</category><category>l2d</category><description>"), safe, S("</description><content:encoded><![CDATA[<img src=\"https://img.example.org/"), k,
         S(".jpg\"><p>Original Title: Original "), "source", S("</p><p>Genre : "), "lang", S(", Drama / "), "lang", S("</p>]]></content:encoded></item><item><title>no link</title></item></channel></rss>"))
-    pages = t.documents.select(F.col("doc_id").alias("page_id"), S("https://example.org/feed").alias("url"), xml.alias("html"))
+    pages = t.heavy("documents").select(F.col("doc_id").alias("page_id"), S("https://example.org/feed").alias("url"), xml.alias("html"))
     out = hydrate_feed(extract_feed(pages))
     return out.select("page_id", "title", "slug", "content_format", shown("published_at").alias("published_at"), F.col("title_parts.entry_kind").alias("entry_kind"), joined("genres").alias("genres"), "cover_url",
                       "original_title", F.md5(F.trim(F.regexp_replace("description", r"[\s\p{Z}]+", " "))).alias("body"))
@@ -188,7 +188,7 @@ def _series(t: Tables):
     p = t.part
     details = p.select(F.when(F.col("p_type") == "PROMO", "Komiku").otherwise("kanzenin").alias("source"), F.col("p_partkey").cast("string").alias("slug"), F.col("p_name").alias("title"), S("").alias("cover_url"),
                        S(" Ongoing").alias("status"), F.when(F.col("p_size") > 25, "Manga").otherwise("").alias("media_type"), (F.col("p_size") + 1780).cast("string").alias("released"), F.array(F.col("p_brand"), F.lower("p_brand"), S("Drama")).alias("genres"))
-    lines = t.lineitem.join(p.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
+    lines = t.heavy("lineitem").join(p.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
     children = lines.select(F.when(F.col("p_type") == "PROMO", "Komiku").otherwise("kanzenin").alias("source"), F.col("l_partkey").cast("string").alias("series_slug"),
                             F.concat(S("https://x.example.org/c/"), "l_orderkey", S("-"), "l_linenumber", S("/")).alias("href"), F.concat(S(" Chapter "), "l_linenumber").alias("label"),
                             F.concat("l_linenumber", S(",5")).alias("number_text"), F.date_format("l_shipdate", "dd/MM/yyyy").alias("date_label"), F.col("l_linenumber").alias("pos"))
