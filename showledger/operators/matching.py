@@ -24,10 +24,12 @@ def match_titles(
     Adds right_id, right_title and match_score (NULL without a match). Equal
     scores keep the candidate that comes first in `right_order`.
 
-    Exact and never a cross join: titles with equal token sets are handled once;
-    a pair can only reach `min_score` when the two sets share one of their rarest
-    tokens (prefix filter: a set of n tokens gives n - ceil(min_score * n) + 1 of
-    them) and have compatible sizes, so only such pairs are formed.
+    Exact and never a cross join. Titles with equal token sets are handled once,
+    and a left set found among the right sets is done (no other score reaches 1).
+    The remaining pairs are formed by prefix filtering: with tokens ordered from
+    rare to frequent, a pair reaching Jaccard t shares a token among the first
+    n - ceil(t n) + 1 of its larger set and the first n - ceil(2t/(1+t) n) + 1 of
+    its smaller set. Sizes too far apart never meet either.
     """
     threshold = rules.MIN_MATCH[profile] if min_score is None else min_score
     if threshold <= 0:
@@ -40,44 +42,59 @@ def match_titles(
         F.col(right_title).alias("_rtitle"), title_tokens(right_title, profile).alias("_toks"),
     ).withColumn("_sig", _signature(F.col("_toks")))
 
-    lsets = mine.filter(F.size("_toks") > 0).select("_sig").distinct()
-    rsets = theirs.filter(F.size("_toks") > 0).groupBy("_sig").agg(
+    lsets = mine.filter(F.col("_sig") != "").select("_sig").distinct()
+    rsets = theirs.filter(F.col("_sig") != "").groupBy("_sig").agg(
         F.min(F.struct("_ord", "_rid", "_rtitle")).alias("_first")
     )
+    equal = lsets.join(rsets, "_sig").select("_sig", F.lit(1.0).alias("_score"), "_first")
+    best = equal
+    if threshold < 1:
+        open_sets = lsets.join(rsets.select("_sig"), "_sig", "left_anti")
+        scored = _similar_sets(open_sets, rsets.select("_sig"), threshold)
+        named = scored.join(rsets.withColumnRenamed("_sig", "r_sig"), "r_sig").select(F.col("l_sig").alias("_sig"), "_score", "_first")
+        near = top_per_group(named, ["_sig"], [F.col("_score").desc(), F.col("_first._ord").asc()])
+        best = equal.unionByName(near)
+    out = mine.join(best, "_sig", "left")
+    return out.select(
+        *[mine[c] for c in left.columns], F.col("_first._rid").alias(right_id), F.col("_first._rtitle").alias(right_title),
+        F.col("_score").alias("match_score"),
+    )
 
+
+def _similar_sets(lsets: DataFrame, rsets: DataFrame, threshold: float) -> DataFrame:
+    """(l_sig, r_sig, _score) of every pair of token sets scoring at least `threshold`."""
     exploded = lambda d: d.select("_sig", F.explode(F.split("_sig", " ")).alias("_tok"))
     weights = exploded(lsets).select("_tok").unionByName(exploded(rsets).select("_tok")).groupBy("_tok").agg(
         F.count("*").alias("_df")
     )
 
-    def prefixes(sets: DataFrame, tag: str) -> DataFrame:
+    def prefixes(sets: DataFrame, tag: str, larger_when: bool) -> DataFrame:
+        """One row per prefix token, for the set as the pair's larger and as its smaller one."""
         ranked = exploded(sets).join(weights, "_tok").groupBy("_sig").agg(
             F.sort_array(F.collect_list(F.struct("_df", "_tok"))).alias("_ranked")
         )
+        toks = F.transform("_ranked", lambda x: x["_tok"])
         n = F.size("_ranked")
-        length = n - F.ceil(n * F.lit(threshold) - F.lit(1e-9)).cast("int") + 1
-        listed = F.transform("_ranked", lambda x: x["_tok"])
-        return ranked.select(
-            F.col("_sig").alias(tag + "sig"), listed.alias(tag + "toks"), n.alias(tag + "n"),
-            F.slice(listed, 1, length).alias(tag + "prefix"),
-        ).withColumn("_tok", F.explode(tag + "prefix"))
-
-    lp, rp = prefixes(lsets, "l_"), prefixes(rsets.select("_sig"), "r_")
+        first = lambda share: F.slice(toks, 1, n - F.ceil(n * F.lit(share) - F.lit(1e-9)).cast("int") + 1)
+        roles = F.array(
+            F.struct(F.lit(larger_when).alias("left_larger"), first(threshold).alias("prefix")),
+            F.struct(F.lit(not larger_when).alias("left_larger"), first(2 * threshold / (1 + threshold)).alias("prefix")),
+        )
+        return (
+            ranked.select(F.col("_sig").alias(tag + "sig"), toks.alias(tag + "toks"), n.alias(tag + "n"), F.explode(roles).alias("_role"))
+            .select(tag + "sig", tag + "toks", tag + "n", F.col("_role.left_larger").alias("left_larger"), F.col("_role.prefix").alias(tag + "prefix"))
+            .withColumn("_tok", F.explode(tag + "prefix"))
+        )
+
+    lp, rp = prefixes(lsets, "l_", True), prefixes(rsets, "r_", False)
+    right_role = F.col("left_larger") == (F.col("l_n") >= F.col("r_n"))
     reachable = jaccard_from_sizes(F.least("l_n", "r_n"), F.col("l_n"), F.col("r_n")) >= threshold - 1e-9
-    pairs = lp.join(rp, "_tok").filter(reachable)
+    pairs = lp.join(rp, ["_tok", "left_larger"]).filter(right_role & reachable)
     # a pair meets once per shared prefix token: score it at the first one only
     pairs = pairs.filter(F.get(F.array_intersect("l_prefix", "r_prefix"), 0) == F.col("_tok"))
     shared = F.size(F.array_intersect("l_toks", "r_toks"))
-    scored = pairs.select(
-        "l_sig", "r_sig", jaccard_from_sizes(shared, F.col("l_n"), F.col("r_n")).alias("_score")
-    ).filter(F.col("_score") >= threshold)
-    named = scored.join(rsets, scored.r_sig == rsets._sig).select("l_sig", "_score", "_first")
-    best = top_per_group(named, ["l_sig"], [F.col("_score").desc(), F.col("_first._ord").asc()])
-    out = mine.join(best, mine._sig == best.l_sig, "left")
-    return out.select(
-        *left.columns, F.col("_first._rid").alias(right_id), F.col("_first._rtitle").alias(right_title),
-        F.col("_score").alias("match_score"),
-    )
+    score = jaccard_from_sizes(shared, F.col("l_n"), F.col("r_n"))
+    return pairs.select("l_sig", "r_sig", score.alias("_score")).filter(F.col("_score") >= threshold)
 
 
 def score_hits(queries: DataFrame, hits: DataFrame, profile: str = "A", require_title: bool = True) -> DataFrame:

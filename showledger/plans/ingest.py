@@ -27,7 +27,9 @@ def new_cards(cards: DataFrame, pages: DataFrame, crawl: str = "source") -> Data
     added = first.groupBy(crawl, "page_number").agg(F.count("*").alias("_added"))
     walked = pages.select(crawl, "page_number").distinct().join(added, [crawl, "page_number"], "left")
     ends = walked.filter(F.col("_added").isNull()).groupBy(crawl).agg(F.min("page_number").alias("_end"))
-    return first.join(ends, crawl, "left").filter(F.col("_end").isNull() | (F.col("page_number") < F.col("_end"))).drop("_end")
+    # decided per page, so that cards join on (crawl, page) rather than on the crawl alone
+    counted = walked.join(ends, crawl, "left").filter(F.col("_end").isNull() | (F.col("page_number") < F.col("_end")))
+    return first.join(counted.select(crawl, "page_number"), [crawl, "page_number"], "left_semi")
 
 
 def ingest_catalog(pages: DataFrame, spec: dict = CARD_SPEC) -> DataFrame:

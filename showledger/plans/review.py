@@ -9,7 +9,7 @@ from .. import rules
 from ..functions.text import first_present
 from ..functions.titles import title_jaccard
 from ..operators.matching import match_titles
-from ..operators.ranking import numeric_sort_keys, top_per_group
+from ..operators.ranking import cap_children, numeric_sort_keys, top_per_group
 
 
 def _verdict(df: DataFrame, threshold: float) -> DataFrame:
@@ -51,16 +51,21 @@ def review_hits(own: DataFrame, hits: DataFrame, key: str, profile: str = "1", m
     return judged.withColumns({"hit_title": F.when(ok, F.col("hit_title")), "hit_url": F.when(ok, F.col("hit_url"))})
 
 
-def review_children(verdicts: DataFrame, children: DataFrame, parent: str, number: str, fields: list[str], cap: int = 0) -> DataFrame:
+def review_rows(verdicts: DataFrame, children: DataFrame, parent: str) -> DataFrame:
+    """Flat report: one row per child, a verdict-only row for a parent without any."""
+    return verdicts.join(children, parent, "left")
+
+
+def review_children(verdicts: DataFrame, children: DataFrame, parent: str, number: str, fields: list[str], cap: int) -> DataFrame:
     """Verdicts with an ordered `children` array (numbers by value, then other text).
 
-    With cap > 0 only the first `cap` listed children of a parent are kept; the
-    array of one parent is bounded by its page's own list.
+    Nested output needs `cap`, the report's own limit of children per parent, so
+    that no array grows with the data; `review_rows` has no limit.
     """
-    from ..operators.ranking import cap_children
-
+    if cap <= 0:
+        raise ValueError("nested children need a cap; use review_rows for all of them")
     kept = cap_children(children, [parent], [F.col("pos")], cap)
-    keys = numeric_sort_keys(number)
-    listed = F.sort_array(F.collect_list(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)], F.col("pos"), F.struct(*fields).alias("child"))))
+    keys = [k.alias(f"k{i}") for i, k in enumerate(numeric_sort_keys(number))]
+    listed = F.sort_array(F.collect_list(F.struct(*keys, F.col("pos"), F.struct(*fields).alias("child"))))
     lists = kept.groupBy(parent).agg(F.transform(listed, lambda x: x["child"]).alias("children"))
     return verdicts.join(lists, parent, "left")

@@ -101,7 +101,7 @@ def _review(t: Tables) -> DataFrame:
     own_children = t.pages.select("page_id", F.posexplode(F.regexp_extract_all("html", S("<p>([^<]*)</p>"), S(1))).alias("at", "text")).select(
         "page_id", F.concat(S(" "), F.col("at") + 1, S(" ")).alias("own_number"), F.concat(S("par-"), F.col("at") + 1).alias("own_slug"))
     kids = X.reconcile_children(ext_children, own_children, "page_id", "number", "own_number", ["own_slug"], [F.col("pos")], cap=5)
-    return review_children(verdicts, kids, "page_id", "number", ["number", "href", "own_slug"])
+    return review_children(verdicts, kids, "page_id", "number", ["number", "href", "own_slug"], cap=5)
 
 
 _REVIEW_SQL = "WITH " + _MATCH_SQL.replace("{min}", "0.55") + r""",
