@@ -122,6 +122,12 @@ def entries_last_wins(pairs: Column) -> Column:
     )
 
 
+def labeled_value(html, label: str) -> Column:
+    """Text after the first `label:` up to the next tag or line end; '' when absent."""
+    found = F.regexp_extract(unescape_html(F.coalesce(col(html), F.lit(""))), re.escape(label) + r":\s*([^<\n]+)", 1)
+    return normalize_space(found)
+
+
 def first_unlabeled(c, min_chars: int = 24) -> Column:
     """First line that is not `label: value` and has at least `min_chars` characters."""
     found = F.filter(label_pairs(c), lambda p: ~is_labeled(p) & (F.length(p["line"]) >= min_chars))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.text import first_present
 from ..functions.titles import jaccard_from_sizes, prepared_score, query_parts, title_parts, title_tokens
-from .ranking import top_per_group
+from .ranking import cap_children, top_per_group
 
 
 def _signature(tokens: Column) -> Column:
@@ -156,10 +156,8 @@ def reconcile_children(ext: DataFrame, own: DataFrame, parent: str, ext_number:
     """External children with the own child of the same (parent, trimmed number).
 
     External rows without an own child stay; own numbers repeated under a parent
-    count once (the last by number of own columns order); blank numbers never match.
+    count once (the greatest row); blank numbers never match.
     """
-    from .ranking import cap_children
-
     kept = cap_children(ext, [parent], ext_order, cap)
     key = F.nullif(F.trim(F.col(own_number)), F.lit(""))
     last = own.select(parent, key.alias("_num"), F.struct(*own_columns).alias("_own")).filter(F.col("_num").isNotNull())

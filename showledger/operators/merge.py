@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import jsoncol
-from ..functions.arrays import merge_codes
+from ..functions.arrays import merge_codes, union_ordered
 from ..functions.codes import lookup
-from ..functions.text import is_blank
+from ..functions.keys import item_key
+from ..functions.text import first_present, is_blank
+from ..functions.urls import domain
 from ..session import fits_broadcast
 from .ranking import dense_index, keep_first
 
@@ -342,7 +344,7 @@ def rekey_items(items: DataFrame, units: DataFrame, rule: Column, new_type: str,
     is repointed and carries the parent slug. Returns (items, units, mapping).
     """
     named = items.filter(rule).select(
-        F.col("item_key").alias("old_key"), F.concat_ws(":", "source", F.lit(new_type), "slug").alias("new_key"), "slug",
+        F.col("item_key").alias("old_key"), item_key("source", F.lit(new_type), "slug").alias("new_key"), "slug",
     )
     children = units.groupBy("item_key").agg(F.count("*").alias("children"))
     mapping = (
@@ -395,9 +397,6 @@ def supplement(base: DataFrame, sources: list[DataFrame], key: str, scalars: lis
     Scalars take the first non-blank value, base first; `overriding` scalars take
     the strongest source first. Lists become ordered unions.
     """
-    from ..functions.arrays import union_ordered
-    from ..functions.text import first_present
-
     out = base
     for n, src in enumerate(sources):
         have = [c for c in scalars + list(lists) if c in src.columns]
@@ -414,8 +413,6 @@ def supplement(base: DataFrame, sources: list[DataFrame], key: str, scalars: lis
 
 def refill(base: DataFrame, extra: DataFrame, key: str, columns: list[str], policy: str = "fill") -> DataFrame:
     """`fill`: extra only where base is blank; `overwrite`: extra wherever it has a value."""
-    from ..functions.text import first_present
-
     joined = base.join(extra.select(key, *[F.col(c).alias("_x_" + c) for c in columns]), key, "left")
     pair = lambda c: (F.col(c), F.col("_x_" + c)) if policy == "fill" else (F.col("_x_" + c), F.col(c))
     return joined.withColumns({c: first_present(*pair(c)) for c in columns}).select(*base.columns)
@@ -424,7 +421,7 @@ def refill(base: DataFrame, extra: DataFrame, key: str, columns: list[str], poli
 def resolve_parent_keys(units: DataFrame, items: DataFrame, parent_slug: str, default_type: str = rules.EPISODE_ITEM_TYPE) -> DataFrame:
     """item_key of the newest item with the unit's (source, parent slug), else the default key."""
     newest = items.groupBy("source", F.col("slug").alias(parent_slug)).agg(F.max_by("item_key", F.struct("updated_at", "item_key")).alias("_key"))
-    default = F.concat_ws(":", F.lower(F.trim("source")), F.lit(default_type), F.trim(parent_slug))
+    default = item_key("source", F.lit(default_type), parent_slug)
     return units.drop("item_key").join(newest, ["source", parent_slug], "left").withColumn("item_key", F.coalesce("_key", default)).drop("_key")
 
 
@@ -434,9 +431,6 @@ def repair_provenance(df: DataFrame, primary_prefix: str) -> DataFrame:
     Rows whose canonical address is not under `primary_prefix` were read from a
     secondary page. A primary equal to its secondary is primary only.
     """
-    from ..functions.text import first_present
-    from ..functions.urls import domain
-
     prefix = primary_prefix.rstrip("/") + "/"
     own = F.col("canonical_url").startswith(prefix)
     home = F.concat(F.lit(prefix), F.trim(F.col("slug"), F.lit("/")), F.lit("/"))

@@ -9,6 +9,7 @@ from .. import rules
 from ..functions import codes, urls
 from ..functions.arrays import compact_ci
 from ..functions.dates import parse_localized_date
+from ..functions.keys import item_key, unit_key
 from ..functions.numbers import bounded_year, sequence_index
 from ..functions.text import first_present
 from ..operators.ranking import keep_first
@@ -42,7 +43,7 @@ def ingest_catalog(pages: DataFrame, spec: dict = CARD_SPEC) -> DataFrame:
         "views", F.col("excerpt").alias("synopsis_excerpt"), "genres", "page_number",
     ))
     return kept.select(
-        F.concat_ws(":", F.lower(F.trim("source")), kind, F.trim("slug")).alias("item_key"), "source", kind.alias("media_type"),
+        item_key("source", kind, "slug").alias("item_key"), "source", kind.alias("media_type"),
         "slug", "title", F.col("poster").alias("cover_url"), "status", F.col("score").cast("float").alias("score"), detail.alias("detail"),
         "page_number", "pos",
     )
@@ -61,20 +62,18 @@ def ingest_series(details: DataFrame, children: DataFrame) -> tuple[DataFrame, D
     children: source, series_slug, href, label, number_text, date_label, pos.
     """
     source = codes.source_key("source")
-    kind = codes.reading_media_type(source, "media_type")
     items = details.withColumn("source", source).withColumn("media_type", codes.reading_media_type("source", "media_type")).select(
-        F.concat_ws(":", "source", "media_type", F.trim("slug")).alias("item_key"), "source", "media_type", F.trim("slug").alias("slug"),
+        item_key("source", "media_type", "slug").alias("item_key"), "source", "media_type", F.trim("slug").alias("slug"),
         "title", "cover_url", F.lower(F.trim(F.coalesce("status", F.lit("")))).alias("status"),
         bounded_year("released").cast("smallint").alias("release_year"),
         F.to_json(F.struct(series_genres(F.col("source"), "genres").alias("genres"))).alias("detail"),
     )
-    del kind
     slug = urls.slug_from_text("href")
     parents = items.select("source", F.col("slug").alias("series_slug"), "item_key")
     units = (
         children.withColumn("source", source).join(parents, ["source", "series_slug"])
         .select(
-            F.concat_ws(":", "source", F.lit("chapter"), slug).alias("unit_key"), "item_key", "source",
+            unit_key("source", F.lit("chapter"), slug).alias("unit_key"), "item_key", "source",
             F.lit("chapter").alias("unit_type"), slug.alias("slug"), first_present("label").alias("title"),
             first_present("label").alias("label"), sequence_index("number_text", "pos").cast("float").alias("number"),
             F.col("href").alias("canonical_url"), parse_localized_date("date_label").alias("published_at"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions import jsoncol, schedule
+from ..functions import dates, jsoncol, schedule
 from ..functions.arrays import compact_ci
 from ..functions.codes import first_country, lookup
 from ..functions.text import contains_any, first_present
@@ -212,8 +212,6 @@ def infer_schedule(items: DataFrame, units: DataFrame, now: Column, tz: str | No
 def fill_published_at(units: DataFrame) -> DataFrame:
     """Publishing dates: an exact stamp in the page meta, stored, label, then a date in detail."""
     v = jsoncol.variant("detail")
-    from ..functions import dates
-
     exact = dates.embedded_timestamp(jsoncol.get_text(v, "source_meta_json.published_at"))
     return units.withColumn(
         "published_at",
