@@ -264,11 +264,13 @@ def upsert_provider_records(target: DataFrame, batch: DataFrame, order: list[Col
     """Upsert by (provider_code, provider_slug); new rows get the next ids in key order."""
     keys = ["provider_code", "provider_slug"]
     fresh = last_write(batch, keys, order or [])
-    merged = merge(target, fresh, keys, {c: replace for c in fresh.columns if c not in keys})
-    known, unknown = merged.filter(F.col("id").isNotNull()), merged.filter(F.col("id").isNull())
+    unseen = fresh.join(target.select(*keys), keys, "left_anti")
     top = target.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
-    numbered = dense_index(unknown.drop("id"), [F.col(k) for k in keys], "id", start=top)
-    return known.unionByName(numbered.withColumn("id", F.col("id").cast(dict(target.dtypes)["id"])))
+    numbered = dense_index(unseen, [F.col(k) for k in keys], "id", start=top)
+    # with their ids given, new and known rows are one plain replace
+    known = fresh.join(target.select(*keys, "id"), keys)
+    rows = known.unionByName(numbered.withColumn("id", F.col("id").cast(dict(target.dtypes)["id"])))
+    return merge(target, rows, keys, {c: replace for c in rows.columns if c not in keys})
 
 
 def upsert_options(target: DataFrame, batch: DataFrame, url_col: str, default_status: str, order: list[Column] | None = None, **kw) -> DataFrame:

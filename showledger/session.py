@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # pages are wide: 1,000 of 100 KB make a 100 MB batch, the default 10,000 a 1 GB one
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -187,24 +187,26 @@ def extract_script_json(html, fn_name: str, schema: str):
     return F.from_json(F.nullif(found, F.lit("")), schema)
 
 
-def extract_assets(pages: DataFrame, spec: dict = IMAGE_SPEC, script_fn: str = "ts_reader.run", skip_paths: list[str] = ("/assets/", "/wp-content/themes/")) -> DataFrame:
+def extract_assets(pages: DataFrame, spec: dict = IMAGE_SPEC, script_fn: str = "ts_reader.run", http_only: bool = True,
+                   skip_paths: tuple[str, ...] = ("/asset/img/",)) -> DataFrame:
     """(page_id, position, image_url): images of the script payload, else of the page.
 
-    Payload images keep their place in the list; page images are renumbered after
-    data: URIs, other schemes and theme assets are dropped.
+    Payload images keep their place in the payload's list. Page images are
+    numbered after data: URIs, other schemes and site assets are dropped.
     """
     payload = extract_script_json(F.col("html"), script_fn, "struct<sources:array<struct<images:array<string>>>>")
-    # kept as one column per page so the script is parsed once
-    with_payload = pages.withColumn("_images", F.get(payload["sources"], 0)["images"])
-    usable = lambda c: c.rlike("(?i)^https?://")
+    # one column per page, so that the script is parsed once
+    listed = pages.select("page_id", "url", "html", F.get(payload["sources"], 0)["images"].alias("_images"))
+    told = F.exists(F.coalesce("_images", F.array().cast("array<string>")), lambda x: ~is_blank(x))
     from_script = (
-        with_payload.filter(F.size("_images") > 0)
-        .select("page_id", F.posexplode("_images").alias("at", "raw"))
+        listed.filter(told).select("page_id", F.posexplode("_images").alias("at", "raw"))
         .select("page_id", (F.col("at") + 1).alias("position"), F.trim("raw").alias("image_url"))
-        .filter(usable(F.col("image_url")))
+        .filter(~is_blank("image_url"))
     )
-    rest = with_payload.filter(F.coalesce(F.size("_images"), F.lit(0)) <= 0)
-    found = extract_raw(rest, spec).select("page_id", "pos", _field("src").alias("image_url")).filter(usable(F.col("image_url")))
+    found = extract_raw(listed.filter(~told), spec).select("page_id", "pos", _field("src").alias("image_url"))
+    found = found.filter(~is_blank("image_url") & ~F.col("image_url").startswith("data:"))
+    if http_only:
+        found = found.filter(F.col("image_url").startswith("http"))
     for path in skip_paths:
         found = found.filter(~F.col("image_url").contains(path))
     page = Window.partitionBy("page_id").orderBy("pos")

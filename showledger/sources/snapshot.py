@@ -21,21 +21,24 @@ def touched_items(items: DataFrame, units: DataFrame, domain: Column) -> DataFra
 
 def snapshot_documents(items: DataFrame, units: DataFrame, domain: Column, hot_limit: int = 8) -> DataFrame:
     """(domain, kind, slug, touched_at, document) for catalog, title, playback, home and search."""
-    titles = touched_items(items, units, domain)
-
-    def docs(df: DataFrame, kind: str, fields: list) -> DataFrame:
-        return df.select("domain", F.lit(kind).alias("kind"), "slug", "touched_at", F.to_json(F.struct(*fields)).alias("document"))
-
-    hot = top_per_group(titles, ["domain"], [F.col("touched_at").desc(), F.col("slug"), F.col("item_key")], hot_limit, rank="rank")
-    owners = titles.select("item_key", "domain")
-    plays = units.join(owners, "item_key").withColumn("touched_at", F.col("updated_at"))
-    return (
-        docs(titles, "catalog", ["slug", "title"])
-        .unionByName(docs(titles, "title", ["item_key", "slug", "title", "unit_count"]))
-        .unionByName(docs(titles, "search", ["slug", "title", tokens("title").alias("tokens")]))
-        .unionByName(docs(hot, "home", ["rank", "slug", "title"]))
-        .unionByName(docs(plays, "playback", ["unit_key", "item_key", "slug"]))
+    titles = touched_items(items, units, domain).select("item_key", "domain", "slug", "title", "touched_at", "unit_count")
+    doc = lambda kind, *fields: F.struct(F.lit(kind).alias("kind"), F.to_json(F.struct(*fields)).alias("document"))
+    out = ["domain", "kind", "slug", "touched_at", "document"]
+    # the three documents of a title come from one pass over the joined titles
+    each = titles.select(
+        "domain", "slug", "touched_at",
+        F.inline(F.array(
+            doc("catalog", "slug", "title"), doc("title", "item_key", "slug", "title", "unit_count"),
+            doc("search", "slug", "title", tokens("title").alias("tokens")),
+        )),
     )
+    order = [F.col("touched_at").desc(), F.col("slug"), F.col("item_key")]
+    hot = top_per_group(titles, ["domain"], order, hot_limit, rank="rank").select(
+        "domain", "slug", "touched_at", F.inline(F.array(doc("home", "rank", "slug", "title"))))
+    owners = items.select("item_key", domain.alias("domain")).filter(F.col("domain").isNotNull())
+    plays = units.select("unit_key", "item_key", "slug", F.col("updated_at").alias("touched_at")).join(owners, "item_key").select(
+        "domain", "slug", "touched_at", F.inline(F.array(doc("playback", "unit_key", "item_key", "slug"))))
+    return each.select(*out).unionByName(hot.select(*out)).unionByName(plays.select(*out))
 
 
 def manifest(documents: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def test_detail_children_assets(spark):
     html = """<html lang="id"><head><meta property="og:image" content="o.jpg"><meta property="og:description" content="about"><link rel="canonical" href="https://e.org/c/"></head><h1>Name</h1>
     <div class="info"><span><b>Status:</b> Ongoing</span><span><b>Studio Name:</b> X Y</span></div><table class="info"><tr><td>Author</td><td>Z</td></tr></table>
     <div class="eplister"><ul><li><a href="https://e.org/name-episode-12/"><span class="epl-num">12</span><span class="epl-title">Name Episode 12</span><span class="epl-date">5 Mei 2025</span></a></li></ul></div>
-    <script>ts_reader.run({"sources":[{"images":["https://i.org/1.jpg","data:x","https://i.org/3.jpg"]}]});</script></html>"""
+    <script>ts_reader.run({"sources":[{"images":["https://i.org/1.jpg"," ","https://i.org/3.jpg"]}]});</script></html>"""
     ok, bad = P.extract_detail(page(spark, html))
     r = ok.first()
     assert (r.title, r.poster, r.synopsis, r.canonical_url, r.lang, r.info) == ("Name", "o.jpg", "about", "https://e.org/c/", "id", {"status": "Ongoing", "studioname": "X Y", "author": "Z"})
@@ -71,7 +71,7 @@ def test_detail_children_assets(spark):
     lone = P.extract_children(page(spark, "<p></p>"), synthesize=True).first()
     assert (lone.label, lone.number) == ("1", 1.0)
     assert [(a.position, a.image_url) for a in P.extract_assets(page(spark, html)).orderBy("position").collect()] == [(1, "https://i.org/1.jpg"), (3, "https://i.org/3.jpg")]
-    area = '<div id="readerarea"><img src="data:x"><img src="https://i.org/assets/x.png"><img data-src="https://i.org/a.jpg"></div>'
+    area = '<div id="readerarea"><img src="data:x"><img src="https://i.org/asset/img/x.png"><img data-src="https://i.org/a.jpg"></div>'
     assert [(a.position, a.image_url) for a in P.extract_assets(page(spark, area)).collect()] == [(1, "https://i.org/a.jpg")]
 
 

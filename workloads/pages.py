@@ -81,13 +81,13 @@ def _summary(t: Tables):
 
 
 @query("page_assets", """
-SELECT page_id, u.n AS position, u.url AS image_url FROM pages, LATERAL (SELECT * FROM (VALUES (1, 'https://img.example.org/' || page_id || '/1.jpg'), (3, 'http://img.example.org/' || page_id || '/3.jpg')) AS v(n, url)) u WHERE pages.url LIKE 'https://%'
+SELECT page_id, u.n AS position, u.url AS image_url FROM pages, LATERAL (SELECT * FROM (VALUES (1, 'https://img.example.org/' || page_id || '/1.jpg'), (2, 'img/2.jpg'), (4, 'http://img.example.org/' || page_id || '/3.jpg')) AS v(n, url)) u WHERE pages.url LIKE 'https://%'
 UNION ALL SELECT page_id, u.n, u.url FROM pages, LATERAL (SELECT * FROM (VALUES (1, 'https://img.example.org/' || page_id || '/a.jpg'), (2, 'https://img.example.org/' || page_id || '/b.jpg')) AS v(n, url)) u WHERE pages.url LIKE 'http://%'
 """)
 def _assets(t: Tables):
     k = F.col("page_id").cast("string")
-    script = F.concat(F.col("html"), S('<script>ts_reader.run({"prevUrl":"","sources":[{"source":"s","images":["https://img.example.org/'), k, S('/1.jpg","data:image/png;base64,xx","http://img.example.org/'), k, S('/3.jpg"]}]});</script>'))
-    area = F.concat(S('<div id="readerarea"><img data-src="https://img.example.org/'), k, S('/a.jpg" src="x"><img src="data:x"><img src="https://img.example.org/assets/l.png"><p><img src="https://img.example.org/'), k, S('/b.jpg"></p></div>'), F.col("html"))
+    script = F.concat(F.col("html"), S('<script>ts_reader.run({"prevUrl":"","sources":[{"source":"s","images":["https://img.example.org/'), k, S('/1.jpg"," img/2.jpg"," ","http://img.example.org/'), k, S('/3.jpg"]}]});</script>'))
+    area = F.concat(S('<div id="readerarea"><img data-src="https://img.example.org/'), k, S('/a.jpg" src="x"><img src="data:x"><img src="https://img.example.org/asset/img/l.png"><p><img src="https://img.example.org/'), k, S('/b.jpg"></p></div>'), F.col("html"))
     pages = t.pages.withColumn("html", F.when(F.col("url").startswith("https://"), script).otherwise(area))
     return P.extract_assets(pages).select("page_id", "position", "image_url")
 

@@ -46,7 +46,7 @@ _TOKENS = r"list_distinct(list_filter(regexp_split_to_array(lower({x}), '[^\p{{L
 
 @query("token_search", "SELECT doc_id FROM documents WHERE list_has_all(" + _TOKENS.format(x="text") + ", ['the', 'and', 'nd'])")
 def _tokens(t: Tables):
-    return X.token_search(t.documents, ["text"], "The, nd AND").select("doc_id")
+    return X.token_search(t.heavy("documents"), ["text"], "The, nd AND").select("doc_id")
 
 
 @query("token_search_batch", f"""
@@ -54,12 +54,12 @@ WITH d AS (SELECT doc_id, {_TOKENS.format(x='text')} AS have FROM documents), b
 SELECT item_id, doc_id FROM b JOIN d ON list_has_all(have, want)
 """)
 def _token_batch(t: Tables):
-    return X.token_search_batch(t.documents, "doc_id", ["text"], t.benchmark, "item_id", "text")
+    return X.token_search_batch(t.heavy("documents"), "doc_id", ["text"], t.benchmark, "item_id", "text")
 
 
 @query("token_index", f"SELECT token, count(*) AS docs FROM (SELECT unnest({_TOKENS.format(x='text')}) AS token FROM documents) GROUP BY 1")
 def _index(t: Tables):
-    return X.token_index(t.documents, "doc_id", ["text"]).groupBy("token").agg(F.count("*").alias("docs"))
+    return X.token_index(t.heavy("documents"), "doc_id", ["text"]).groupBy("token").agg(F.count("*").alias("docs"))
 
 
 @query("work_queue", """
