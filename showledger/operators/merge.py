@@ -118,11 +118,12 @@ def constant(value: Column) -> Policy:
 # -- the merge ------------------------------------------------------------------
 
 def last_write(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Drop blank keys, then keep the last row of every key in `order`."""
+    """Drop blank keys, then keep one row of every key: the first in `order` (latest
+    row first), or any one when the batch has no order."""
     typed = dict(batch.dtypes)
     for k in keys:
         batch = batch.filter(~is_blank(k)) if typed[k] == "string" else batch.filter(F.col(k).isNotNull())
-    return keep_first(batch, keys, order) if order else batch
+    return keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
 
 
 def merge(

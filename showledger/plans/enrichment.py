@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import jsoncol, people
-from ..functions.arrays import compact_ci
+from ..functions.arrays import compact_ci, distinct_trimmed_sorted
 from ..functions.codes import country_code
 from ..functions.numbers import year_from_date
 from ..functions.text import first_present, is_blank
@@ -134,6 +134,50 @@ def enrichment_rows(best: DataFrame, details: DataFrame, provider: str, kind: st
     )
 
 
+def fallback_payload() -> Column:
+    """Compact payload of a fallback-provider hit (the columns `promote` reads back)."""
+    text = lambda c: (F.col(c), "text")
+    return jsoncol.compact_payload({
+        "type": text("type"), "format": text("format"), "status": text("status"), "country_of_origin": text("country_of_origin"),
+        "season_year": (F.col("season_year"), "number"), "average_score": (F.col("average_score"), "number"),
+        "is_adult": (F.col("is_adult"), "any"), "genres": (F.col("genres"), "list"), "title_english": text("title_english"),
+        "title_romaji": text("title_romaji"), "title_native": text("title_native"), "synonyms": (F.col("synonyms"), "list"),
+        "description": text("description"),
+        "cover_image": (first_present("cover_extra_large", "cover_large", "cover_medium"), "text"),
+        "banner_image": text("banner_image"), "site_url": text("site_url"),
+    })
+
+
+_EMBEDDED_KEYS = ["source_title", "synopsis_enriched", "synopsis", "season", "status", "genre_names", "genres", "studio_names",
+                  "mal_thumbnail_url", "mal_url"]
+
+
+def embedded_enrichments(items: DataFrame, provider: str = "jikan", score: int = 95) -> DataFrame:
+    """Enrichment rows of items that already carry a provider id in their own columns."""
+    df = items.filter(F.col("mal_id").isNotNull()).withColumn("_f", jsoncol.text_fields("detail", _EMBEDDED_KEYS))
+    f = F.col("_f")
+
+    def names(*keys: str) -> Column:
+        """Sorted distinct values of the first key that holds a JSON list."""
+        found = [F.when(f[k].startswith("["), F.from_json(f[k], "array<string>")) for k in keys]
+        return distinct_trimmed_sorted(F.coalesce(*found, F.array().cast("array<string>")))
+
+    blank_free = lambda *c: F.nullif(first_present(*c), F.lit(""))
+    title = first_present(f["source_title"], F.col("title"))
+    payload = F.to_json(F.struct(
+        title.alias("title"), blank_free(F.coalesce(f["synopsis_enriched"], f["synopsis"])).alias("synopsis"), F.col("release_year").alias("year"),
+        blank_free(f["season"]).alias("season"), blank_free(F.coalesce(f["status"], F.col("status"))).alias("status"),
+        F.when(F.col("score") > 0, F.col("score")).alias("score"), names("genre_names", "genres").alias("genres"),
+        names("studio_names").alias("studios"), blank_free(F.coalesce(f["mal_thumbnail_url"], F.col("cover_url"))).alias("poster_url"),
+        blank_free(f["mal_url"]).alias("mal_url"), F.lit(provider).alias("source"),
+    ))
+    return df.select(
+        "item_key", F.lit(provider).alias("provider"), F.col("mal_id").cast("string").alias("external_id"), F.lit("matched").alias("match_status"),
+        F.lit(score).cast("smallint").alias("match_score"), title.alias("matched_title"), F.col("release_year").cast("smallint").alias("matched_year"),
+        payload.alias("payload"), "created_at", "updated_at",
+    )
+
+
 def lock_flag(lock_rules: list = rules.LOCK_RULES) -> Column:
     """True when source, media type and origin match a lock rule."""
     low = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))

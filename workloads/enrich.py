@@ -70,6 +70,26 @@ def _queries(t: Tables):
     return X.build_queries(_titled(t)).select("query_id", F.col("query_pos").cast("bigint").alias("query_pos"), "query", F.col("year").cast("bigint").alias("year"))
 
 
+@query("embedded_enrichments", """
+SELECT CAST(p_partkey AS VARCHAR) AS item_key, 'jikan' AS provider, CAST(p_partkey AS VARCHAR) AS external_id, 95::BIGINT AS match_score,
+  CASE WHEN p_type = 'PROMO' THEN p_name ELSE p_type || ' ' || p_name END AS matched_title, CASE WHEN p_size > 25 THEN 'long' WHEN p_size > 10 THEN 'short' END AS synopsis,
+  array_to_string(list_sort(list_distinct(CASE WHEN p_size > 20 THEN [p_brand, 'Drama'] ELSE ['Drama', p_type] END)), '|') AS genres, CASE WHEN p_retailprice > 950 THEN p_retailprice END AS score
+FROM part WHERE p_size <= 45
+""")
+def _embedded(t: Tables):
+    n = F.col("p_size")
+    detail = F.to_json(F.struct(
+        F.when(F.col("p_type") == "PROMO", " ").otherwise(F.concat("p_type", S(" "), "p_name")).alias("source_title"), F.when(n > 25, "long").alias("synopsis_enriched"),
+        F.when(n > 10, "short").otherwise(" ").alias("synopsis"), F.when(n > 20, F.array(F.col("p_brand"), S("Drama"), F.concat(S(" "), "p_brand"))).alias("genre_names"),
+        F.array(F.col("p_type"), S("Drama")).alias("genres")))
+    stamp = at("2024-01-01 00:00:00")
+    items = t.part.select(F.col("p_partkey").cast("string").alias("item_key"), F.when(n <= 45, F.col("p_partkey")).alias("mal_id"), F.col("p_name").alias("title"), S("").alias("cover_url"), S("").alias("status"),
+                          S(None).cast("int").alias("release_year"), F.when(F.col("p_retailprice") > 950, F.col("p_retailprice")).otherwise(0.0).alias("score"), detail.alias("detail"), stamp.alias("created_at"), stamp.alias("updated_at"))
+    js = lambda k: F.get_json_object("payload", "$." + k)
+    return X.embedded_enrichments(items).select("item_key", "provider", "external_id", F.col("match_score").cast("bigint").alias("match_score"), "matched_title", js("synopsis").alias("synopsis"),
+                                                joined(F.from_json(js("genres"), "array<string>")).alias("genres"), js("score").cast("double").alias("score"))
+
+
 # hits: the supplier of every lineitem answers the first query of its part
 @query("enrich_pipeline", "WITH " + _QUERY_SQL + r""",
 h AS (SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS item_key, l_suppkey FROM lineitem),

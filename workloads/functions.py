@@ -242,12 +242,12 @@ def _titles(t: Tables):
 @query("title_decompose", """
 SELECT o_orderkey, o_orderstatus || '|HD' AS labels,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'preview' WHEN o_orderpriority = '2-HIGH' THEN 'compilation' WHEN o_orderpriority = '3-MEDIUM' THEN 'episode' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'part' ELSE 'standalone' END AS kind,
-  CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN o_custkey % 1000 + 1 ELSE 0 END AS BIGINT) AS episode, CAST(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN o_custkey % 1000 + 1 ELSE 0 END AS BIGINT) AS part,
+  CAST(CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN day(o_orderdate) ELSE 0 END AS BIGINT) AS episode, CAST(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN day(o_orderdate) ELSE 0 END AS BIGINT) AS part,
   o_orderpriority = '3-MEDIUM' AND o_orderstatus <> 'P' AS candidate
 FROM orders
 """)
 def _decompose(t: Tables):
-    n, p = (F.col("o_custkey") % 1000 + 1).cast("string"), F.col("o_orderpriority")
+    n, p = F.dayofmonth("o_orderdate").cast("string"), F.col("o_orderpriority")
     body = (F.when(p == "1-URGENT", F.concat(S("Preview Episode "), n)).when(p == "2-HIGH", "Best  compilation").when(p == "3-MEDIUM", F.concat(S("Show &amp; Tell EPISODE "), n))
             .when(p == "4-NOT SPECIFIED", F.concat(S("Show Part "), n)).otherwise("Alone"))
     fmt = F.when(F.col("o_orderstatus") == "P", "live_action").otherwise("animation_2d")

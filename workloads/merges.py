@@ -149,7 +149,7 @@ def _catalog(t: Tables) -> DataFrame:
     codes = lambda *c: F.array(*[x.cast("smallint") for x in c])
     return p.select(
         F.col("p_partkey").cast("string").alias("slug"), F.when(F.col("p_size") > 25, "m").otherwise("s").alias("meta_source_code"),
-        F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(F.col("p_partkey")).alias("mal_id"),
+        F.when(F.col("p_size") <= 45, F.col("p_partkey")).alias("mal_id"),
         F.when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_name")).alias("title"),
         F.when(F.col("p_type") == "SMALL", "").otherwise(F.concat(S("/images/"), "p_partkey")).alias("poster_path"),
         F.when(F.col("p_type") == "ECONOMY", "u").otherwise("t").alias("type_code"), F.when(F.col("p_size") < 20, "x").otherwise("a").alias("status_code"),
@@ -172,7 +172,7 @@ def _catalog_batch(t: Tables) -> DataFrame:
 
 _CATALOG_SQL = """
 WITH t AS (
-  SELECT CAST(p_partkey AS VARCHAR) AS slug, CASE WHEN p_size > 25 THEN 'm' ELSE 's' END AS meta, CASE WHEN p_size % 10 = 0 THEN NULL ELSE p_partkey END AS mal_id,
+  SELECT CAST(p_partkey AS VARCHAR) AS slug, CASE WHEN p_size > 25 THEN 'm' ELSE 's' END AS meta, CASE WHEN p_size <= 45 THEN p_partkey END AS mal_id,
     CASE WHEN p_type = 'PROMO' THEN '' ELSE p_name END AS title, CASE WHEN p_type = 'SMALL' THEN '' ELSE '/images/' || p_partkey END AS poster,
     CASE WHEN p_type = 'ECONOMY' THEN 'u' ELSE 't' END AS tc, CASE WHEN p_size < 20 THEN 'x' ELSE 'a' END AS sc,
     CASE WHEN p_size < 30 THEN 0.0 ELSE p_retailprice END AS score, [p_size, 7] AS codes, CASE WHEN p_type = 'LARGE' THEN '' ELSE p_brand END AS syn FROM part),
@@ -271,7 +271,7 @@ def _upsert_options(t: Tables):
 
 @query("upsert_movies", """
 WITH t AS (SELECT p_partkey AS tmdb_id, p_name AS title,
-             CASE WHEN p_size < 10 THEN '' WHEN p_size < 30 THEN 'movie-' || p_partkey ELSE 'kept-' || p_partkey END AS slug, 'p' AS st FROM part WHERE p_retailprice < 1050),
+             CASE WHEN p_size < 10 THEN '' WHEN p_size < 30 THEN 'movie-' || p_partkey ELSE 'kept-' || p_partkey END AS slug, 'p' AS st FROM part WHERE p_type <> 'PROMO'),
 g AS (SELECT l_partkey AS tmdb_id, max(l_returnflag) AS rf, max(l_linestatus) AS ls, max(l_quantity) AS q FROM lineitem GROUP BY 1),
 b AS (SELECT tmdb_id, 'part ' || rf AS title, CASE WHEN q > 48 THEN ' new-' || tmdb_id || ' ' ELSE ' ' END AS slug, CASE WHEN q > 49 THEN '' ELSE ls END AS st FROM g)
 SELECT coalesce(t.tmdb_id, b.tmdb_id) AS tmdb_id, coalesce(b.title, t.title) AS title,
@@ -283,7 +283,7 @@ SELECT coalesce(t.tmdb_id, b.tmdb_id) AS tmdb_id, coalesce(b.title, t.title) AS
 FROM t FULL OUTER JOIN b ON t.tmdb_id = b.tmdb_id
 """)
 def _upsert_movies(t: Tables):
-    p = t.part.filter(F.col("p_retailprice") < 1050)
+    p = t.part.filter(F.col("p_type") != "PROMO")
     key = F.col("p_partkey")
     target = p.select(
         key.alias("tmdb_id"), F.col("p_name").alias("title"),
