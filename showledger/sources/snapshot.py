@@ -51,7 +51,8 @@ def manifest(documents: DataFrame) -> DataFrame:
 def build_snapshot(items: DataFrame, units: DataFrame, domain: Column, out: str, hot_limit: int = 8) -> DataFrame:
     """Write the pack under `out/pack` and its manifest; returns the manifest."""
     documents = snapshot_documents(items, units, domain, hot_limit)
-    documents.write.mode("overwrite").partitionBy("domain", "kind").parquet(out + "/pack")
+    (documents.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("domain", "kind").parquet(out + "/pack"))
     return write_manifest(documents.sparkSession.read.parquet(out + "/pack"), out)
 
 
@@ -78,6 +79,13 @@ def patch_snapshot(out: str, targets: DataFrame, docs: DataFrame) -> DataFrame:
     domains = targets.select("domain").distinct()
     affected = pack.join(domains, "domain", "left_semi")
     rows = cut_lineage(patched(affected, targets, docs.join(domains, "domain", "left_semi")))
+    # folders left without documents: at most one per (domain, kind)
+    folder = F.regexp_replace(F.input_file_name(), "/[^/]+$", "").alias("folder")
+    emptied = pack.select("domain", "kind", folder).distinct().join(domains, "domain", "left_semi").join(
+        rows.select("domain", "kind").distinct(), ["domain", "kind"], "left_anti").collect()
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("domain", "kind").parquet(out + "/pack"))
+    for gone in emptied:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(gone["folder"]))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return write_manifest(spark.read.parquet(out + "/pack"), out)

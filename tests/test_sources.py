@@ -145,6 +145,9 @@ def test_snapshot_roundtrip(spark, folder):
     assert got[("d1", "title")] == (8, "2025-01-01T00:00:00Z") and got[("d1", "catalog")][0] == 7 and got[("d2", "title")][0] == 4
     pack = spark.read.parquet(folder + "/pack")
     assert [r.document for r in pack.filter("slug = 's3'").collect()] == ['{"new":1}']
+    last = spark.createDataFrame([("d1", "u1")], "domain string, slug string")
+    got = {(r.domain, r.kind): r.documents for r in snapshot.patch_snapshot(folder, last, docs.limit(0)).collect()}
+    assert ("d1", "playback") not in got and got[("d1", "title")] == 8
 
 
 def test_link_audit(spark):
@@ -173,15 +176,29 @@ def test_stream_equals_batch(spark, folder):
     def advance(old, batch):
         return upsert_items(old if old is not None else spark.createDataFrame([], schema), batch, now, order=[F.col("n").desc()])
 
-    for sub in ("a", "b"):
-        stream = jobs.read_stream(spark, f"{folder}/in/{sub}", typed)
-        jobs.run_versions(stream, f"{folder}/state-{sub}", f"{folder}/ckpt-{sub}", advance)
     both = spark.readStream.schema(typed).option("maxFilesPerTrigger", 1).parquet(folder + "/in/*")
-    jobs.run_versions(both, folder + "/state", folder + "/ckpt", advance)
+    run = lambda: jobs.run_upserts(both, folder + "/state", folder + "/ckpt", ["item_key"], advance, buckets=4)
+    run()
     assert jobs.list_versions(spark, folder + "/state") == [0, 1]
-    got = {r.item_key: r.title for r in jobs.latest_version(spark, folder + "/state").collect()}
+    got = {r.item_key: r.title for r in jobs.current_table(spark, folder + "/state").collect()}
     want = {r.item_key: r.title for r in advance(advance(None, rows(0, 20)), rows(10, 30)).collect()}
     other = {r.item_key: r.title for r in advance(advance(None, rows(10, 30)), rows(0, 20)).collect()}
     assert got in (want, other) and len(got) == 30
-    jobs.run_versions(both, folder + "/state", folder + "/ckpt", advance)
+    run()
     assert jobs.list_versions(spark, folder + "/state") == [0, 1]
+
+
+def test_stream_touches_few_buckets(spark, folder):
+    """A later batch rewrites only the buckets of its own keys."""
+    schema = "item_key string, title string, created_at timestamp, updated_at timestamp"
+    typed = spark.createDataFrame([], schema).schema
+    advance = lambda old, batch: upsert_items(old if old is not None else spark.createDataFrame([], schema), batch, F.lit(T0))
+    ingest_new = lambda: jobs.run_upserts(jobs.read_stream(spark, folder + "/in", typed), folder + "/state", folder + "/ckpt", ["item_key"], advance, buckets=16)
+    spark.createDataFrame([(f"k{i}", "a", None, None) for i in range(100)], schema).coalesce(1).write.mode("append").parquet(folder + "/in")
+    ingest_new()
+    spark.createDataFrame([("k7", "b", None, None)], schema).coalesce(1).write.mode("append").parquet(folder + "/in")
+    ingest_new()
+    folders = jobs.current_folders(spark, folder + "/state")
+    assert len(folders) == 16 and sum("/v=1/" in p for p in folders.values()) == 1
+    table = {r.item_key: r.title for r in jobs.current_table(spark, folder + "/state").collect()}
+    assert len(table) == 100 and table["k7"] == "b" and table["k8"] == "a"
