@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from showledger import rules
 from showledger.functions import arrays, codes, dates, jsoncol, numbers, schedule, text, titles, urls
 from showledger.functions.register import SQL_FUNCTIONS, register_functions
 
@@ -99,7 +100,7 @@ def test_codes(one):
     assert one(codes.encode("anime_type", L(" TV ")), codes.encode("anime_type", L("x"))) == ("t", "u")
     assert one(codes.encode("anime_status", L("is upcoming"))) == "u"
     assert one(codes.country_code(L("south korea")), codes.country_code(L("fr")), codes.country_code(L("Mars"))) == ("KR", "FR", "")
-    assert one(codes.source_key(L("komiku")), codes.source_key(L("")), codes.source_key(L("nope"))) == ("komiku", "manhwaindo", "manhwaindo")
+    assert one(codes.source_key(L(rules.READING_SOURCES[3])), codes.source_key(L("")), codes.source_key(L("nope"))) == (rules.READING_SOURCES[3], rules.DEFAULT_READING_SOURCE, rules.DEFAULT_READING_SOURCE)
     assert one(codes.overall_fetch_status(L("challenge_blocked"), L("fetched"))) == "primary_challenge_blocked_secondary_fetched"
     assert one(codes.overall_fetch_status(L(""), L("not_attempted"))) == "pending"
     assert one(codes.fetch_error(L("blocked"), L(""))) == "primary: blocked"
@@ -131,8 +132,8 @@ def test_title_parts(one):
     assert tuple(one(titles.decompose_numbered(L("X - Episode 12")))) == ("X", "episode", 12, True)
     assert tuple(one(titles.decompose_numbered(L("X 2")))) == ("X", "numbered", 2, False)
     assert tuple(one(titles.decompose_numbered(L("X")))) == ("X", "standalone", 0, False)
-    assert one(titles.clean_title(L("Show Sub Indo (Episode 1-3) | Otaku Desu"))) == "Show"
-    assert one(titles.clean_title(L("Show BD Batch Subtitle Indonesia | Kusonime"), "2")) == "Show"
+    assert one(titles.clean_title(L("Show Sub Indo (Episode 1-3) " + rules.CLEAN_TITLE["1"]["suffix"]))) == "Show"
+    assert one(titles.clean_title(L("Show BD Batch Subtitle Indonesia " + rules.CLEAN_TITLE["2"]["suffix"]), "2")) == "Show"
     assert one(titles.parent_title(L("X Episode 3"), L(""))) == "X"
     assert one(titles.parent_title(L("Special"), L("https://e.org/anime/my-show/"))) == "My Show"
     assert one(titles.clean_query(L("Drama Korea Honour (2026)"), L(True))) == "Honour"

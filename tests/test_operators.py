@@ -11,6 +11,9 @@ from showledger.plans import backfill, enrichment, ingest, publish, reports, rev
 
 T0, NOW = dt.datetime(2024, 1, 1), dt.datetime(2024, 6, 1)
 L = F.lit
+# sources of the default rule tables, by what they carry
+SRC = {"anime": rules.SOURCE_RULES[0][0], "donghua": rules.SOURCE_RULES[2][0], "drama": rules.SOURCE_RULES[3][0], "manga": rules.SOURCE_RULES[6][0],
+       "mixed": rules.SOURCE_RULES[8][0], "reading": rules.DOMAIN_RULES[2][1][1]}
 ITEM = ("item_key string, source string, media_type string, slug string, title string, cover_url string, status string, release_year int, score double, "
         "mal_id bigint, tmdb_id bigint, detail string, created_at timestamp, updated_at timestamp")
 
@@ -183,22 +186,22 @@ def classify_one(spark, source, kind, detail):
 
 
 def test_classify(spark):
-    r = classify_one(spark, "samehadaku", "anime", {"genres": ["Action", "action", " Drama "], "tags": "X, drama", "status": "Ongoing", "release_day": "Sabtu", "release_time": "22:30"})
+    r = classify_one(spark, SRC["anime"], "anime", {"genres": ["Action", "action", " Drama "], "tags": "X, drama", "status": "Ongoing", "release_day": "Sabtu", "release_time": "22:30"})
     assert (r.surface_type, r.presentation_type, r.origin_type, r.release_country, r.taxonomy_confidence, r.taxonomy_source, r.is_nsfw) == ("series", "animation", "anime", "JP", 95, "provider_heuristic", False)
     assert (r.genre_names, r.release_day, r.release_timezone, r.cadence, r.next_release_at) == (["Action", "Drama", "X"], "saturday", "Asia/Tokyo", "weekly", dt.datetime(2026, 4, 4, 13, 30))
-    r = classify_one(spark, "drakorid", "drama", {"country": "South Korea", "aired": "Every Friday", "broadcast_time": "22:30", "status": "Ongoing"})
+    r = classify_one(spark, SRC["drama"], "drama", {"country": "South Korea", "aired": "Every Friday", "broadcast_time": "22:30", "status": "Ongoing"})
     assert (r.origin_type, r.release_day, r.release_window, r.release_timezone, r.cadence) == ("drama", "friday", "22:30", "Asia/Seoul", "weekly")
-    r = classify_one(spark, "drakorid", "drama", {"title": "Running Man", "status": "Ongoing"})
+    r = classify_one(spark, SRC["drama"], "drama", {"title": "Running Man", "status": "Ongoing"})
     assert (r.origin_type, r.cadence, r.next_release_at) == ("variety", None, None)
-    r = classify_one(spark, "drakorid", "drama", {"runtime": "Monday & Tuesday 20:50"})
+    r = classify_one(spark, SRC["drama"], "drama", {"runtime": "Monday & Tuesday 20:50"})
     assert (r.release_day, r.release_window) == ("monday", "20:50")
-    r = classify_one(spark, "kanzenin", "manga", {})
+    r = classify_one(spark, SRC["manga"], "manga", {})
     assert (r.surface_type, r.origin_type, r.is_nsfw) == ("comic", "manga", True)
     r = classify_one(spark, "elsewhere", "donghua", {"genres": ["Ecchi"], "cadence": "Monthly"})
     assert (r.surface_type, r.presentation_type, r.release_country, r.taxonomy_confidence, r.taxonomy_source, r.is_nsfw, r.cadence) == ("series", "animation", "CN", 20, "legacy_fallback", True, "monthly")
     r = classify_one(spark, "elsewhere", "podcast", {"status": "Completed", "cadence": "weekly"})
     assert (r.surface_type, r.presentation_type, r.origin_type, r.release_country, r.cadence) == ("unknown", "unknown", "podcast", None, "completed")
-    r = classify_one(spark, "nekopoi", "movie", {"content_format": "Animation_2d"})
+    r = classify_one(spark, SRC["mixed"], "movie", {"content_format": "Animation_2d"})
     assert (r.surface_type, r.presentation_type, r.origin_type) == ("movie", "animation", "anime")
 
 
@@ -211,7 +214,7 @@ def test_modal_ties(spark):
 
 def test_queries(spark):
     detail = {"search_hit": {"title_english": "English", "title_synonyms": ["Syn"]}, "source_title": "Native; Other (2020)", "alt_title": "english"}
-    df = spark.createDataFrame([("k", "s", "Title", 2020, json.dumps(detail)), ("d", "drakorid", "Drama Korea Honour (2026)", None, '{"native_title":"아너"}')], "item_key string, source string, title string, release_year int, detail string")
+    df = spark.createDataFrame([("k", "s", "Title", 2020, json.dumps(detail)), ("d", SRC["drama"], "Drama Korea Honour (2026)", None, '{"native_title":"아너"}')], "item_key string, source string, title string, release_year int, detail string")
     rows = [(r.query_id, r.query_pos, r.query) for r in enrichment.build_queries(df).orderBy("query_id", "query_pos").collect()]
     assert rows == [("d", 0, "Honour"), ("k", 0, "English"), ("k", 1, "Native"), ("k", 2, "Other"), ("k", 3, "Title"), ("k", 4, "Syn")]
     fallback = [r.query for r in enrichment.build_queries(df.filter("item_key = 'k'"), rules.ALIASES_FALLBACK, split_variants=False).orderBy("query_pos").collect()]
@@ -224,7 +227,7 @@ PROMO = ("item_key string, source string, media_type string, surface_type string
 
 def test_promotion_locks(spark):
     comic = ("c", "x", "manga", "comic", "illustrated", "manga", None, False, ["Action"], 20, "legacy_fallback", None, 0.0, "", "{}")
-    locked = ("l", "anichin", "donghua", "series", "animation", "donghua", "", True, [], 98, "provider_heuristic", 2000, 8.0, "own.jpg", "{}")
+    locked = ("l", SRC["donghua"], "donghua", "series", "animation", "donghua", "", True, [], 98, "provider_heuristic", 2000, 8.0, "own.jpg", "{}")
     items = spark.createDataFrame([comic, locked], PROMO)
     payload = json.dumps({"type": "MANGA", "country_of_origin": "KR", "average_score": 78, "season_year": 2021, "genres": ["action", "School"], "cover_image": "n.jpg", "title_english": "E", "synonyms": ["S"], "is_adult": False})
     m = spark.createDataFrame([("c", 97, payload), ("l", 97, payload)], "item_key string, match_score int, payload string")
@@ -254,7 +257,7 @@ def test_coverage_sides(spark):
 def test_patch_targets(spark):
     now = dt.datetime(2024, 1, 1, 12)
     ago = lambda m: now - dt.timedelta(minutes=m)
-    items = spark.createDataFrame([("k1", "samehadaku", "anime", "a", ago(500)), ("k2", "samehadaku", "movie", "m", ago(45)), ("k3", "komiku", "komiku", "c", ago(46)), ("k4", "x", "donghua", "d", ago(1)), ("k5", "y", "movie", "m", ago(3))],
+    items = spark.createDataFrame([("k1", SRC["anime"], "anime", "a", ago(500)), ("k2", SRC["anime"], "movie", "m", ago(45)), ("k3", SRC["reading"], SRC["reading"], "c", ago(46)), ("k4", "x", "donghua", "d", ago(1)), ("k5", "y", "movie", "m", ago(3))],
                                   "item_key string, source string, media_type string, slug string, updated_at timestamp")
     units = spark.createDataFrame([("k1", "episode", ago(10)), ("k1", "episode", ago(400)), ("k3", "episode", ago(2)), ("k4", "episode", ago(600))], "item_key string, unit_type string, updated_at timestamp")
     got = [tuple(r) for r in publish.patch_targets(items, units, F.lit(now)).collect()]

@@ -228,7 +228,7 @@ SELECT p_partkey, CASE WHEN p_size > 25 THEN p_name ELSE p_name || ' X' END AS c
 """)
 def _titles(t: Tables):
     n = F.col("p_name")
-    raw = F.concat(n, F.when(F.col("p_size") > 25, " Sub Indo (Episode 1-12) | Otaku Desu").otherwise("  X Subtitle Indonesia"))
+    raw = F.concat(n, F.when(F.col("p_size") > 25, " Sub Indo (Episode 1-12) " + rules.CLEAN_TITLE["1"]["suffix"]).otherwise("  X Subtitle Indonesia"))
     meta = text.split_meta_line(F.concat("p_type", S(" •  "), n, S("  Status: "), "p_brand"))
     return t.heavy("part").select(
         "p_partkey", titles.clean_title(raw).alias("cleaned"), titles.parent_title(n, F.concat(S("https://x.example.org/a/"), F.replace(n, S(" "), S("-")), S("/"))).alias("from_url"),
