@@ -117,12 +117,15 @@ def constant(value: Column) -> Policy:
 
 # -- the merge ------------------------------------------------------------------
 
-def last_write(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def last_write(batch: DataFrame, keys: list[str], order: list[Column], unique: bool = False) -> DataFrame:
     """Drop blank keys, then keep one row of every key: the first in `order` (latest
-    row first), or any one when the batch has no order."""
+    row first), or any one when the batch has no order. `unique` says that keys do
+    not repeat, as after an aggregation by them."""
     typed = dict(batch.dtypes)
     for k in keys:
         batch = batch.filter(~is_blank(k)) if typed[k] == "string" else batch.filter(F.col(k).isNotNull())
+    if unique:
+        return batch
     return keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
 
 
@@ -134,16 +137,17 @@ def merge(
     *,
     order: list[Column] | None = None,
     inserts: dict[str, Column] | None = None,
-    changed: Column | None = None,
+    unique: bool = False,
     incremental: bool | None = None,
 ) -> DataFrame:
     """Next version of `target` after upserting `batch`.
 
-    `order` (latest row first) resolves keys repeated inside the batch. `inserts`
+    `order` (latest row first) resolves keys repeated inside the batch, unless they
+    are known to be `unique`. `inserts`
     gives values for new rows, written over `i_<column>` names. Columns without a
-    policy keep their stored value. `changed` adds a flag for touched rows.
+    policy keep their stored value.
     """
-    fresh = last_write(batch, keys, order or [])
+    fresh = last_write(batch, keys, order or [], unique)
     columns = target.columns
     old = target.select(*[F.col(c).alias("s_" + c) for c in columns])
     new = fresh.select(*[F.col(c).alias("i_" + c) for c in fresh.columns], F.lit(True).alias("_new"))
@@ -271,7 +275,7 @@ def upsert_provider_records(target: DataFrame, batch: DataFrame, order: list[Col
     # with their ids given, new and known rows are one plain replace
     known = fresh.join(target.select(*keys, "id"), keys)
     rows = known.unionByName(numbered.withColumn("id", F.col("id").cast(dict(target.dtypes)["id"])))
-    return merge(target, rows, keys, {c: replace for c in rows.columns if c not in keys})
+    return merge(target, rows, keys, {c: replace for c in rows.columns if c not in keys}, unique=True)
 
 
 def upsert_options(target: DataFrame, batch: DataFrame, url_col: str, default_status: str, order: list[Column] | None = None, **kw) -> DataFrame:

@@ -34,6 +34,23 @@ def view_comic(items: DataFrame) -> DataFrame:
     return _detail_view(items, ["manhwa", "komiku"], _CORE, ["author", "synopsis", "latest_chapter_label"], [])
 
 
+# Columns of the plain read views
+VIEW_COLUMNS = {
+    "series_list": "slug source_code meta_source_code mal_id title poster_path type_code status_code season_code year score "
+                   "episode_count genre_codes studio_codes batch_links_json updated_at",
+    "series_detail": "slug source_code meta_source_code mal_id title poster_path type_code status_code season_code year score "
+                     "episode_count genre_codes studio_codes synopsis_source synopsis_enriched batch_links_json updated_at",
+    "series_meta": "slug trailer_youtube_id cast_json updated_at",
+    "episodes": "episode_slug anime_slug episode_number title release_at release_label fetch_status_code stream_links_json "
+                "download_links_json updated_at",
+}
+
+
+def view_plain(table: DataFrame, view: str) -> DataFrame:
+    """One of the plain projections in VIEW_COLUMNS."""
+    return table.select(*VIEW_COLUMNS[view].split())
+
+
 def lookup_item(items: DataFrame, source: str, slug: str, default_type: str = "anime") -> DataFrame:
     """One item by slug with page number and type defaults."""
     v = jsoncol.variant("detail")

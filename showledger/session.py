@@ -92,6 +92,8 @@ def spread(df: DataFrame) -> DataFrame:
     A table of many splits is returned as it is, so nothing is shuffled at scale;
     the case helped is a small file that one task would otherwise process alone.
     """
+    if df.isStreaming:
+        return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728"))

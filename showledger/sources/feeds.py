@@ -56,6 +56,7 @@ def hydrate_feed(feed: DataFrame) -> DataFrame:
             "cover_url": first_present(image_url(F.col("content")), image_url(F.col("description"))),
             "excerpt": first_present(first_unlabeled(source), html_text("description"), html_text("content")),
             "original_title": field("originaltitle"), "duration": field("duration", "runtime"), "size": field("size"),
+            "code": field("code", "nuclearcode"), "performer": field("performer", "actress"), "parody": field("parody"),
             "producers": listed("producers", "producer", "studio"), "genres": listed("genres", "genre"),
             "published_at": dates.parse_feed_date("pub_date"),
             "title_parts": titles.decompose_labeled("title", "content_format"),

@@ -99,7 +99,12 @@ def extract_cards(pages: DataFrame, spec: dict = CARD_SPEC) -> DataFrame:
 
 
 def extract_detail(pages: DataFrame, spec: dict = DETAIL_SPEC) -> tuple[DataFrame, DataFrame]:
-    """(details, rejects): one row per page; a page without a title is a reject."""
+    """(details, rejects): one row per page; a page without a title is a reject.
+
+    Both come from one extraction; checkpoint the pages' raw rows first
+    (`cut_lineage(extract_raw(...))`) or write one of them before using the other
+    where running the extraction twice costs too much.
+    """
     raw = extract_raw(pages, spec)
     strings = lambda n: F.coalesce(F.col("lists")[n], F.array().cast("array<string>"))
     # `<b>Label:</b> value` spans, then two-cell table rows

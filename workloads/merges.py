@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from showledger.functions import jsoncol
 from showledger.operators import dims
 from showledger.operators import merge as M
+from showledger.plans.views import view_plain
 
 from .base import SHOP_SQL, Tables, at, joined, query, r6, shop_items, shop_units, shown
 
@@ -198,7 +199,7 @@ SELECT coalesce(t.slug, b.slug) AS slug,
 FROM t FULL OUTER JOIN b ON t.slug = b.slug
 """)
 def _upsert_ranked(t: Tables):
-    out = M.upsert_ranked(_catalog(t), _catalog_batch(t), ["slug"], M.RANKED_CATALOG)
+    out = M.upsert_ranked(_catalog(t), _catalog_batch(t), ["slug"], M.RANKED_CATALOG, unique=True)
     return out.select("slug", "title", "poster_path", "type_code", "status_code", "score", joined("genre_codes").alias("codes"),
                       F.col("synopsis_source").alias("synopsis"), shown("updated_at").alias("updated_at"))
 
@@ -213,7 +214,7 @@ SELECT coalesce(t.slug, b.slug) AS slug, CASE WHEN b.mal_id IS NOT NULL AND t.sl
 FROM t FULL OUTER JOIN b ON t.slug = b.slug
 """)
 def _upsert_detail(t: Tables):
-    out = M.upsert_ranked(_catalog(t), _catalog_batch(t), ["slug"], M.RANKED_DETAIL)
+    out = M.upsert_ranked(_catalog(t), _catalog_batch(t), ["slug"], M.RANKED_DETAIL, unique=True)
     return out.select("slug", "meta_source_code", "mal_id", "title", "type_code", "status_code", "score",
                       joined("genre_codes").alias("codes"), F.col("batch_links_json").alias("links"))
 
@@ -292,7 +293,13 @@ def _upsert_movies(t: Tables):
     batch = g.select(
         "tmdb_id", F.concat(S("part "), "rf").alias("title"), F.when(F.col("q") > 48, F.concat(S(" new-"), "tmdb_id", S(" "))).otherwise(" ").alias("slug"),
         F.when(F.col("q") > 49, "").otherwise(F.col("ls")).alias("status_code"))
-    return M.upsert_movies(target, batch)
+    return M.upsert_movies(target, batch, unique=True)
+
+
+@query("view_plain", _CATALOG_SQL + "SELECT slug, title, tc AS type_code, score FROM t")
+def _view_plain(t: Tables):
+    extra = {"source_code": S("s"), "season_code": S("x"), "year": S(None).cast("smallint"), "episode_count": S(None).cast("int"), "studio_codes": F.array().cast("array<smallint>")}
+    return view_plain(_catalog(t).withColumns(extra), "series_list").select("slug", "title", "type_code", "score")
 
 
 @query("upsert_movie_meta", """
