@@ -142,3 +142,16 @@ def read_all(root: Node, source: str) -> list[str]:
     nodes = select(root, compile_selector(selector))
     values = [n.attrs.get(what[1:], "").strip() if what.startswith("@") else n.text() for n in nodes]
     return [v for v in values if v]
+
+
+def read_pairs(root: Node, selector: str, label: str) -> list[str]:
+    """`label<TAB>value` of every matching node: its first `label` node, then the rest of its text."""
+    out = []
+    for node in select(root, compile_selector(selector)):
+        named = select(node, compile_selector(label))
+        name = named[0].text() if named else ""
+        text = node.text()
+        value = text[len(name):].strip(" :") if text.startswith(name) else ""
+        if name.strip(" :") and value:
+            out.append(name.strip(" :") + "\t" + value)
+    return out

@@ -8,6 +8,7 @@ after that is native Columns. A spec is plain data:
      "lists": {"genres": ".genres a|text"}}
 
 Field alternatives are tried in order. Without "item" the page itself is the node.
+"pairs" names nodes holding a label and a value.
 """
 
 from __future__ import annotations
@@ -45,9 +46,9 @@ DETAIL_SPEC = {
         "og_description": ["meta[property=og:description]|@content", "meta[name=description]|@content"],
         "published": ["meta[property=article:published_time]|@content"], "lang": ["html|@lang"],
     },
-    "lists": {"genres": ".genres a|text", "paragraphs": "article p|text",
-              "labels": ".info span b|text", "label_lines": ".info span|text",
-              "cells": "table.info td|text"},
+    "lists": {"genres": ".genres a|text", "paragraphs": "article p|text"},
+    # labelled values: spans led by a bold label, and two-cell table rows
+    "pairs": [[".info span", "b"], ["table.info tr", "td"]],
 }
 CHILD_SPEC = {
     "item": ".eplister li a",
@@ -74,6 +75,8 @@ def extract_raw(pages: DataFrame, spec: dict) -> DataFrame:
                     for name, sources in spec.get("fields", {}).items():
                         fields[name] = next((v for v in (dom.read_value(node, s) for s in sources) if v), "")
                     lists = {name: dom.read_all(node, s) for name, s in spec.get("lists", {}).items()}
+                    if spec.get("pairs"):
+                        lists["pairs"] = [p for selector, label in spec["pairs"] for p in dom.read_pairs(node, selector, label)]
                     rows.append((page_id, url, pos, fields, lists))
             yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "fields", "lists"])
 
@@ -101,33 +104,28 @@ def extract_cards(pages: DataFrame, spec: dict = CARD_SPEC) -> DataFrame:
 def extract_detail(pages: DataFrame, spec: dict = DETAIL_SPEC) -> tuple[DataFrame, DataFrame]:
     """(details, rejects): one row per page; a page without a title is a reject.
 
-    Both come from one extraction; checkpoint the pages' raw rows first
-    (`cut_lineage(extract_raw(...))`) or write one of them before using the other
-    where running the extraction twice costs too much.
+    Each side runs the extraction when used. To run it once, give its saved rows:
+    `split_details(cut_lineage(extract_raw(pages, spec)))`.
     """
-    raw = extract_raw(pages, spec)
+    return split_details(extract_raw(pages, spec))
+
+
+def split_details(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(details, rejects) from rows extracted with a detail spec."""
     strings = lambda n: F.coalesce(F.col("lists")[n], F.array().cast("array<string>"))
-    # `<b>Label:</b> value` spans, then two-cell table rows
-    spans = F.transform(
-        F.filter(F.arrays_zip(strings("labels").alias("k"), strings("label_lines").alias("v")), lambda x: x["k"].isNotNull() & x["v"].isNotNull()),
+    info = F.transform(
+        strings("pairs"),
         lambda x: F.struct(
-            F.regexp_replace(F.lower(x["k"]), r"[: ]+", "").alias("key"),
-            F.trim(F.substring(x["v"], F.length(x["k"]) + 1, F.length(x["v"]))).alias("value"),
+            F.replace(F.lower(F.substring_index(x, "\t", 1)), F.lit(" "), F.lit("")).alias("key"), F.substring_index(x, "\t", -1).alias("value")
         ),
     )
-    cells = strings("cells")
-    rows = F.transform(
-        F.filter(F.transform(cells, lambda c, i: F.struct(c.alias("k"), F.get(cells, i + 1).alias("v"), (i % 2).alias("odd"))),
-                 lambda x: (x["odd"] == 0) & x["v"].isNotNull()),
-        lambda x: F.struct(F.regexp_replace(F.lower(x["k"]), r"[: ]+", "").alias("key"), x["v"].alias("value")),
-    )
     out = raw.select(
         "page_id", "url", _field("title").alias("title"), _field("alt_title").alias("alt_title"),
         F.coalesce(F.nullif(_field("poster"), F.lit("")), _field("og_image")).alias("poster"),
         F.coalesce(F.nullif(_field("synopsis"), F.lit("")), _field("og_description")).alias("synopsis"),
         F.coalesce(F.nullif(_field("canonical"), F.lit("")), F.col("url")).alias("canonical_url"),
         _field("published").alias("published"), _field("lang").alias("lang"), strings("genres").alias("genres"),
-        strings("paragraphs").alias("paragraphs"), entries_last_wins(F.concat(spans, rows)).alias("info"),
+        strings("paragraphs").alias("paragraphs"), entries_last_wins(info).alias("info"),
     )
     ok = out.filter(F.col("title") != "")
     bad = out.filter(F.col("title") == "").select("page_id", "url", F.lit("missing title").alias("reason"))

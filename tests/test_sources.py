@@ -59,7 +59,7 @@ def test_ingest_catalog(spark):
 
 def test_detail_children_assets(spark):
     html = """<html lang="id"><head><meta property="og:image" content="o.jpg"><meta property="og:description" content="about"><link rel="canonical" href="https://e.org/c/"></head><h1>Name</h1>
-    <div class="info"><span><b>Status:</b> Ongoing</span><span><b>Studio Name:</b> X Y</span></div><table class="info"><tr><td>Author</td><td>Z</td></tr></table>
+    <div class="info"><span><b>Status:</b> Ongoing</span><span>stray</span><span><b>Studio Name</b>: X Y</span></div><table class="info"><tr><td>Author</td><td>Z</td></tr></table>
     <div class="eplister"><ul><li><a href="https://e.org/name-episode-12/"><span class="epl-num">12</span><span class="epl-title">Name Episode 12</span><span class="epl-date">5 Mei 2025</span></a></li></ul></div>
     <script>ts_reader.run({"sources":[{"images":["https://i.org/1.jpg"," ","https://i.org/3.jpg"]}]});</script></html>"""
     ok, bad = P.extract_detail(page(spark, html))
