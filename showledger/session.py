@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,9 +36,27 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each context, so that tasks can import it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_showledger_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    made = os.path.join(tempfile.mkdtemp(prefix="spark-showledger-"), "showledger.zip")
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as pack:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    pack.write(path, os.path.relpath(path, os.path.dirname(top)))
+    context.addPyFile(made)
+    context._showledger_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder (`spark.checkpoint.dir`).
 
