@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from showledger.session import ship_package
 
-from . import exact_dedup, url_filter
+from . import exact_dedup, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -27,6 +27,31 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op3_decontamination", r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS k
+  FROM b, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(i) WHERE len(w) > 0),
+doc_windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS k
+  FROM (SELECT doc_id, w, n FROM d, (SELECT DISTINCT n FROM item_windows)), unnest(range(1, len(w) - n + 2)) AS t(i)),
+hits AS (SELECT doc_id, item_id, i, n FROM doc_windows JOIN item_windows USING (n, k)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""")
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return winnowing.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 @query("op9_exact_dedup", r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
