@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from showledger.session import ship_package
 
-from . import exact_dedup, url_filter, winnowing
+from . import byte_bpe, exact_dedup, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -27,6 +28,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_byte_bpe")
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coder = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return byte_bpe.report(read(spark, folder, "documents"), coder)
+
+
 @query("op3_decontamination", r"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
