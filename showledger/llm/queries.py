@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from showledger.session import ship_package
 
-from . import byte_bpe, exact_dedup, url_filter, winnowing
+from . import byte_bpe, exact_dedup, sharding, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -59,6 +59,11 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return winnowing.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+@query("op4_sharding")
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.report(read(spark, folder, "documents"))
+
+
 @query("op9_exact_dedup", r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
