@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from showledger.session import ship_package
 
-from . import byte_bpe, exact_dedup, sharding, url_filter, winnowing
+from . import byte_bpe, chat_format, exact_dedup, sharding, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -64,6 +65,15 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.report(read(spark, folder, "documents"))
 
 
+@query("op6_chat_format")
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    own = spark.range(1).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.explode(F.array(
+            F.struct(F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).cast("long").alias("turn"), F.lit("assistant").alias("role")))).alias("t"))
+    said = own.select("conv_id", "t.turn", "t.role", F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat_format.report(read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(said))
+
+
 @query("op9_exact_dedup", r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)
