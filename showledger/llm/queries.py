@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from showledger.session import ship_package
 
-from . import byte_bpe, chat_format, exact_dedup, sharding, url_filter, winnowing
+from . import byte_bpe, chat_format, exact_dedup, sharding, toxicity, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -65,6 +65,11 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.report(read(spark, folder, "documents"))
 
 
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 @query("op6_chat_format")
 def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     own = spark.range(1).select(
