@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from showledger.session import ship_package
 
-from . import byte_bpe, chat_format, exact_dedup, sharding, toxicity, url_filter, winnowing
+from . import byte_bpe, chat_format, exact_dedup, quality_pu, sharding, toxicity, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -29,6 +29,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_pu.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 @query("op2_byte_bpe")
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     coder = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
