@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from showledger.session import ship_package
 
-from . import byte_bpe, chat_format, exact_dedup, html_extract, quality_pu, sharding, toxicity, url_filter, winnowing
+from . import byte_bpe, chat_format, exact_dedup, html_extract, jaccard_join, quality_pu, sharding, toxicity, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -84,6 +84,11 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.report(read(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(said))
 
 
+@query("op7_jaccard_join")
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.report(read(spark, folder, "documents"))
+
+
 @query("op8_html_extraction")
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.report(read(spark, folder, "pages"))
