@@ -3,7 +3,7 @@
 A merge returns the next version of the target; the caller writes it to a new
 location. Two plans give the same rows: a full outer join, and - when Catalyst's
 size estimate says the batch can be broadcast - an incremental plan that never
-shuffles the target.
+shuffles the target. Stored rows with a NULL in their key match nothing and stay.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from ..functions.codes import lookup
 from ..functions.keys import item_key
 from ..functions.text import first_present, is_blank
 from ..functions.urls import domain
-from ..session import fits_broadcast
+from ..session import cut_lineage, fits_broadcast
 from .ranking import dense_index, keep_first
 
 Side = Callable[[str], Column]
@@ -119,14 +119,20 @@ def constant(value: Column) -> Policy:
 
 def last_write(batch: DataFrame, keys: list[str], order: list[Column], unique: bool = False) -> DataFrame:
     """Drop blank keys, then keep one row of every key: the first in `order` (latest
-    row first), or any one when the batch has no order. `unique` says that keys do
-    not repeat, as after an aggregation by them."""
+    row first). A batch without an order fails when it is run if a key repeats in it.
+    `unique` says that keys do not repeat, as after an aggregation by them."""
     typed = dict(batch.dtypes)
     for k in keys:
         batch = batch.filter(~is_blank(k)) if typed[k] == "string" else batch.filter(F.col(k).isNotNull())
     if unique:
         return batch
-    return keep_first(batch, keys, order) if order else batch.dropDuplicates(keys)
+    if order:
+        return keep_first(batch, keys, order)
+    rest = [c for c in batch.columns if c not in keys]
+    once = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.first(F.struct(F.lit(0).alias("_none"), *rest)).alias("_row"))
+    said = F.concat(F.lit("keys repeat in a batch without an order: "), F.to_json(F.struct(*keys)))
+    checked = F.when(F.col("_rows") > 1, F.raise_error(said)).otherwise(F.col("_row"))
+    return once.withColumn("_row", checked).select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in batch.columns])
 
 
 def merge(
@@ -149,8 +155,8 @@ def merge(
     """
     fresh = last_write(batch, keys, order or [], unique)
     columns = target.columns
-    old = target.select(*[F.col(c).alias("s_" + c) for c in columns])
-    new = fresh.select(*[F.col(c).alias("i_" + c) for c in fresh.columns], F.lit(True).alias("_new"))
+    # the markers, not the keys, tell which side a row has: stored keys may be NULL
+    old = target.select(*[F.col(c).alias("s_" + c) for c in columns], F.lit(True).alias("_old"))
     types = dict(target.dtypes)
     has = set(fresh.columns)
 
@@ -170,14 +176,18 @@ def merge(
         )
 
     on = [F.col("s_" + k) == F.col("i_" + k) for k in keys]
-    use_incremental = fits_broadcast(fresh) if incremental is None else incremental
+    small = fits_broadcast(fresh)
+    use_incremental = small if incremental is None else incremental
+    if use_incremental:
+        fresh = cut_lineage(fresh)  # it is read three times below; the batch is ranked once
+    new = fresh.select(*[F.col(c).alias("i_" + c) for c in fresh.columns], F.lit(True).alias("_new"))
     if not use_incremental:
         joined = old.join(new, on, "full_outer")
-        absent = F.col("s_" + keys[0]).isNull()
-        return joined.select(*[value(c, absent).alias(c) for c in columns])
+        return joined.select(*[value(c, F.col("_old").isNull()).alias(c) for c in columns])
 
-    updated = old.join(new, on, "left").select(*[value(c, F.lit(False)).alias(c) for c in columns])
-    present = target.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    hint = F.broadcast if small else (lambda df: df)  # its size is checked above
+    updated = old.join(hint(new), on, "left").select(*[value(c, F.lit(False)).alias(c) for c in columns])
+    present = target.select(*keys).join(hint(fresh.select(*keys)), keys, "left_semi").distinct()
     unseen = fresh.join(present, keys, "left_anti")
     blank = [F.lit(None).cast(types[c]).alias("s_" + c) for c in columns]
     rows = unseen.select(*[F.col(c).alias("i_" + c) for c in fresh.columns], F.lit(True).alias("_new"), *blank)

@@ -96,6 +96,33 @@ def _upsert_items_inc(t: Tables):
     return _item_out(M.upsert_items(_item_target(t), _item_batch(t), at(NOW), order=_latest(), incremental=True))
 
 
+@query("upsert_items_small_batch", _ITEM_SQL.replace("FROM orders)", "FROM orders WHERE o_orderdate >= (SELECT max(o_orderdate) - INTERVAL 2 DAY FROM orders))"))
+def _upsert_items_small(t: Tables):
+    """The incremental plan's real case: what arrived in the last two days."""
+    last = t.orders.agg(F.max("o_orderdate").alias("last"))
+    recent = _item_batch(t).join(F.broadcast(last), F.col("o_orderdate") >= F.col("last") - F.expr("INTERVAL 2 DAYS"), "inner").drop("last")
+    return _item_out(M.upsert_items(_item_target(t), recent, at(NOW), order=_latest(), incremental=True))
+
+
+_NULL_KEYS = """
+WITH t AS (SELECT CASE WHEN p_size % 5 > 0 THEN p_brand END AS a, CASE WHEN p_size % 7 > 0 THEN p_partkey END AS b, p_name AS name FROM part),
+n AS (SELECT DISTINCT p_brand AS a, l_partkey AS b, 'line ' || l_partkey AS name FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity > 45),
+m AS (SELECT coalesce(t.a, n.a) AS a, coalesce(t.b, n.b) AS b, coalesce(n.name, t.name) AS name FROM t FULL OUTER JOIN n ON t.a = n.a AND t.b = n.b)
+SELECT mode, a, b, name FROM m, (SELECT unnest(['full', 'incremental', 'default']) AS mode)
+"""
+
+
+@query("upsert_null_keys", _NULL_KEYS)
+def _upsert_null_keys(t: Tables):
+    """Stored rows with a NULL in a two-column key stay as they are, whichever plan runs."""
+    target = t.part.select(F.when(F.col("p_size") % 5 > 0, F.col("p_brand")).alias("a"), F.when(F.col("p_size") % 7 > 0, F.col("p_partkey")).alias("b"), F.col("p_name").alias("name"))
+    lines = t.lineitem.filter(F.col("l_quantity") > 45).select(F.col("l_partkey").alias("b")).distinct()
+    batch = lines.join(t.part.select(F.col("p_partkey").alias("b"), F.col("p_brand").alias("a")), "b").withColumn("name", F.concat(S("line "), F.col("b").cast("string")))
+    made = [M.merge(target, batch, ["a", "b"], {"name": M.replace}, incremental=how).select(S(mode).alias("mode"), "a", "b", "name")
+            for mode, how in (("full", False), ("incremental", True), ("default", None))]
+    return made[0].unionByName(made[1]).unionByName(made[2])
+
+
 # -- units ---------------------------------------------------------------------------
 
 _LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
@@ -402,7 +429,7 @@ def _rekey(t: Tables):
     items = base.select("item_key", "source", F.lit("anime").alias("media_type"), "slug", "c_acctbal", "updated_at").unionByName(
         base.filter(F.col("c_nationkey") == 5).select(
             F.concat_ws(":", "source", S("movie"), "slug").alias("item_key"), "source", S("movie").alias("media_type"), "slug", S(9999.0).alias("c_acctbal"), "updated_at"))
-    units = shop_units(t).filter((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")).withColumn("detail", S('{"x":1}'))
+    units = shop_units(t).withColumn("detail", S('{"x":1}'))
     return M.rekey_items(items, units.select("unit_key", "item_key", "detail", "updated_at"), (F.col("media_type") == "anime") & (F.col("c_acctbal") < 3000), "movie", at(NOW))
 
 
@@ -410,7 +437,7 @@ _REKEY_SQL = f"""
 WITH {SHOP_SQL},
 i AS (SELECT item_key, source, 'anime' AS media_type, slug, c_acctbal FROM items
       UNION ALL SELECT source || ':movie:' || slug, source, 'movie', slug, 9999.0 FROM items WHERE c_nationkey = 5),
-u AS (SELECT * FROM units WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'),
+u AS (SELECT * FROM units),
 n AS (SELECT item_key, count(*) AS c FROM u GROUP BY 1),
 m AS (SELECT i.item_key AS old_key, i.source || ':movie:' || i.slug AS new_key, i.slug, coalesce(n.c, 0) AS children FROM i LEFT JOIN n ON n.item_key = i.item_key
       WHERE i.media_type = 'anime' AND i.c_acctbal < 3000 AND coalesce(n.c, 0) <= 1 AND NOT EXISTS (SELECT 1 FROM i x WHERE x.item_key = i.source || ':movie:' || i.slug))
