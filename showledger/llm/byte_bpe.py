@@ -21,15 +21,16 @@ from __future__ import annotations
 
 import base64
 import functools
-import uuid
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +38,8 @@ from .common import clean_text, unused
 
 #: Characters of a chunk, and how far the next chunk reaches into it.
 CHUNK, OVERLAP = 1 << 16, 1 << 10
-#: Chunks handed on at a time.
-SOME = 64
+#: Chunks handed on at a time; bytes of text that go back at a time.
+SOME, SLICE = 64, 1 << 20
 #: Characters that the pattern may look at beyond the end of a match.
 MARGIN = 3
 
@@ -86,7 +87,9 @@ _CODERS: dict[str, Coder] = {}
 
 
 def _coder(name: str, sent) -> Coder:
+    """The coder of these ranks and this pattern; a worker process holds one at a time."""
     if name not in _CODERS:
+        _CODERS.clear()
         ranks, pattern = sent.value
         _CODERS[name] = Coder(ranks, pattern)
     return _CODERS[name]
@@ -98,33 +101,39 @@ class ByteBPE:
     def __init__(self, spark: SparkSession, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP):
         if not 2 * MARGIN < overlap <= chunk:
             raise ValueError("the overlap must be above the margin and at most a chunk")
-        sent = spark.sparkContext.broadcast((load_ranks(path), pattern))
-        self.coder = functools.partial(_coder, uuid.uuid4().hex, sent)
+        ranks = load_ranks(path)
+        name = hashlib.sha256(repr((sorted(ranks.items(), key=lambda r: r[1]), pattern)).encode()).hexdigest()
+        self.coder = functools.partial(_coder, name, spark.sparkContext.broadcast((ranks, pattern)))
         self.chunk, self.overlap = chunk, overlap
 
     # -- one chunk ------------------------------------------------------------
 
-    def ids(self, text: Column) -> Column:
-        """Ids of a text as little-endian unsigned 32-bit integers (binary)."""
-        coder = self.coder
-
-        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            own = coder()
-            for texts in batches:
-                yield pa.array([own.encode(t.as_py()).tobytes() for t in texts], pa.binary())
-
-        return F.arrow_udf(run, "binary")(text)
+    def run(self, df: DataFrame, text: str | None, ids: str, raw: str | None) -> DataFrame:
+        """`df` with the ids of `text` (or those there already) and, if named, their raw bytes.
 
-    def bytes(self, ids: Column) -> Column:
-        """Raw bytes of ids."""
+        Ids are little-endian unsigned 32-bit integers in a binary column. Rows go back in slices of SLICE bytes of
+        text, so that memory does not follow the size of Arrow's input batches.
+        """
         coder = self.coder
+        added = [*([ids] if text else []), *([raw] if raw else [])]
 
-        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = coder()
-            for rows in batches:
-                yield pa.array([own.decode(np.frombuffer(r.as_py(), "<u4")) for r in rows], pa.binary())
-
-        return F.arrow_udf(run, "binary")(ids)
+            for batch in batches:
+                source = batch.column(text or ids)
+                size = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.binary_length(source), 0)))])
+                first = 0
+                while first < len(source):
+                    end = max(first + 1, int(np.searchsorted(size, size[first] + SLICE, "right")) - 1)
+                    part = batch.slice(first, end - first)
+                    rows = part.column(text or ids)
+                    made = [own.encode(t.as_py() or "") for t in rows] if text else [np.frombuffer(r.as_py(), "<u4") for r in rows]
+                    new = [pa.array([x.tobytes() for x in made], pa.binary())] if text else []
+                    new += [pa.array([own.decode(x) for x in made], pa.binary())] if raw else []
+                    yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *added])
+                    first = end
+
+        return df.mapInArrow(encoded, T.StructType([*df.schema.fields, *[T.StructField(c, T.BinaryType()) for c in added]]))
 
     # -- chunks of long texts -------------------------------------------------
 
@@ -166,20 +175,17 @@ class ByteBPE:
     def encode(self, docs: DataFrame) -> DataFrame:
         """Rows of `docs` with their columns, `ids` (binary) and `raw` (binary, decoded from the ids)."""
         ids, raw, row = unused(docs, "ids"), unused(docs, "raw"), unused(docs, "row_id")
-        whole = docs.where(F.length(clean_text()) <= self.chunk).withColumn(ids, self.ids(clean_text()))
-        long = docs.where(F.length(clean_text()) > self.chunk)
-        return self._decoded(whole.unionByName(self._encode_long(long, ids, row)), ids, raw)
-
-    def _decoded(self, df: DataFrame, ids: str, raw: str) -> DataFrame:
-        return df.withColumn(raw, self.bytes(F.col(ids)))
+        size = F.length(clean_text())
+        whole = self.run(docs.where(size <= self.chunk), "text", ids, raw)
+        return whole.unionByName(self.run(self._encode_long(docs.where(size > self.chunk), ids, row), None, ids, raw))
 
     def _encode_long(self, long: DataFrame, ids: str, row: str) -> DataFrame:
         """Long texts: equal texts are encoded once; the ids of their pieces are joined in order."""
         keyed = long.withColumn(row, F.sha2(clean_text(), 256))
         once = keyed.groupBy(row).agg(F.first(clean_text()).alias("text"))
-        parts = self.pieces(once, row, "text").repartition(F.col(row), F.col("piece")).withColumn("part_ids", self.ids(F.col("text")))
+        parts = self.run(self.pieces(once, row, "text").repartition(F.col(row), F.col("piece")), "text", "part_ids", None).drop("text")
         joined = parts.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("piece", "part_ids"))).alias("parts"))
-        whole = joined.select(row, F.aggregate("parts", F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p["part_ids"])).alias(ids))
+        whole = joined.select(row, F.unhex(F.array_join(F.transform("parts", lambda p: F.hex(p["part_ids"])), "")).alias(ids))
         return keyed.join(whole, row).drop(row)
 
 
