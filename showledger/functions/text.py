@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import json
 import re
+from collections.abc import Callable
+from html import entities
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -54,20 +58,59 @@ def truncate_excerpt(c, limit: int) -> Column:
     return F.when(F.length(text) <= limit, text).otherwise(F.concat(cut, F.lit("...")))
 
 
-# Named entities a catalog page uses; numeric references are decoded separately.
-ENTITIES = [
-    ("&nbsp;", " "), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"),
-    ("&gt;", ">"), ("&copy;", "©"), ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"),
-    ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"),
-    ("&rdquo;", "”"), ("&amp;", "&"),
-]
+@functools.cache
+def _names() -> tuple[str, str, str]:
+    """JSON of name -> text, JSON of the names that need no semicolon, and their pattern, from the standard library's HTML5 table."""
+    whole = {n[:-1]: v for n, v in entities.html5.items() if n.endswith(";")}
+    short = {n: v for n, v in entities.html5.items() if not n.endswith(";")}
+    return json.dumps(whole), json.dumps(short), "|".join(sorted(short, key=len, reverse=True))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _code_point(n: Column) -> Column:
+    """Text of a numeric reference: 128-159 are read as Windows-1252, what is no character becomes U+FFFD."""
+    windows = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(128, 160))
+    bad = (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 0xFFFD).otherwise(n)), 8, "0")), "UTF-32")
+    return F.when(n.between(128, 159), F.substring(F.lit(windows), (n - 127).cast("int"), F.lit(1))).otherwise(char)
 
 
 def unescape_html(c) -> Column:
-    out = col(c)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Character references decoded in one pass: decimal, hexadecimal and all HTML5 names."""
+    text = col(c)
+    whole, short, bare = _names()
+    named = F.from_json(F.lit(whole), "map<string,string>")
+    unended = F.from_json(F.lit(short), "map<string,string>")
+
+    def point(digits: Column, base: int) -> Column:
+        plain = F.ltrim(digits, F.lit("0"))  # of too many digits: beyond the last character anyway
+        return _code_point(F.when(F.length(plain) > 9, F.lit(0x110000)).otherwise(F.coalesce(F.conv(plain, base, 10).cast("bigint"), F.lit(0))))
+
+    def decode(piece: Column) -> Column:
+        return F.when(piece.startswith("&#"), number(piece)).when(piece.startswith("&"), word(piece)).otherwise(piece)
+
+    def number(piece: Column) -> Column:
+        digits = F.regexp_extract(piece, r"^&#(?:[xX](?=[0-9a-fA-F]))?([0-9a-fA-F]+)", 1)
+        hexed = piece.rlike(r"^&#[xX][0-9a-fA-F]")
+        return (
+            F.when(hexed, F.concat(point(digits, 16), F.regexp_replace(piece, r"^&#[xX][0-9a-fA-F]+;?", "")))
+            .when(piece.rlike(r"^&#[0-9]"), F.concat(point(F.regexp_extract(piece, r"^&#([0-9]+)", 1), 10), F.regexp_replace(piece, r"^&#[0-9]+;?", "")))
+            .otherwise(piece)
+        )
+
+    def word(piece: Column) -> Column:
+        full = F.element_at(named, F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);", 1))
+        part = F.element_at(unended, F.regexp_extract(piece, f"^&({bare})", 1))
+        return F.coalesce(
+            F.concat(full, F.regexp_replace(piece, r"^&[A-Za-z0-9]+;", "")),
+            F.concat(part, F.regexp_replace(piece, f"^&({bare});?", "")), piece)
+
+    pieces = F.split(text, "(?=&(?:#[0-9xX]|[A-Za-z]))")
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
 
 
 def html_text(c) -> Column:
@@ -81,7 +124,7 @@ def html_lines(c) -> Column:
     """HTML -> array of non-blank lines (`br`, `/p`, `/div`, `/li` end a line)."""
     broken = F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?i)<br\s*/?>|</p>|</div>|</li>", "\n")
     plain = unescape_html(F.regexp_replace(broken, r"(?s)<[^>]+>", ""))
-    return F.filter(F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(plain, "\n"), lambda x: F.regexp_replace(x, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")), lambda x: x != "")
 
 
 def label_pairs(c) -> Column:
@@ -103,9 +146,14 @@ def is_labeled(pair: Column) -> Column:
 
 def labeled_fields(c) -> Column:
     """HTML -> map(label -> value); labels lower-cased without spaces, last one wins."""
+    return fields_of(label_pairs(c))
+
+
+def fields_of(pairs: Column) -> Column:
+    """Labelled pairs -> map(label -> value)."""
     return entries_last_wins(
         F.transform(
-            F.filter(label_pairs(c), is_labeled),
+            F.filter(pairs, is_labeled),
             lambda p: F.struct(
                 F.replace(F.lower(p["key"]), F.lit(" "), F.lit("")).alias("key"), p["value"].alias("value")
             ),
@@ -130,7 +178,12 @@ def labeled_value(html, label: str) -> Column:
 
 def first_unlabeled(c, min_chars: int = 24) -> Column:
     """First line that is not `label: value` and has at least `min_chars` characters."""
-    found = F.filter(label_pairs(c), lambda p: ~is_labeled(p) & (F.length(p["line"]) >= min_chars))
+    return unlabeled_of(label_pairs(c), min_chars)
+
+
+def unlabeled_of(pairs: Column, min_chars: int = 24) -> Column:
+    """First long line of the pairs without a label."""
+    found = F.filter(pairs, lambda p: ~is_labeled(p) & (F.length(p["line"]) >= min_chars))
     return F.coalesce(F.get(found, 0)["line"], F.lit(""))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from .arrays import compact_ci
-from .text import col, normalize_space, unescape_html
+from .text import col, let, normalize_space, unescape_html
 from .urls import slug_from_url
 
 
@@ -126,12 +126,20 @@ def hit_score(query, titles, query_year, hit_year, profile: str = "A", require_t
 
 def decompose_labeled(c, fmt=None) -> Column:
     """`[LABEL] Title Episode N` -> struct of labels, kind, numbers, series flag."""
-    text = F.trim(unescape_html(F.coalesce(col(c), F.lit(""))))
+    animated = F.lit(True) if fmt is None else F.lower(F.trim(col(fmt))).startswith("animation")
+    return let(F.trim(unescape_html(F.coalesce(col(c), F.lit("")))), lambda text: _decomposed(text, animated))
+
+
+def _decomposed(text: Column, animated: Column) -> Column:
     block = F.regexp_extract(text, r"^((?:\s*\[[^\]]+\])*)", 1)
     labels = compact_ci(
         F.transform(F.regexp_extract_all(block, F.lit(r"\[([^\]]+)\]"), F.lit(1)), lambda x: F.upper(F.trim(x)))
     )
     title = normalize_space(F.substring(text, F.length(block) + 1, F.length(text)))
+    return let(F.struct(title.alias("title"), labels.alias("labels")), lambda x: _kinds(x["title"], x["labels"], animated))
+
+
+def _kinds(title: Column, labels: Column, animated: Column) -> Column:
     number = lambda word: F.coalesce(
         F.nullif(F.regexp_extract(title, r"(?i)\b" + word + r"\s+(\d{1,4})\b", 1), F.lit("")).try_cast("int"), F.lit(0)
     )
@@ -143,7 +151,6 @@ def decompose_labeled(c, fmt=None) -> Column:
         .when(part > 0, "part")
         .otherwise("standalone")
     )
-    animated = F.lit(True) if fmt is None else F.lower(F.trim(col(fmt))).startswith("animation")
     return F.struct(
         title.alias("normalized_title"), labels.alias("labels"), kind.alias("entry_kind"),
         episode.alias("episode_number"), part.alias("part_number"),

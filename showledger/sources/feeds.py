@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, dates, titles, urls
 from ..functions.arrays import compact_ci, split_values
-from ..functions.text import first_present, first_unlabeled, html_text, labeled_fields, unescape_html
+from ..functions.text import fields_of, first_present, html_text, label_pairs, unescape_html, unlabeled_of
 from ..session import spread
 
 
@@ -16,13 +16,17 @@ def _unwrap(c: Column) -> Column:
     return F.trim(unescape_html(F.trim(inner)))
 
 
+def _pattern(tag: str) -> str:
+    return rf"(?is)<{tag}(?:\b[^>]*)?>(.*?)</{tag}>"
+
+
 def _tags(block: Column, tag: str) -> Column:
-    pattern = rf"(?is)<{tag}(?:\b[^>]*)?>(.*?)</{tag}>"
-    return F.transform(F.regexp_extract_all(block, F.lit(pattern), F.lit(1)), _unwrap)
+    return F.transform(F.regexp_extract_all(block, F.lit(_pattern(tag)), F.lit(1)), _unwrap)
 
 
 def _tag(block: Column, tag: str) -> Column:
-    return F.coalesce(F.get(_tags(block, tag), 0), F.lit(""))
+    """First tag of its name; the scan stops there and only it is decoded."""
+    return _unwrap(F.regexp_extract(block, _pattern(tag), 1))
 
 
 def image_url(c: Column) -> Column:
@@ -49,17 +53,17 @@ def hydrate_feed(feed: DataFrame) -> DataFrame:
     field = lambda *names: F.coalesce(*[F.col("_f")[n] for n in names], F.lit(""))
     listed = lambda *names: compact_ci(split_values(field(*names), r"[,/|]"))
     return (
-        feed.withColumn("_f", labeled_fields(source))
+        feed.withColumn("_p", label_pairs(source)).withColumn("_f", fields_of(F.col("_p")))
         .withColumn("content_format", codes.content_format("categories", "title"))
         .withColumns({
             "source_domain": F.regexp_replace(urls.domain("feed_url"), r":\d+$", ""),
             "cover_url": first_present(image_url(F.col("content")), image_url(F.col("description"))),
-            "excerpt": first_present(first_unlabeled(source), html_text("description"), html_text("content")),
+            "excerpt": first_present(unlabeled_of(F.col("_p")), html_text("description"), html_text("content")),
             "original_title": field("originaltitle"), "duration": field("duration", "runtime"), "size": field("size"),
             "code": field("code", "nuclearcode"), "performer": field("performer", "actress"), "parody": field("parody"),
             "producers": listed("producers", "producer", "studio"), "genres": listed("genres", "genre"),
             "published_at": dates.parse_feed_date("pub_date"),
             "title_parts": titles.decompose_labeled("title", "content_format"),
         })
-        .drop("_f")
+        .drop("_f", "_p")
     )

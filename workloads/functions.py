@@ -141,6 +141,20 @@ def _text(t: Tables):
 _AMP = "replace(replace(replace(replace({x}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
 
 
+_REFS = ["&#8217;", "&#x27;", "&#39;", "&eacute;", "&raquo;", "&nbsp;", "&AMP;", "&#x1F600;", "&#150;", "&#0;", "&copy", "&NotEqualTilde;", "&nosuchname;", "&lt;p&gt;", "&amp;lt;"]
+_READ = ["\u2019", "'", "'", "\u00e9", "\u00bb", "\u00a0", "&", "\U0001f600", "\u2013", "\ufffd", "\u00a9", "\u2242\u0338", "&nosuchname;", "<p>", "&lt;"]
+
+
+@query("entity_functions", f"""
+WITH d AS (SELECT doc_id, replace(coalesce(text, ''), '&', '+') AS body FROM documents)
+SELECT doc_id, md5(body || '{"|".join(_READ).replace("'", "''")}' || body) AS decoded FROM d
+""")
+def _entities(t: Tables):
+    """Decimal, hexadecimal and named references of every kind within whole texts."""
+    body = F.replace(F.coalesce("text", S("")), S("&"), S("+"))
+    return t.heavy("documents").select("doc_id", F.md5(text.unescape_html(F.concat(body, S("|".join(_REFS)), body))).alias("decoded"))
+
+
 @query("html_to_text", r"""
 SELECT page_id, md5(trim(regexp_replace(""" + _AMP.format(x=r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
   '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g')""") + r""", '[\s\p{Z}]+', ' ', 'g'))) AS body FROM pages
