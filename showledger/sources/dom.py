@@ -13,20 +13,29 @@ _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "me
 # a start tag of the key closes an open element of the value
 _IMPLIED = {"p": {"p"}, "li": {"li"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"ul", "ol", "table", "div", "article", "section", "body", "html"}
+# a page nested deeper than this is no page a browser would lay out; it is rejected
+MAX_DEPTH = 2000
 _STEP = re.compile(r"([a-zA-Z][\w-]*)|\.([\w-]+)|#([\w-]+)|\[([\w:-]+)(?:(\^?=)[\"']?([^\"'\]]*)[\"']?)?\]")
 
 
+class TooDeep(ValueError):
+    """Nesting beyond MAX_DEPTH."""
+
+
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "children")
+    __slots__ = ("tag", "attrs", "parent", "children", "depth")
 
     def __init__(self, tag, attrs, parent):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        self.depth = parent.depth + 1 if parent is not None else 0
 
     def walk(self):
-        for child in self.children:
-            if isinstance(child, Node):
-                yield child
-                yield from child.walk()
+        """Descendants in document order."""
+        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
+        while stack:
+            node = stack.pop()
+            yield node
+            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
     def text(self) -> str:
         parts: list[str] = []
@@ -55,6 +64,8 @@ class _Builder(HTMLParser):
                     break
                 node = node.parent
         node = Node(tag, {k: v or "" for k, v in attrs}, self.here)
+        if node.depth > MAX_DEPTH:
+            raise TooDeep(f"nested deeper than {MAX_DEPTH} elements")
         self.here.children.append(node)
         if tag not in _VOID:
             self.here = node
@@ -122,34 +133,63 @@ def _fits(node: Node, root: Node, steps: list) -> bool:
     return False
 
 
+def find(root: Node, compiled):
+    """Matching nodes in document order, one after another."""
+    return (n for n in root.walk() if any(_fits(n, root, steps) for steps in compiled))
+
+
 def select(root: Node, compiled) -> list[Node]:
-    return [n for n in root.walk() if any(_fits(n, root, steps) for steps in compiled)]
+    return list(find(root, compiled))
+
+
+class Source:
+    """`selector|text` or `selector|@attr`, compiled once; an empty selector is the node itself."""
+
+    def __init__(self, source: str):
+        selector, _, what = source.rpartition("|")
+        self.selector = compile_selector(selector) if selector.strip() else None
+        self.attr = what[1:] if what.startswith("@") else None
+
+    def of(self, node: Node) -> str:
+        return node.attrs.get(self.attr, "").strip() if self.attr is not None else node.text()
+
+    def first(self, root: Node) -> str:
+        """Value of the first match, '' without one; the walk stops there."""
+        node = root if self.selector is None else next(find(root, self.selector), None)
+        return self.of(node) if node is not None else ""
+
+    def all(self, root: Node) -> list[str]:
+        """Non-blank values of all matches."""
+        nodes = [root] if self.selector is None else find(root, self.selector)
+        return [v for v in map(self.of, nodes) if v]
 
 
-def read_value(root: Node, source: str) -> str:
-    """First non-blank value of `selector|text` or `selector|@attr`; an empty selector is the node itself."""
-    selector, _, what = source.rpartition("|")
-    nodes = select(root, compile_selector(selector)) if selector.strip() else [root]
-    for node in nodes[:1]:
-        value = node.attrs.get(what[1:], "").strip() if what.startswith("@") else node.text()
-        if value:
-            return value
-    return ""
+class Spec:
+    """An extraction spec, compiled once for each task."""
 
+    def __init__(self, spec: dict):
+        self.item = compile_selector(spec["item"]) if spec.get("item") else None
+        self.fields = {name: [Source(s) for s in sources] for name, sources in spec.get("fields", {}).items()}
+        self.lists = {name: Source(s) for name, s in spec.get("lists", {}).items()}
+        self.pairs = [(compile_selector(selector), compile_selector(label)) for selector, label in spec.get("pairs", [])]
 
-def read_all(root: Node, source: str) -> list[str]:
-    selector, _, what = source.rpartition("|")
-    nodes = select(root, compile_selector(selector))
-    values = [n.attrs.get(what[1:], "").strip() if what.startswith("@") else n.text() for n in nodes]
-    return [v for v in values if v]
+    def rows(self, html: str):
+        """(fields, lists) of every node the spec selects."""
+        root = parse(html)
+        for node in find(root, self.item) if self.item else [root]:
+            fields = {name: next((v for v in (s.first(node) for s in sources) if v), "") for name, sources in self.fields.items()}
+            lists = {name: s.all(node) for name, s in self.lists.items()}
+            if self.pairs:
+                lists["pairs"] = [p for selector, label in self.pairs for p in read_pairs(node, selector, label)]
+            yield fields, lists
 
 
-def read_pairs(root: Node, selector: str, label: str) -> list[str]:
+def read_pairs(root: Node, selector, label) -> list[str]:
     """`label<TAB>value` of every matching node: its first `label` node, then the rest of its text."""
     out = []
-    for node in select(root, compile_selector(selector)):
-        named = select(node, compile_selector(label))
-        name = named[0].text() if named else ""
+    for node in find(root, selector):
+        named = next(find(node, label), None)
+        name = named.text() if named is not None else ""
         text = node.text()
         value = text[len(name):].strip(" :") if text.startswith(name) else ""
         if name.strip(" :") and value:

@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..functions.numbers import card_score, card_views, chapter_number, episode_number
 from ..functions.text import contains_any, entries_last_wins, is_blank, normalize_space
-from ..session import spread
+from ..session import cut_lineage, spread
 
-_RAW = "page_id long, url string, pos int, fields map<string,string>, lists map<string,array<string>>"
+_RAW = "page_id long, url string, pos int, fields map<string,string>, lists map<string,array<string>>, error string"
 
 CARD_SPEC = {
     "item": "article",
@@ -60,29 +60,33 @@ IMAGE_SPEC = {"item": "#readerarea img", "fields": {"src": ["|@data-src", "|@src
 
 
 def extract_raw(pages: DataFrame, spec: dict) -> DataFrame:
-    """(page_id, url, pos, fields, lists) for every node the spec selects, in page order."""
+    """(page_id, url, pos, fields, lists, error) for every node the spec selects, in page order.
+
+    A page that can't be read gives one row with its error and no fields; the others are not touched by it.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from . import dom
 
-        item = dom.compile_selector(spec["item"]) if spec.get("item") else None
+        compiled = dom.Spec(spec)
         for batch in batches:
             rows = []
             for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
-                root = dom.parse(html)
-                for pos, node in enumerate(dom.select(root, item) if item else [root], 1):
-                    fields = {}
-                    for name, sources in spec.get("fields", {}).items():
-                        fields[name] = next((v for v in (dom.read_value(node, s) for s in sources) if v), "")
-                    lists = {name: dom.read_all(node, s) for name, s in spec.get("lists", {}).items()}
-                    if spec.get("pairs"):
-                        lists["pairs"] = [p for selector, label in spec["pairs"] for p in dom.read_pairs(node, selector, label)]
-                    rows.append((page_id, url, pos, fields, lists))
-            yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "fields", "lists"])
+                try:
+                    found = [(page_id, url, pos, fields, lists, None) for pos, (fields, lists) in enumerate(compiled.rows(html), 1)]
+                except (ValueError, AssertionError, RecursionError) as e:
+                    found = [(page_id, url, 0, {}, {}, f"unreadable: {e}")]
+                rows += found
+            yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "fields", "lists", "error"])
 
     return spread(pages.select("page_id", "url", "html")).mapInPandas(run, _RAW)
 
 
+def unreadable(raw: DataFrame) -> DataFrame:
+    """Reject rows (page_id, url, reason) of the pages that couldn't be read."""
+    return raw.filter(F.col("error").isNotNull()).select("page_id", "url", F.col("error").alias("reason"))
+
+
 def _field(name: str):
     return F.coalesce(F.col("fields")[name], F.lit(""))
 
@@ -125,10 +129,10 @@ def split_details(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce(F.nullif(_field("synopsis"), F.lit("")), _field("og_description")).alias("synopsis"),
         F.coalesce(F.nullif(_field("canonical"), F.lit("")), F.col("url")).alias("canonical_url"),
         _field("published").alias("published"), _field("lang").alias("lang"), strings("genres").alias("genres"),
-        strings("paragraphs").alias("paragraphs"), entries_last_wins(info).alias("info"),
+        strings("paragraphs").alias("paragraphs"), entries_last_wins(info).alias("info"), "error",
     )
-    ok = out.filter(F.col("title") != "")
-    bad = out.filter(F.col("title") == "").select("page_id", "url", F.lit("missing title").alias("reason"))
+    ok = out.filter(F.col("title") != "").drop("error")
+    bad = out.filter(F.col("title") == "").select("page_id", "url", F.coalesce("error", F.lit("missing title")).alias("reason"))
     return ok, bad
 
 
@@ -146,6 +150,7 @@ def extract_children(pages: DataFrame, spec: dict = CHILD_SPEC, synthesize: bool
     ).filter(F.col("href") != "")
     if not synthesize:
         return rows
+    rows = cut_lineage(rows)  # pages are read once, though the rows are used twice
     lone = pages.join(rows.select("page_id").distinct(), "page_id", "left_anti").select(
         "page_id", "url", F.lit(1).alias("pos"), F.col("url").alias("href"), urls.slug_from_url("url").alias("slug"),
         F.lit("1").alias("label"), F.lit("1").alias("number_text"), F.lit(1.0).alias("number"), F.lit("").alias("date_label"),

@@ -47,6 +47,68 @@ def _rejects(t: Tables):
     return P.extract_detail(pages)[1].select("page_id", "reason")
 
 
+@query("page_unreadable", """
+SELECT page_id, 'unreadable: nested deeper than 2000 elements' AS reason, 0 AS cards FROM pages WHERE page_id % 50 = 7
+UNION ALL SELECT page_id, NULL, len(regexp_extract_all(html, '<li><a href="')) FROM pages WHERE page_id % 50 <> 7
+""")
+def _unreadable(t: Tables):
+    """Pages of 5,000 open elements among the others: one reject each, and every row of the rest."""
+    deep = F.concat(F.repeat(S("<div>"), F.lit(5000)), "html")
+    pages = t.pages.withColumn("html", F.when(F.col("page_id") % 50 == 7, deep).otherwise(F.col("html")))
+    raw = P.extract_raw(pages, NAV_SPEC)
+    return raw.groupBy("page_id").agg(F.max("error").alias("reason"), F.count(F.when(F.col("error").isNull(), 1)).alias("cards"))
+
+
+_CARDS = """
+<div><article><h4>{k} &amp; co</h4><a href="/show/s-{k}/?x=1">go</a><img data-src=" /img/{k}.jpg" src="no.jpg"><div class="meta">7.5 | 1.2K views</div>
+<span class="type">TV</span><span class="status">{mkt}</span><p>About <b>{k}</b>.</p><div class="genres"><a>A</a><a>{mkt}</a></div></article>
+<article><img alt="alt {k}" src="i.jpg"><a href="/b/{k}">x</a></article><article><h4>no link</h4></article></div>
+"""
+
+
+def _filled(pattern: str, k, **more):
+    """Text with {name} places taken by columns."""
+    out = S(pattern.replace("\n", ""))
+    for name, value in {"k": k, **more}.items():
+        out = F.replace(out, S("{" + name + "}"), value)
+    return out
+
+
+@query("page_cards_full", """
+SELECT c_custkey AS page_id, 1 AS pos, 's-' || c_custkey AS slug, c_custkey || ' & co' AS title, '/show/s-' || c_custkey || '/?x=1' AS href, '/img/' || c_custkey || '.jpg' AS poster,
+  'TV' AS type, c_mktsegment AS status, 'About ' || c_custkey || '.' AS excerpt, 'A|' || c_mktsegment AS genres FROM customer
+UNION ALL SELECT c_custkey, 2, CAST(c_custkey AS VARCHAR), 'alt ' || c_custkey, '/b/' || c_custkey, 'i.jpg', '', '', '', '' FROM customer
+""")
+def _cards_full(t: Tables):
+    """Every field of a card, on pages made of the customers."""
+    k = F.col("c_custkey").cast("string")
+    pages = t.heavy("customer").select(F.col("c_custkey").alias("page_id"), S("https://example.org/list").alias("url"), _filled(_CARDS, k, mkt=F.col("c_mktsegment")).alias("html"))
+    return P.extract_cards(pages).select("page_id", "pos", "slug", "title", "href", "poster", "type", "status", "excerpt", joined("genres").alias("genres"))
+
+
+_DETAIL = """
+<html lang="id"><head><title>t</title><link rel="canonical" href="https://example.org/s/{k}"><meta property="og:title" content="og"><meta property="og:image" content="https://example.org/og/{k}.jpg">
+<meta name="description" content="described {k}"><meta property="article:published_time" content="2024-01-02T03:04:05+00:00"></head><body><h1>Show {k}</h1>
+<div class="alter">Other {k}</div>{thumb}<div class="info"><span><b>Studio</b>: {mkt}</span><span><b>Kode Nuklir :</b> {k}</span></div>
+<table class="info"><tr><td>Status</td><td>Done</td></tr></table><div class="genres"><a>A</a><a>B</a></div><article><p>One {k}</p><p></p><p>Two</p></article></body></html>
+"""
+
+
+@query("page_detail_full", """
+SELECT c_custkey AS page_id, 'Show ' || c_custkey AS title, 'Other ' || c_custkey AS alt_title, CASE WHEN c_custkey % 2 = 0 THEN '/thumb.jpg' ELSE 'https://example.org/og/' || c_custkey || '.jpg' END AS poster,
+  'described ' || c_custkey AS synopsis, 'https://example.org/s/' || c_custkey AS canonical_url, '2024-01-02T03:04:05+00:00' AS published, 'id' AS lang, 'A|B' AS genres,
+  'One ' || c_custkey || '|Two' AS paragraphs, c_mktsegment AS studio, CAST(c_custkey AS VARCHAR) AS code, 'Done' AS status FROM customer
+""")
+def _detail_full(t: Tables):
+    """Every field of a detail page, on pages made of the customers."""
+    k = F.col("c_custkey").cast("string")
+    thumb = F.when(F.col("c_custkey") % 2 == 0, '<div class="thumb"><img src="/thumb.jpg"></div>').otherwise("")
+    pages = t.heavy("customer").select(F.col("c_custkey").alias("page_id"), S("https://example.org/x").alias("url"), _filled(_DETAIL, k, mkt=F.col("c_mktsegment"), thumb=thumb).alias("html"))
+    ok, _ = P.extract_detail(pages)
+    return ok.select("page_id", "title", "alt_title", "poster", "synopsis", "canonical_url", "published", "lang", joined("genres").alias("genres"), joined("paragraphs").alias("paragraphs"),
+                     F.col("info")["studio"].alias("studio"), F.col("info")["kodenuklir"].alias("code"), F.col("info")["status"].alias("status"))
+
+
 @query("page_children", "WITH " + _NAV_SQL + "SELECT page_id, pos, href, label, lower(label) AS number_text FROM nav WHERE href <> ''")
 def _children(t: Tables):
     return P.extract_children(t.pages, NAV_CHILDREN).select("page_id", F.col("pos").cast("bigint").alias("pos"), "href", "label", "number_text")
@@ -73,11 +135,14 @@ def _links(t: Tables):
 
 @query("page_link_summary", "WITH " + _NAV_SQL + """,
 d AS (SELECT *, row_number() OVER (PARTITION BY page_id, label ORDER BY pos) AS rn FROM nav)
-SELECT page_id, count(*) AS links, string_agg(label, '|' ORDER BY pos) FILTER (rn = 1 AND label <> '') AS labels FROM d GROUP BY 1
+SELECT page_id, count(*) AS links, string_agg(label, '|' ORDER BY pos) FILTER (rn = 1 AND label <> '') AS labels,
+  coalesce(any_value('cdn.example.org') FILTER (pos > 1), '') AS hosts FROM d GROUP BY 1
 """)
 def _summary(t: Tables):
-    raw = P.extract_raw(t.pages, P.LINK_SPEC).select("page_id", "pos", F.col("fields")["href"].alias("href"), F.col("fields")["label"].alias("label"))
-    return P.page_link_summary(raw).select("page_id", "links", joined("labels").alias("labels"))
+    # all links but the first of a page lead to another host
+    href = F.when(F.col("pos") > 1, F.concat(S("https://CDN.example.org:443"), F.col("fields")["href"])).otherwise(F.col("fields")["href"])
+    raw = P.extract_raw(t.pages, P.LINK_SPEC).select("page_id", "pos", href.alias("href"), F.col("fields")["label"].alias("label"))
+    return P.page_link_summary(raw).select("page_id", "links", joined("labels").alias("labels"), joined("hosts").alias("hosts"))
 
 
 @query("page_assets", """
