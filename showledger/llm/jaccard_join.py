@@ -41,7 +41,7 @@ from .winnowing import gram_hash, words
 #: Similarity of a link; words of a shingle; probability of finding a link.
 THRESHOLD, GRAM, RECALL = 0.8, 5, 0.999
 #: Sampled tokens of a set; levels made in the map tasks; last level; sets of a node for brute force.
-SIZE, FIRST, DEPTH, LIMIT = 64, 3, 10, 256
+SIZE, FIRST, DEPTH, LIMIT = 64, 3, 10, 1024
 #: Shingles of one block of a candidate group.
 BLOCK = 1 << 20
 
@@ -167,10 +167,15 @@ def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _near_pairs(node: np.ndarray, sig: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within a node that agree in at least `least` sampled tokens; nodes of one size are done together."""
+    """Pairs within a node that agree in at least `least` sampled tokens; small nodes of one size are done together."""
     _, start, size = np.unique(node, return_index=True, return_counts=True)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for m in np.unique(size[size > 1]):
+    for begin, m in zip(start[size > 64], size[size > 64]):
+        for a in range(begin, begin + m - 1):
+            b = a + 1 + np.flatnonzero((sig[a] == sig[a + 1 : begin + m]).sum(axis=1) >= least)
+            left.append(np.full(len(b), a))
+            right.append(b)
+    for m in np.unique(size[(size > 1) & (size <= 64)]):
         i, j = np.triu_indices(m, 1)
         begin = start[size == m]
         step = max(1, (4 << 20) // (len(i) * SIZE))
