@@ -131,25 +131,25 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SIZE)
 
 
-def _batch(nodes: np.ndarray, keys: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), keys], ["node", "key"])
+def _batch(nodes: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), ids], ["node", "id"])
 
 
 def _start(batches: Iterator[pa.RecordBatch], runs: int, levels: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sig, keys = _matrix(b.column("sig")), b.column("key")
+        sig, ids = _matrix(b.column("sig")), b.column("id")
         for r in range(runs):
             nodes, rows = np.full(len(sig), np.uint64(r + 1)), np.arange(len(sig))
             for _ in range(levels):
                 nodes, rows = split(nodes, rows, sig)
-            yield _batch(nodes, keys.take(pa.array(rows)))
+            yield _batch(nodes, ids.take(pa.array(rows)))
 
 
 def _deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sig = _matrix(b.column("sig"))
         nodes, rows = split(b.column("node").to_numpy(zero_copy_only=False).view(np.uint64), np.arange(len(sig)), sig)
-        yield _batch(nodes, b.column("key").take(pa.array(rows)))
+        yield _batch(nodes, b.column("id").take(pa.array(rows)))
 
 
 def _least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -217,22 +217,25 @@ def candidate_edges(texts: DataFrame, threshold: float = THRESHOLD, recall: floa
     runs = runs_for(recall)
     least = math.floor(SIZE * (threshold - 4 * math.sqrt(threshold * (1 - threshold) / SIZE)))
     known = texts.where("sig is not null").select("key", "sig")
-    same = cut_lineage(known.groupBy("sig").agg(F.min("key").alias("key")))  # equal embeddings go one way
-    edges = [known.join(same.withColumnRenamed("key", "low"), "sig").where("key <> low").select(F.col("key").alias("u"), F.col("low").alias("v"))]
-    rows = same.mapInArrow(functools.partial(_start, runs=runs, levels=FIRST), "node long, key binary")
+    first = known.groupBy("sig").agg(F.min("key").alias("key"))  # equal embeddings go one way
+    # nodes hold 60 bits of the key; should two keys share them, both are fetched by the join below
+    same = cut_lineage(first.withColumn("id", F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("long")))
+    edges = [known.join(same.select("sig", F.col("key").alias("low")), "sig").where("key <> low").select(F.col("key").alias("u"), F.col("low").alias("v"))]
+    rows = same.select("id", "sig").mapInArrow(functools.partial(_start, runs=runs, levels=FIRST), "node long, id long")
     for level in range(FIRST, DEPTH + 1):
-        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low")).where("n > 1")
-        hits = cut_lineage(rows.join(sizes, "node"))
-        signed = hits.join(same, "key")
+        sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        hits = cut_lineage(rows.join(sizes, "node").select("node", "n", "id"))
+        signed = hits.join(same, "id")
         sorted_ = signed.where(F.col("n") <= LIMIT).select("node", "key", "sig").repartition("node").sortWithinPartitions("node", "key")
-        edges.append(cut_lineage(sorted_.mapInArrow(functools.partial(_brute, least=least), "u binary, v binary").distinct()))
-        big = hits.where(F.col("n") > LIMIT)
-        if big.isEmpty():
+        edges.append(sorted_.mapInArrow(functools.partial(_brute, least=least), "u binary, v binary"))
+        if hits.where(F.col("n") > LIMIT).isEmpty():
             break
+        big = signed.where(F.col("n") > LIMIT)
         if level == DEPTH:
-            edges.append(big.select(F.col("key").alias("u"), F.col("low").alias("v")).where("u <> v").distinct())
+            low = big.groupBy("node").agg(F.min("key").alias("v"))
+            edges.append(big.join(low, "node").select(F.col("key").alias("u"), "v").where("u <> v"))
         else:
-            rows = cut_lineage(signed.where(F.col("n") > LIMIT).select("node", "key", "sig").mapInArrow(_deeper, "node long, key binary"))
+            rows = cut_lineage(big.select("node", "id", "sig").mapInArrow(_deeper, "node long, id long"))
     return functools.reduce(DataFrame.unionByName, edges)
 
 
