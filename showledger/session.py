@@ -73,6 +73,19 @@ def shared_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a shared folder")
 
 
+def delete_below(spark: SparkSession, root: str, path: str) -> None:
+    """Delete `path`, which must lie below the folder `root`: anything else (an empty path is the working directory) is refused."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    if not root or not path:
+        raise ValueError("root and path must be named")
+    top, target = hadoop(root), hadoop(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    whole, below = fs.makeQualified(top).toString().rstrip("/"), fs.makeQualified(target).toString()
+    if not below.startswith(whole + "/") or "/../" in below + "/":
+        raise ValueError(f"{below} is not below {whole}")
+    fs.delete(target, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives executor loss."""
     context = df.sparkSession.sparkContext

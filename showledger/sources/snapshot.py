@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import iso_z
 from ..functions.text import tokens
 from ..operators.ranking import top_per_group
-from ..session import cut_lineage
+from ..session import cut_lineage, delete_below
 
 
 def touched_items(items: DataFrame, units: DataFrame, domain: Column) -> DataFrame:
@@ -19,14 +19,19 @@ def touched_items(items: DataFrame, units: DataFrame, domain: Column) -> DataFra
         "unit_count", F.coalesce("unit_count", F.lit(0))).drop("_u")
 
 
+#: Columns of a document; title_slug names the title that a document belongs to, also for its units.
+DOCUMENT = ["domain", "kind", "title_slug", "slug", "touched_at", "document"]
+#: Columns that name a folder of the pack.
+FOLDER = ["domain", "kind", "slug_bucket"]
+
+
 def snapshot_documents(items: DataFrame, units: DataFrame, domain: Column, hot_limit: int = 8) -> DataFrame:
-    """(domain, kind, slug, touched_at, document) for catalog, title, playback, home and search."""
-    titles = touched_items(items, units, domain).select("item_key", "domain", "slug", "title", "touched_at", "unit_count")
+    """DOCUMENT rows for catalog, title, playback, home and search."""
+    titles = touched_items(items, units, domain).select("item_key", "domain", F.col("slug").alias("title_slug"), "slug", "title", "touched_at", "unit_count")
     doc = lambda kind, *fields: F.struct(F.lit(kind).alias("kind"), F.to_json(F.struct(*fields)).alias("document"))
-    out = ["domain", "kind", "slug", "touched_at", "document"]
     # the three documents of a title come from one pass over the joined titles
     each = titles.select(
-        "domain", "slug", "touched_at",
+        "domain", "title_slug", "slug", "touched_at",
         F.inline(F.array(
             doc("catalog", "slug", "title"), doc("title", "item_key", "slug", "title", "unit_count"),
             doc("search", "slug", "title", tokens("title").alias("tokens")),
@@ -34,11 +39,11 @@ def snapshot_documents(items: DataFrame, units: DataFrame, domain: Column, hot_l
     )
     order = [F.col("touched_at").desc(), F.col("slug"), F.col("item_key")]
     hot = top_per_group(titles, ["domain"], order, hot_limit, rank="rank").select(
-        "domain", "slug", "touched_at", F.inline(F.array(doc("home", "rank", "slug", "title"))))
-    owners = items.select("item_key", domain.alias("domain")).filter(F.col("domain").isNotNull())
+        "domain", "title_slug", "slug", "touched_at", F.inline(F.array(doc("home", "rank", "slug", "title"))))
+    owners = items.select("item_key", F.col("slug").alias("title_slug"), domain.alias("domain")).filter(F.col("domain").isNotNull())
     plays = units.select("unit_key", "item_key", "slug", F.col("updated_at").alias("touched_at")).join(owners, "item_key").select(
-        "domain", "slug", "touched_at", F.inline(F.array(doc("playback", "unit_key", "item_key", "slug"))))
-    return each.select(*out).unionByName(hot.select(*out)).unionByName(plays.select(*out))
+        "domain", "title_slug", "slug", "touched_at", F.inline(F.array(doc("playback", "unit_key", "item_key", "slug"))))
+    return each.select(*DOCUMENT).unionByName(hot.select(*DOCUMENT)).unionByName(plays.select(*DOCUMENT))
 
 
 def manifest(documents: DataFrame) -> DataFrame:
@@ -48,12 +53,18 @@ def manifest(documents: DataFrame) -> DataFrame:
     )
 
 
-def build_snapshot(items: DataFrame, units: DataFrame, domain: Column, out: str, hot_limit: int = 8) -> DataFrame:
-    """Write the pack under `out/pack` and its manifest; returns the manifest."""
+def _bucketed(documents: DataFrame, buckets: int) -> DataFrame:
+    return documents.withColumn("slug_bucket", F.pmod(F.xxhash64("title_slug"), F.lit(buckets)).cast("int"))
+
+
+def build_snapshot(items: DataFrame, units: DataFrame, domain: Column, out: str, hot_limit: int = 8, buckets: int = 64) -> DataFrame:
+    """Write the pack under `out/pack` (folders by domain, kind and bucket of the title) and its manifest; returns the manifest."""
     documents = snapshot_documents(items, units, domain, hot_limit)
-    (documents.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("domain", "kind").parquet(out + "/pack"))
-    return write_manifest(documents.sparkSession.read.parquet(out + "/pack"), out)
+    spark = documents.sparkSession
+    (_bucketed(documents, buckets).repartition(*FOLDER).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(*FOLDER).parquet(out + "/pack"))
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(out + "/layout")
+    return write_manifest(spark.read.parquet(out + "/pack"), out)
 
 
 def write_manifest(pack: DataFrame, out: str) -> DataFrame:
@@ -61,31 +72,50 @@ def write_manifest(pack: DataFrame, out: str) -> DataFrame:
     return pack.sparkSession.read.parquet(out + "/manifest")
 
 
-def patched(pack: DataFrame, targets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pack rows outside the targets plus the new documents of the targets."""
-    keys = targets.select("domain", "slug").distinct()
-    fresh = docs.join(keys, ["domain", "slug"], "left_semi")
-    return pack.join(keys, ["domain", "slug"], "left_anti").select(*docs.columns).unionByName(fresh)
+def supplied(targets: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents of `docs` that belong to a target (domain, slug)."""
+    keys = targets.select("domain", F.col("slug").alias("title_slug")).distinct()
+    return docs.select(*DOCUMENT).join(keys, ["domain", "title_slug"], "left_semi").select(*DOCUMENT)
+
+
+def patched(pack: DataFrame, targets: DataFrame, docs: DataFrame, home: DataFrame | None = None) -> DataFrame:
+    """The pack with the targets' documents of the supplied kinds replaced; all other documents stay.
+
+    A title patched with title and playback documents keeps its catalog and search documents, and its playback
+    documents are exactly those supplied. `home` replaces the home documents of the domains it names.
+    """
+    fresh = supplied(targets, docs)
+    kinds = fresh.select("domain", "kind", "title_slug").distinct()
+    kept = pack.select(*DOCUMENT).join(kinds, ["domain", "kind", "title_slug"], "left_anti").select(*DOCUMENT)
+    if home is not None:
+        named = home.select("domain", F.lit("home").alias("kind")).distinct()
+        kept = kept.join(named, ["domain", "kind"], "left_anti").select(*DOCUMENT).unionByName(home.select(*DOCUMENT))
+    return kept.unionByName(fresh)
 
 
-def patch_snapshot(out: str, targets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Rewrite only the (domain, kind) folders that hold a target; returns the manifest.
+def patch_snapshot(out: str, targets: DataFrame, docs: DataFrame, home: DataFrame | None = None) -> DataFrame:
+    """Rewrite only the folders that hold a supplied document; returns the manifest.
 
     The affected rows are checkpointed before their folders are replaced, since a
     job must not overwrite the files it is reading.
     """
     spark = docs.sparkSession
-    pack = spark.read.parquet(out + "/pack")
-    domains = targets.select("domain").distinct()
-    affected = pack.join(domains, "domain", "left_semi")
-    rows = cut_lineage(patched(affected, targets, docs.join(domains, "domain", "left_semi")))
-    # folders left without documents: at most one per (domain, kind)
-    folder = F.regexp_replace(F.input_file_name(), "/[^/]+$", "").alias("folder")
-    emptied = pack.select("domain", "kind", folder).distinct().join(domains, "domain", "left_semi").join(
-        rows.select("domain", "kind").distinct(), ["domain", "kind"], "left_anti").collect()
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("domain", "kind").parquet(out + "/pack"))
+    pack, buckets = spark.read.parquet(out + "/pack"), spark.read.parquet(out + "/layout").first()["buckets"]
+    new = supplied(targets, docs) if home is None else supplied(targets, docs).unionByName(home.select(*DOCUMENT))
+    touched = _bucketed(new, buckets).select(*FOLDER).distinct()
+    if home is not None:  # the old home documents of a domain may lie in any bucket
+        named = home.select("domain", F.lit("home").alias("kind")).distinct()
+        touched = touched.unionByName(pack.select(*FOLDER).join(named, ["domain", "kind"], "left_semi")).distinct()
+    touched = cut_lineage(touched)
+    affected = pack.join(touched, FOLDER, "left_semi")
+    rows = cut_lineage(_bucketed(patched(affected, targets, docs, home), buckets))
+    # folders left without documents: at most one for each folder touched. The file's name is known only at the scan.
+    folders = pack.select(*FOLDER, F.regexp_replace(F.input_file_name(), "/[^/]+$", "").alias("folder")).distinct()
+    emptied = folders.join(touched, FOLDER, "left_semi").join(rows.select(*FOLDER).distinct(), FOLDER, "left_anti").collect()
+    (rows.repartition(*FOLDER).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*FOLDER).parquet(out + "/pack"))
     for gone in emptied:
-        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(gone["folder"]))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        # the name is a URI with its own escapes; what is not below the pack is refused
+        folder = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(gone["folder"])).toString() if gone["folder"] else ""
+        delete_below(spark, out + "/pack", folder)
     return write_manifest(spark.read.parquet(out + "/pack"), out)

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import tempfile
 
 import pytest
@@ -9,7 +10,7 @@ from showledger import schemas
 from showledger.functions import keys, text
 from showledger.operators.merge import upsert_items
 from showledger.plans import ingest, links, reports
-from showledger.session import cut_lineage, fits_broadcast, shared_dir, spread
+from showledger.session import cut_lineage, delete_below, fits_broadcast, shared_dir, spread
 from showledger.sources import dom, feeds, pages as P, sinks, snapshot, tables
 from showledger.streaming import jobs
 
@@ -32,9 +33,9 @@ def test_dom():
     assert get("ul li") == ["1", "2"]
     assert get("p b, ul > li") == ["x", "1", "2"]
     assert get("div > b") == []
-    assert dom.read_value(root, "a[title]|@href") == "/q?x=1&y=2"
-    assert dom.read_value(root, "a[href^=/q]|text") == "L"
-    assert dom.read_value(root, "a[href=/zz]|text") == ""
+    assert dom.Source("a[title]|@href").first(root) == "/q?x=1&y=2"
+    assert dom.Source("a[href^=/q]|text").first(root) == "L"
+    assert dom.Source("a[href=/zz]|text").first(root) == ""
     assert "no()" not in root.text()
 
 
@@ -139,15 +140,31 @@ def test_snapshot_roundtrip(spark, folder):
     got = {(r.domain, r.kind): (r.documents, r.touched_at) for r in m.collect()}
     assert got[("d1", "home")] == (3, "2024-04-09T00:00:00Z") and got[("d1", "catalog")][0] == 8 and got[("d1", "playback")][0] == 1
     targets = spark.createDataFrame([("d1", "s3")], "domain string, slug string")
-    docs = spark.createDataFrame([("d1", "title", "s3", dt.datetime(2025, 1, 1), '{"new":1}'), ("d1", "title", "s4", T0, '{"ignored":1}')], "domain string, kind string, slug string, touched_at timestamp, document string")
+    shape = "domain string, kind string, title_slug string, slug string, touched_at timestamp, document string"
+    docs = spark.createDataFrame([("d1", "title", "s3", "s3", dt.datetime(2025, 1, 1), '{"new":1}'), ("d1", "title", "s4", "s4", T0, '{"ignored":1}')], shape)
     m = snapshot.patch_snapshot(folder, targets, docs)
     got = {(r.domain, r.kind): (r.documents, r.touched_at) for r in m.collect()}
-    assert got[("d1", "title")] == (8, "2025-01-01T00:00:00Z") and got[("d1", "catalog")][0] == 7 and got[("d2", "title")][0] == 4
+    assert got[("d1", "title")] == (8, "2025-01-01T00:00:00Z") and got[("d1", "catalog")][0] == 8 and got[("d2", "title")][0] == 4
     pack = spark.read.parquet(folder + "/pack")
-    assert [r.document for r in pack.filter("slug = 's3'").collect()] == ['{"new":1}']
-    last = spark.createDataFrame([("d1", "u1")], "domain string, slug string")
-    got = {(r.domain, r.kind): r.documents for r in snapshot.patch_snapshot(folder, last, docs.limit(0)).collect()}
-    assert ("d1", "playback") not in got and got[("d1", "title")] == 8
+    assert {r.kind: r.document for r in pack.filter("slug = 's3'").collect()}["title"] == '{"new":1}'
+    assert {r.kind for r in pack.filter("slug = 's3'").collect()} == {"catalog", "title", "search"}
+    first = spark.createDataFrame([("d1", "s0")], "domain string, slug string")
+    plays = spark.createDataFrame([("d1", "playback", "s0", u, T0, "{}") for u in ("u2", "u3")], shape)
+    home = spark.createDataFrame([("d1", "home", "s7", "s7", T0, "{}")], shape)
+    got = {(r.domain, r.kind): r.documents for r in snapshot.patch_snapshot(folder, first, plays, home).collect()}
+    assert got[("d1", "playback")] == 2 and got[("d1", "home")] == 1 and got[("d2", "home")] == 3 and got[("d1", "title")] == 8
+
+
+def test_delete_below(spark, folder):
+    """Only what lies below the named folder can be deleted; an empty path would be the working directory."""
+    spark.range(1).write.parquet(folder + "/a/b")
+    for path in ("", folder, folder + "/a", folder + "/ab", folder + "/a/../c", "/tmp"):
+        with pytest.raises(ValueError):
+            delete_below(spark, folder + "/a", path)
+    with pytest.raises(ValueError):
+        delete_below(spark, "", folder + "/a")
+    delete_below(spark, folder + "/a", folder + "/a/b")
+    assert not os.path.exists(folder + "/a/b") and os.path.exists(folder + "/a")
 
 
 def test_link_audit(spark):
@@ -179,13 +196,36 @@ def test_stream_equals_batch(spark, folder):
     both = spark.readStream.schema(typed).option("maxFilesPerTrigger", 1).parquet(folder + "/in/*")
     run = lambda: jobs.run_upserts(both, folder + "/state", folder + "/ckpt", ["item_key"], advance, buckets=4)
     run()
-    assert jobs.list_versions(spark, folder + "/state") == [0, 1]
+    assert jobs.read_manifest(spark, folder + "/state")["buckets"] == 4
     got = {r.item_key: r.title for r in jobs.current_table(spark, folder + "/state").collect()}
     want = {r.item_key: r.title for r in advance(advance(None, rows(0, 20)), rows(10, 30)).collect()}
     other = {r.item_key: r.title for r in advance(advance(None, rows(10, 30)), rows(0, 20)).collect()}
     assert got in (want, other) and len(got) == 30
     run()
-    assert jobs.list_versions(spark, folder + "/state") == [0, 1]
+    assert jobs.current_table(spark, folder + "/state").count() == 30
+    rows(0, 3).coalesce(1).write.parquet(folder + "/in/c")
+    with pytest.raises(Exception, match="4 buckets"):
+        jobs.run_upserts(both, folder + "/state", folder + "/ckpt", ["item_key"], advance, buckets=5)
+
+
+def test_stream_state_is_bounded(spark, folder):
+    """Old folders go, an emptied bucket is gone, the reserved name is refused."""
+    schema = "k long, v string"
+    typed = spark.createDataFrame([], schema).schema
+    go = lambda advance, at="": jobs.run_upserts(jobs.read_stream(spark, folder + "/in", typed), folder + "/state" + at, folder + "/ckpt" + at, ["k"], advance, buckets=2)
+    replace = lambda old, batch: batch if old is None else batch.unionByName(old.join(batch.select("k"), "k", "left_anti"))
+    for n in range(5):
+        spark.createDataFrame([(k, str(n)) for k in range(20)], schema).coalesce(1).write.mode("append").parquet(folder + "/in")
+        go(replace)
+    table = jobs.current_table(spark, folder + "/state")
+    assert sorted(table.columns) == ["k", "v"] and {r.v for r in table.collect()} == {"4"} and table.count() == 20
+    assert len(jobs._list(spark, folder + "/state/data")) == jobs.KEPT and jobs._list(spark, folder + "/state/_work") == []
+    spark.createDataFrame([(1, "x")], schema).coalesce(1).write.mode("append").parquet(folder + "/in")
+    go(lambda old, batch: batch.limit(0))
+    left = jobs.current_table(spark, folder + "/state")
+    assert 0 < left.count() < 20  # only the bucket of the touched key is emptied
+    with pytest.raises(Exception, match="reserved"):
+        go(lambda old, batch: batch.withColumn(jobs.BUCKET, F.lit(1)), "2")
 
 
 def test_stream_touches_few_buckets(spark, folder):
@@ -198,7 +238,7 @@ def test_stream_touches_few_buckets(spark, folder):
     ingest_new()
     spark.createDataFrame([("k7", "b", None, None)], schema).coalesce(1).write.mode("append").parquet(folder + "/in")
     ingest_new()
-    folders = jobs.current_folders(spark, folder + "/state")
-    assert len(folders) == 16 and sum("/v=1/" in p for p in folders.values()) == 1
+    folders = jobs.read_manifest(spark, folder + "/state")["folders"]
+    assert len(folders) == 16 and sum(p.startswith("data/1/") for p in folders.values()) == 1
     table = {r.item_key: r.title for r in jobs.current_table(spark, folder + "/state").collect()}
     assert len(table) == 100 and table["k7"] == "b" and table["k8"] == "a"

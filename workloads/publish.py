@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from showledger.plans.publish import patch_targets
-from showledger.sources.snapshot import manifest, patched, snapshot_documents, touched_items
+from showledger.session import shared_dir
+from showledger.sources.snapshot import build_snapshot, manifest, patch_snapshot, patched, snapshot_documents, touched_items
 
 from .base import SHOP_SQL, Tables, at, query, shop_items, shop_units, shown
 
@@ -46,12 +49,12 @@ titles AS (
 """
 _PACK = _TOUCHED + """
 pack AS (
-  SELECT domain, 'catalog' AS kind, slug, touched_at FROM titles
-  UNION ALL SELECT domain, 'title', slug, touched_at FROM titles
-  UNION ALL SELECT domain, 'search', slug, touched_at FROM titles
-  UNION ALL SELECT domain, 'home', slug, touched_at FROM (
+  SELECT domain, 'catalog' AS kind, slug AS title_slug, slug, touched_at FROM titles
+  UNION ALL SELECT domain, 'title', slug, slug, touched_at FROM titles
+  UNION ALL SELECT domain, 'search', slug, slug, touched_at FROM titles
+  UNION ALL SELECT domain, 'home', slug, slug, touched_at FROM (
     SELECT *, row_number() OVER (PARTITION BY domain ORDER BY touched_at DESC, slug, item_key) AS rn FROM titles) WHERE rn <= 8
-  UNION ALL SELECT t.domain, 'playback', u.unit_key, u.updated_at FROM units u JOIN titles t ON t.item_key = u.item_key)
+  UNION ALL SELECT t.domain, 'playback', t.slug, u.unit_key, u.updated_at FROM units u JOIN titles t ON t.item_key = u.item_key)
 """
 
 
@@ -73,15 +76,49 @@ def _snapshot(t: Tables):
     return manifest(snapshot_documents(shop_items(t), _units_with_slug(t), F.col("source"), 8))
 
 
-@query("snapshot_patched", "WITH " + _PACK + f"""
+# a patch replaces the title and playback documents of recently touched titles; the episodes of urgent orders are new in it
+_PATCHED = "WITH " + _PACK + f"""
 , targets AS (SELECT DISTINCT domain, slug FROM titles WHERE touched_at >= TIMESTAMP '2001-07-01'),
-fresh AS (SELECT t.domain, 'title' AS kind, t.slug, TIMESTAMP '{NOW}' AS touched_at FROM titles t JOIN targets USING (domain, slug)),
-next AS (SELECT p.* FROM pack p ANTI JOIN targets g ON g.domain = p.domain AND g.slug = p.slug UNION ALL SELECT * FROM fresh)
-SELECT domain, kind, count(*) AS documents, strftime(max(touched_at), '%Y-%m-%dT%H:%M:%SZ') AS touched_at FROM next GROUP BY 1, 2
-""")
-def _patched(t: Tables):
-    pack = snapshot_documents(shop_items(t), _units_with_slug(t), F.col("source"), 8)
-    titles = touched_items(shop_items(t), shop_units(t), F.col("source"))
+urgent AS (SELECT unit_key FROM units WHERE o_orderpriority = '1-URGENT'),
+next AS (
+  SELECT p.domain, p.kind, p.title_slug, p.slug,
+         CASE WHEN p.kind IN ('title', 'playback') AND g.slug IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE p.touched_at END AS touched_at
+  FROM pack p LEFT JOIN targets g ON g.domain = p.domain AND g.slug = p.title_slug
+  WHERE p.kind <> 'playback' OR g.slug IS NOT NULL OR p.slug NOT IN (SELECT unit_key FROM urgent))
+"""
+
+
+def _patch(t: Tables):
+    """(items, units of the old pack, targets, documents of the patch)."""
+    items, units = shop_items(t), _units_with_slug(t)
+    titles = touched_items(items, units, F.col("source"))
     targets = titles.filter(F.col("touched_at") >= at("2001-07-01 00:00:00")).select("domain", "slug")
-    docs = titles.select("domain", F.lit("title").alias("kind"), "slug", at(NOW).alias("touched_at"), F.to_json(F.struct("slug", "title")).alias("document"))
-    return manifest(patched(pack, targets, docs))
+    docs = snapshot_documents(items, units, F.col("source"), 8).filter(F.col("kind").isin("title", "playback")).withColumn("touched_at", at(NOW))
+    return items, units, targets, docs
+
+
+def _old_pack(t: Tables, items, units):
+    """All documents but the playback documents of urgent orders."""
+    late = units.filter("o_orderpriority = '1-URGENT'").select(F.col("unit_key").alias("slug"), F.lit("playback").alias("kind"))
+    return snapshot_documents(items, units, F.col("source"), 8).join(late, ["slug", "kind"], "left_anti")
+
+
+@query("snapshot_patched", _PATCHED + "SELECT domain, kind, title_slug, slug, strftime(touched_at, '%Y-%m-%d %H:%M:%S') AS touched_at FROM next")
+def _patched(t: Tables):
+    items, units, targets, docs = _patch(t)
+    return patched(_old_pack(t, items, units), targets, docs).select("domain", "kind", "title_slug", "slug", shown("touched_at").alias("touched_at"))
+
+
+@query("snapshot_patch_files", "WITH " + _PACK + f"""
+, targets AS (SELECT DISTINCT domain, slug FROM titles WHERE touched_at >= TIMESTAMP '2001-07-01')
+SELECT p.domain, p.kind, p.slug, strftime(CASE WHEN p.kind IN ('title', 'playback') AND g.slug IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE p.touched_at END, '%Y-%m-%d %H:%M:%S') AS touched_at
+FROM pack p LEFT JOIN targets g ON g.domain = p.domain AND g.slug = p.title_slug
+""")
+def _patch_files(t: Tables):
+    """Written, patched in place and read back; the home documents are refreshed."""
+    out = f"{shared_dir(t.spark)}/snapshot-{uuid.uuid4().hex}"
+    items, units, targets, docs = _patch(t)
+    build_snapshot(items, units, F.col("source"), out, 8, buckets=4)
+    home = snapshot_documents(items, units, F.col("source"), 8).filter("kind = 'home'")
+    patch_snapshot(out, targets, docs, home)
+    return t.spark.read.parquet(out + "/pack").select("domain", "kind", "slug", shown("touched_at").alias("touched_at"))
