@@ -39,15 +39,6 @@ def text_list(c) -> Column:
     return F.when(raw.startswith("["), F.from_json(raw, "array<string>")).otherwise(split_values(raw))
 
 
-def first_text(v, paths: list[str]) -> Column:
-    return first_present(*[get_text(v, p) for p in paths])
-
-
-def labels(v, keys: list[str]) -> Column:
-    """Values under several keys, case-insensitively distinct, first spelling kept."""
-    return compact_ci(*[get_list(v, k) for k in keys])
-
-
 def as_map(c) -> Column:
     """JSON object text -> map of raw JSON values ({} when NULL or not an object)."""
     return F.coalesce(F.from_json(F.coalesce(col(c), F.lit("{}")), _MAP), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>")))

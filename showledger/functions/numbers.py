@@ -73,11 +73,6 @@ def episode_number(*values) -> Column:
     return F.coalesce(*options, F.lit(0.0))
 
 
-def first_number(c) -> Column:
-    """First number anywhere in the text, 0 when there is none."""
-    return F.coalesce(F.nullif(F.regexp_extract(col(c), r"\d+(?:\.\d+)?", 0), F.lit("")).try_cast("double"), F.lit(0.0))
-
-
 def card_score(c) -> Column:
     return F.coalesce(
         F.nullif(F.regexp_extract(col(c), r"\b\d+(?:\.\d+)?\b", 0), F.lit("")).try_cast("double"), F.lit(0.0)

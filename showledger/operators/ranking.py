@@ -106,11 +106,25 @@ def sample_links(
     return rows.orderBy(source, "parent_rank", "url_pos").limit(cap)
 
 
-def rows_to_json(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
-    """First `n` rows of every group as one ordered JSON array ('[]' never appears:
-    a group without rows has no row here; outer-join parents and coalesce)."""
+def rows_to_json(df: DataFrame, by: list[str], order: list[str], n: int = 0) -> DataFrame:
+    """All rows of every group (the first `n` of it, when n > 0) as one ordered JSON array.
+
+    A group without rows has no row here; `result_to_json` gives '[]' for an empty result.
+    """
     body = [c for c in df.columns if c not in by]
-    picked = top_per_group(df, by, [F.col(c) for c in order], n, rank="_pos")
-    entry = F.struct(F.col("_pos"), F.struct(*body).alias("row"))
-    listed = F.sort_array(F.collect_list(entry))
+    picked = top_per_group(df, by, [F.col(c) for c in order], n, rank="_pos") if n > 0 else df
+    place = F.col("_pos") if n > 0 else F.struct(*order)
+    listed = F.sort_array(F.collect_list(F.struct(place.alias("_pos"), F.struct(*body).alias("row"))))
     return picked.groupBy(*by).agg(F.to_json(F.transform(listed, lambda x: x["row"])).alias("rows_json"))
+
+
+def result_to_json(df: DataFrame, order: list[Column], limit: int = 100, offset: int = 0, columns: list[str] | None = None) -> DataFrame:
+    """One page of an ordered result as one JSON array; '[]' when the page is empty.
+
+    The page is a single row, so a limit is asked for (100 as given; it must be positive).
+    """
+    if limit <= 0 or offset < 0:
+        raise ValueError("the limit must be positive and the offset not negative")
+    rows = page(df, order, limit, offset).select(F.to_json(F.struct(*(columns or df.columns)), {"ignoreNullFields": "false"}).alias("row"), F.monotonically_increasing_id().alias("_pos"))
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("_pos", "row"))), lambda x: x["row"])
+    return rows.agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("rows_json"))

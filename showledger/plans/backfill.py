@@ -9,29 +9,39 @@ from ..functions.text import is_blank
 from ..operators.ranking import keep_first
 
 
-def plan_backfill(catalog: DataFrame, existing: DataFrame, order: list[Column], include: list[str] | None = None, limit: int = 0) -> DataFrame:
+def plan_backfill(catalog: DataFrame, existing: DataFrame, order: list[str], include: list[str] | None = None, limit: int = 0) -> DataFrame:
     """(slug, action, reason) for every catalog row the run looks at.
 
-    In catalog order: movies are skipped; rows outside the include list or
-    without a slug are not looked at; a repeated slug counts once; with a limit
-    only the first `limit` slugs are processed; known slugs are skipped.
-    catalog: slug, content_type (+ ordering columns); existing: slug.
+    In the ascending order of the `order` columns: movies (by content_type or, where
+    there is one, anime_type) are skipped; rows outside the include list or without a
+    slug are not looked at; a repeated slug counts once; known slugs are skipped. With
+    a limit the run ends at the first slug beyond `limit` others: what comes after it,
+    movies too, is not looked at.
+    catalog: slug, content_type, maybe anime_type, and the order columns; existing: slug.
     """
-    movie = F.lower(F.trim(F.coalesce("content_type", F.lit("")))) == "movie"
-    movies = catalog.filter(movie).select(F.trim("slug").alias("slug"), F.lit("skip").alias("action"), F.lit("movie_without_episode_backfill").alias("reason"))
-    rest = catalog.filter(~movie & ~is_blank("slug")).withColumn("slug", F.trim("slug"))
+    says_movie = lambda c: F.lower(F.trim(F.coalesce(F.col(c), F.lit("")))) == "movie"
+    movie = says_movie("content_type") | (says_movie("anime_type") if "anime_type" in catalog.columns else F.lit(False))
+    place = F.struct(*order)
+    placed = catalog.select(F.trim("slug").alias("slug"), movie.alias("movie"), place.alias("place"))
+    rest = placed.filter(~F.col("movie") & ~is_blank("slug"))
     if include:
         rest = rest.filter(F.col("slug").isin([s.strip() for s in include if s.strip()]))
-    rest = keep_first(rest, ["slug"], order)
+    rest = rest.groupBy("slug").agg(F.min("place").alias("place"))
+    movies = placed.filter("movie")
     if limit > 0:
-        rest = rest.orderBy(*order).limit(limit)
+        first = rest.orderBy("place").limit(limit + 1)  # the run's own limit
+        end = first.agg(F.when(F.count(F.lit(1)) > limit, F.max("place")).alias("end"))  # one row
+        before = F.col("end").isNull() | (F.col("place") < F.col("end"))
+        rest = first.join(F.broadcast(end), before, "left_semi")
+        movies = movies.join(F.broadcast(end), before, "left_semi")
     known = existing.filter(~is_blank("slug")).select(F.trim("slug").alias("slug")).distinct().withColumn("_known", F.lit(True))
     looked = rest.join(known, "slug", "left").select(
         "slug",
         F.when(F.col("_known"), "skip").otherwise("attempt").alias("action"),
         F.when(F.col("_known"), "already_backfilled").otherwise("").alias("reason"),
     )
-    return movies.unionByName(looked)
+    skipped = movies.select("slug", F.lit("skip").alias("action"), F.lit("movie_without_episode_backfill").alias("reason"))
+    return skipped.unionByName(looked)
 
 
 def select_slugs(df: DataFrame, slugs: list[str] | None, order: list[Column], limit: int = 0) -> DataFrame:

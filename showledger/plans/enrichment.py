@@ -255,3 +255,10 @@ def run_counters(plan: DataFrame, outcome: str = "outcome") -> DataFrame:
         F.count("*").alias("discovered"), (hit("success") + hit("fail")).alias("attempted"), hit("skip").alias("skipped"),
         hit("success").alias("succeeded"), hit("fail").alias("failed"),
     )
+
+
+def run_failures(plan: DataFrame, outcome: str = "outcome", slug: str = "slug", error: str = "error", order: list[Column] | None = None) -> DataFrame:
+    """(slug, error) of every failed slug; of repeated failures the last in `order`."""
+    failed = plan.filter(F.col(outcome) == "fail").groupBy(F.col(slug).alias("slug"))
+    last = F.max_by(error, F.struct(*order)) if order else F.max(error)
+    return failed.agg(last.alias("error"))

@@ -68,14 +68,15 @@ def freshness_report(items: DataFrame, units: DataFrame, now: Column, fresh_h: i
 def gap_report(items: DataFrame, units: DataFrame, exceptions: DataFrame, *, key: str = "slug", parent: str = "parent_slug") -> DataFrame:
     """One row of counts: ready items, parents with units, exceptions, ready items
     that have neither units nor an exception."""
-    ready = items.select(F.col(key).alias("slug"))
-    with_children = units.filter(~is_blank(parent)).select(F.col(parent).alias("slug")).distinct()
-    excused = exceptions.filter(~is_blank("slug")).select("slug")
-    pending = ready.join(with_children, "slug", "left_anti").join(excused, "slug", "left_anti")
-    count = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-    counts = count(ready, "detail_ready").unionByName(count(with_children, "with_children")).unionByName(
-        count(excused, "exceptions")).unionByName(count(pending, "pending"))
-    return counts.agg(*[F.max(F.when(F.col("name") == n, F.col("n"))).alias(n) for n in ("detail_ready", "with_children", "exceptions", "pending")])
+    def told(df: DataFrame, slug: str, what: str) -> DataFrame:
+        return df.select(F.col(slug).alias("slug"), *[F.lit(int(n == what)).alias(n) for n in ("ready", "kid", "excuse")])
+
+    rows = told(items, key, "ready").unionByName(told(units.filter(~is_blank(parent)), parent, "kid")).unionByName(told(exceptions.filter(~is_blank("slug")), "slug", "excuse"))
+    each = rows.groupBy("slug").agg(F.sum("ready").alias("ready"), F.max("kid").alias("kid"), F.sum("excuse").alias("excuse"))
+    return each.agg(
+        F.coalesce(F.sum("ready"), F.lit(0)).alias("detail_ready"), F.count_if(F.col("kid") == 1).alias("with_children"),
+        F.coalesce(F.sum("excuse"), F.lit(0)).alias("exceptions"),
+        F.coalesce(F.sum(F.when((F.col("kid") == 0) & (F.col("excuse") == 0), F.col("ready"))), F.lit(0)).alias("pending"))
 
 
 def recent_parents(units: DataFrame, parent: str = "parent_slug") -> DataFrame:

@@ -56,14 +56,12 @@ def review_rows(verdicts: DataFrame, children: DataFrame, parent: str) -> DataFr
     return verdicts.join(children, parent, "left")
 
 
-def review_children(verdicts: DataFrame, children: DataFrame, parent: str, number: str, fields: list[str], cap: int) -> DataFrame:
+def review_children(verdicts: DataFrame, children: DataFrame, parent: str, number: str, fields: list[str], cap: int = 0) -> DataFrame:
     """Verdicts with an ordered `children` array (numbers by value, then other text).
 
-    Nested output needs `cap`, the report's own limit of children per parent, so
-    that no array grows with the data; `review_rows` has no limit.
+    `cap` is the report's own limit of children per parent, 0 for none: then an array
+    holds all children of its parent. `review_rows` gives the same rows flat.
     """
-    if cap <= 0:
-        raise ValueError("nested children need a cap; use review_rows for all of them")
     kept = cap_children(children, [parent], [F.col("pos")], cap)
     keys = [k.alias(f"k{i}") for i, k in enumerate(numeric_sort_keys(number))]
     listed = F.sort_array(F.collect_list(F.struct(*keys, F.col("pos"), F.struct(*fields).alias("child"))))

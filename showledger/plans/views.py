@@ -52,14 +52,18 @@ def view_plain(table: DataFrame, view: str) -> DataFrame:
 
 
 def lookup_item(items: DataFrame, source: str, slug: str, default_type: str = "anime") -> DataFrame:
-    """One item by slug with page number and type defaults."""
+    """title, slug, canonical_url, page_number, content_type and anime_type of one item.
+
+    The content type falls back to the media type, and that to `default_type` when blank.
+    """
     v = jsoncol.variant("detail")
-    return (
-        items.filter((F.col("source") == source) & (F.col("slug") == slug))
-        .withColumn("page_number", F.coalesce(F.try_variant_get(v, "$.page_number", "int"), F.lit(0)))
-        .withColumn("media_type", F.coalesce(F.nullif("media_type", F.lit("")), F.lit(default_type)))
-        .limit(1)
-    )
+    text = lambda name: F.try_variant_get(v, f"$.{name}", "string")
+    return items.filter((F.col("source") == source) & (F.col("slug") == slug.strip())).select(
+        "item_key", "title", "slug", F.coalesce(text("canonical_url"), F.lit("")).alias("canonical_url"),
+        F.coalesce(F.try_variant_get(v, "$.page_number", "int"), F.lit(0)).alias("page_number"),
+        F.coalesce(text("content_type"), F.nullif("media_type", F.lit("")), F.lit(default_type)).alias("content_type"),
+        F.coalesce(text("anime_type"), F.lit("")).alias("anime_type"),
+    ).limit(1)
 
 
 def poster_address(path: Column, page_base: str, image_base: str) -> Column:

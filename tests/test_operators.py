@@ -269,10 +269,16 @@ def test_patch_targets(spark):
 def test_backfill_plan(spark):
     cat = spark.createDataFrame([(1, "a", "anime"), (2, "m", "Movie"), (3, "b", "anime"), (4, "a", "anime"), (5, "c", "anime"), (6, " ", "anime")], "n int, slug string, content_type string")
     known = spark.createDataFrame([(" b ",)], "slug string")
-    plan = lambda **k: sorted(tuple(r) for r in backfill.plan_backfill(cat, known, [F.col("n")], **k).collect())
+    plan = lambda **k: sorted(tuple(r) for r in backfill.plan_backfill(cat, known, ["n"], **k).collect())
     movie = ("m", "skip", "movie_without_episode_backfill")
     assert plan() == sorted([("a", "attempt", ""), ("b", "skip", "already_backfilled"), ("c", "attempt", ""), movie])
     assert plan(limit=2) == sorted([("a", "attempt", ""), ("b", "skip", "already_backfilled"), movie])
+    assert plan(limit=1) == sorted([("a", "attempt", ""), movie])
+    late = cat.withColumn("anime_type", F.when(F.col("n") == 5, "MOVIE"))
+    got = sorted(tuple(r) for r in backfill.plan_backfill(late.filter("n <> 2"), known, ["n"], limit=1).collect())
+    assert got == [("a", "attempt", "")]  # the movie after the end of the run is not looked at
+    got = sorted(tuple(r) for r in backfill.plan_backfill(late, known, ["n"]).collect())
+    assert ("c", "skip", "movie_without_episode_backfill") in got
     assert plan(include=["c"]) == sorted([("c", "attempt", ""), movie])
 
 

@@ -295,3 +295,56 @@ def _recordset(t: Tables):
     pair = F.array(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("kind"), F.col("value").alias("v")),
                    F.struct(F.col("event_id").alias("id"), S("copy").alias("kind"), S(None).cast("double").alias("v")))
     return read_recordset(t.events.select(F.to_json(pair).alias("j")), "j", "id bigint, kind string, v double")
+
+
+@query("stored_values", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE o_orderstatus || '|x' END AS studios,
+  CASE WHEN o_custkey % 4 = 1 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') WHEN o_custkey % 4 = 2 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 05:06:07' END AS at
+FROM orders
+""")
+def _stored_values(t: Tables):
+    """List precedence (enriched wins unless empty) and lenient timestamps: blank or unreadable text is NULL."""
+    from showledger.functions import arrays, dates
+
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    enriched = F.when(F.col("o_orderstatus") == "P", F.array()).otherwise(F.array("o_orderstatus", S("x")))
+    stamp = F.when(F.col("o_custkey") % 4 == 0, " ").when(F.col("o_custkey") % 4 == 1, F.concat(S(" "), day, S(" "))).when(F.col("o_custkey") % 4 == 2, F.concat(day, S("T05:06:07Z"))).otherwise("2024-13-45")
+    return t.orders.select("o_orderkey", joined(arrays.prefer_enriched(enriched, F.array("o_orderpriority"))).alias("studios"), shown(dates.parse_timestamp(stamp)).alias("at"))
+
+
+@query("exception_file", """
+SELECT 'slug-' || c_custkey AS slug, CASE WHEN c_nationkey > 10 THEN 'reason ' || c_nationkey END AS reason FROM customer WHERE c_nationkey <> 3
+""")
+def _exception_file(t: Tables):
+    """A TSV with comments and blank lines is written to the shared folder, and read."""
+    import uuid
+
+    from showledger.session import shared_dir
+    from showledger.sources.tables import read_exceptions
+
+    path = f"{shared_dir(t.spark)}/exceptions-{uuid.uuid4().hex}"
+    line = F.when(F.col("c_nationkey") == 3, F.concat(S("# slug-"), "c_custkey")).otherwise(
+        F.concat(S(" slug-"), "c_custkey", F.when(F.col("c_nationkey") > 10, F.concat(S("\treason "), "c_nationkey")).otherwise("")))
+    t.customer.select(F.explode(F.array(line, S(""), S(" \t"))).alias("value")).write.text(path)
+    return read_exceptions(t.spark, path)
+
+
+@query("table_and_report_files", """
+SELECT CAST(c_custkey AS VARCHAR) AS item_key, 'tmdb' AS provider, c_acctbal > 0 AS rich, CASE WHEN c_nationkey > 10 THEN c_name END AS title FROM customer
+""")
+def _files(t: Tables):
+    """A canonical table written and read with its schema, then reported as JSON and read back."""
+    import uuid
+
+    from showledger.session import shared_dir
+    from showledger.schemas import TABLES
+    from showledger.sources import sinks, tables
+
+    folder = f"{shared_dir(t.spark)}/files-{uuid.uuid4().hex}"
+    rows = t.customer.select(F.col("c_custkey").cast("string").alias("item_key"), S("tmdb").alias("provider"), F.when(F.col("c_nationkey") > 10, F.col("c_name")).alias("matched_title"),
+                             F.when(F.col("c_acctbal") > 0, "matched").otherwise("score_rejected").alias("match_status"))
+    have = {f.name: f.dataType for f in TABLES["enrichments"].fields}
+    tables.write_version(rows.select(*[F.col(c).cast(k) if c in rows.columns else F.lit(None).cast(k).alias(c) for c, k in have.items()]), folder + "/enrichments")
+    stored = tables.read_table(t.spark, folder, "enrichments")
+    sinks.write_report_json(stored.select("item_key", "provider", (F.col("match_status") == "matched").alias("rich"), F.col("matched_title").alias("title")), folder + "/json")
+    return t.spark.read.schema("item_key string, provider string, rich boolean, title string").json(folder + "/json")

@@ -92,7 +92,7 @@ def _best(t: Tables):
 _NAV = r'<li><a href="([^"]*)">'
 
 
-def _review(t: Tables) -> DataFrame:
+def _review(t: Tables, cap: int = 0) -> DataFrame:
     own, ext = _page_titles(t)
     verdicts = review_titles(own, ext, ext_id="ext_id", ext_title="ext_title", ext_order=["ext_id"])
     nav = t.pages.select(F.col("page_id").alias("ext_id"), F.posexplode(F.regexp_extract_all("html", S(_NAV), S(1))).alias("at", "href"))
@@ -100,30 +100,43 @@ def _review(t: Tables) -> DataFrame:
         "page_id", (F.col("at") + 1).alias("pos"), (F.col("at") + 1).cast("string").alias("number"), "href")
     own_children = t.pages.select("page_id", F.posexplode(F.regexp_extract_all("html", S("<p>([^<]*)</p>"), S(1))).alias("at", "text")).select(
         "page_id", F.concat(S(" "), F.col("at") + 1, S(" ")).alias("own_number"), F.concat(S("par-"), F.col("at") + 1).alias("own_slug"))
-    kids = X.reconcile_children(ext_children, own_children, "page_id", "number", "own_number", ["own_slug"], [F.col("pos")], cap=5)
-    return review_children(verdicts, kids, "page_id", "number", ["number", "href", "own_slug"], cap=5)
+    kids = X.reconcile_children(ext_children, own_children, "page_id", "number", "own_number", ["own_slug"], [F.col("pos")], cap=cap)
+    return review_children(verdicts, kids, "page_id", "number", ["number", "href", "own_slug"], cap=cap)
 
 
 _REVIEW_SQL = "WITH " + _MATCH_SQL.replace("{min}", "0.55") + r""",
 v AS (SELECT own.page_id, own.title, best.ext_id, coalesce(score, 0) AS score, score IS NOT NULL AS ok FROM own LEFT JOIN best ON best.page_id = own.page_id),
 nav AS (SELECT page_id AS ext_id, unnest(l) AS href, generate_subscripts(l, 1) AS n FROM (SELECT page_id, regexp_extract_all(html, '<li><a href="([^"]*)">', 1) AS l FROM pages)),
 par AS (SELECT page_id, len(regexp_extract_all(html, '<p>([^<]*)</p>', 1)) AS k FROM pages),
-kids AS (SELECT v.page_id, nav.n, nav.href, CASE WHEN nav.n <= par.k THEN 'par-' || nav.n END AS own_slug FROM v JOIN nav ON nav.ext_id = v.ext_id AND nav.n <= 5 JOIN par ON par.page_id = v.page_id)
+kids AS (SELECT v.page_id, nav.n, nav.href, CASE WHEN nav.n <= par.k THEN 'par-' || nav.n END AS own_slug FROM v JOIN nav ON nav.ext_id = v.ext_id {cap} JOIN par ON par.page_id = v.page_id)
 """
 
 
-@query("review_report", _REVIEW_SQL + """
+_REPORT_SQL = """
 SELECT v.page_id, v.ext_id, round(score, 6) AS match_score, CASE WHEN ok THEN 'matched' ELSE 'no_match' END AS match_status, ok AND score < 0.8 AS needs_review,
   CASE WHEN ok AND score < 0.8 THEN 'low confidence title match' WHEN ok THEN '' ELSE 'no search results' END AS notes,
   string_agg(k.n || '=' || k.href || '=' || coalesce(k.own_slug, ''), '|' ORDER BY k.n) AS children
 FROM v LEFT JOIN kids k ON k.page_id = v.page_id GROUP BY ALL
-""")
+"""
+
+
+@query("review_report_capped", _REVIEW_SQL.replace("{cap}", "AND nav.n <= 5") + _REPORT_SQL)
+def _review_capped(t: Tables):
+    """The report's own limit of five children."""
+    return _report(_review(t, 5))
+
+
+@query("review_report", _REVIEW_SQL.replace("{cap}", "") + _REPORT_SQL)
 def _review_report(t: Tables):
+    return _report(_review(t))
+
+
+def _report(review: DataFrame) -> DataFrame:
     kids = F.transform("children", lambda c: F.concat(c["number"], S("="), c["href"], S("="), F.coalesce(c["own_slug"], S(""))))
-    return _review(t).select("page_id", "ext_id", r6("match_score").alias("match_score"), "match_status", "needs_review", "notes", F.array_join(kids, "|").alias("children"))
+    return review.select("page_id", "ext_id", r6("match_score").alias("match_score"), "match_status", "needs_review", "notes", F.array_join(kids, "|").alias("children"))
 
 
-@query("review_csv_rows", _REVIEW_SQL + """
+@query("review_csv_rows", _REVIEW_SQL.replace("{cap}", "") + """
 SELECT CAST(v.page_id AS VARCHAR) AS page_id, format('{:.3f}', score) AS match_score, CASE WHEN ok AND score < 0.8 THEN 'true' ELSE 'false' END AS needs_review,
   coalesce(CAST(k.n AS VARCHAR), '') AS number, coalesce(k.own_slug, '') AS own_slug
 FROM v LEFT JOIN kids k ON k.page_id = v.page_id

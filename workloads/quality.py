@@ -26,6 +26,18 @@ def _violations(t: Tables):
     return X.validate(df, X.item_checks(), F.col("item_key"))
 
 
+@query("unit_violations", """
+WITH v AS (SELECT CAST(o_orderkey AS VARCHAR) AS key, unnest([CASE WHEN o_orderstatus = 'P' THEN 'source_blank' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'unit_type_blank' END,
+  CASE WHEN o_custkey % 3 = 0 THEN 'slug_blank' END, CASE WHEN o_custkey % 5 = 0 THEN 'detail_not_object' END]) AS rule FROM orders)
+SELECT rule, key FROM v WHERE rule IS NOT NULL
+""")
+def _unit_violations(t: Tables):
+    o = t.orders
+    df = o.select(F.col("o_orderkey").cast("string").alias("key"), F.when(F.col("o_orderstatus") != "P", "s").alias("source"), F.when(F.col("o_orderpriority") == "5-LOW", " ").otherwise("episode").alias("unit_type"),
+                  F.when(F.col("o_custkey") % 3 == 0, "").otherwise("x").alias("slug"), F.when(F.col("o_custkey") % 5 == 0, "[1]").otherwise("{}").alias("detail"))
+    return X.validate(df, X.unit_checks(), F.col("key")).select("rule", "key")
+
+
 @query("unique_violations", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
 def _unique(t: Tables):
     return X.check_unique(t.lineitem, ["l_orderkey", "l_linenumber"])

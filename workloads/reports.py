@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from showledger.functions import urls
 from showledger.operators.ranking import recent
 from showledger.plans.backfill import plan_backfill
-from showledger.plans.enrichment import run_counters, run_report
+from showledger.plans.enrichment import run_counters, run_failures, run_report
 from showledger.plans.reports import coverage_report, freshness_report, gap_report, host_summary, recent_parents
 
 from .base import SHOP_SQL, Tables, at, query, shop_items, shop_units, shown
@@ -66,7 +66,7 @@ def _freshness(t: Tables):
 @query("gap_report", f"""
 WITH {SHOP_SQL},
 ready AS (SELECT slug FROM items WHERE c_acctbal > 0),
-kids AS (SELECT DISTINCT parent_slug AS slug FROM units WHERE unit_type = 'chapter' AND o_orderpriority = '1-URGENT'),
+kids AS (SELECT DISTINCT parent_slug AS slug FROM units WHERE unit_type = 'chapter'),
 exceptions AS (SELECT slug FROM items WHERE c_nationkey = 3)
 SELECT (SELECT count(*) FROM ready) AS detail_ready, (SELECT count(*) FROM kids) AS with_children,
        (SELECT count(*) FROM exceptions) AS exceptions,
@@ -75,8 +75,8 @@ SELECT (SELECT count(*) FROM ready) AS detail_ready, (SELECT count(*) FROM kids)
 """)
 def _gap(t: Tables):
     items = shop_items(t)
-    urgent = shop_units(t).filter((F.col("unit_type") == "chapter") & (F.col("o_orderpriority") == "1-URGENT"))
-    return gap_report(items.filter(F.col("c_acctbal") > 0), urgent, items.filter(F.col("c_nationkey") == 3).select("slug"))
+    chapters = shop_units(t).filter(F.col("unit_type") == "chapter")
+    return gap_report(items.filter(F.col("c_acctbal") > 0), chapters, items.filter(F.col("c_nationkey") == 3).select("slug"))
 
 
 @query("recent_parents", f"""
@@ -111,20 +111,20 @@ def _host_summary(t: Tables):
 
 _PLAN_SQL = f"""
 WITH {SHOP_SQL},
-movies AS (SELECT slug, 'skip' AS action, 'movie_without_episode_backfill' AS reason FROM items WHERE media_type = 'movie'),
+catalog AS (SELECT slug, media_type = 'movie' OR c_nationkey = 7 AS movie FROM items),
 known AS (SELECT DISTINCT parent_slug AS slug FROM units WHERE o_totalprice > 450000),
-rest AS (SELECT slug FROM items WHERE media_type <> 'movie' ORDER BY slug LIMIT 400),
-looked AS (SELECT r.slug, CASE WHEN k.slug IS NOT NULL THEN 'skip' ELSE 'attempt' END AS action,
-                  CASE WHEN k.slug IS NOT NULL THEN 'already_backfilled' ELSE '' END AS reason
-           FROM rest r LEFT JOIN known k ON k.slug = r.slug),
-plan AS (SELECT * FROM movies UNION ALL SELECT * FROM looked)
+seen AS (SELECT DISTINCT slug FROM catalog WHERE NOT movie),
+plan AS (
+  SELECT slug, 'skip' AS action, 'movie_without_episode_backfill' AS reason FROM catalog WHERE movie
+  UNION ALL SELECT s.slug, CASE WHEN k.slug IS NOT NULL THEN 'skip' ELSE 'attempt' END, CASE WHEN k.slug IS NOT NULL THEN 'already_backfilled' ELSE '' END
+  FROM seen s LEFT JOIN known k ON k.slug = s.slug)
 """
 
 
-def _plan(t: Tables):
+def _plan(t: Tables, limit: int = 0):
     known = shop_units(t).filter(F.col("o_totalprice") > 450000).select(F.col("parent_slug").alias("slug"))
-    catalog = shop_items(t).select("slug", F.col("media_type").alias("content_type"))
-    return plan_backfill(catalog, known, [F.col("slug")], limit=400)
+    catalog = shop_items(t).select("slug", F.col("media_type").alias("content_type"), F.when(F.col("c_nationkey") == 7, "Movie").alias("anime_type"))
+    return plan_backfill(catalog, known, ["slug"], limit=limit)
 
 
 @query("backfill_plan", _PLAN_SQL + "SELECT slug, action, reason FROM plan")
@@ -132,11 +132,27 @@ def _backfill_plan(t: Tables):
     return _plan(t)
 
 
+@query("backfill_plan_limited", _PLAN_SQL + """
+SELECT slug, action, reason FROM plan WHERE slug < coalesce((SELECT slug FROM seen ORDER BY slug LIMIT 1 OFFSET 400), '~')
+""")
+def _backfill_plan_limited(t: Tables):
+    """The run's own limit of 400 attempts: it ends at the next slug, and movies after that are not reported."""
+    return _plan(t, 400)
+
+
 @query("run_report", _PLAN_SQL + "SELECT action, reason, count(*) AS n FROM plan GROUP BY 1, 2")
 def _run_report(t: Tables):
     return run_report(_plan(t))
 
 
+@query("run_failures", """
+SELECT CAST(user_id AS VARCHAR) AS slug, arg_max(props, event_id) AS error FROM events WHERE event_type = 'error' GROUP BY 1
+""")
+def _run_failures(t: Tables):
+    e = t.events.select(F.col("user_id").cast("string").alias("slug"), F.when(F.col("event_type") == "error", "fail").otherwise("success").alias("outcome"), F.col("props").alias("error"), "event_id")
+    return run_failures(e, order=[F.col("event_id")])
+
+
 @query("run_counters", """
 SELECT count(*) AS discovered, count(*) FILTER (event_type IN ('view', 'click', 'error')) AS attempted,
        count(*) FILTER (event_type IN ('signup', 'purchase')) AS skipped,

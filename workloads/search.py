@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from showledger.operators import search as X
-from showledger.operators.ranking import numeric_sort_keys, page, rows_to_json, top_per_group, work_queue
+from showledger.operators.ranking import numeric_sort_keys, page, result_to_json, rows_to_json, top_per_group, work_queue
 from showledger.plans.backfill import select_slugs
 from showledger.plans.views import lookup_item
 
@@ -92,18 +92,57 @@ def _capped(t: Tables):
     return out.select("o_custkey", "o_orderkey", F.col("place").cast("bigint").alias("place"))
 
 
-@query("rows_as_json", """
+_ROWS_SQL = """
 WITH r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
-SELECT o_custkey, '[' || string_agg('{"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","o_orderkey":' || o_orderkey || '}', ',' ORDER BY rn) || ']' AS rows_json FROM r WHERE rn <= 5 GROUP BY 1
-""")
+SELECT o_custkey, '[' || string_agg('{"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","o_orderkey":' || o_orderkey || '}', ',' ORDER BY rn) || ']' AS rows_json FROM r
+"""
+
+
+@query("rows_as_json", _ROWS_SQL + "GROUP BY 1")
 def _json(t: Tables):
+    df = t.orders.select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderkey")
+    return rows_to_json(df, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+@query("rows_as_json_top5", _ROWS_SQL + "WHERE rn <= 5 GROUP BY 1")
+def _json_top(t: Tables):
+    """The capped form."""
     df = t.orders.select("o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderkey")
     return rows_to_json(df, ["o_custkey"], ["o_orderdate", "o_orderkey"], 5)
 
 
-@query("lookup_item", "SELECT CAST(doc_id AS VARCHAR) AS item_key, 0::BIGINT AS page_number FROM documents WHERE source = 'src3' AND doc_id = 3")
+@query("result_as_json", """
+WITH p AS (SELECT '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || '}' AS j, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders)
+SELECT 'page' AS part, '[' || string_agg(j, ',' ORDER BY rn) || ']' AS rows_json FROM p WHERE rn BETWEEN 21 AND 60
+UNION ALL SELECT 'beyond', '[]'
+""")
+def _result_json(t: Tables):
+    """One page of the whole result, and a page beyond its end."""
+    order = [F.col("o_orderdate").desc(), F.col("o_orderkey")]
+    df = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    page_of = lambda part, offset: result_to_json(df, order, 40, offset, columns=["o_orderkey", "o_custkey"]).select(F.lit(part).alias("part"), "rows_json")
+    return page_of("page", 20).unionByName(page_of("beyond", 2_000_000))
+
+
+_LOOKUP_SQL = """
+SELECT CAST(doc_id AS VARCHAR) AS item_key, 'Doc ' || doc_id AS title, 'doc-' || doc_id AS slug, 'https://example.org/' || doc_id AS canonical_url, doc_id % 7 AS page_number,
+  CASE WHEN doc_id % 2 = 0 THEN 'special' WHEN lang = 'en' THEN 'anime' WHEN lang = 'de' THEN 'drama' WHEN lang = 'es' THEN 'movie' ELSE 'manhwa' END AS content_type,
+  CASE WHEN doc_id % 3 = 0 THEN 'TV' ELSE '' END AS anime_type
+FROM documents WHERE (source, doc_id) IN (SELECT source, doc_id FROM documents WHERE doc_id IN (3, 8))
+"""
+
+
+@query("lookup_item", _LOOKUP_SQL)
 def _lookup(t: Tables):
-    return lookup_item(doc_items(t), "src3", "doc-3").select("item_key", F.col("page_number").cast("bigint").alias("page_number"))
+    k = F.col("item_key")
+    n = k.cast("bigint")
+    detail = F.to_json(F.struct(
+        F.concat(F.lit("https://example.org/"), k).alias("canonical_url"), (n % 7).alias("page_number"),
+        F.when(n % 2 == 0, "special").alias("content_type"), F.when(n % 3 == 0, "TV").alias("anime_type")))
+    items = doc_items(t).withColumn("detail", detail)
+    own = t.documents.filter(F.col("doc_id").isin(3, 8)).select("doc_id", "source").collect()  # two rows
+    found = [lookup_item(items, r["source"], f"doc-{r['doc_id']}") for r in own]
+    return found[0].unionByName(found[1]).withColumn("page_number", F.col("page_number").cast("bigint"))
 
 
 @query("select_slugs", "SELECT lower(replace(c_name, '#', '-')) AS slug FROM customer WHERE c_name IN ('Customer#000000003', 'Customer#000000120')")

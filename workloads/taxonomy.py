@@ -139,6 +139,20 @@ def _modal_time(t: Tables):
     return X.modal_time(t.events, "Asia/Jakarta", "user_id", "ts")
 
 
+@query("infer_release", f"""
+WITH d AS ({_DAY_SQL}), w AS ({_TIME_SQL}),
+i AS (SELECT c_custkey AS k, CASE WHEN c_nationkey < 12 THEN 'stated' ELSE '' END AS release_day, CASE WHEN c_nationkey > 5 THEN 'old' END AS release_window FROM customer)
+SELECT CAST(k AS VARCHAR) AS item_key, coalesce(nullif(i.release_day, ''), d.release_day) AS release_day, coalesce(w.release_window, i.release_window) AS release_window
+FROM i LEFT JOIN d ON d.user_id = k LEFT JOIN w ON w.user_id = k
+""")
+def _infer_release(t: Tables):
+    """Days fill blanks only; windows are overwritten where the units have one."""
+    items = t.customer.select(F.col("c_custkey").cast("string").alias("item_key"), F.when(F.col("c_nationkey") < 12, "stated").otherwise("").alias("release_day"),
+                              F.when(F.col("c_nationkey") > 5, "old").alias("release_window"))
+    units = t.events.select(F.col("user_id").cast("string").alias("item_key"), F.col("ts").alias("published_at"))
+    return X.infer_release_window(X.infer_release_day(items, units), units, "Asia/Jakarta")
+
+
 @query("next_release", f"""
 WITH d AS ({_DAY_SQL}), w AS ({_TIME_SQL}),
 j AS (SELECT d.user_id, release_day, release_window, CASE WHEN release_day IN ('monday', 'tuesday') THEN 9 WHEN release_day IN ('wednesday', 'thursday') THEN 8 ELSE 7 END AS off,
