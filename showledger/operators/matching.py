@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions.text import first_present
 from ..functions.titles import jaccard_from_sizes, prepared_score, query_parts, title_parts, title_tokens
+from ..session import cut_lineage
 from .ranking import cap_children, top_per_group
 
+#: Sets from which a token counts as frequent, and the tasks that share it then.
+HOT_SETS, SALT = 100_000, 16
+
 
 def _signature(tokens: Column) -> Column:
     return F.array_join(F.sort_array(tokens), " ")
@@ -42,10 +46,11 @@ def match_titles(
         F.col(right_title).alias("_rtitle"), title_tokens(right_title, profile).alias("_toks"),
     ).withColumn("_sig", _signature(F.col("_toks")))
 
-    lsets = mine.filter(F.col("_sig") != "").select("_sig").distinct()
-    rsets = theirs.filter(F.col("_sig") != "").groupBy("_sig").agg(
+    # the distinct token sets are stored once; titles are read and normalised no second time for the pairs
+    lsets = cut_lineage(mine.filter(F.col("_sig") != "").select("_sig").distinct())
+    rsets = cut_lineage(theirs.filter(F.col("_sig") != "").groupBy("_sig").agg(
         F.min(F.struct("_ord", "_rid", "_rtitle")).alias("_first")
-    )
+    ))
     equal = lsets.join(rsets, "_sig").select("_sig", F.lit(1.0).alias("_score"), "_first")
     best = equal
     if threshold < 1:
@@ -63,14 +68,17 @@ def match_titles(
 
 def _similar_sets(lsets: DataFrame, rsets: DataFrame, threshold: float) -> DataFrame:
     """(l_sig, r_sig, _score) of every pair of token sets scoring at least `threshold`."""
-    exploded = lambda d: d.select("_sig", F.explode(F.split("_sig", " ")).alias("_tok"))
+    # sets get numbers, fixed by the checkpoint; pairs carry numbers, sizes and the short prefixes only
+    numbered = lambda d: cut_lineage(d.select("_sig", F.monotonically_increasing_id().alias("_set")))
+    lsets, rsets = numbered(lsets), numbered(rsets)
+    exploded = lambda d: d.select("_set", F.explode(F.split("_sig", " ")).alias("_tok"))
     weights = exploded(lsets).select("_tok").unionByName(exploded(rsets).select("_tok")).groupBy("_tok").agg(
         F.count("*").alias("_df")
     )
 
     def prefixes(sets: DataFrame, tag: str, larger_when: bool) -> DataFrame:
         """One row per prefix token, for the set as the pair's larger and as its smaller one."""
-        ranked = exploded(sets).join(weights, "_tok").groupBy("_sig").agg(
+        ranked = exploded(sets).join(weights, "_tok").groupBy("_set").agg(
             F.sort_array(F.collect_list(F.struct("_df", "_tok"))).alias("_ranked")
         )
         toks = F.transform("_ranked", lambda x: x["_tok"])
@@ -81,18 +89,24 @@ def _similar_sets(lsets: DataFrame, rsets: DataFrame, threshold: float) -> DataF
             F.struct(F.lit(not larger_when).alias("left_larger"), first(2 * threshold / (1 + threshold)).alias("prefix")),
         )
         return (
-            ranked.select(F.col("_sig").alias(tag + "sig"), toks.alias(tag + "toks"), n.alias(tag + "n"), F.explode(roles).alias("_role"))
-            .select(tag + "sig", tag + "toks", tag + "n", F.col("_role.left_larger").alias("left_larger"), F.col("_role.prefix").alias(tag + "prefix"))
+            ranked.select(F.col("_set").alias(tag + "set"), n.alias(tag + "n"), F.explode(roles).alias("_role"))
+            .select(tag + "set", tag + "n", F.col("_role.left_larger").alias("left_larger"), F.col("_role.prefix").alias(tag + "prefix"))
             .withColumn("_tok", F.explode(tag + "prefix"))
         )
 
     lp, rp = prefixes(lsets, "l_", True), prefixes(rsets, "r_", False)
     right_role = F.col("left_larger") == (F.col("l_n") >= F.col("r_n"))
     reachable = jaccard_from_sizes(F.least("l_n", "r_n"), F.col("l_n"), F.col("r_n")) >= threshold - 1e-9
-    pairs = lp.join(rp, ["_tok", "left_larger"]).filter(right_role & reachable)
+    # a frequent token is dealt over SALT tasks: its left rows are divided, its right rows repeated
+    hot = weights.filter(F.col("_df") > HOT_SETS).select("_tok", F.lit(SALT).alias("_salts"))
+    lp = lp.join(hot, "_tok", "left").withColumn("_salt", F.pmod(F.col("l_set"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
+    rp = rp.join(hot, "_tok", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
+    pairs = lp.join(rp, ["_tok", "left_larger", "_salt"]).filter(right_role & reachable)
     # a pair meets once per shared prefix token: score it at the first one only
     pairs = pairs.filter(F.get(F.array_intersect("l_prefix", "r_prefix"), 0) == F.col("_tok"))
-    shared = F.size(F.array_intersect("l_toks", "r_toks"))
+    named = lambda d, tag: d.select(F.col("_set").alias(tag + "set"), F.col("_sig").alias(tag + "sig"))
+    pairs = pairs.select("l_set", "r_set", "l_n", "r_n").join(named(lsets, "l_"), "l_set").join(named(rsets, "r_"), "r_set")
+    shared = F.size(F.array_intersect(F.split("l_sig", " "), F.split("r_sig", " ")))
     score = jaccard_from_sizes(shared, F.col("l_n"), F.col("r_n"))
     return pairs.select("l_sig", "r_sig", score.alias("_score")).filter(F.col("_score") >= threshold)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -15,9 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # pages are wide: 1,000 of 100 KB make a 100 MB batch, the default 10,000 a 1 GB one
+    # pages are wide: 1,000 of 100 KB make a 100 MB batch, the default 10,000 a 1 GB one; only sessions built here get it
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
@@ -32,6 +32,14 @@ def build_session(app: str = "showledger", master: str | None = None, **conf) ->
     return configure(builder.getOrCreate())
 
 
+def adopt(spark: SparkSession) -> SparkSession:
+    """Make a session that somebody else built usable: times are read as UTC, tasks can import this package. Nothing else changes."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
+    return spark
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
@@ -63,13 +71,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a temporary folder; on a cluster
     a machine-local path would be lost with its executor.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_showledger_shared", None)
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
-        made = tempfile.mkdtemp(prefix="spark-showledger-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", made)
-        return made
+    if re.fullmatch(r"local(\[.*\])?", context.master):
+        context._showledger_shared = tempfile.mkdtemp(prefix="spark-showledger-", dir="/tmp")
+        return context._showledger_shared
     raise RuntimeError("spark.checkpoint.dir must name a shared folder")
 
 
@@ -119,13 +127,18 @@ def fits_broadcast(df: DataFrame) -> bool:
     return estimated_bytes(df) <= broadcast_limit(df.sparkSession)
 
 
+#: Estimated bytes up to which `spread` deals rows out.
+SPREAD_BYTES = 64 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows over the cores before CPU-heavy work on an input with few splits.
+    """Deal the rows of a small input over the cores before CPU-heavy work.
 
-    A table of many splits is returned as it is, so nothing is shuffled at scale;
-    the case helped is a small file that one task would otherwise process alone.
+    Only inputs of at most SPREAD_BYTES are dealt out, whatever the number of cores;
+    larger ones are returned as they are, so no text or page column is shuffled at
+    scale. The case helped is a small file that one task would process alone.
     """
-    if df.isStreaming:
+    if df.isStreaming or estimated_bytes(df) > SPREAD_BYTES:
         return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showledger.session import configure, spread
+from showledger.session import adopt, spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +18,7 @@ def query(name: str, sql: str | None = None):
 
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(configure(spark), sf_dir))
+            return fn(Tables(adopt(spark), sf_dir))
 
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from showledger.operators import matching as X
 from showledger.plans.review import review_children, review_hits, review_titles
+from showledger.session import cut_lineage
 from showledger.sources.sinks import report_rows
 
 from .base import Tables, query, r6
@@ -94,7 +95,7 @@ _NAV = r'<li><a href="([^"]*)">'
 
 def _review(t: Tables, cap: int = 0) -> DataFrame:
     own, ext = _page_titles(t)
-    verdicts = review_titles(own, ext, ext_id="ext_id", ext_title="ext_title", ext_order=["ext_id"])
+    verdicts = cut_lineage(review_titles(own, ext, ext_id="ext_id", ext_title="ext_title", ext_order=["ext_id"]))  # used twice
     nav = t.pages.select(F.col("page_id").alias("ext_id"), F.posexplode(F.regexp_extract_all("html", S(_NAV), S(1))).alias("at", "href"))
     ext_children = verdicts.filter(F.col("match_status") == "matched").select("page_id", "ext_id").join(nav, "ext_id").select(
         "page_id", (F.col("at") + 1).alias("pos"), (F.col("at") + 1).cast("string").alias("number"), "href")
