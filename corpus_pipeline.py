@@ -19,36 +19,36 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from showledger.llm import byte_bpe, exact_dedup, jaccard_join, toxicity, winnowing  # noqa: E402
 from showledger.llm.common import read  # noqa: E402
-from showledger.session import shared_dir, ship_package  # noqa: E402
+from showledger.session import shared_dir, adopt  # noqa: E402
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
-    ship_package(spark)
+    adopt(spark)
     return toxicity.drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each text stays: the one with the smallest doc_id."""
-    ship_package(spark)
+    adopt(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies stays: the one with the smallest doc_id."""
-    ship_package(spark)
+    adopt(spark)
     return jaccard_join.drop_near(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold passages of the benchmark go."""
-    ship_package(spark)
+    adopt(spark)
     return winnowing.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left (little-endian unsigned 32-bit), checked by decoding them."""
-    ship_package(spark)
+    adopt(spark)
     coder = byte_bpe.ByteBPE(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     done = coder.encode(docs.select("doc_id", "text", "lang", "source"))
     same = F.col("raw") == F.coalesce(F.col("text"), F.lit("")).cast("binary")

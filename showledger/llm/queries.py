@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showledger.session import ship_package
+from showledger.session import adopt
 
 from . import byte_bpe, chat_format, exact_dedup, html_extract, jaccard_join, quality_pu, sharding, toxicity, url_filter, winnowing
 from .common import read
@@ -17,7 +17,7 @@ QUERIES, ORACLES = {}, {}
 def query(name: str, sql: str | None = None):
     def add(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            ship_package(spark)
+            adopt(spark)
             return fn(spark, folder)
 
         run.__doc__ = fn.__doc__
