@@ -319,7 +319,7 @@ def train(pages: DataFrame, limit: int = SAMPLE_PAGES) -> list[float]:
     """Coefficients of the text classifier, from blocks whose markup tells what they are."""
     keyed = pages.where("html is not null").select(F.xxhash64("html").alias("order"), "html")
     first = keyed.select("order").distinct().orderBy("order").limit(limit)  # numbers only; the pages follow by a join
-    chosen = keyed.join(first, "order").groupBy("order").agg(F.min("html").alias("html"))
+    chosen = keyed.join(F.broadcast(first), "order").groupBy("order").agg(F.min("html").alias("html"))
 
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:

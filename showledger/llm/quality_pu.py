@@ -158,7 +158,8 @@ def train(docs: DataFrame, positives: DataFrame, labelled: DataFrame, rows: int
         for b in batches:
             yield pd.DataFrame({"chosen_id": b["chosen_id"], "kind": b["kind"], "x": [features(t) for t in b["text"]]})
 
-    sample = docs.select("doc_id", clean_text().alias("text")).join(chosen, F.col("doc_id") == F.col("chosen_id")).groupBy("chosen_id", "kind").agg(F.min("text").alias("text"))
+    # at most 2 * rows ids are broadcast; the texts of all documents are not shuffled for them
+    sample = docs.select("doc_id", clean_text().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).groupBy("chosen_id", "kind").agg(F.min("text").alias("text"))
     made = sample.mapInPandas(rows_of, "chosen_id long, kind int, x array<double>").collect()  # at most 2 * SAMPLE ids
     made.sort(key=lambda r: (r[0], r[1], r[2]))
     p, u = (np.array([r[2] for r in made if r[1] == k]).reshape(-1, WIDTH) for k in (1, 0))

@@ -206,7 +206,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> D
     known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     parts = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for v in (0, 1)]
     chosen = parts[0].unionByName(parts[1]).select(F.col("doc_id").alias("chosen_id"), "label")
-    return docs.select("doc_id", clean_text().alias("text")).join(chosen, F.col("doc_id") == F.col("chosen_id")).select("label", "text")
+    # at most 2 * rows ids are broadcast; the texts of all documents are not shuffled for them
+    return docs.select("doc_id", clean_text().alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("label", "text")
 
 
 def one_of_copies(sample: DataFrame) -> DataFrame:
