@@ -166,3 +166,22 @@ def _numbered(t: Tables):
     title = F.when(F.col("p_type") == "PROMO", F.concat(name, S(" - Episode "), n)).when(F.col("p_type") == "SMALL", F.concat(name, S(" x"))).otherwise(F.concat(name, S("  "), n))
     df = t.part.select("p_partkey", "p_brand", decompose_numbered(title).alias("parts"))
     return promote_numbered(df, ["p_brand"]).select("p_partkey", "base_title", "entry_kind", F.col("episode_number").cast("bigint").alias("episode_number"), "series_candidate")
+
+
+@query("fallback_payloads", """
+SELECT c_custkey, CASE WHEN c_nationkey > 5 THEN c_name END AS title_english, CASE WHEN c_acctbal > 0 THEN CAST(floor(c_acctbal) AS BIGINT) END AS average_score,
+  CASE WHEN c_nationkey % 3 = 0 THEN 'large' WHEN c_nationkey % 3 = 1 THEN 'medium' END AS cover_image, CASE WHEN c_nationkey > 9 THEN 'Action|Drama' END AS genres, c_nationkey = 1 AS is_adult FROM customer
+""")
+def _fallback_payloads(t: Tables):
+    """Payload of a fallback provider: no blanks, no zeros, first cover that is there, genres distinct ignoring case."""
+    none = S(None).cast("string")
+    n = F.col("c_nationkey")
+    hits = t.customer.select(
+        "c_custkey", *[none.alias(c) for c in ("type", "format", "status", "country_of_origin", "title_romaji", "title_native", "description", "banner_image", "site_url")],
+        S(0).alias("season_year"), F.col("c_acctbal").alias("average_score"), (n == 1).alias("is_adult"), F.when(n > 9, F.array(S("Action"), S(" action"), S("Drama"))).otherwise(F.array()).alias("genres"),
+        F.when(n > 5, F.col("c_name")).otherwise(" ").alias("title_english"), F.array().cast("array<string>").alias("synonyms"),
+        none.alias("cover_extra_large"), F.when(n % 3 == 0, "large").otherwise("").alias("cover_large"), F.when(n % 3 == 1, "medium").alias("cover_medium"))
+    out = hits.select("c_custkey", X.fallback_payload().alias("p"))
+    got = lambda c: F.get_json_object("p", "$." + c)
+    return out.select("c_custkey", got("title_english").alias("title_english"), F.floor(got("average_score").cast("double")).cast("bigint").alias("average_score"), got("cover_image").alias("cover_image"),
+                      joined(F.from_json(got("genres"), "array<string>")).alias("genres"), got("is_adult").cast("boolean").alias("is_adult"))

@@ -73,6 +73,40 @@ def _scored(t: Tables):
     return X.score_hits(queries, hits, "A").select("query_id", "query_pos", F.col("hit_pos").cast("bigint").alias("hit_pos"), F.col("score").cast("bigint").alias("score"))
 
 
+def _profile_sql(contains: int, least: int, base: int, near: bool, season: bool) -> str:
+    """The scores under another profile; every other turn names a season."""
+    norm = _TEXT_NORM.replace("|]", "]") if season else _TEXT_NORM
+    said = "text || CASE WHEN turn % 2 = 0 THEN ' | Season 2' ELSE '' END"
+    year = "CASE WHEN yr = 2003 THEN 20 WHEN abs(yr - 2003) = 1 THEN 5 ELSE 0 END" if near else "0"
+    bonus = "CASE WHEN contains(tgt, 'season 2') AND contains(val, 'season 2') THEN 15 ELSE 0 END" if season else "0"
+    return f"""
+WITH q AS (SELECT conv_id, turn, {norm.replace('{x}', said)} AS nt FROM conversations),
+pairs AS (SELECT a.conv_id, a.turn AS query_pos, b.turn - a.turn - 1 AS hit_pos, a.nt AS tgt, b.nt AS val, 2000 + b.turn AS yr FROM q a JOIN q b ON a.conv_id = b.conv_id AND b.turn - a.turn IN (1, 2)),
+sh AS (SELECT *, len(list_filter(string_split(tgt, ' '), lambda x: x <> '' AND list_contains(string_split(val, ' '), x))) AS shared FROM pairs),
+base AS (SELECT *, CASE WHEN tgt = '' OR val = '' THEN 0 WHEN val = tgt THEN 100 WHEN contains(val, tgt) OR contains(tgt, val) THEN {contains} WHEN shared >= {least} THEN {base} + shared ELSE 0 END + {bonus} AS ts FROM sh)
+SELECT conv_id AS query_id, query_pos, hit_pos, CAST(CASE WHEN ts > 0 THEN ts + {year} ELSE 0 END AS BIGINT) AS score FROM base
+"""
+
+
+def _profile(t: Tables, profile: str) -> DataFrame:
+    season = lambda turn: F.when(turn % 2 == 0, " | Season 2").otherwise("")
+    queries, hits = _turns(t)
+    queries = queries.withColumn("query", F.concat("query", season(F.col("query_pos"))))
+    turn = F.col("query_pos") + F.col("hit_pos") + 1
+    hits = hits.withColumn("titles", F.transform("titles", lambda x: F.concat(x, season(turn))))
+    return X.score_hits(queries, hits, profile).select("query_id", "query_pos", F.col("hit_pos").cast("bigint").alias("hit_pos"), F.col("score").cast("bigint").alias("score"))
+
+
+@query("scored_match_b", _profile_sql(65, 2, 45, True, False))
+def _scored_b(t: Tables):
+    return _profile(t, "B")
+
+
+@query("scored_match_c", _profile_sql(70, 3, 40, False, True))
+def _scored_c(t: Tables):
+    return _profile(t, "C")
+
+
 @query("enrich_best", "WITH " + _HITS_SQL + """,
 pq AS (SELECT q.conv_id, q.turn, q.text, coalesce(max(s.score), 0) AS sc, count(s.score) AS n, arg_min(s.hit_pos, (-s.score, s.hit_pos)) AS hp FROM q LEFT JOIN scored s ON s.conv_id = q.conv_id AND s.query_pos = q.turn GROUP BY 1, 2, 3),
 pick AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY CASE WHEN sc >= 48 THEN 0 ELSE 1 END, CASE WHEN sc >= 48 THEN turn ELSE -sc END, turn) AS rn FROM pq) WHERE rn = 1),
