@@ -30,10 +30,12 @@ def plan_backfill(catalog: DataFrame, existing: DataFrame, order: list[str], inc
     movies = placed.filter("movie")
     if limit > 0:
         first = rest.orderBy("place").limit(limit + 1)  # the run's own limit
-        end = first.agg(F.when(F.count(F.lit(1)) > limit, F.max("place")).alias("end"))  # one row
-        before = F.col("end").isNull() | (F.col("place") < F.col("end"))
-        rest = first.join(F.broadcast(end), before, "left_semi")
-        movies = movies.join(F.broadcast(end), before, "left_semi")
+        end = first.agg(F.when(F.count(F.lit(1)) > limit, F.max("place")).alias("end")).first()["end"]  # where the run ends
+        rest = first
+        if end is not None:
+            kinds = dict(catalog.dtypes)
+            before = F.col("place") < F.struct(*[F.lit(end[c]).cast(kinds[c]).alias(c) for c in order])
+            rest, movies = first.filter(before), movies.filter(before)
     known = existing.filter(~is_blank("slug")).select(F.trim("slug").alias("slug")).distinct().withColumn("_known", F.lit(True))
     looked = rest.join(known, "slug", "left").select(
         "slug",
