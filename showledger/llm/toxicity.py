@@ -4,7 +4,8 @@ A lexical transducer maps words to symbols: insult and threat stems (with weight
 reported speech. Small transducers for negation, reported speech, targets and threats work on symbols; `compose` joins
 them into one machine that reads a clause once and tells for each match whether it is plain, aimed at a target, negated
 or reported. A document is judged by its matched clauses: for each of the four kinds the summed weight, the largest
-clause, and how many clauses matched; a logistic regression over these features gives the score.
+clause, and how many clauses matched; a logistic regression over these features gives the score. Its rows are weighted
+back to the ratio of the labels over all labelled rows, so the score's base rate does not depend on the sample's bound.
 
 The stems are seeds and what the labels teach: of a bounded sample of labelled rows (at most SAMPLE of each label, in
 the order of a hash of the id) the word prefixes are counted by label in Spark; a prefix whose log odds are significant
@@ -201,9 +202,14 @@ def prefixes(text: str) -> set[str]:
     return {w[:n] for w in words for n in range(3, min(10, len(w)) + 1)} | {w + " " for w in words}
 
 
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, label: one row for each labelled id."""
+    return labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> DataFrame:
     """label, text of at most `rows` labelled rows of each label, chosen by a hash of the id."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
+    known = known_labels(labels)
     parts = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for v in (0, 1)]
     chosen = parts[0].unionByName(parts[1]).select(F.col("doc_id").alias("chosen_id"), "label")
     # at most 2 * rows ids are broadcast; the texts of all documents are not shuffled for them
@@ -211,12 +217,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> D
 
 
 def one_of_copies(sample: DataFrame) -> DataFrame:
-    """The sample without near copies: one text for each sketch and label."""
+    """The sample without near copies: one text for each sketch and label, and the number of rows it stands for."""
     @F.pandas_udf("long")
     def sketched(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: sketch(re.findall(r"[^\W\d_]+", t.lower())))
 
-    return sample.withColumn("sketch", sketched("text")).groupBy("sketch", "label").agg(F.min("text").alias("text")).select("label", "text")
+    return sample.withColumn("sketch", sketched("text")).groupBy("sketch", "label").agg(F.min("text").alias("text"), F.count(F.lit(1)).alias("copies")).select("label", "text", "copies")
 
 
 def stem_counts(sample: DataFrame) -> DataFrame:
@@ -247,13 +253,14 @@ def choose_stems(counts: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     return kept
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Newton's method for ridge logistic regression; the last coefficient is the intercept."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50, weight: np.ndarray | None = None) -> np.ndarray:
+    """Newton's method for ridge logistic regression with row weights; the last coefficient is the intercept."""
+    weight = np.ones(len(y)) if weight is None else weight
     x = np.hstack([x, np.ones((len(x), 1))])
     beta, penalty = np.zeros(x.shape[1]), np.diag([ridge] * (x.shape[1] - 1) + [1e-6])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ beta)
+        step = np.linalg.solve((x * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ x + penalty, x.T @ (weight * (y - p)) - penalty @ beta)
         beta += step
         if np.abs(step).max() < 1e-8:
             break
@@ -291,9 +298,15 @@ DEFAULT_BETA = [1.5, 2.0, 0.3, 0.3, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, -4.0
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     """`labels` (doc_id, label) must hold only rows that may be learned from."""
     sample = cut_lineage(one_of_copies(labelled_sample(docs, labels, rows)))
-    size = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
+    found = {r[0]: r for r in sample.groupBy("label").agg(F.count(F.lit(1)), F.sum("copies")).collect()}
+    size = {label: r[1] for label, r in found.items()}
     if len(size) < 2:
         return Model({}, DEFAULT_BETA)
+    # the ratio of the labels is that of all labelled rows: a sampled row stands for the ids of its label that were left out
+    ids = {r[0]: r[1] for r in known_labels(labels).groupBy("label").count().collect()}
+    all_rows = {label: r[2] * max(1.0, ids[label] / rows) for label, r in found.items()}
+    even = sum(size.values()) / sum(all_rows.values())
+    weight = {label: even * all_rows[label] / size[label] for label in size}
     stems = choose_stems(stem_counts(sample), size[1], size[0])
     model = Model(stems, DEFAULT_BETA)
 
@@ -303,7 +316,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
             yield pd.DataFrame({"label": b["label"], "x": [matcher.features(t) for t in b["text"]]})
 
     made = sample.mapInPandas(features, "label int, x array<double>").collect()  # at most 2 * SAMPLE rows
-    model.beta = fit_logistic(np.array([r[1] for r in made]), np.array([r[0] for r in made], float)).tolist()
+    model.beta = fit_logistic(np.array([r[1] for r in made]), np.array([r[0] for r in made], float), weight=np.array([weight[r[0]] for r in made])).tolist()
     return model
 
 

@@ -227,6 +227,22 @@ def test_toxicity_held_out(spark):
     assert {r.doc_id: r.held_out for r in rows} == {i: zlib.crc32(str(i).encode()) % 4 == 2 for i in range(len(rows))}
 
 
+def test_toxicity_base_rate_of_a_bounded_sample(spark):
+    """3 in 10 texts with an insult and 2 in 100 others are toxic, also where the sample holds as many of each label."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(4000):
+        insult = i % 4 == 0
+        text = " ".join("".join(rng.choice("bcdfgklmnprstvz") + rng.choice("aeiou") for _ in range(4)) for _ in range(12))
+        rows.append((i, "you idiot " + text if insult else text, int(rng.random() < (0.3 if insult else 0.02))))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, label int").select("doc_id", "text"), spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, label int")
+    toxic = sum(r[2] for r in rows)
+    assert 300 < toxic < 500
+    texts = ["you idiot " + rows[1][1], rows[1][1]]
+    whole, bounded = (toxicity.train(docs, labels, n).score(texts) for n in (4000, 250))
+    assert abs(whole[0] - 0.3) < 0.06 and abs(bounded[0] - whole[0]) < 0.1 and abs(bounded[1] - whole[1]) < 0.03
+
+
 def test_toxicity_odd(spark, odd):
     labels = spark.createDataFrame([(1, 1, 1), (3, 1, 0), (3, 1, 1), (None, 1, 1), (9, None, None)], "doc_id long, quality int, toxic int")
     for known in (labels, labels.limit(0)):
