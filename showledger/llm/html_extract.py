@@ -76,7 +76,10 @@ def hint_of(tag: str, attrs: list[tuple[str, str | None]], inside: int) -> int:
 
 
 class Blocks(HTMLParser):
-    """Blocks of one page: [text, link characters, tag, hint, parent element, depth]."""
+    """Blocks of one page: [text, link characters, tag, hint, parent element, depth, line].
+
+    Inline furniture is a block of its own; the text around it stays one block. Blocks of one element share a line.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -86,18 +89,26 @@ class Blocks(HTMLParser):
         self.count: dict[str, int] = {}
         self.block: list[tuple[str, int, int]] = [("", 0, 0)]  # open block elements: tag, element, depth of the stack
         self.number, self.links = 0, 0
-        self.text: list[str] = []
-        self.linked = 0
+        # segments of the open block: text, link characters, tag, hint, parent element, depth; the one that is written
+        self.parts: list[list] = []
+        self.part: list = []
+        self.line = 0
         self.hints: dict = {}
-        self.at = (0, "", 0, 0)
 
     def flush(self) -> None:
-        if self.text:
-            text = " ".join("".join(self.text).split())
-            if text:
-                hint, tag, parent, depth = self.at
-                self.out.append([text, self.linked, tag, hint, parent, depth])
-            self.text, self.linked = [], 0
+        if self.parts:
+            for texts, *rest in self.parts:
+                text = " ".join("".join(texts).split())
+                if text:
+                    self.out.append([text, *rest, self.line])
+            self.parts, self.line = [], self.line + 1
+
+    def begin(self, hint: int) -> None:
+        """A new segment; inline furniture counts as a child of its block."""
+        tag, element, depth = self.block[-1]
+        inline = hint < 0 <= self.stack[max(0, depth - 1)][1]
+        self.part = [[], 0, tag, hint, element if inline or len(self.block) < 2 else self.block[-2][1], depth]
+        self.parts.append(self.part)
 
     def pop(self) -> None:
         tag, _, _, _, link = self.stack.pop()
@@ -115,8 +126,8 @@ class Blocks(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "br":
-            if self.text:
-                self.text.append(" ")
+            if self.parts:
+                self.part[0].append(" ")
             return
         if tag == "body" and self.count.get("head"):
             self.close_to("head")
@@ -159,15 +170,20 @@ class Blocks(HTMLParser):
         _, hint, silent, _, _ = self.stack[-1]
         if silent:
             return
-        if not self.text:
-            parent = self.block[-2] if len(self.block) > 1 else self.block[-1]
-            self.at = (hint, self.block[-1][0], parent[1], self.block[-1][2])
-        elif hint < self.at[0] and data.strip():  # an inline element of furniture stands alone
-            self.flush()
-            self.at = (hint, self.block[-1][0], self.block[-1][1], self.block[-1][2])
-        self.text.append(data)
+        if not self.parts:
+            self.begin(hint)
+        elif data.strip() and self.part[3] < 0 <= hint:  # behind inline furniture the text before it goes on
+            own = next((x for x in reversed(self.parts) if x[3] >= 0), None)
+            if own is not None and own[3] <= hint:
+                self.part = own
+                own[0].append(" ")
+            else:
+                self.begin(hint)
+        elif data.strip() and hint < self.part[3]:  # an inline element of furniture stands alone
+            self.begin(hint)
+        self.part[0].append(data)
         if self.links:
-            self.linked += len(data.strip())
+            self.part[1] += len(data.strip())
 
 
 def blocks_of(html: str) -> list[list]:
@@ -183,7 +199,7 @@ def blocks_of(html: str) -> list[list]:
 # -- costs ---------------------------------------------------------------------
 
 def features(block: list, place: float) -> list[float]:
-    text, linked, tag, _, _, _ = block
+    text, linked, tag = block[:3]
     words = text.count(" ") + 1
     return [
         math.log1p(words), min(1.0, linked / max(1, len(text))), float(text[-1] in ".!?…\"”"), sum(text.count(c) for c in ",.;:!?") / words,
@@ -310,7 +326,11 @@ def max_flow(value: list[float], links: list[tuple[int, int, float]]) -> list[bo
 def main_text(html: str, beta=DEFAULT_BETA) -> str:
     page = blocks_of(html)
     kept = min_cut(odds(page, beta), edges(page))
-    return "\n".join(b[0] for b, k in zip(page, kept) if k)
+    lines: dict[int, list[str]] = {}
+    for b, k in zip(page, kept):
+        if k:
+            lines.setdefault(b[6], []).append(b[0])
+    return "\n".join(" ".join(texts) for texts in lines.values())
 
 
 # -- Spark ---------------------------------------------------------------------

@@ -333,6 +333,17 @@ def test_main_text():
     assert html_extract.main_text("<article>" + "<div>" * 30_000 + "deep") == "deep"
 
 
+def test_main_text_around_inline_furniture():
+    for mark in ('class="share"', 'class="ad"', 'id="related"', 'class="reply"', "hidden"):
+        assert html_extract.main_text(f"<article><p>A <span {mark}>x</span> B</p><p>C</article>") == "A B\nC"
+        assert html_extract.main_text(f"<article><p><span {mark}>x</span> B <i>c</i> <b {mark}>y <i>z</i></b>D<br>e</p></article>") == "B c D e"
+    # without a hint of its own the text around is judged as one block
+    pieces = html_extract.blocks_of('<p>one <a class="ad" href="/">buy</a>two <span class="text">three</span></p><div><span class="text">A</span> B</div>')
+    assert [(b[0], b[1], b[3]) for b in pieces] == [("one two three", 0, 0), ("buy", 3, -1), ("A", 0, 1), ("B", 0, 0)]
+    assert [b[6] for b in pieces] == [0, 0, 1, 1]
+    assert html_extract.main_text('<article><p>A</p></article><div><span class="text">B</span> is a longer sentence, and it goes on.</div>', [0.0] * 9 + [2.0]) == "A\nB is a longer sentence, and it goes on."
+
+
 def test_pages_query(spark):
     """Against the articles as the pages mark them."""
     import html
