@@ -8,8 +8,10 @@ all sets in one node. A node chooses one or two of the SIZE places by its own ha
 goes on to the child named by its sampled token there; so a pair of similarity s shares s / THRESHOLD of the children on
 average, and its trace does not die out. The first levels are computed in the map tasks without any shuffle. Nodes of
 one set are dropped, nodes of up to LIMIT sets are searched by brute force over the embedded tokens, larger ones split
-on; the few that are still large at DEPTH hold sets that share that many sampled tokens and are taken whole. Runs are
-repeated until a pair at the threshold is found with probability RECALL, even at the last level.
+on; the few that are still large at DEPTH hold sets that share that many sampled tokens and are taken whole. All runs
+use the same SIZE tokens, and a pair at the threshold agrees in a binomial number of them; the runs are chosen so that,
+averaged over it, the pair is found with probability RECALL, even at the last level. More runs than the first ones are
+made only of the sets that meet in large nodes: a pair that never meets in one is searched at the first level.
 
 What is found makes candidate groups (components); within them every pair is compared by its exact shingle sets, in
 tasks of two blocks of at most BLOCK shingles, so a group of any size meets in no single task. Links are counted there
@@ -24,6 +26,7 @@ no rows; very long texts are used whole; extra columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from collections.abc import Iterator
 from fractions import Fraction
@@ -113,6 +116,27 @@ def runs_for(recall: float = RECALL, depth: int = DEPTH) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survival(depth)))
 
 
+def least_agreement(threshold: float = THRESHOLD) -> int:
+    """Sampled tokens in which a pair within a node must agree to be a candidate."""
+    return math.floor(SIZE * (threshold - 4 * math.sqrt(threshold * (1 - threshold) / SIZE)))
+
+
+def loss(runs: float, depth: int) -> float:
+    """Probability that a pair at the threshold is not found by `runs` runs to `depth`.
+
+    The runs share the SIZE sampled tokens, in a binomial number of which the pair agrees.
+    """
+    law = ((k, math.comb(SIZE, k) * THRESHOLD**k * (1 - THRESHOLD) ** (SIZE - k)) for k in range(SIZE + 1))
+    return sum(p * ((1 - survival(depth, k / SIZE)) ** runs if k >= least_agreement() else 1.0) for k, p in law)
+
+
+def runs_within(lost: float, depth: int, first: int = 1) -> int:
+    """Least number of runs, from `first` on, that lose at most the share `lost` of the pairs at the threshold."""
+    if loss(math.inf, depth) >= lost:
+        raise ValueError(f"{SIZE} sampled tokens are too few to lose at most {lost} of the pairs")
+    return next(r for r in itertools.count(first) if loss(r, depth) <= lost)
+
+
 def split(nodes: np.ndarray, rows: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Children of each (node, row)."""
     u = mix(nodes)
@@ -135,10 +159,10 @@ def _batch(nodes: np.ndarray, ids: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), ids], ["node", "id"])
 
 
-def _start(batches: Iterator[pa.RecordBatch], runs: int, levels: int) -> Iterator[pa.RecordBatch]:
+def _start(batches: Iterator[pa.RecordBatch], runs: range, levels: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sig, ids = _matrix(b.column("sig")), b.column("id")
-        for r in range(runs):
+        for r in runs:
             nodes, rows = np.full(len(sig), np.uint64(r + 1)), np.arange(len(sig))
             for _ in range(levels):
                 nodes, rows = split(nodes, rows, sig)
@@ -214,28 +238,40 @@ def _brute(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
 
 def candidate_edges(texts: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """(u, v) over the keys of `texts` (key, sig): connects whatever may be linked."""
-    runs = runs_for(recall)
-    least = math.floor(SIZE * (threshold - 4 * math.sqrt(threshold * (1 - threshold) / SIZE)))
+    # what never meets in a large node is lost by the first runs at FIRST, the rest by all runs at DEPTH
+    first_runs = runs_within((1 - recall) / 2, FIRST, runs_for(recall))
+    all_runs = runs_within(1 - recall - loss(first_runs, FIRST), DEPTH, first_runs)
+    least = least_agreement(threshold)
     known = texts.where("sig is not null").select("key", "sig")
     first = known.groupBy("sig").agg(F.min("key").alias("key"))  # equal embeddings go one way
     # nodes hold 60 bits of the key; should two keys share them, both are fetched by the join below
     same = cut_lineage(first.withColumn("id", F.conv(F.substring(F.hex("key"), 1, 15), 16, 10).cast("long")))
     edges = [known.join(same.select("sig", F.col("key").alias("low")), "sig").where("key <> low").select(F.col("key").alias("u"), F.col("low").alias("v"))]
-    rows = same.select("id", "sig").mapInArrow(functools.partial(_start, runs=runs, levels=FIRST), "node long, id long")
-    for level in range(FIRST, DEPTH + 1):
+
+    def start(sets: DataFrame, runs: range) -> DataFrame:
+        return sets.select("id", "sig").mapInArrow(functools.partial(_start, runs=runs, levels=FIRST), "node long, id long")
+
+    def settle(rows: DataFrame) -> DataFrame | None:
+        """Searches the nodes of up to LIMIT sets; gives the rows of the larger ones."""
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         hits = cut_lineage(rows.join(sizes, "node").select("node", "n", "id"))
         signed = hits.join(same, "id")
         sorted_ = signed.where(F.col("n") <= LIMIT).select("node", "key", "sig").repartition("node").sortWithinPartitions("node", "key")
         edges.append(sorted_.mapInArrow(functools.partial(_brute, least=least), "u binary, v binary"))
-        if hits.where(F.col("n") > LIMIT).isEmpty():
+        return None if hits.where(F.col("n") > LIMIT).isEmpty() else signed.where(F.col("n") > LIMIT)
+
+    big = settle(start(same, range(first_runs)))
+    if big is not None and all_runs > first_runs:
+        crowded = cut_lineage(same.join(big.select("id").distinct(), "id", "left_semi"))
+        more = settle(start(crowded, range(first_runs, all_runs)))
+        big = big if more is None else big.unionByName(more)
+    for _ in range(FIRST, DEPTH):
+        if big is None:
             break
-        big = signed.where(F.col("n") > LIMIT)
-        if level == DEPTH:
-            low = big.groupBy("node").agg(F.min("key").alias("v"))
-            edges.append(big.join(low, "node").select(F.col("key").alias("u"), "v").where("u <> v"))
-        else:
-            rows = cut_lineage(big.select("node", "id", "sig").mapInArrow(_deeper, "node long, id long"))
+        big = settle(cut_lineage(big.select("node", "id", "sig").mapInArrow(_deeper, "node long, id long")))
+    if big is not None:
+        low = big.groupBy("node").agg(F.min("key").alias("v"))
+        edges.append(big.join(low, "node").select(F.col("key").alias("u"), "v").where("u <> v"))
     return functools.reduce(DataFrame.unionByName, edges)
 
 

@@ -408,6 +408,22 @@ def test_recall_is_what_the_runs_promise():
     assert gone ** jaccard_join.runs_for() <= 1 - jaccard_join.RECALL < gone ** (jaccard_join.runs_for() - 1)
 
 
+@pytest.mark.parametrize("depth", [7, 10])
+def test_recall_of_planted_pairs(spark, monkeypatch, depth):
+    """Pairs at the threshold whose nodes all count as large: they must be found at the last level."""
+    monkeypatch.setattr(jaccard_join, "LIMIT", 1)
+    monkeypatch.setattr(jaccard_join, "DEPTH", depth)
+    rng, n = np.random.default_rng(depth), 4000
+    left, other = (rng.integers(0, 1 << 16, (n, jaccard_join.SIZE), dtype=np.uint16) for _ in range(2))
+    right = np.where(rng.random(left.shape) < jaccard_join.THRESHOLD, left, other)
+    key = lambda i, side: hashlib.md5(f"{i} {side}".encode()).digest()
+    rows = [(bytearray(key(i, side)), bytearray(sig[i].tobytes())) for i in range(n) for side, sig in ((0, left), (1, right))]
+    edges = jaccard_join.candidate_edges(spark.createDataFrame(rows, "key binary, sig binary")).distinct().collect()
+    found = {frozenset((bytes(e.u), bytes(e.v))) for e in edges}
+    lost = sum(frozenset((key(i, 0), key(i, 1))) not in found for i in range(n))
+    assert lost <= 10  # 4 are promised, with a standard deviation of 2
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randint(50, 120), rng.randint(50, 120)) for _ in range(60)] + [(200, 200)]
