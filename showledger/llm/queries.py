@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from showledger.session import adopt
 
-from . import byte_bpe, chat_format, exact_dedup, html_extract, jaccard_join, lexical_search, quality_pu, resampling, sharding, toxicity, url_filter, winnowing
+from . import byte_bpe, chat_format, exact_dedup, html_extract, jaccard_join, kneser_ney, lexical_search, quality_pu, resampling, sharding, toxicity, url_filter, winnowing
 from .common import read
 
 QUERIES, ORACLES = {}, {}
@@ -139,6 +139,11 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return resampling.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+@query("op12_lm_scoring")
+def op12_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.report(read(spark, folder, "documents"))
+
+
 @query("op13_lexical_search", r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS row_at,

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from showledger.llm import common, lexical_search, resampling
+from showledger.llm import common, hash_arrays, kneser_ney, lexical_search, resampling
 
 from .test_llm import docs_of, odd  # noqa: F401
 
@@ -128,3 +128,86 @@ def test_best_keeps_ties_by_least_member():
     best.add(np.array([[5, 0], [5, 1]]), np.array([9, 4]), ["a", "b"])
     best.add(np.array([[5, 0], [4, 1]]), np.array([7, 1]), ["c", "d"])
     assert list(zip(best.item.tolist(), best.score.tolist(), best.rep.tolist(), best.names)) == [(0, 5, 4, "b"), (0, 5, 7, "c"), (1, 1, 1, "d"), (1, 1, 4, "b")]
+
+
+# -- 12 language model -------------------------------------------------------------------
+
+def _brute_model(texts, order):
+    """Scores of every text by dictionaries; the same model written down from its formulas."""
+    cut = [[t.encode() for t in re.split("[ \t-\r]+", _low(x)) if t] + [None] for x in texts]
+    train = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 != 2]
+    raw = Counter(t for i in train for t in cut[i])
+    n_all, v = sum(raw.values()), len(raw)
+
+    def padded(i):
+        return ["<"] * (order - 1) + cut[i]
+
+    counts = {order: Counter(tuple(padded(i)[j : j + order]) for i in train for j in range(len(cut[i])))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    d = {k: kneser_ney.discounts(*(sum(c == x for c in counts[k].values()) for x in (1, 2, 3, 4))) for k in counts}
+    followed = {k: defaultdict(list) for k in counts}
+    for k in counts:
+        for g, c in counts[k].items():
+            followed[k][g[:-1]].append(c)
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / (v + 1)
+        low = p(gram[1:])
+        seen = followed[k].get(gram[:-1])
+        if not seen:
+            return low
+        c = counts[k].get(gram, 0)
+        less = lambda x: 0 if not x else d[k][min(x, 3) - 1]
+        return (c - less(c)) / sum(seen) + sum(map(less, seen)) / sum(seen) * low
+
+    out = {}
+    for i in range(len(texts)):
+        own = cut[i]
+        at = padded(i)
+        out[i] = (len(own), sum(raw[t] > 0 for t in own), n_all, sum(math.log10((raw[t] + 1) / (n_all + v + 1)) for t in own),
+                  sum(math.log10(p(tuple(at[j : j + order]))) for j in range(len(own))))
+    return out, (p, [*raw, "unseen"])
+
+
+@pytest.mark.parametrize("order,sizes", [(2, {}), (3, dict(bucket_bytes=300, part_bytes=200)), (4, dict(bucket_bytes=900, part_bytes=4000))])
+def test_language_model_brute_force(spark, monkeypatch, order, sizes):
+    monkeypatch.setattr(common, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(kneser_ney, "FLUSH", 50)
+    texts = _texts(5, 90) + ["of the cat " * 60, "a\x00b A\x00B\x0bc", "new words only here"]
+    want, (p, vocabulary) = _brute_model(texts, order)
+    got = {r.doc_id: r for r in kneser_ney.report(docs_of(spark, texts).repartition(5), order, **sizes).collect()}
+    assert len(got) == len(texts)
+    for i, w in want.items():
+        r = got[i]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == w[:3] and r.held_out == (zlib.crc32(str(i).encode()) % 7 == 2)
+        assert r.base_score == pytest.approx(w[3], rel=1e-12) and r.score == pytest.approx(w[4], rel=1e-9)
+    for context in (("<",) * (order - 1), (b"of",) * (order - 1), (b"the", b"cat", b"of")[-order + 1 :]):
+        assert sum(p((*context, t)) for t in vocabulary) == pytest.approx(1)  # a distribution, the unknown word included
+
+
+def test_language_model_odd(spark, odd):  # noqa: F811
+    got = kneser_ney.report(odd).collect()
+    assert len(got) == odd.count() and all(r.n_tokens == 1 for r in got if r.doc_id in (1, 2, 5))
+    assert kneser_ney.report(odd.limit(0)).count() == 0
+    untrained = kneser_ney.report(docs_of(spark, ["a b"], first=next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2))).first()
+    assert (untrained.score, untrained.base_score, untrained.n_known, untrained.train_tokens) == (0, 0, 0, 0)
+
+
+def test_language_model_beats_unigrams(spark):
+    from showledger.llm.queries import QUERIES
+
+    held = QUERIES["op12_lm_scoring"](spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).first()
+    assert held.score > held.base
+
+
+def test_hash_arrays_round_trip(tmp_path):
+    held = {"a": np.arange(5, dtype=np.uint64), "b": np.zeros(0, np.uint16), "c": np.array([1.5])}
+    hash_arrays.write(f"file://{tmp_path}/x/y", held)
+    got = hash_arrays.load(f"file://{tmp_path}/x/y")
+    assert all((got[k] == v).all() and got[k].dtype == v.dtype for k, v in held.items()) and isinstance(got["a"].base, np.memmap)
+    assert hash_arrays.load(str(tmp_path / "none"), missing=True) is None
+    for columns in ([np.array([0, 255, 256]), np.array([1, 1 << 40, 3])], [np.zeros(0, np.int64)]):
+        assert all((a == b).all() for a, b in zip(kneser_ney.unpack(kneser_ney.pack(columns)), columns))
