@@ -43,9 +43,9 @@ from .winnowing import words
 
 ORDER = 3
 #: Text (bytes) for each bucket of grams, and for each range part of the words.
-BUCKET_BYTES, PART_BYTES = 16 << 20, 64 << 20
+BUCKET_BYTES, PART_BYTES = 8 << 20, 64 << 20
 #: Grams that a task adds up before it hands them on.
-FLUSH = 1 << 21
+FLUSH = 1 << 19
 #: Tasks that may share the rows of one bucket.
 SLICES = 4
 #: Hash of the end of a text; no word's bytes are hashed to get it.
