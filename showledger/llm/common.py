@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from showledger.session import cut_lineage
 
-__all__ = ["blocks", "clean_text", "crc_mod", "cut_lineage", "keep_winners", "mix", "read", "unused"]
+__all__ = ["blocks", "clean_text", "crc_mod", "cut_lineage", "keep_winners", "mix", "read", "release", "unused"]
 
 #: Bytes of text that one numpy step works on; a longer single text is a step of its own.
 BLOCK_BYTES = 2 << 20
@@ -61,6 +62,12 @@ def _orderable(df: DataFrame) -> bool:
     return not any(kind.startswith(("map", "variant")) or "map<" in kind for _, kind in df.dtypes)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nothing refers to any more (it does so when the JVM collects them)."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (the public splitmix64 constants)."""
     x = x.astype(np.uint64, copy=True)

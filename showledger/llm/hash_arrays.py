@@ -73,6 +73,8 @@ def load(path: str, missing: bool = False) -> dict[str, np.ndarray] | None:
 
 def find(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place, found) of each value in a sorted array; places of values that aren't there mean nothing."""
-    at = np.searchsorted(among, values)
+    order = np.argsort(values)  # ascending lookups read each page once
+    at = np.empty(len(values), np.int64)
+    at[order] = np.searchsorted(among, values[order])
     at[at == len(among)] = 0
     return at, (among[at] == values if len(among) else np.zeros(len(values), bool))

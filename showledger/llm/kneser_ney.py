@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from showledger.session import delete_below, shared_dir
 
 from . import hash_arrays
-from .common import blocks, clean_text, crc_mod, cut_lineage, mix
+from .common import blocks, clean_text, crc_mod, cut_lineage, mix, release
 from .winnowing import words
 
 ORDER = 3
@@ -95,7 +95,7 @@ def _hash(columns: list[np.ndarray]) -> np.ndarray:
 
 def summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """Different rows and the sum of `n` over each."""
-    order = np.lexsort(columns[::-1])
+    order = np.argsort(_hash(columns))  # one sort, of the hashes
     columns = [c[order] for c in columns]
     first = np.ones(len(order), bool)
     first[1:] = functools.reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
@@ -104,25 +104,25 @@ def summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray],
 
 
 class Adder:
-    """Adds rows up in bounded memory: at most FLUSH rows wait beside the different ones."""
+    """Adds rows up in bounded memory: as many rows wait as there are different ones, or FLUSH if that is more."""
 
     def __init__(self):
-        self.parts, self.waiting = [], 0
+        self.parts, self.waiting, self.different = [], 0, 0
 
     def add(self, columns: list[np.ndarray], n: np.ndarray) -> None:
         self.parts.append((columns, n))
         self.waiting += len(n)
-        if self.waiting > FLUSH and len(self.parts) > 1:
+        if self.waiting > max(FLUSH, self.different) and len(self.parts) > 1:
             whole = self.take()
-            self.parts, self.waiting = [whole], 0
+            self.parts, self.waiting, self.different = [whole], 0, len(whole[1])
 
     def rows(self) -> int:
-        return sum(len(n) for _, n in self.parts)
+        return self.waiting + self.different
 
     def take(self) -> tuple[list[np.ndarray], np.ndarray]:
         columns = [np.concatenate(c) for c in zip(*(p[0] for p in self.parts))]
         made = summed(columns, np.concatenate([p[1] for p in self.parts]))
-        self.parts, self.waiting = [], 0
+        self.parts, self.waiting, self.different = [], 0, 0
         return made
 
 
@@ -219,6 +219,13 @@ class Model:
             h[hot] = _hash([b[hot], columns[-3][hot]])
         return (h % np.uint64(self.buckets)).astype(np.int64)
 
+    def context(self, columns: list[np.ndarray]) -> np.ndarray:
+        """Key of contexts: the words themselves up to two (the last one first), a hash of longer ones."""
+        if len(columns) > 2:
+            return _hash(columns)
+        before = columns[0] if len(columns) == 2 else np.zeros(len(columns[-1]), np.int64)
+        return columns[-1].astype(np.uint64) * np.uint64(self.n_words + 2) + before.astype(np.uint64)
+
     def path(self, kind: str, number: int) -> str:
         return f"{self.folder}/{kind}-{number}"
 
@@ -265,7 +272,7 @@ def _count_words(docs: DataFrame, folder: str, parts: int, frequent: float) -> t
         held = Adder()
 
         def out() -> pa.RecordBatch:
-            (key,), n = held.take()
+            key, n = _by_value(*held.take())
             return _rows([(p, _pack_hashes(key[a:b], n[a:b])) for p, a, b in _runs(part_of(key, parts))])
 
         for batch in batches:
@@ -281,7 +288,7 @@ def _count_words(docs: DataFrame, folder: str, parts: int, frequent: float) -> t
         now, held = None, Adder()
 
         def done() -> pa.RecordBatch:
-            (key,), n = held.take()
+            key, n = _by_value(*held.take())
             hash_arrays.write(f"{folder}/words-{now}", {"key": key, "n": n.astype(np.min_scalar_type(int(n.max())))})
             hot = np.flatnonzero(n > frequent)
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(n)], pa.int64()), pa.array([int(n.sum())], pa.int64()), pa.array([hot.tolist()], pa.list_(pa.int64()))], ["part", "n", "tokens", "hot"])
@@ -309,6 +316,11 @@ def _count_words(docs: DataFrame, folder: str, parts: int, frequent: float) -> t
     return sizes, total, hot
 
 
+def _by_value(columns: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(columns[0])
+    return columns[0][order], n[order]
+
+
 def _runs(values: np.ndarray) -> list[tuple[int, int, int]]:
     """(value, begin, end) of runs of equal values."""
     at = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
@@ -331,7 +343,7 @@ def _counted_grams(docs: DataFrame, model: Model) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             columns, n = held.take()
-            return _rows(list(_dealt(model.bucket(columns), [*columns, n])))
+            return _rows(list(_counted(model, columns, n)))
 
         for batch in batches:
             for _, _, raw, offs in blocks(batch.column(0)):
@@ -346,14 +358,35 @@ def _counted_grams(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select(clean_text().alias("text")).mapInArrow(run, PACKED)
 
 
+def _counted(model: Model, columns: list[np.ndarray], n: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """Grams and counts for their buckets, by ascending contexts, which pack well."""
+    order = np.argsort(model.context(columns[:-1]))
+    columns = [c[order] for c in columns]
+    return _dealt(model.bucket(columns), [*columns, n[order]])
+
+
 def _write_grams(model: Model, order: int, number: int, columns: list[np.ndarray], n: np.ndarray) -> None:
-    context, word = _hash(columns[:-1]), columns[-1]
-    at = np.lexsort((word, context))
-    context, word, n = context[at], word[at], n[at]
-    start = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
+    wide = model.n_words + 2
+    context, place = np.unique(model.context(columns[:-1]), return_inverse=True)
+    at = np.argsort(place * wide + columns[-1])
+    kept = {"context": context} if order > 3 else {"last": (context // np.uint64(wide)).astype(np.min_scalar_type(wide)), "before": (context % np.uint64(wide)).astype(np.min_scalar_type(wide))}
+    if order < 4:  # the last word of ascending contexts repeats, and without a word before it is all there is
+        last, runs = np.unique(kept["last"], return_counts=True)
+        kept = {"last": last, **_short("runs", runs), "before": kept["before"]} if order == 3 else {"last": last}
     hash_arrays.write(model.path(f"grams{order}", number), {
-        "context": context[start], "start": np.append(start, len(n)).astype(np.min_scalar_type(len(n))),
-        "word": word.astype(np.min_scalar_type(model.n_words + 1)), "n": n.astype(np.min_scalar_type(int(n.max())))})
+        **kept, **_short("followers", np.bincount(place)), "word": columns[-1][at].astype(np.min_scalar_type(wide)), **_short("n", n[at])})
+
+
+def _short(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts as one byte each; those above it are kept apart."""
+    big = np.flatnonzero(values > 255)
+    return {name: np.minimum(values, 255).astype(np.uint8), name + "_at": big.astype(np.uint32), name + "_big": values[big].astype(np.int64)}
+
+
+def _long(held: dict[str, np.ndarray], name: str) -> np.ndarray:
+    out = held[name].astype(np.int64)
+    out[held[name + "_at"]] = held[name + "_big"]
+    return out
 
 
 def _build(docs: DataFrame, model: Model) -> None:
@@ -365,7 +398,7 @@ def _build(docs: DataFrame, model: Model) -> None:
             _write_grams(model, order, number, columns, n)
             shorter, kinds = summed(columns[1:], np.ones(len(n), np.int64))  # words before each shorter gram
             if order > 2:
-                yield _rows(list(_dealt(model.bucket(shorter), [*shorter, kinds])))
+                yield _rows(list(_counted(model, shorter, kinds)))
             else:
                 part = np.searchsorted(base, shorter[0], "right") - 1
                 yield _rows(list(_dealt(part, [shorter[0] - base[part], kinds])))
@@ -392,7 +425,7 @@ def _counts_of_counts(spark: SparkSession, model: Model) -> np.ndarray:
                 k, i = files[at]
                 held = hash_arrays.load(model.path(f"grams{k}" if k > 1 else "before", i), missing=True)
                 if held is not None:
-                    n = held["n"]
+                    n = _long(held, "n") if k > 1 else held["n"]
                     total[k, :4] += np.bincount(np.minimum(n, 5), minlength=6)[1:5]
                     total[k, 4] += int(n.sum(dtype=np.int64))
                     total[k, 5] += int((n > 2).sum())
@@ -425,6 +458,7 @@ def train(docs: DataFrame, folder: str, order: int = ORDER, bucket_bytes: int =
     if not total:
         return model
     _build(docs, model)
+    release(docs.sparkSession)  # the shuffles of the counting are as large as the texts
     n = _counts_of_counts(docs.sparkSession, model)
     d = tuple(discounts(*(int(x) for x in n[k, :4])) for k in range(1, order + 1))
     free = sum(a * float(b) for a, b in zip(d[0], (n[1, 0], n[1, 1], n[1, 5])))
@@ -441,29 +475,32 @@ class Grams:
     def open(self, number: int) -> None:
         if number == self.number:
             return
-        self.number, self.held = number, hash_arrays.load(self.model.path(f"grams{self.order}", number), missing=True)
-        if self.held is not None:
-            start, n = self.held["start"][:-1].astype(np.int64), self.held["n"]
-            self.start = self.held["start"].astype(np.int64)
-            self.total = np.add.reduceat(n, start, dtype=np.int64).astype(float)
-            self.free = np.add.reduceat(self.d[np.minimum(n, 3)], start) / self.total
-            # ascending over the whole bucket: place of the context, then the word
+        self.number, held = number, hash_arrays.load(self.model.path(f"grams{self.order}", number), missing=True)
+        self.held = held
+        if held is not None:
             self.wide = self.model.n_words + 2
-            self.key = np.repeat(np.arange(len(start)), np.diff(self.start)) * self.wide + self.held["word"]
+            self.context = held["context"] if "context" in held else held["last"].astype(np.uint64) * np.uint64(self.wide)
+            if "before" in held:
+                self.context = np.repeat(self.context, _long(held, "runs")) + held["before"]
+            followers, self.n = _long(held, "followers"), _long(held, "n")
+            start = np.cumsum(followers) - followers
+            self.total = np.add.reduceat(self.n, start).astype(float)
+            self.free = np.add.reduceat(self.d[np.minimum(self.n, 3)], start) / self.total
+            # ascending over the whole bucket: place of the context, then the word
+            self.key = np.repeat(np.arange(len(start)), followers) * self.wide + held["word"]
 
-    def refine(self, columns: list[np.ndarray], p: np.ndarray) -> np.ndarray:
-        """Interpolate the probabilities of the next lower order."""
-        number = self.model.bucket(columns)
+    def refine(self, columns: list[np.ndarray], p: np.ndarray, number: np.ndarray) -> np.ndarray:
+        """Interpolate the probabilities of the next lower order; `number` is the bucket of each gram."""
         out = p.copy()
         for bucket in np.unique(number).tolist():
             self.open(bucket)
             if self.held is None:
                 continue
             rows = np.flatnonzero(number == bucket)
-            at, known = hash_arrays.find(_hash([c[rows] for c in columns[:-1]]), self.held["context"])
+            at, known = hash_arrays.find(self.model.context([c[rows] for c in columns[:-1]]), self.context)
             rows, at = rows[known], at[known]
             place, seen = hash_arrays.find(at * self.wide + columns[-1][rows], self.key)
-            n = np.where(seen, self.held["n"][place], 0)
+            n = np.where(seen, self.n[place], 0)
             out[rows] = (n - self.d[np.minimum(n, 3)]) / self.total[at] + self.free[at] * p[rows]
         return out
 
@@ -487,11 +524,15 @@ class Scorer:
         total, free = self.model.unigrams
         return ((n - self.d[np.minimum(n, 3)]) / total + free / (self.model.n_words + 1))[back]
 
-    def logs(self, columns: list[np.ndarray]) -> np.ndarray:
-        """log10 of the probability of the last word of each gram."""
+    def logs(self, columns: list[np.ndarray], bucket: int) -> np.ndarray:
+        """log10 of the probability of the last word of each gram; `bucket` is that of the highest order."""
         p = self.unigram(columns[-1])
         for k, held in enumerate(self.orders, 2):
-            p = held.refine(columns[-k:], p)
+            number = np.full(len(p), bucket)
+            if k == 2:  # those of split words lie elsewhere
+                hot = np.isin(columns[-2], np.array(self.model.split, np.int64))
+                number[hot] = self.model.bucket([columns[-2][hot], columns[-1][hot]])
+            p = held.refine(columns[-k:], p, number)
         return np.log10(p)
 
 
@@ -538,9 +579,9 @@ def score(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
             asked = np.asarray(batch.column("bucket")) >= 0
             if not asked.all():
                 yield batch.filter(pa.array(~asked))
-            for row in batch.filter(pa.array(asked)).select(["first", "payload"]).to_pylist():
+            for row in batch.filter(pa.array(asked)).select(["first", "bucket", "payload"]).to_pylist():
                 own, *columns = unpack(row["payload"])
-                total = np.bincount(own, _scorer(model).logs(columns))
+                total = np.bincount(own, _scorer(model).logs(columns, row["bucket"]))
                 used = np.unique(own)
                 yield rows([{"first": row["first"], "bucket": 0, "payload": pack([used]), "sums": total[used].tobytes()}])
 
