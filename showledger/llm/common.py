@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from showledger.session import cut_lineage
 
-__all__ = ["blocks", "clean_text", "crc_mod", "cut_lineage", "keep_winners", "mix", "read", "release", "unused"]
+__all__ = ["blocks", "clean_text", "crc_mod", "cut_lineage", "dropped_shuffles", "keep_winners", "mix", "read", "unused"]
 
 #: Bytes of text that one numpy step works on; a longer single text is a step of its own.
 BLOCK_BYTES = 2 << 20
@@ -62,10 +62,19 @@ def _orderable(df: DataFrame) -> bool:
     return not any(kind.startswith(("map", "variant")) or "map<" in kind for _, kind in df.dtypes)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of plans that nothing refers to any more (it does so when the JVM collects them)."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+@contextlib.contextmanager
+def dropped_shuffles(spark: SparkSession):
+    """Plans made and run inside remove their shuffle files at their end; the session's setting is put back afterwards."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from showledger.session import delete_below, shared_dir
 
 from . import hash_arrays
-from .common import blocks, clean_text, crc_mod, cut_lineage, mix, release
+from .common import blocks, clean_text, crc_mod, cut_lineage, dropped_shuffles, mix
 from .winnowing import words
 
 ORDER = 3
@@ -453,12 +453,12 @@ def train(docs: DataFrame, folder: str, order: int = ORDER, bucket_bytes: int =
         raise ValueError("the order must be at least 2")
     size = docs.agg(F.coalesce(F.sum(F.octet_length(clean_text()) + 1), F.lit(0))).first()[0]
     parts, buckets = max(1, -(-size // part_bytes)), max(1, -(-size // bucket_bytes))
-    sizes, total, hot = _count_words(docs, folder, parts, bucket_bytes / 6 / 4)  # a token has some six bytes
-    model = Model(folder, order, buckets, tuple(sizes), total, tuple(hot))
-    if not total:
-        return model
-    _build(docs, model)
-    release(docs.sparkSession)  # the shuffles of the counting are as large as the texts
+    with dropped_shuffles(docs.sparkSession):  # those of the counting are as large as the texts
+        sizes, total, hot = _count_words(docs, folder, parts, bucket_bytes / 6 / 4)  # a token has some six bytes
+        model = Model(folder, order, buckets, tuple(sizes), total, tuple(hot))
+        if not total:
+            return model
+        _build(docs, model)
     n = _counts_of_counts(docs.sparkSession, model)
     d = tuple(discounts(*(int(x) for x in n[k, :4])) for k in range(1, order + 1))
     free = sum(a * float(b) for a, b in zip(d[0], (n[1, 0], n[1, 1], n[1, 5])))
