@@ -155,6 +155,25 @@ def test_snapshot_roundtrip(spark, folder):
     assert got[("d1", "playback")] == 2 and got[("d1", "home")] == 1 and got[("d2", "home")] == 3 and got[("d1", "title")] == 8
 
 
+def test_patch_reads_touched_folders_only(spark, folder):
+    """200 titles of two domains in 16 buckets; the scan of a patch names the files of its folders and no others."""
+    items = spark.createDataFrame([(f"k{i}", "d/1" if i % 2 else "2024", f"s{i}", f"T {i}", T0) for i in range(200)], "item_key string, source string, slug string, title string, updated_at timestamp")
+    units = spark.createDataFrame([], "unit_key string, item_key string, slug string, updated_at timestamp")
+    snapshot.build_snapshot(items, units, F.col("source"), folder, buckets=16)
+    targets = spark.createDataFrame([("d/1", "s3"), ("2024", "s4"), ("new", "s5")], "domain string, slug string")
+    docs = spark.createDataFrame([(d, "title", s, s, dt.datetime(2025, 1, 1), "{}") for d, s in (("d/1", "s3"), ("2024", "s4"), ("new", "s5"))], "domain string, kind string, title_slug string, slug string, touched_at timestamp, document string")
+    old = snapshot.read_locator(spark, folder)
+    asked = snapshot.touched_folders(folder, targets, docs).join(old, snapshot.FOLDER, "left_semi").select(*snapshot.FOLDER).collect()
+    read = {f.rsplit("/", 1)[0].split("/pack/")[1] for f in snapshot.read_folders(spark, folder, asked).inputFiles()}
+    assert len(read) == len(asked) == 2 and {r.domain for r in asked} == {"d/1", "2024"}
+    every = {f.rsplit("/", 1)[0] for f in spark.read.parquet(folder + "/pack").inputFiles()}
+    assert len(every) > 60
+    manifest = snapshot.patch_snapshot(folder, targets, docs)
+    want = snapshot.manifest(spark.read.schema(snapshot._PACK).parquet(folder + "/pack"))
+    assert sorted(manifest.collect()) == sorted(want.collect()) and {r.domain for r in want.collect()} == {"d/1", "2024", "new"}
+    assert sorted(snapshot.read_locator(spark, folder).collect(), key=str) == sorted(snapshot._located(spark.read.schema(snapshot._PACK).parquet(folder + "/pack")).collect(), key=str)
+
+
 def test_delete_below(spark, folder):
     """Only what lies below the named folder can be deleted; an empty path would be the working directory."""
     spark.range(1).write.parquet(folder + "/a/b")

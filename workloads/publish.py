@@ -122,3 +122,23 @@ def _patch_files(t: Tables):
     home = snapshot_documents(items, units, F.col("source"), 8).filter("kind = 'home'")
     patch_snapshot(out, targets, docs, home)
     return t.spark.read.parquet(out + "/pack").select("domain", "kind", "slug", shown("touched_at").alias("touched_at"))
+
+
+@query("snapshot_patch_manifest", "WITH " + _PACK + f"""
+, targets AS (SELECT DISTINCT domain, slug FROM titles WHERE touched_at >= TIMESTAMP '2001-07-01'),
+late AS (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT'),
+replaced AS (SELECT DISTINCT domain, title_slug FROM pack WHERE kind = 'playback' AND slug NOT IN (SELECT CAST(o_orderkey AS VARCHAR) FROM late)),
+next AS (
+  SELECT p.domain, p.kind, CASE WHEN p.kind IN ('title', 'playback') AND g.slug IS NOT NULL THEN TIMESTAMP '{NOW}' ELSE p.touched_at END AS touched_at
+  FROM pack p LEFT JOIN targets g ON g.domain = p.domain AND g.slug = p.title_slug
+  LEFT JOIN replaced r ON r.domain = p.domain AND r.title_slug = p.title_slug
+  WHERE NOT (p.kind = 'playback' AND g.slug IS NOT NULL AND r.domain IS NOT NULL AND p.slug IN (SELECT CAST(o_orderkey AS VARCHAR) FROM late)))
+SELECT domain, kind, count(*) AS documents, strftime(max(touched_at), '%Y-%m-%dT%H:%M:%SZ') AS touched_at FROM next GROUP BY 1, 2
+""")
+def _patch_manifest(t: Tables):
+    """The manifest kept up by difference: playback documents of urgent orders go from the patched titles that have others."""
+    out = f"{shared_dir(t.spark)}/snapshot-{uuid.uuid4().hex}"
+    items, units, targets, docs = _patch(t)
+    build_snapshot(items, units, F.col("source"), out, 8, buckets=8)
+    urgent = units.filter("o_orderpriority = '1-URGENT'").select(F.col("slug"), F.lit("playback").alias("kind"))
+    return patch_snapshot(out, targets, docs.join(urgent, ["slug", "kind"], "left_anti"))
