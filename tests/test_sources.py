@@ -261,3 +261,36 @@ def test_stream_touches_few_buckets(spark, folder):
     assert len(folders) == 16 and sum(p.startswith("data/1/") for p in folders.values()) == 1
     table = {r.item_key: r.title for r in jobs.current_table(spark, folder + "/state").collect()}
     assert len(table) == 100 and table["k7"] == "b" and table["k8"] == "a"
+
+
+def test_bucket_directory_grows(spark, folder):
+    """Begun with 8 buckets and grown to 64: equal rows, and no batch rewrites buckets that it neither touches nor splits."""
+    schema = "k long, v string"
+    typed = spark.createDataFrame([], schema).schema
+    replace = lambda old, batch: batch if old is None else batch.unionByName(old.join(batch.select("k"), "k", "left_anti"))
+    go = lambda: jobs.run_upserts(jobs.read_stream(spark, folder + "/in", typed), folder + "/state", folder + "/ckpt", ["k"], replace, buckets=8, bucket_rows=10, splits=20)
+    want, counts = {}, []
+    for n in range(6):
+        rows = {k: str(n) for k in (range(640) if n == 0 else range(n * 7, n * 7 + 3))}
+        want |= rows
+        spark.createDataFrame(list(rows.items()), schema).coalesce(1).write.mode("append").parquet(folder + "/in")
+        go()
+        held = jobs.read_manifest(spark, folder + "/state")
+        counts.append(held["buckets"])
+        assert dict(jobs.current_table(spark, folder + "/state").collect()) == want
+        assert sum(held["rows"].values()) == len(want) and set(held["rows"]) == set(held["folders"])
+        if n and counts[-1] == counts[-2]:  # no split: only the buckets of three keys are new
+            assert sum(f.startswith(f"data/{n}/") for f in held["folders"].values()) <= 3
+        elif n:  # a split rewrites two buckets for each new one
+            assert sum(f.startswith(f"data/{n}/") for f in held["folders"].values()) <= 3 * 2 + 2 * (counts[-1] - counts[-2])
+    assert counts == [8, 28, 48, 64, 64, 64]
+
+
+def test_bucket_numbers():
+    for base in (1, 3, 8):
+        for count in range(base, 5 * base):
+            for h in range(-40, 200):
+                b = jobs.bucket_number(h, base, count)
+                assert 0 <= b < count
+                for older in range(base, count):  # the rows of a bucket come from one older bucket
+                    assert jobs.bucket_number(b, base, older) == jobs.bucket_number(h, base, older)
