@@ -466,10 +466,10 @@ def train(docs: DataFrame, folder: str, order: int = ORDER, bucket_bytes: int =
 
 
 class Grams:
-    """Probabilities of one order from the mapped buckets; one bucket is held at a time."""
+    """Probabilities of one order from the mapped buckets; one bucket is held at a time, of split words only where they are."""
 
     def __init__(self, model: Model, order: int):
-        self.model, self.order, self.number, self.held = model, order, None, None
+        self.model, self.order, self.number, self.held, self.split = model, order, None, None, {}
         self.d = np.array([0.0, *model.discounts[order - 1]])
 
     def open(self, number: int) -> None:
@@ -489,21 +489,47 @@ class Grams:
             # ascending over the whole bucket: place of the context, then the word
             self.key = np.repeat(np.arange(len(start)), followers) * self.wide + held["word"]
 
-    def refine(self, columns: list[np.ndarray], p: np.ndarray, number: np.ndarray) -> np.ndarray:
-        """Interpolate the probabilities of the next lower order; `number` is the bucket of each gram."""
+    def refine(self, columns: list[np.ndarray], p: np.ndarray, bucket: int) -> np.ndarray:
+        """Interpolate the probabilities of the next lower order for grams of one bucket."""
+        self.open(bucket)
         out = p.copy()
-        for bucket in np.unique(number).tolist():
-            self.open(bucket)
-            if self.held is None:
-                continue
-            rows = np.flatnonzero(number == bucket)
-            at, known = hash_arrays.find(self.model.context([c[rows] for c in columns[:-1]]), self.context)
-            rows, at = rows[known], at[known]
+        if self.held is not None:
+            at, known = hash_arrays.find(self.model.context(columns[:-1]), self.context)
+            rows, at = np.flatnonzero(known), at[known]
             place, seen = hash_arrays.find(at * self.wide + columns[-1][rows], self.key)
             n = np.where(seen, self.n[place], 0)
             out[rows] = (n - self.d[np.minimum(n, 3)]) / self.total[at] + self.free[at] * p[rows]
         return out
 
+    def refine_split(self, columns: list[np.ndarray], p: np.ndarray) -> np.ndarray:
+        """The same for pairs whose first word is a split one: its followers are looked up in the mapped file, wherever it lies."""
+        out = p.copy()
+        for b in np.unique(columns[0]).tolist():
+            rows = np.flatnonzero(columns[0] == b)
+            word, n, big_at, big_n, start, total, free = self._followers(b)
+            at, seen = hash_arrays.find(columns[1][rows], word)
+            c = np.where(seen, n[at], 0).astype(np.int64)
+            large = np.flatnonzero(c == 255)
+            c[large] = big_n[np.searchsorted(big_at, start + at[large])]
+            out[rows] = (c - self.d[np.minimum(c, 3)]) / total + free * p[rows]
+        return out
+
+    def _followers(self, b: int):
+        """(words, counts, places and counts above one byte, begin, sum, weight of the lower order) after a split word."""
+        if b not in self.split:
+            held = hash_arrays.load(self.model.path("grams2", int(self.model.bucket([np.array([b])] * 2)[0])))
+            followers = _long(held, "followers")
+            i = int(np.searchsorted(held["last"], b))
+            start = int(followers[:i].sum())
+            end = start + int(followers[i])
+            n = held["n"][start:end]
+            big_at, big_n = held["n_at"].astype(np.int64), held["n_big"]
+            large = slice(*np.searchsorted(big_at, [start, end]))
+            total = float(n.sum(dtype=np.int64) + (big_n[large] - 255).sum())
+            free = float(sum(d * int((n == i).sum()) for i, d in ((1, self.d[1]), (2, self.d[2]))) + self.d[3] * int((n > 2).sum())) / total
+            self.split[b] = (held["word"][start:end], n, big_at[large], big_n[large], start, total, free)
+        return self.split[b]
+
 
 class Scorer:
     def __init__(self, model: Model):
@@ -528,11 +554,14 @@ class Scorer:
         """log10 of the probability of the last word of each gram; `bucket` is that of the highest order."""
         p = self.unigram(columns[-1])
         for k, held in enumerate(self.orders, 2):
-            number = np.full(len(p), bucket)
-            if k == 2:  # those of split words lie elsewhere
-                hot = np.isin(columns[-2], np.array(self.model.split, np.int64))
-                number[hot] = self.model.bucket([columns[-2][hot], columns[-1][hot]])
-            p = held.refine(columns[-k:], p, number)
+            if k == 2 and self.model.order > 2 and self.model.split:
+                hot = np.isin(columns[-2], np.array(self.model.split))
+                q = p.copy()
+                q[hot] = held.refine_split([c[hot] for c in columns[-2:]], p[hot])
+                q[~hot] = held.refine([c[~hot] for c in columns[-2:]], p[~hot], bucket)
+                p = q
+            else:
+                p = held.refine(columns[-k:], p, bucket)
         return np.log10(p)
 
 
