@@ -323,6 +323,44 @@ def test_min_cut_is_minimal():
         assert abs(cost(html_extract.min_cut(unary, links)) - min(cost(y) for y in itertools.product([False, True], repeat=n))) < 1e-5
 
 
+def test_no_markup_fails_and_no_article_is_lost():
+    text = html_extract.main_text
+    for bad in ("<p>a</p><![x>b", "<article>x</article><![foo bar]]>", "<!x[", "<![if !IE]>y<![endif]>", "<!-- open", "<!", "<![", "<a href='", "<![CDATA[ z", "<!DOCTYPE [", "</", "<?x", "&#;&#x;&bogus"):
+        assert isinstance(text(bad), str) and text("<article><p>Kept here.</p></article>" + bad).startswith("Kept here.")
+        assert "Kept here." in text("<article><p>One.</p>" + bad + "><p>Kept here.</p></article>") or bad in ("<!-- open", "<a href='")
+    for around in ('<div id="content" class="site-content has-sidebar"><article>{}</article></div>', '<main class="layout-sidebar-right"><article>{}</article></main>', '<article class="post comments-open">{}</article>'):
+        assert text(around.format("<p>Some text.</p>")) == "Some text."
+    assert text('<article><div class="article-header"><h1>Head</h1></div><p class="legal">Legal text.</p></article>') == "Head\nLegal text."
+    assert text('<article><p>Text.</p></article><div class="sidebar"><p>Side.</p></div><article class="comment"><p>Reader.</p></article>') == "Text."
+    rng = random.Random(4)
+    pieces = ["<", ">", "![", "]]>", "<!", "<!--", "-->", "<p>", "</p>", "<article>", "<x", "&", "&#", "'", '"', "=", "a", "[", "<?", "</"]
+    for _ in range(3000):
+        text("".join(rng.choice(pieces) for _ in range(rng.randint(1, 12))))
+
+
+def test_cut_puts_wrong_costs_right():
+    """Pages without a telling tag or class: short lines inside running text are kept, long ones inside a menu are not."""
+    run = "<p>This is a long sentence of running text, number {}, with words and commas.</p>"
+    article = "".join(run.format(i) for i in range(4)) + "<p>See also</p>" + "".join(run.format(i) for i in range(4, 8))
+    menu = "".join(f'<li><a href="/{i}">Page {i}</a></li>' for i in range(5)) + '<li><a href="/x">' + run.format(9)[3:-4] + "</a></li>" + "".join(f'<li><a href="/{i}">Page {i}</a></li>' for i in range(6, 10))
+    page = f"<div><ul>{menu}</ul></div><div>{article}</div>"
+    own = html_extract.odds(html_extract.blocks_of(page), html_extract.DEFAULT)
+    assert own[14] < 0  # the short line by itself is no content
+    assert html_extract.main_text(page).split("\n") == [run.format(i)[3:-4] for i in range(4)] + ["See also"] + [run.format(i)[3:-4] for i in range(4, 8)]
+    blocks, reached, turned = html_extract.settled_by_cut(page)
+    assert blocks == 19 and reached >= 17 and turned >= 1
+
+
+def test_inline_furniture_is_linear():
+    html = "<article><p>" + "A <span class='share'>x</span> " * 40_000 + "</p></article>"
+    assert html_extract.main_text(html) == " ".join("A" * 40_000)
+
+
+def test_hints_are_trusted_as_far_as_the_text_agrees():
+    assert html_extract.trust(0, 0) == 0 and html_extract.trust(100, 100) == html_extract.HINT and html_extract.trust(30, 100) == 0
+    assert 0 < html_extract.trust(60, 100) < html_extract.HINT
+
+
 def test_main_text():
     body = ('<html><head><title>T</title><style>p{}</style></head><body><div class="cookie-notice"><p>We use cookies, many of them, to serve you.</p></div><header><h1>Site</h1></header>'
             '<nav><a href="/">Home</a></nav><div id="content"><h2>Head</h2><p>A &amp; b&nbsp;c <i>d</i>e.<!-- no --></p><div class="ad">Buy</div><ul><li>one<li>two</ul><form>name <input></form>'
@@ -341,7 +379,7 @@ def test_main_text_around_inline_furniture():
     pieces = html_extract.blocks_of('<p>one <a class="ad" href="/">buy</a>two <span class="text">three</span></p><div><span class="text">A</span> B</div>')
     assert [(b[0], b[1], b[3]) for b in pieces] == [("one two three", 0, 0), ("buy", 3, -1), ("A", 0, 1), ("B", 0, 0)]
     assert [b[6] for b in pieces] == [0, 0, 1, 1]
-    assert html_extract.main_text('<article><p>A</p></article><div><span class="text">B</span> is a longer sentence, and it goes on.</div>', [0.0] * 9 + [2.0]) == "A\nB is a longer sentence, and it goes on."
+    assert html_extract.main_text('<article><p>A</p></article><div><span class="text">B</span> is a longer sentence, and it goes on.</div>', html_extract.Costs((0.0,) * 9 + (2.0,), html_extract.HINT, html_extract.HINT)) == "A\nB is a longer sentence, and it goes on."
 
 
 def test_pages_query(spark):
