@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from showledger.operators import search as X
+from showledger.operators.postings import Postings
 from showledger.operators.ranking import numeric_sort_keys, page, result_to_json, rows_to_json, top_per_group, work_queue
 from showledger.plans.backfill import select_slugs
 from showledger.plans.views import lookup_item
+from showledger.session import shared_dir
 
 from .base import Tables, query, shop_items
 from .taxonomy import doc_items
@@ -62,6 +66,56 @@ def _index(t: Tables):
     return X.token_index(t.heavy("documents"), "doc_id", ["text"]).groupBy("token").agg(F.count("*").alias("docs"))
 
 
+def _store(t: Tables, prefix: int = 0) -> Postings:
+    return Postings(t.spark, f"{shared_dir(t.spark)}/postings-{uuid.uuid4().hex}", 16, prefix)
+
+
+_STORED_SQL = f"""
+WITH d AS (SELECT doc_id, {_TOKENS.format(x='text')} AS have FROM documents WHERE doc_id % 5 <> 3),
+b AS (SELECT item_id, {_TOKENS.format(x='text')} AS want FROM benchmark)
+"""
+
+
+def _stored(t: Tables) -> Postings:
+    """All documents in three batches: some with other texts at first, then all, then a fifth of them deleted."""
+    store, docs = _store(t), t.documents
+    store.update(X.token_changes(docs.where("doc_id % 3 = 0").withColumn("text", F.reverse("text")), "doc_id", ["text"]))
+    store.update(X.token_changes(docs, "doc_id", ["text"]))
+    store.update(X.token_changes(docs.where("doc_id % 5 = 3"), "doc_id", ["text"], F.lit(True)))
+    return store
+
+
+@query("token_search_stored", _STORED_SQL + "SELECT item_id, doc_id FROM b JOIN d ON list_has_all(have, want)")
+def _token_stored(t: Tables):
+    store = _stored(t)
+    store.compact(3)
+    return X.token_search_stored(store, t.benchmark, "item_id", "text", "doc_id")
+
+
+@query("token_frequencies", _STORED_SQL + "SELECT token, count(*) AS docs FROM (SELECT unnest(have) AS token FROM d) WHERE token IN (SELECT unnest(want) FROM b) GROUP BY 1")
+def _frequencies(t: Tables):
+    """Stored document frequencies of all words of the benchmark, after texts have changed and gone."""
+    words = t.benchmark.select(F.explode(X.tokens("text")).alias("term"))
+    return _stored(t).asked(words)[1].where("df > 0").select(F.col("term").alias("token"), F.col("df").alias("docs"))
+
+
+@query("search_titles_table", """
+WITH q AS (SELECT DISTINCT query, regexp_replace(query, '\\s+', '-', 'g') AS s FROM (
+  SELECT lower(substr(p_name, 1 + p_partkey % 5, 2 + p_partkey % 9)) AS query FROM part UNION ALL SELECT lower(p_brand) FROM part)
+  WHERE length(trim(query)) >= 2 AND query = trim(query)),""" + _PARTS_SQL + """
+SELECT query, rn AS place, lt AS title, slug, CAST(rank_bucket AS BIGINT) AS rank_bucket FROM r WHERE rn <= 8
+""")
+def _titles_table(t: Tables):
+    """A query for every part (a piece of its name) and every brand, through a title store that was built in two batches."""
+    store, parts = _store(t, X.GRAM), _parts(t)
+    store.update(X.title_changes(parts.where("id % 2 = 0"), "id"))
+    store.update(X.title_changes(parts, "id"))
+    piece = F.lower(F.substring("p_name", 1 + F.col("p_partkey").cast("int") % 5, 2 + F.col("p_partkey").cast("int") % 9))
+    asked = t.part.select(piece.alias("query")).unionByName(t.part.select(F.lower("p_brand").alias("query"))).where(F.col("query") == F.trim("query"))
+    out = X.search_titles_stored(store, parts, "id", asked)
+    return out.select("query", F.col("place").cast("bigint").alias("place"), F.lower("title").alias("title"), "slug", F.col("rank_bucket").cast("bigint").alias("rank_bucket"))
+
+
 @query("work_queue", """
 WITH f AS (SELECT d.doc_id, d.source, l.quality IS NULL AS m1, n_chars < 300 AS m2, lang = 'fr' AS m3, n_chars FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)
 SELECT doc_id, m1 AS missing_label, m2 AS missing_body, m3 AS missing_lang FROM f WHERE m1 OR m2 OR m3
