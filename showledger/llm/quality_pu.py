@@ -47,7 +47,8 @@ def features(text: str) -> np.ndarray:
     """Shares of marks, cases, repeats and lines; each as it is and on a log scale, then the kinds of punctuation runs."""
     words = text.split()
     n, chars = len(words), len(text)
-    marks = Counter(m[:4] for m in _MARK.findall(text))
+    runs_of_marks = _MARK.findall(text)
+    marks = Counter(m[:4] for m in runs_of_marks)  # the kind of a run is its first four marks; its length counts whole
     letters = sum(map(len, words))
     upper = sum(1 for w in words if w.isupper() and len(w) > 1)
     alone = sum(1 for w in words if not any(c.isalnum() for c in w))
@@ -58,7 +59,7 @@ def features(text: str) -> np.ndarray:
     d, dm = n + 5.0, chars + 20.0
     shares = np.array([
         upper / d, alone / d, again / d, max(seen.values(), default=0) / d, 1 - (pairs + 1) / (max(n - 1, 0) + 1.0),
-        sum(len(m) * k for m, k in marks.items()) / dm, sum(k for m, k in marks.items() if len(m) > 1) / d,
+        sum(map(len, runs_of_marks)) / dm, sum(k for m, k in marks.items() if len(m) > 1) / d,
         sum(c.isdigit() for c in text) / dm, 1 - (len(set(lines)) + 1) / (len(lines) + 1.0), sum(1 for w in words if w[-1] in ".!?") / d,
         sum(1 for w in words if w[0].isupper()) / d, sum(1 for w in words if len(w) > 20) / d])
     whole = np.array([np.log1p(n) / 5, letters / d / 5, np.log1p(n / (len(lines) + 1.0)) / 5, (len(seen) / d)])
@@ -99,19 +100,38 @@ def _adam(gradient, width: int, steps: int = 400, rate: float = 0.05, ridge: flo
     return theta
 
 
+class Prior:
+    """Bound of the share of positives among the unlabelled rows: the least ratio of their shares over sets of high scores.
+
+    The scores come from half of the sampled rows, the sets and the share of positives from the other positives, and the
+    share of unlabelled rows from whatever rows are counted against the cuts.
+    """
+
+    def __init__(self, p: np.ndarray, u: np.ndarray):
+        y = np.concatenate([np.ones(len(p[::2])), np.zeros(len(u[::2]))])
+        x = np.vstack([p[::2], u[::2]])
+        weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+        self.theta = _adam(lambda th: ((_sigmoid(x @ th) - y) * weight) @ x, x.shape[1])
+        sp = np.sort((p[1::2] if len(p) > 1 else p) @ self.theta)
+        self.cuts = np.quantile(sp, np.linspace(0, 1 - LEAST_SHARE, 71))
+        self.positives = len(sp)
+        self.share_p = 1 - np.searchsorted(sp, self.cuts, "left") / len(sp)
+
+    def place(self, u: np.ndarray) -> np.ndarray:
+        """How many of the ascending cuts each row reaches."""
+        return np.searchsorted(self.cuts, u @ self.theta, "right")
+
+    def bound(self, above: np.ndarray, rows: int) -> float:
+        share_u = above / rows
+        slack = np.sqrt(share_u * (1 - share_u) / rows) + np.sqrt(self.share_p * (1 - self.share_p) / self.positives)
+        return float(np.clip(((share_u + slack) / self.share_p).min(), 0.02, 0.98))
+
+
 def estimate_prior(p: np.ndarray, u: np.ndarray) -> float:
-    """Upper bound of the share of positives among the unlabelled rows."""
-    y = np.concatenate([np.ones(len(p[::2])), np.zeros(len(u[::2]))])
-    x = np.vstack([p[::2], u[::2]])
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
-    theta = _adam(lambda th: ((_sigmoid(x @ th) - y) * weight) @ x, x.shape[1])
-    held_p, held_u = (p[1::2] if len(p) > 1 else p), (u[1::2] if len(u) > 1 else u)
-    sp, su = np.sort(held_p @ theta), np.sort(held_u @ theta)
-    cuts = np.quantile(sp, np.linspace(0, 1 - LEAST_SHARE, 71))
-    share_p = 1 - np.searchsorted(sp, cuts, "left") / len(sp)
-    share_u = 1 - np.searchsorted(su, cuts, "left") / len(su)
-    slack = np.sqrt(share_u * (1 - share_u) / len(su)) + np.sqrt(share_p * (1 - share_p) / len(sp))
-    return float(np.clip(((share_u + slack) / share_p).min(), 0.02, 0.98))
+    """Upper bound of the share of positives among the unlabelled rows `u`."""
+    held = u[1::2] if len(u) > 1 else u
+    prior = Prior(p, u)
+    return prior.bound((prior.place(held)[:, None] > np.arange(len(prior.cuts))).sum(axis=0), len(held))
 
 
 class Model:
@@ -132,12 +152,15 @@ class Model:
         return F.pandas_udf(run, "double")(clean_text() if text is None else text)
 
 
-def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None) -> Model:
+def scaling(p: np.ndarray, u: np.ndarray):
+    """(mean, scale, function that scales rows and adds the intercept)."""
     both = np.vstack([p, u])
     mean, scale = both.mean(axis=0), both.std(axis=0) + 0.05
-    def ready(x: np.ndarray) -> np.ndarray:
-        return np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    return mean, scale, lambda x: np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
 
+
+def fit(p: np.ndarray, u: np.ndarray, prior: float | None = None) -> Model:
+    mean, scale, ready = scaling(p, u)
     p, u = ready(p), ready(u)
     prior = estimate_prior(p, u) if prior is None else prior
     return Model(_adam(lambda th: nonnegative_risk(th, p, u, prior)[1], p.shape[1], ridge=1e-3), mean, scale, prior)
@@ -163,7 +186,29 @@ def train(docs: DataFrame, positives: DataFrame, labelled: DataFrame, rows: int
     made = sample.mapInPandas(rows_of, "chosen_id long, kind int, x array<double>").collect()  # at most 2 * SAMPLE ids
     made.sort(key=lambda r: (r[0], r[1], r[2]))
     p, u = (np.array([r[2] for r in made if r[1] == k]).reshape(-1, WIDTH) for k in (1, 0))
-    return fit(p, u) if len(p) and len(u) else Model(None, None, None, None)
+    if not len(p) or not len(u):
+        return Model(None, None, None, None)
+    return fit(p, u, _prior_of_all(docs, labelled, p, u))
+
+
+def _prior_of_all(docs: DataFrame, labelled: DataFrame, p: np.ndarray, u: np.ndarray) -> float:
+    """The class prior from the scores of all unlabelled rows. Ids and places meet the labels, no texts."""
+    _, _, ready = scaling(p, u)
+    prior = Prior(ready(p), ready(u))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            x = np.array([features(t) for t in b["text"]]).reshape(-1, WIDTH)
+            yield pd.DataFrame({"doc_id": b["doc_id"], "place": prior.place(ready(x)).astype(np.int32)})
+
+    held = labelled.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    placed = docs.select(F.col("doc_id").cast("string").alias("doc_id"), clean_text().alias("text")).mapInPandas(place, "doc_id string, place int")
+    free = placed.join(held.select(F.col("doc_id").cast("string").alias("doc_id")), "doc_id", "left_anti")
+    found = {r[0]: r[1] for r in free.groupBy("place").count().collect()}  # a row for each cut at most
+    rows = sum(found.values())
+    if not rows:
+        return estimate_prior(ready(p), ready(u))
+    return prior.bound(np.array([sum(n for at, n in found.items() if at > i) for i in range(len(prior.cuts))]), rows)
 
 
 def trusted(labels: DataFrame) -> DataFrame:

@@ -73,16 +73,16 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS):
     """Logistic regression over `labelled` (host, path, verdict); None if there is only one verdict."""
     order = F.xxhash64("host", "path")
     one = labelled.where("verdict in ('allow', 'block')").select("host", "path", "verdict").distinct()
+    found = dict(one.groupBy("verdict").count().collect())  # two rows
+    if len(found) < 2:
+        return None, next(iter(found), "allow")
     sample = None
-    for verdict in ("allow", "block"):
-        part = one.where(F.col("verdict") == verdict).orderBy(order, "host", "path").limit(rows)
+    for verdict, n in sorted(found.items()):  # weights keep the ratio that both verdicts have over all rows
+        part = one.where(F.col("verdict") == verdict).orderBy(order, "host", "path").limit(rows).withColumn("weight", F.lit(n / min(n, rows)))
         sample = part if sample is None else sample.unionByName(part)
-    found = [r[0] for r in sample.groupBy("verdict").count().select("verdict").collect()]
-    if len(found) < 2:
-        return None, (found or ["allow"])[0]
     ready = HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features", binary=True).transform(
-        sample.select(grams(F.col("host"), F.col("path")).alias("grams"), (F.col("verdict") == "block").cast("double").alias("label")))
-    return LogisticRegression(maxIter=30, regParam=0.01).fit(ready.select("features", "label")), None
+        sample.select(grams(F.col("host"), F.col("path")).alias("grams"), (F.col("verdict") == "block").cast("double").alias("label"), "weight"))
+    return LogisticRegression(maxIter=30, regParam=0.01, weightCol="weight").fit(ready.select("features", "label", "weight")), None
 
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules=RULES) -> DataFrame:

@@ -477,3 +477,37 @@ def test_components(spark):
     assert set(got) == seen and all(got[a] == got[b] for a, b in edges if a != b)
     assert all(min(k for k in seen if got[k] == r) == r for r in set(got.values())) and got[40] == 0
     assert components.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_url_weights_keep_the_ratio_of_all_rows(spark):
+    """With both verdicts capped the fit stays near that of all rows; unweighted it would not."""
+    rng = random.Random(6)
+    rows = [(f"{'x' if rng.random() < (0.3 if i % 5 else 0.7) else 'y'}{rng.randint(0, 10**6)}.net", "/a", "allow" if i % 5 else "block") for i in range(3000)]
+    labelled = spark.createDataFrame(rows, "host string, path string, verdict string")
+    pages = spark.createDataFrame([(i, f"http://{c}{i}.net/a") for i, c in enumerate("xyz" * 20)], "page_id long, url string")
+
+    def p(limit):
+        url_filter.train.__defaults__, kept = (limit,), url_filter.train.__defaults__
+        try:
+            return {r.page_id: r.p_block for r in url_filter.judge(pages, labelled).collect()}
+        finally:
+            url_filter.train.__defaults__ = kept
+
+    whole, capped = p(5000), p(300)
+    assert abs(np.mean([capped[i] - whole[i] for i in whole])) < 0.05
+    assert np.mean(list(whole.values())) < 0.35  # a fifth of the rows is blocked
+
+
+def test_marks_count_whole_and_prior_uses_all_rows(spark):
+    text = "a b c " + "=" * 5000
+    assert quality_pu.features(text)[5] > 0.9
+    rng = np.random.default_rng(3)
+    p, u = rng.normal(1, 1, (400, 3)), np.vstack([rng.normal(1, 1, (500, 3)), rng.normal(-2, 1, (500, 3))])
+    prior = quality_pu.Prior(p, u)
+    assert ((prior.place(u)[:, None] > np.arange(71)).sum(axis=0) == [(u @ prior.theta >= c).sum() for c in prior.cuts]).all()
+    # the sample holds no junk at all, the table is mostly junk: the prior follows the table
+    good, junk = [f"Word {i} is in a plain sentence, and so on. Another follows it." for i in range(60)], ["=== ### " * 9 + str(i) for i in range(240)]
+    docs = docs_of(spark, good + junk)
+    x = lambda t: np.array([quality_pu.features(s) for s in t])
+    none = docs.select("doc_id").where("doc_id < 30")
+    assert quality_pu._prior_of_all(docs, none, x(good[:30]), x(good[30:] + junk[:30])) < 0.35 < quality_pu.estimate_prior(*[quality_pu.scaling(x(good[:30]), x(good[30:] + junk[:30]))[2](z) for z in (x(good[:30]), x(good[30:] + junk[:30]))])
