@@ -5,7 +5,8 @@ context that reaches before the text is filled with a begin mark. The highest or
 the different words seen before a gram, each with discounts of its own for counts of one, two and more; the unigrams
 are interpolated with 1 / (V + 1), so an unknown word has a probability too.
 
-Where things are: words are sorted 64-bit hashes in range parts, a word's id being its place. The grams of an order lie in
+Where things are: words are sorted 64-bit hashes in range parts, with counts and ids; ids begin with the frequent words, so
+that packed rows are short. The grams of an order lie in
 buckets of the last context word, which all orders of a token share; a word with more occurrences than a quarter of a
 bucket is split by the word before it. Each bucket is one file of sorted context hashes, words and counts in the shared folder
 (`hash_arrays`), written by the task that merges it. Tasks hand packed rows on, so the counting costs one shuffle for each
@@ -198,6 +199,11 @@ class Model:
     discounts: tuple[tuple[float, float, float], ...] = ()  # of orders 1, 2, ...
     unigrams: tuple[float, float] = (0.0, 1.0)  # sum of continuation counts, weight of 1 / (V + 1)
 
+    @property
+    def span(self) -> int:
+        """Ids in each file of continuation counts."""
+        return max(1, -(-self.n_words // len(self.sizes)))
+
     @property
     def n_words(self) -> int:
         return sum(self.sizes)
@@ -234,8 +240,8 @@ class Words:
     """Ids and counts of words, from the mapped range parts."""
 
     def __init__(self, model: Model):
-        self.model, self.parts = model, [hash_arrays.load(model.path("words", i)) if n else None for i, n in enumerate(model.sizes)]
-        self.base = np.concatenate([[0], np.cumsum(model.sizes)])
+        self.model, self.parts = model, [
+            hash_arrays.load(model.path("words", i)) | hash_arrays.load(model.path("ids", i)) if n else None for i, n in enumerate(model.sizes)]
 
     def look(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(id, count) of each hash: the unknown id and 0 for unseen ones. Every part is searched in order of the hashes."""
@@ -247,7 +253,7 @@ class Words:
                 continue
             at, known = hash_arrays.find(asked[edge[i] : edge[i + 1]], held["key"])
             where = np.flatnonzero(known) + edge[i]
-            ids[where], n[where] = self.base[i] + at[known], held["n"][at[known]]
+            ids[where], n[where] = held["id"][at[known]], held["n"][at[known]]
         return ids[back], n[back]
 
 
@@ -290,8 +296,8 @@ def _count_words(docs: DataFrame, folder: str, parts: int, frequent: float) -> t
         def done() -> pa.RecordBatch:
             key, n = _by_value(*held.take())
             hash_arrays.write(f"{folder}/words-{now}", {"key": key, "n": n.astype(np.min_scalar_type(int(n.max())))})
-            hot = np.flatnonzero(n > frequent)
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([len(n)], pa.int64()), pa.array([int(n.sum())], pa.int64()), pa.array([hot.tolist()], pa.list_(pa.int64()))], ["part", "n", "tokens", "hot"])
+            kinds = np.bincount(_kind(n), minlength=KINDS)
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([kinds.tolist()], pa.list_(pa.int64())), pa.array([int(n.sum())], pa.int64())], ["part", "kinds", "tokens"])
 
         for batch in batches:
             for part, payload in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -304,16 +310,36 @@ def _count_words(docs: DataFrame, folder: str, parts: int, frequent: float) -> t
             yield done()
 
     counted = docs.select(clean_text().alias("text")).mapInArrow(count, PACKED)
-    made = counted.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "part int, n long, tokens long, hot array<long>")
-    sizes, total, hot = [0] * parts, 0, []
-    rows = sorted(made.collect())  # one row a part
-    for part, n, seen, _ in rows:
-        sizes[part] = n
+    made = counted.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "part int, kinds array<long>, tokens long")
+    kinds, total = np.zeros((parts, KINDS), np.int64), 0
+    for part, found, seen in made.collect():  # one row a part
+        kinds[part] = found
         total += seen
-    base = np.concatenate([[0], np.cumsum(sizes)])
-    for part, _, _, places in rows:
-        hot += [int(base[part]) + x for x in places]
-    return sizes, total, hot
+    # ids by kind (frequent words first), then by part, then by hash
+    first = (np.cumsum(kinds.T.ravel()) - kinds.T.ravel()).reshape(KINDS, parts)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                held = hash_arrays.load(f"{folder}/words-{part}", missing=True)
+                if held is not None:
+                    kind = _kind(held["n"])
+                    order = np.argsort(kind, kind="stable")
+                    ids = np.empty(len(kind), np.int64)
+                    ids[order] = np.arange(len(kind)) - (np.cumsum(kinds[part]) - kinds[part])[kind[order]] + first[kind[order], part]
+                    hash_arrays.write(f"{folder}/ids-{part}", {"id": ids.astype(np.min_scalar_type(int(kinds.sum())))})
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[held["n"] > frequent])], ["id"])
+
+    hot = docs.sparkSession.range(parts).mapInArrow(number, "id long").collect()  # words with a share of the tokens above a bound
+    return kinds.sum(axis=1).tolist(), total, sorted(r[0] for r in hot)
+
+
+#: Kinds of words by the size of their counts in bits, the largest first.
+KINDS = 64
+
+
+def _kind(n: np.ndarray) -> np.ndarray:
+    return KINDS - 1 - np.log2(n.astype(float)).astype(np.int64)
 
 
 def _by_value(columns: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -392,7 +418,6 @@ def _long(held: dict[str, np.ndarray], name: str) -> np.ndarray:
 def _build(docs: DataFrame, model: Model) -> None:
     """Write the buckets of all orders from the highest down, and the continuation counts of the words."""
     rows = _counted_grams(docs, model)
-    base = np.concatenate([[0], np.cumsum(model.sizes)])
     for order in range(model.order, 1, -1):
         def done(number: int, columns: list[np.ndarray], n: np.ndarray, order: int = order) -> Iterator[pa.RecordBatch]:
             _write_grams(model, order, number, columns, n)
@@ -400,13 +425,12 @@ def _build(docs: DataFrame, model: Model) -> None:
             if order > 2:
                 yield _rows(list(_counted(model, shorter, kinds)))
             else:
-                part = np.searchsorted(base, shorter[0], "right") - 1
-                yield _rows(list(_dealt(part, [shorter[0] - base[part], kinds])))
+                yield _rows(list(_dealt(shorter[0] // model.span, [shorter[0] % model.span, kinds])))
 
         rows = _merged(rows, model.buckets, done, PACKED)
 
     def last(number: int, columns: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        whole = np.zeros(model.sizes[number], np.int64)
+        whole = np.zeros(model.span, np.int64)
         whole[columns[0]] = n
         hash_arrays.write(model.path("before", number), {"n": whole.astype(np.min_scalar_type(int(n.max())))})
         yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32())], ["part"])
@@ -416,7 +440,7 @@ def _build(docs: DataFrame, model: Model) -> None:
 
 def _counts_of_counts(spark: SparkSession, model: Model) -> np.ndarray:
     """Grams of each order that have count 1, 2, 3, 4, and (for order 1) the sum of the counts and words of 3 or more."""
-    files = [(k, i) for k in range(2, model.order + 1) for i in range(model.buckets)] + [(1, i) for i, n in enumerate(model.sizes) if n]
+    files = [(k, i) for k in range(2, model.order + 1) for i in range(model.buckets)] + [(1, i) for i in range(len(model.sizes))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((model.order + 1, 6), np.int64)
@@ -425,7 +449,7 @@ def _counts_of_counts(spark: SparkSession, model: Model) -> np.ndarray:
                 k, i = files[at]
                 held = hash_arrays.load(model.path(f"grams{k}" if k > 1 else "before", i), missing=True)
                 if held is not None:
-                    n = _long(held, "n") if k > 1 else held["n"]
+                    n = _long(held, "n") if k > 1 else held["n"]  # places beyond the last word hold 0
                     total[k, :4] += np.bincount(np.minimum(n, 5), minlength=6)[1:5]
                     total[k, 4] += int(n.sum(dtype=np.int64))
                     total[k, 5] += int((n > 2).sum())
@@ -535,18 +559,17 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.orders = [Grams(model, k) for k in range(2, model.order + 1)]
-        self.before = [hash_arrays.load(model.path("before", i))["n"] if n else None for i, n in enumerate(model.sizes)]
-        self.base = np.concatenate([[0], np.cumsum(model.sizes)])
+        self.before = [hash_arrays.load(model.path("before", i), missing=True) for i in range(len(model.sizes))]
         self.d = np.array([0.0, *model.discounts[0]])
 
     def unigram(self, word: np.ndarray) -> np.ndarray:
         asked, back = np.unique(word, return_inverse=True)
         n = np.zeros(len(asked), np.int64)
-        part = np.searchsorted(self.base, asked, "right") - 1
+        part = np.where(asked < self.model.n_words, asked // self.model.span, -1)
         for i, held in enumerate(self.before):
             own = part == i
             if held is not None and own.any():
-                n[own] = held[asked[own] - self.base[i]]
+                n[own] = held["n"][asked[own] % self.model.span]
         total, free = self.model.unigrams
         return ((n - self.d[np.minimum(n, 3)]) / total + free / (self.model.n_words + 1))[back]
 
@@ -600,7 +623,7 @@ def score(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                         "n_tokens": np.bincount(own, minlength=b - a).tolist(), "n_known": np.bincount(own[n > 0], minlength=b - a).tolist(), "base": base.tolist()}]
                 if known:
                     columns = grams(word, own, model.order, model.begin)
-                    out += [{"first": first, "bucket": bucket, "slice": first % SLICES, "payload": payload} for bucket, payload in _dealt(model.bucket(columns), [own, *columns])]
+                    out += [{"first": first, "bucket": bucket, "slice": int(mix(np.array([first], np.uint64))[0] % np.uint64(SLICES)), "payload": payload} for bucket, payload in _dealt(model.bucket(columns), [own, *columns])]
                 yield rows(out)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
