@@ -11,8 +11,8 @@ from ..functions.titles import jaccard_from_sizes, prepared_score, query_parts,
 from ..session import cut_lineage
 from .ranking import cap_children, top_per_group
 
-#: Sets from which a token counts as frequent, and the tasks that share it then.
-HOT_SETS, SALT = 100_000, 16
+#: Sets from which a token counts as frequent, and the rows of either side that one cell of a frequent token holds.
+HOT_SETS, CELL = 100_000, 20_000
 
 
 def _signature(tokens: Column) -> Column:
@@ -38,19 +38,33 @@ def match_titles(
     threshold = rules.MIN_MATCH[profile] if min_score is None else min_score
     if threshold <= 0:
         raise ValueError("min_score must be above 0")
-    order = right_order or [right_id]
+    sets = title_sets(right, right_id, right_title, right_order, profile)
+    return match_to_sets(left, cut_lineage(sets), left_title=left_title, right_id=right_id, right_title=right_title, threshold=threshold, profile=profile)
 
-    mine = left.withColumn("_toks", title_tokens(left_title, profile)).withColumn("_sig", _signature(F.col("_toks")))
+
+def title_sets(right: DataFrame, right_id: str, right_title: str, right_order: list[str] | None = None, profile: str = "1") -> DataFrame:
+    """One row for each different token set of a catalog: _sig, and _first, its first title in `right_order`.
+
+    Stored by the caller, it lets later titles be matched (`match_to_sets`) without reading the catalog's titles again.
+    """
+    order = right_order or [right_id]
     theirs = right.select(
         F.struct(*[F.col(c) for c in order]).alias("_ord"), F.col(right_id).alias("_rid"),
         F.col(right_title).alias("_rtitle"), title_tokens(right_title, profile).alias("_toks"),
     ).withColumn("_sig", _signature(F.col("_toks")))
+    return theirs.filter(F.col("_sig") != "").groupBy("_sig").agg(F.min(F.struct("_ord", "_rid", "_rtitle")).alias("_first"))
+
 
+def add_title_sets(stored: DataFrame, new: DataFrame) -> DataFrame:
+    """Stored sets with those of new catalog rows: one row a set, its first title."""
+    return stored.select("_sig", "_first").unionByName(new.select("_sig", "_first")).groupBy("_sig").agg(F.min("_first").alias("_first"))
+
+
+def match_to_sets(left: DataFrame, rsets: DataFrame, *, left_title: str, right_id: str, right_title: str, threshold: float, profile: str = "1") -> DataFrame:
+    """match_titles against stored sets; only the titles of `left` are normalised."""
+    mine = left.withColumn("_toks", title_tokens(left_title, profile)).withColumn("_sig", _signature(F.col("_toks")))
     # the distinct token sets are stored once; titles are read and normalised no second time for the pairs
     lsets = cut_lineage(mine.filter(F.col("_sig") != "").select("_sig").distinct())
-    rsets = cut_lineage(theirs.filter(F.col("_sig") != "").groupBy("_sig").agg(
-        F.min(F.struct("_ord", "_rid", "_rtitle")).alias("_first")
-    ))
     equal = lsets.join(rsets, "_sig").select("_sig", F.lit(1.0).alias("_score"), "_first")
     best = equal
     if threshold < 1:
@@ -72,13 +86,20 @@ def _similar_sets(lsets: DataFrame, rsets: DataFrame, threshold: float) -> DataF
     numbered = lambda d: cut_lineage(d.select("_sig", F.monotonically_increasing_id().alias("_set")))
     lsets, rsets = numbered(lsets), numbered(rsets)
     exploded = lambda d: d.select("_set", F.explode(F.split("_sig", " ")).alias("_tok"))
-    weights = exploded(lsets).select("_tok").unionByName(exploded(rsets).select("_tok")).groupBy("_tok").agg(
+    weights = cut_lineage(exploded(lsets).select("_tok").unionByName(exploded(rsets).select("_tok")).groupBy("_tok").agg(
         F.count("*").alias("_df")
-    )
+    ))
+    # frequent tokens are few (a set has each once, so at most all tokens / HOT_SETS): their counts go to the rows
+    frequent = F.broadcast(weights.filter(F.col("_df") > HOT_SETS))
+
+    def weighed(sets: DataFrame) -> DataFrame:
+        first = exploded(sets).join(frequent, "_tok", "left")
+        rest = first.filter(F.col("_df").isNull()).drop("_df").join(weights, "_tok")
+        return first.filter(F.col("_df").isNotNull()).unionByName(rest.select("_tok", "_set", "_df"))
 
     def prefixes(sets: DataFrame, tag: str, larger_when: bool) -> DataFrame:
         """One row per prefix token, for the set as the pair's larger and as its smaller one."""
-        ranked = exploded(sets).join(weights, "_tok").groupBy("_set").agg(
+        ranked = weighed(sets).groupBy("_set").agg(
             F.sort_array(F.collect_list(F.struct("_df", "_tok"))).alias("_ranked")
         )
         toks = F.transform("_ranked", lambda x: x["_tok"])
@@ -91,17 +112,27 @@ def _similar_sets(lsets: DataFrame, rsets: DataFrame, threshold: float) -> DataF
         return (
             ranked.select(F.col("_set").alias(tag + "set"), n.alias(tag + "n"), F.explode(roles).alias("_role"))
             .select(tag + "set", tag + "n", F.col("_role.left_larger").alias("left_larger"), F.col("_role.prefix").alias(tag + "prefix"))
-            .withColumn("_tok", F.explode(tag + "prefix"))
+            .select("*", F.posexplode(tag + "prefix").alias(tag + "at", "_tok"))
         )
 
     lp, rp = prefixes(lsets, "l_", True), prefixes(rsets, "r_", False)
     right_role = F.col("left_larger") == (F.col("l_n") >= F.col("r_n"))
     reachable = jaccard_from_sizes(F.least("l_n", "r_n"), F.col("l_n"), F.col("r_n")) >= threshold - 1e-9
-    # a frequent token is dealt over SALT tasks: its left rows are divided, its right rows repeated
-    hot = weights.filter(F.col("_df") > HOT_SETS).select("_tok", F.lit(SALT).alias("_salts"))
-    lp = lp.join(hot, "_tok", "left").withColumn("_salt", F.pmod(F.col("l_set"), F.coalesce("_salts", F.lit(1))).cast("int")).drop("_salts")
-    rp = rp.join(hot, "_tok", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))).drop("_salts")
-    pairs = lp.join(rp, ["_tok", "left_larger", "_salt"]).filter(right_role & reachable)
+    # a frequent token is a grid of cells: as many parts of either side as its counted rows ask for, every left part
+    # meeting every right part once; so no task gets more than CELL rows of a side for it
+    sides = lp.groupBy("_tok", "left_larger").agg(F.count("*").alias("_ln")).join(
+        rp.groupBy("_tok", "left_larger").agg(F.count("*").alias("_rn")), ["_tok", "left_larger"])
+    parts = lambda n: F.ceil(F.col(n) / CELL).cast("int")
+    grid = F.broadcast(sides.filter(F.greatest("_ln", "_rn") > CELL).select("_tok", "left_larger", parts("_ln").alias("_lparts"), parts("_rn").alias("_rparts")))
+    one = F.lit(1)
+    lp = lp.join(grid, ["_tok", "left_larger"], "left").withColumn("_l", F.pmod(F.xxhash64("l_set"), F.coalesce("_lparts", one)).cast("int"))
+    lp = lp.withColumn("_r", F.explode(F.sequence(F.lit(0), F.coalesce("_rparts", one) - 1))).drop("_lparts", "_rparts")
+    rp = rp.join(grid, ["_tok", "left_larger"], "left").withColumn("_r", F.pmod(F.xxhash64("r_set"), F.coalesce("_rparts", one)).cast("int"))
+    rp = rp.withColumn("_l", F.explode(F.sequence(F.lit(0), F.coalesce("_lparts", one) - 1))).drop("_lparts", "_rparts")
+    # what lies behind the first shared token, at most, is shared too
+    ahead = F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at"))
+    near = jaccard_from_sizes(ahead, F.col("l_n"), F.col("r_n")) >= threshold - 1e-9
+    pairs = lp.join(rp, ["_tok", "left_larger", "_l", "_r"]).filter(right_role & reachable & near)
     # a pair meets once per shared prefix token: score it at the first one only
     pairs = pairs.filter(F.get(F.array_intersect("l_prefix", "r_prefix"), 0) == F.col("_tok"))
     named = lambda d, tag: d.select(F.col("_set").alias(tag + "set"), F.col("_sig").alias(tag + "sig"))

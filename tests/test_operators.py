@@ -302,3 +302,35 @@ def test_review_hits(spark):
     out = by(review.review_hits(own, hits, "slug"), "match_status", "hit_url", "needs_review", "notes")
     assert out == {"a": ("matched", "u1", False, ""), "b": ("no_match", None, False, "no search results"), "c": ("no_match", None, False, "no search results")}
     assert by(review.review_hits(own, hits, "slug"), "match_score")["c"][0] > 0
+
+
+@pytest.mark.parametrize("cell", [3, 20_000])
+def test_title_match_grid(spark, monkeypatch, cell):
+    """Half of all titles share one word: every pair as by brute force, no cell above its share, new titles against stored sets."""
+    monkeypatch.setattr(matching, "HOT_SETS", 10)
+    monkeypatch.setattr(matching, "CELL", cell)
+    rng = random.Random(8)
+    title = lambda i: " ".join((["saga"] if i % 2 else []) + rng.sample([f"n{k}" for k in range(9)], rng.randint(1, 4)))
+    left = [(i, title(i)) for i in range(60)]
+    right = [(100 + i, title(i)) for i in range(60)]
+
+    def score(a, b):
+        a, b = set(a.split()), set(b.split())
+        return max(0.0, min(1.0, len(a & b) / len(a | b) - 0.03 * abs(len(a) - len(b))))
+
+    want = {}
+    for i, a in left:
+        best = min((-score(a, b), r) for r, b in right)
+        want[i] = (best[1], -best[0]) if -best[0] >= 0.5 else (None, None)
+    lf, rf = spark.createDataFrame(left, "id long, title string"), spark.createDataFrame(right, "rid long, rtitle string")
+
+    def same(df, ids):
+        got = {r.id: (r.rid, r.match_score) for r in df.collect()}
+        assert set(got) == set(ids)
+        for i in ids:
+            assert got[i][0] == want[i][0] and (want[i][1] is None or abs(got[i][1] - want[i][1]) < 1e-9)
+
+    same(matching.match_titles(lf, rf, left_title="title", right_id="rid", right_title="rtitle", min_score=0.5), [i for i, _ in left])
+    stored = matching.add_title_sets(matching.title_sets(rf.where("rid < 130"), "rid", "rtitle"), matching.title_sets(rf.where("rid >= 130"), "rid", "rtitle"))
+    new = lf.where("id >= 50")
+    same(matching.match_to_sets(new, stored, left_title="title", right_id="rid", right_title="rtitle", threshold=0.5), range(50, 60))
