@@ -52,7 +52,7 @@ SLICES = 4
 #: Hash of the end of a text; no word's bytes are hashed to get it.
 END = np.uint64(0x5851F42D4C957F2D)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
-#: Discounts where the counts of counts are too few to estimate them.
+#: Discounts where the counts of counts don't give any.
 FALLBACK = (0.5, 1.0, 1.5)
 
 _TOKEN = np.arange(256, dtype=np.uint8)
@@ -404,8 +404,8 @@ def _write_grams(model: Model, order: int, number: int, columns: list[np.ndarray
 
 
 def _short(name: str, values: np.ndarray) -> dict[str, np.ndarray]:
-    """Counts as one byte each; those above it are kept apart."""
-    big = np.flatnonzero(values > 255)
+    """Counts as one byte each; 255 stands for those from there on, which are kept apart."""
+    big = np.flatnonzero(values >= 255)
     return {name: np.minimum(values, 255).astype(np.uint8), name + "_at": big.astype(np.uint32), name + "_big": values[big].astype(np.int64)}
 
 
@@ -468,7 +468,8 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
         return FALLBACK
     y = n1 / (n1 + 2 * n2)
     made = (1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3)
-    return tuple(min(max(d, 0.0), float(i + 1)) for i, d in enumerate(made))
+    # a discount of nothing would leave nothing for words that a context has not seen
+    return made if all(0 < d <= i + 1 for i, d in enumerate(made)) else FALLBACK
 
 
 def train(docs: DataFrame, folder: str, order: int = ORDER, bucket_bytes: int = BUCKET_BYTES, part_bytes: int = PART_BYTES) -> Model:

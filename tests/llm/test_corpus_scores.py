@@ -177,6 +177,7 @@ def test_language_model_brute_force(spark, monkeypatch, order, sizes):
     monkeypatch.setattr(common, "BLOCK_BYTES", 200)
     monkeypatch.setattr(kneser_ney, "FLUSH", 50)
     texts = _texts(5, 90) + ["of the cat " * 60, "a\x00b A\x00B\x0bc", "new words only here"]
+    texts += [" ".join(f"v{i} of cat u{i} of dog" for i in range(n)) for n in (254, 255, 300)] + ["of dog of cat"] * 4  # counts around one byte
     want, (p, vocabulary) = _brute_model(texts, order)
     got = {r.doc_id: r for r in kneser_ney.report(docs_of(spark, texts).repartition(5), order, **sizes).collect()}
     assert len(got) == len(texts)
