@@ -12,6 +12,8 @@
 Law: `rows` - the counts of the shards are at most one apart. The random keys depend on the seed and on the row's place
 in the input; the permuted input is checkpointed before anything is drawn, so a lost executor cannot change them.
 
+The draws are numpy's below LIBRARY free places, and by inversion of the same law above.
+
 Defined results: a null text has size 1 and the crc of no bytes; null and repeated ids and repeated rows each take a
 place of their own; an empty table gives no rows; fewer rows than shards leave shards empty; other columns are carried
 along (a clash with shard or slot is refused).
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from .common import clean_text, cut_lineage, unused
 
 SHARDS, SEED = 16, 20_240_501
+#: Places from which numpy draws no hypergeometric numbers.
+LIBRARY = 1_000_000_000
 _LOCAL = (1 << 33) - 1  # a row's number within its partition, as monotonically_increasing_id counts
 
 
@@ -49,12 +53,27 @@ def _hypergeometric(draw: np.random.Generator, good: int, bad: int, n: int) -> i
         return 0
     if not bad:
         return n
-    if good + bad < 1_000_000_000:  # numpy's own bound
+    if good + bad < LIBRARY:
         return int(draw.hypergeometric(good, bad, n))
-    # beyond it, halve the sample: the law of a half is drawn from the normal approximation, which is exact enough there
-    p = good / (good + bad)
-    sd = (n * p * (1 - p) * (good + bad - n) / max(1, good + bad - 1)) ** 0.5
-    return int(min(good, n, max(0, n - bad, round(draw.normal(n * p, sd)))))
+    return _by_inversion(draw, good, bad, n)
+
+
+def _by_inversion(draw: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """The same law at any size: probabilities run from the mode by their exact ratios as far as doubles tell them from 0."""
+    low, high = max(0, n - bad), min(good, n)
+    mode = min(high, max(low, (n + 1) * (good + 1) // (good + bad + 2)))
+    weights, steps = {}, {}
+    for sign, end in ((1, high), (-1, low)):
+        parts, at, last = [], mode, 1.0
+        while at != end and last > 1e-30:
+            k = np.arange(at, at + sign * min(1 << 16, abs(end - at)), sign, dtype=float)
+            up = (good - k) * (n - k) / ((k + 1) * (bad - n + k + 1)) if sign > 0 else k * (bad - n + k) / ((good - k + 1) * (n - k + 1))
+            parts.append(last * np.cumprod(up))
+            last, at = float(parts[-1][-1]), at + sign * len(k)
+        weights[sign] = np.concatenate(parts) if parts else np.zeros(0)
+        steps[sign] = len(weights[sign])
+    total = np.cumsum(np.concatenate([weights[-1][::-1], [1.0], weights[1]]))
+    return mode - steps[-1] + int(np.searchsorted(total, draw.random() * total[-1], "right"))
 
 
 def shard_rows(df: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:

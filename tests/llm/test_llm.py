@@ -511,3 +511,19 @@ def test_marks_count_whole_and_prior_uses_all_rows(spark):
     x = lambda t: np.array([quality_pu.features(s) for s in t])
     none = docs.select("doc_id").where("doc_id < 30")
     assert quality_pu._prior_of_all(docs, none, x(good[:30]), x(good[30:] + junk[:30])) < 0.35 < quality_pu.estimate_prior(*[quality_pu.scaling(x(good[:30]), x(good[30:] + junk[:30]))[2](z) for z in (x(good[:30]), x(good[30:] + junk[:30]))])
+
+
+def test_hypergeometric_by_inversion():
+    """The same law as the library's, also where few are expected; exact bounds and moments far beyond its size."""
+    rng = np.random.default_rng(5)
+    for good, bad, n in ((7, 12, 9), (3, 4000, 50), (900, 100, 300), (5, 5, 10), (1, 1, 1)):
+        own = np.bincount([sharding._by_inversion(rng, good, bad, n) for _ in range(20_000)], minlength=n + 1) / 20_000
+        want = np.bincount(rng.hypergeometric(good, bad, n, 200_000), minlength=n + 1) / 200_000
+        assert np.abs(np.cumsum(own) - np.cumsum(want)).max() < 0.02
+    good, bad, n = 6 * 10**9, 90 * 10**9, 10**7
+    got = np.array([sharding._hypergeometric(rng, good, bad, n) for _ in range(200)])
+    mean, sd = n * good / (good + bad), (n * good / (good + bad) * bad / (good + bad)) ** 0.5
+    assert abs(got.mean() - mean) < 5 * sd / 200**0.5 and 0.8 < got.std() / sd < 1.2
+    few = np.array([sharding._hypergeometric(rng, 4 * 10**9, 60 * 10**9, 8) for _ in range(3000)])
+    assert few.max() <= 8 and abs((few == 0).mean() - (15 / 16) ** 8) < 0.04  # a rounded normal would not give this
+    assert sharding._by_inversion(rng, 10**10, 5, 10**10 + 5) == 10**10
