@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from .. import rules
+
 # name(arguments) -> (result type, SQL expression)
 SQL_FUNCTIONS = {
     "normalize_space(t STRING)": ("STRING", r"trim(regexp_replace(coalesce(t, ''), '[\\s\\p{Z}]+', ' '))"),
@@ -42,6 +44,36 @@ def register_functions(spark: SparkSession, prefix: str = "sl_") -> list[str]:
     return names
 
 
+def register_search(spark: SparkSession, view: str, name: str = "sl_search", title: str = "title", slug: str = "slug") -> str:
+    """Create the temporary SQL table function `name(query, limit)` over the titles of a view; returns its name.
+
+    `SELECT * FROM sl_search('bolt', 8)` gives title, slug, rank_bucket, title_position and place as `search_titles` ranks
+    them; a null limit is the default one. The best rows of each task meet in one, never all matches.
+    """
+    low, low_slug, q, s = f"lower({title})", f"lower({slug})", "lower(trim(query))", r"regexp_replace(lower(trim(query)), '\\s+', '-')"
+    spark.sql(f"""
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(query STRING, row_limit INT)
+RETURNS TABLE (title STRING, slug STRING, rank_bucket INT, title_position INT, place INT)
+RETURN SELECT title, slug, rank_bucket, title_position, place FROM (
+  SELECT title, slug, rank_bucket, title_position, row_number() OVER (ORDER BY rank_bucket, title_position, title, slug) AS place FROM (
+    SELECT {title} AS title, {slug} AS slug, coalesce(nullif(position({q}, {low}), 0), 9999) AS title_position,
+           CASE WHEN {low} = {q} THEN 0 WHEN {low_slug} = {s} THEN 1 WHEN startswith({low}, {q}) THEN 2 WHEN startswith({low_slug}, {s}) THEN 3
+                WHEN contains({low}, concat(' ', {q})) THEN 4 WHEN contains({low}, {q}) THEN 5 WHEN contains({low_slug}, {s}) THEN 6 END AS rank_bucket
+    FROM {view} WHERE length({q}) >= {rules.SEARCH_MIN_CHARS}) WHERE rank_bucket IS NOT NULL)
+WHERE place <= {rules.SEARCH_MAX} AND place <= greatest(1, coalesce(row_limit, {rules.SEARCH_LIMIT}))""")
+    return name
+
+
+def register_token_search(spark: SparkSession, view: str, key: str, text: str, name: str = "sl_token_search") -> str:
+    """Create the temporary SQL table function `name(query)`: the keys of a view whose text holds every token of the query."""
+    cut = lambda t: rf"array_distinct(filter(split(lower({t}), '[^\\p{{L}}\\p{{N}}]+'), w -> w <> ''))"
+    kind = spark.table(view).schema[key].dataType.simpleString()
+    spark.sql(f"""
+CREATE OR REPLACE TEMPORARY FUNCTION {name}(query STRING) RETURNS TABLE ({key} {kind})
+RETURN SELECT {key} FROM {view} WHERE size({cut('query')}) > 0 AND size(array_except({cut('query')}, {cut(text)})) = 0""")
+    return name
+
+
 def read_recordset(df, json_col: str, schema: str):
     """Array-of-objects JSON text -> one row per object."""
     from pyspark.sql import functions as F

@@ -10,7 +10,7 @@ from ..functions.dates import iso_z
 from ..operators.ranking import top_per_group
 
 
-def _domains(domain_rules: list) -> Column:
+def domains_of(domain_rules: list) -> Column:
     """array<struct<domain, unit_type>> of the rules a row meets."""
     found = []
     for name, sources, kinds, unit_type in domain_rules:
@@ -42,7 +42,7 @@ def patch_targets(items: DataFrame, units: DataFrame, now: Column, lookback_minu
     slim = items.select("item_key", "slug", "updated_at", "source", "media_type")
     fresh = slim.filter(F.col("updated_at") >= cutoff).join(recent, "item_key", "left")
     older = slim.filter(F.col("updated_at") < cutoff).join(recent, "item_key")
-    member = fresh.unionByName(older).withColumn("_d", F.explode(_domains(domain_rules)))
+    member = fresh.unionByName(older).withColumn("_d", F.explode(domains_of(domain_rules)))
     by_type = None
     for t in types:
         hit = F.col("_d.unit_type") == t

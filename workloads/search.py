@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from showledger.functions.register import register_search, register_token_search
 from showledger.operators import search as X
 from showledger.operators.postings import Postings
 from showledger.operators.ranking import numeric_sort_keys, page, result_to_json, rows_to_json, top_per_group, work_queue
@@ -37,6 +38,25 @@ def _search(t: Tables):
     return X.search_titles(_parts(t), " Bolt ", 12).select(F.lower("title").alias("title"), "slug", F.col("rank_bucket").cast("bigint").alias("rank_bucket"))
 
 
+@query("search_table_function", "WITH q AS (SELECT unnest(['bolt', 'hot gizmo', 'd r']) AS query, unnest(['bolt', 'hot-gizmo', 'd-r']) AS s)," + _PARTS_SQL + """
+SELECT query, lt AS title, slug, CAST(rank_bucket AS BIGINT) AS rank_bucket, rn AS place FROM r WHERE rn <= CASE query WHEN 'bolt' THEN 12 WHEN 'd r' THEN 8 ELSE 20 END
+""")
+def _search_function(t: Tables):
+    """The search as a SQL table function: one call with a limit, one without, one above the greatest limit."""
+    _parts(t).createOrReplaceTempView("sl_parts")
+    register_search(t.spark, "sl_parts")
+    asked = " UNION ALL ".join(f"SELECT '{q}' AS query, lower(title) AS title, slug, CAST(rank_bucket AS BIGINT) AS rank_bucket, CAST(place AS BIGINT) AS place FROM sl_search('{given}', {n})"
+                               for q, given, n in (("bolt", " Bolt ", "12"), ("d r", "D r", "NULL"), ("hot gizmo", "hot gizmo", "999")))
+    return t.spark.sql(asked)
+
+
+@query("token_search_function", "SELECT doc_id FROM documents WHERE list_has_all(" + r"list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda v: v <> ''))" + ", ['the', 'and', 'nd'])")
+def _token_function(t: Tables):
+    t.documents.createOrReplaceTempView("sl_documents")
+    register_token_search(t.spark, "sl_documents", "doc_id", "text")
+    return t.spark.sql("SELECT doc_id FROM sl_token_search('The, nd AND')")
+
+
 @query("search_titles_batch", "WITH q AS (SELECT query, regexp_replace(query, '\\s+', '-', 'g') AS s FROM (SELECT unnest(['red', 'bolt', 'hot gizmo', 'ring-brand#1', 'd r', 'brand#25', 'zzz']) AS query))," + _PARTS_SQL + """
 SELECT query, rn AS place, lt AS title, slug, CAST(rank_bucket AS BIGINT) AS rank_bucket FROM r WHERE rn <= 8
 """)
