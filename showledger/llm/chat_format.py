@@ -128,33 +128,41 @@ class _Reader:
         self.t, self.conv, self.buffer, self.ends = template, conv, "", template.ends()
         self.n = self.chars = self.loss_chars = 0
         self.turns, self.loss, self.all = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
-        self.masked, self.wanted, self.ok = 0, 0, True
+        self.masked, self.ok = "", True
 
     def take(self, text: str, loss: bool, ok: bool) -> None:
         self.buffer += text
         self.chars += len(text)
         self.all.update(text.encode())
-        self.masked += len(text) if loss else 0
+        self.masked += text if loss else ""
         self.ok = self.ok and ok
 
     def turn(self) -> None:
-        """Read the buffered turns: each runs to the first unescaped end mark and its line break."""
-        start = 0
+        """Read the buffered turns: each runs to the first unescaped end mark and its line break.
+
+        What is learned is read from the mask, and must be the texts of the learned roles as they are written.
+        """
+        start, wanted = 0, ""
         for m in self.t.pattern.finditer(self.buffer):
             if m.start() >= start and not m[1] and m[2] in self.ends and self.buffer[m.end() : m.end() + 1] == "\n":
                 role, text, written, learned = self.t.turn(self.buffer[start : m.end() + 1])
                 start = m.end() + 1
                 self.n += 1
                 self.turns.update(f"{role}\n{text}\n".encode())
-                if learned:
-                    self.wanted += len(written)
-                    self.loss_chars += len(text)
-                    self.loss.update(text.encode())
+                wanted += written if learned else ""
         self.buffer = self.buffer[start:]
+        if self.masked != wanted:
+            self.refuse()
+        text, self.masked = self.t.unescape(self.masked), ""
+        self.loss_chars += len(text)
+        self.loss.update(text.encode())
+
+    def refuse(self) -> None:
+        raise ValueError(f"conversation {self.conv}: the formatted text and its loss mask can't be read back")
 
     def row(self):
-        if self.buffer or self.masked != self.wanted:
-            raise ValueError(f"conversation {self.conv}: the formatted text and its loss mask can't be read back")
+        if self.buffer or self.masked:
+            self.refuse()
         return self.conv, self.n, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.ok, self.all.hexdigest()
 
 

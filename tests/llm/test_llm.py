@@ -527,3 +527,16 @@ def test_hypergeometric_by_inversion():
     few = np.array([sharding._hypergeometric(rng, 4 * 10**9, 60 * 10**9, 8) for _ in range(3000)])
     assert few.max() <= 8 and abs((few == 0).mean() - (15 / 16) ** 8) < 0.04  # a rounded normal would not give this
     assert sharding._by_inversion(rng, 10**10, 5, 10**10 + 5) == 10**10
+
+
+def test_loss_is_read_through_the_mask(spark):
+    """A mask of the right length on the wrong segment, or moved within a text, is refused."""
+    rows = [(1, 0, "user", "abcd"), (1, 1, "assistant", "wxyz")]
+    made = chat_format.segments(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    good = chat_format.read_back(made).first()
+    assert good.loss_sha256 == hashlib.sha256(b"wxyz").hexdigest() and good.loss_chars == 4
+    moved = made.withColumn("loss", (F.col("kind") == "text") & (F.col("turn_no") == 0))
+    with pytest.raises(Exception, match="can't be read back"):
+        chat_format.read_back(moved).collect()
+    with pytest.raises(Exception, match="can't be read back"):
+        chat_format.read_back(made.withColumn("loss", F.lit(False))).collect()
