@@ -54,13 +54,14 @@ def register_search(spark: SparkSession, view: str, name: str = "sl_search", tit
     spark.sql(f"""
 CREATE OR REPLACE TEMPORARY FUNCTION {name}(query STRING, row_limit INT)
 RETURNS TABLE (title STRING, slug STRING, rank_bucket INT, title_position INT, place INT)
-RETURN SELECT title, slug, rank_bucket, title_position, place FROM (
-  SELECT title, slug, rank_bucket, title_position, row_number() OVER (ORDER BY rank_bucket, title_position, title, slug) AS place FROM (
+RETURN SELECT * FROM (SELECT title, slug, rank_bucket, title_position, row_number() OVER (ORDER BY rank_bucket, title_position, title, slug) AS place FROM (
+  SELECT title, slug, rank_bucket, title_position FROM (
     SELECT {title} AS title, {slug} AS slug, coalesce(nullif(position({q}, {low}), 0), 9999) AS title_position,
            CASE WHEN {low} = {q} THEN 0 WHEN {low_slug} = {s} THEN 1 WHEN startswith({low}, {q}) THEN 2 WHEN startswith({low_slug}, {s}) THEN 3
                 WHEN contains({low}, concat(' ', {q})) THEN 4 WHEN contains({low}, {q}) THEN 5 WHEN contains({low_slug}, {s}) THEN 6 END AS rank_bucket
-    FROM {view} WHERE length({q}) >= {rules.SEARCH_MIN_CHARS}) WHERE rank_bucket IS NOT NULL)
-WHERE place <= {rules.SEARCH_MAX} AND place <= greatest(1, coalesce(row_limit, {rules.SEARCH_LIMIT}))""")
+    FROM {view} WHERE length({q}) >= {rules.SEARCH_MIN_CHARS})
+  WHERE rank_bucket IS NOT NULL ORDER BY rank_bucket, title_position, title, slug LIMIT {rules.SEARCH_MAX}))
+WHERE place <= greatest(1, coalesce(row_limit, {rules.SEARCH_LIMIT}))""")
     return name
 
 

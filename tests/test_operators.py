@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from showledger import rules
+from showledger.functions import register
 from showledger.operators import dims, matching, merge as M, quality, ranking, search
 from showledger.plans import backfill, enrichment, ingest, publish, reports, review, taxonomy
 
@@ -334,3 +335,19 @@ def test_title_match_grid(spark, monkeypatch, cell):
     stored = matching.add_title_sets(matching.title_sets(rf.where("rid < 130"), "rid", "rtitle"), matching.title_sets(rf.where("rid >= 130"), "rid", "rtitle"))
     new = lf.where("id >= 50")
     same(matching.match_to_sets(new, stored, left_title="title", right_id="rid", right_title="rtitle", threshold=0.5), range(50, 60))
+
+
+def test_search_table_function(spark):
+    """Equal to search_titles for literal and column-free arguments; the best rows are limited before they meet."""
+    items = spark.createDataFrame([(f"Red bolt {i % 7}", f"red-bolt-{i}") for i in range(60)] + [("", "x"), (None, None)], "title string, slug string")
+    items.createOrReplaceTempView("sl_test_titles")
+    name = register.register_search(spark, "sl_test_titles", "sl_test_search")
+    for q, n in (("red", "8"), ("BOLT 3 ", "NULL"), ("d-b", "3"), ("x", "5"), ("", "5"), ("red", "999"), ("red", "-4")):
+        limit = None if n == "NULL" else int(n)
+        got = [(r.title, r.slug, r.rank_bucket) for r in spark.sql(f"SELECT * FROM {name}('{q}', {n}) ORDER BY place").collect()]
+        assert got == [(r.title, r.slug, r.rank_bucket) for r in search.search_titles(items, q, limit).collect()], (q, n)
+    plan = spark.sql(f"SELECT * FROM {name}('red', 8)")._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan or "Limit" in plan[plan.index("Window"):]
+    keys = register.register_token_search(spark, "sl_test_titles", "slug", "title", "sl_test_tokens")
+    assert {r.slug for r in spark.sql(f"SELECT * FROM {keys}('3, BOLT')").collect()} == {f"red-bolt-{i}" for i in range(60) if i % 7 == 3}
+    assert spark.sql(f"SELECT * FROM {keys}('')").count() == 0

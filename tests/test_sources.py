@@ -1,3 +1,4 @@
+import random
 import datetime as dt
 import json
 import os
@@ -12,7 +13,7 @@ from showledger.operators.merge import upsert_items
 from showledger.plans import ingest, links, reports
 from showledger.session import cut_lineage, delete_below, fits_broadcast, shared_dir, spread
 from showledger.sources import dom, feeds, pages as P, sinks, snapshot, tables
-from showledger.streaming import jobs
+from showledger.streaming import freshness, jobs
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -294,3 +295,42 @@ def test_bucket_numbers():
                 assert 0 <= b < count
                 for older in range(base, count):  # the rows of a bucket come from one older bucket
                     assert jobs.bucket_number(b, base, older) == jobs.bucket_number(h, base, older)
+
+
+def test_alerts_of_a_silent_source(spark, folder):
+    """The clock goes on by another source only: the silent one becomes stale and late once each, and fresh again on a touch."""
+    rows = lambda found: spark.createDataFrame([(s, T0 + dt.timedelta(minutes=m)) for s, m in found], "source string, at timestamp")
+    for part in ([("a", 0), ("b", 0)], [("b", 200)], [("b", 330), ("b", 331)], [("b", 560)], [("b", 700)], [("a", 710), ("b", 720)], [("b", 900)]):
+        rows(part).coalesce(1).write.mode("append").parquet(folder + "/in")
+    stream = jobs.read_stream(spark, folder + "/in", rows([("a", 0)]).schema, files_per_batch=1)
+    jobs.run_append(freshness.freshness_alerts(stream, "at", "source", "10 minutes"), folder + "/out", folder + "/ckpt")
+    minutes = lambda x: None if x is None else int((x - T0).total_seconds() // 60)
+    got = sorted((r.source, minutes(r.changed_at), r.status, minutes(r.latest)) for r in spark.read.parquet(folder + "/out").collect())
+    assert got == sorted([("a", 0, "fresh", None), ("b", 0, "fresh", None), ("a", 240, "stale", 0), ("a", 480, "late", 0), ("a", 710, "fresh", 0)], key=str) or got == sorted(
+        [("a", 0, "fresh", None), ("a", 240, "stale", 0), ("a", 480, "late", 0), ("a", 710, "fresh", 0), ("b", 0, "fresh", None)])
+
+
+def test_clock_ticks_wake_silent_sources(spark, folder):
+    shape = "source string, at timestamp"
+    spark.createDataFrame([("a", T0)], shape).coalesce(1).write.parquet(folder + "/in")
+    spark.createDataFrame([(T0 + dt.timedelta(hours=9),)], "timestamp timestamp").coalesce(1).write.parquet(folder + "/ticks")
+    changes = jobs.read_stream(spark, folder + "/in", spark.createDataFrame([], shape).schema)
+    ticks = jobs.read_stream(spark, folder + "/ticks", spark.createDataFrame([], "timestamp timestamp").schema)
+    jobs.run_append(freshness.freshness_alerts(freshness.with_clock(changes, ticks, "at", "source"), "at", "source"), folder + "/out", folder + "/ckpt")
+    assert sorted(r.status for r in spark.read.parquet(folder + "/out").collect()) == ["fresh", "late", "stale"]
+
+
+def test_judge_is_the_same_however_batches_are_cut():
+    rng, hour = random.Random(3), 3_600_000_000
+    for _ in range(300):
+        touches = sorted(rng.sample(range(0, 100 * hour, hour // 4), rng.randint(1, 30)))
+        now = rng.randint(0, 120) * hour + 1
+        want, _, _, _, _ = freshness.judge(None, None, freshness.runs(touches, touches, 4 * hour), now, 4 * hour, 8 * hour)
+        status, latest, waiting, got, seen = None, None, [], [], 0
+        while seen < now:  # rows arrive by hours of the clock, each at most an hour after the watermark
+            step = min(now, seen + rng.randint(1, 20) * hour)
+            new = [t for t in touches if seen - (seen == 0) <= t < step + hour and t not in {x for x in touches if x < seen + hour and seen}]
+            waiting = freshness.runs([a for a, _ in waiting] + new, [b for _, b in waiting] + new, 4 * hour)
+            made, status, latest, waiting, _ = freshness.judge(status, latest, waiting, step, 4 * hour, 8 * hour)
+            got, seen = got + made, step
+        assert [(s, at) for s, at, _ in got] == [(s, at) for s, at, _ in want]
