@@ -63,7 +63,25 @@ def _names() -> tuple[str, str, str]:
     """JSON of name -> text, JSON of the names that need no semicolon, and their pattern, from the standard library's HTML5 table."""
     whole = {n[:-1]: v for n, v in entities.html5.items() if n.endswith(";")}
     short = {n: v for n, v in entities.html5.items() if not n.endswith(";")}
-    return json.dumps(whole), json.dumps(short), "|".join(sorted(short, key=len, reverse=True))
+    return _celled(whole), _celled(short), "|".join(sorted(short, key=len, reverse=True))
+
+
+#: Lengths of names that are told apart in the cells of a table; longer ones share the last.
+_LENGTHS = 10
+
+
+def _celled(names: dict[str, str]) -> str:
+    """JSON of a table as an array of small maps, by first letter and length: Spark searches a map from its start."""
+    cells = [{} for _ in range((ord("z") - ord("A") + 1) * _LENGTHS)]
+    for name, text in names.items():
+        cells[(ord(name[0]) - ord("A")) * _LENGTHS + min(len(name), _LENGTHS) - 1][name] = text
+    return json.dumps(cells)
+
+
+def _named(cells: Column, name: Column) -> Column:
+    """Text of a name (letters and digits), NULL where it is none."""
+    cell = (F.ascii(name) - ord("A")) * _LENGTHS + F.least(F.length(name), F.lit(_LENGTHS)) - 1
+    return F.element_at(F.get(cells, F.when(name != "", cell)), name)
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -83,8 +101,8 @@ def unescape_html(c) -> Column:
     """Character references decoded in one pass: decimal, hexadecimal and all HTML5 names."""
     text = col(c)
     whole, short, bare = _names()
-    named = F.from_json(F.lit(whole), "map<string,string>")
-    unended = F.from_json(F.lit(short), "map<string,string>")
+    named = F.from_json(F.lit(whole), "array<map<string,string>>")
+    unended = F.from_json(F.lit(short), "array<map<string,string>>")
 
     def point(digits: Column, base: int) -> Column:
         plain = F.ltrim(digits, F.lit("0"))  # of too many digits: beyond the last character anyway
@@ -103,8 +121,8 @@ def unescape_html(c) -> Column:
         )
 
     def word(piece: Column) -> Column:
-        full = F.element_at(named, F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);", 1))
-        part = F.element_at(unended, F.regexp_extract(piece, f"^&({bare})", 1))
+        full = _named(named, F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);", 1))
+        part = _named(unended, F.regexp_extract(piece, f"^&({bare})", 1))
         return F.coalesce(
             F.concat(full, F.regexp_replace(piece, r"^&[A-Za-z0-9]+;", "")),
             F.concat(part, F.regexp_replace(piece, f"^&({bare});?", "")), piece)
