@@ -613,19 +613,34 @@ def score(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _words_of(model) if model.tokens else None
+        ids, held, found, first = [], [], [], 0
+
+        def out() -> pa.RecordBatch:
+            """What has been gathered, as one block: a row for its texts and a row for each bucket of their grams."""
+            h, own = (np.concatenate(x) for x in zip(*found))
+            word, n = known.look(h) if known else (np.zeros(len(h), np.int64), np.zeros(len(h), np.int64))
+            base = np.bincount(own, np.log10((n + 1.0) / (model.tokens + 1.0 * (model.n_words + 1))), len(ids))
+            made = [{"first": first, "bucket": -1, "slice": first, "ids": list(ids), "held": list(held), "n_tokens": np.bincount(own, minlength=len(ids)).tolist(),
+                     "n_known": np.bincount(own[n > 0], minlength=len(ids)).tolist(), "base": base.tolist()}]
+            if known:
+                columns, piece = grams(word, own, model.order, model.begin), int(mix(np.array([first], np.uint64))[0] % np.uint64(SLICES))
+                made += [{"first": first, "bucket": bucket, "slice": piece, "payload": payload} for bucket, payload in _dealt(model.bucket(columns), [own, *columns])]
+            for gathered in (ids, held, found):
+                gathered.clear()
+            return rows(made)
+
         for batch in batches:
-            ids, held, at = batch.column("doc_id"), batch.column("held"), batch.column("at")
+            all_ids, all_held = batch.column("doc_id").to_pylist(), batch.column("held").to_pylist()
             for a, b, raw, offs in blocks(batch.column("text")):
                 h, own = tokens(raw, offs)
-                word, n = known.look(h) if known else (np.zeros(len(h), np.int64), np.zeros(len(h), np.int64))
-                base = np.bincount(own, np.log10((n + 1.0) / (model.tokens + 1.0 * (model.n_words + 1))), b - a)
-                first = at[a].as_py()
-                out = [{"first": first, "bucket": -1, "slice": first, "ids": ids.slice(a, b - a).to_pylist(), "held": held.slice(a, b - a).to_pylist(),
-                        "n_tokens": np.bincount(own, minlength=b - a).tolist(), "n_known": np.bincount(own[n > 0], minlength=b - a).tolist(), "base": base.tolist()}]
-                if known:
-                    columns = grams(word, own, model.order, model.begin)
-                    out += [{"first": first, "bucket": bucket, "slice": int(mix(np.array([first], np.uint64))[0] % np.uint64(SLICES)), "payload": payload} for bucket, payload in _dealt(model.bucket(columns), [own, *columns])]
-                yield rows(out)
+                first = first if ids else batch.column("at")[a].as_py()
+                found.append((h, own + len(ids)))
+                ids += all_ids[a:b]
+                held += all_held[a:b]
+                if sum(len(x) for x, _ in found) > FLUSH:
+                    yield out()
+        if ids:
+            yield out()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
