@@ -334,3 +334,13 @@ def test_judge_is_the_same_however_batches_are_cut():
             made, status, latest, waiting, _ = freshness.judge(status, latest, waiting, step, 4 * hour, 8 * hour)
             got, seen = got + made, step
         assert [(s, at) for s, at, _ in got] == [(s, at) for s, at, _ in want]
+
+
+def test_table_in_a_folder_is_streamed(spark, folder):
+    """A table may be one file or a folder of part files; either is read, and nothing beside it."""
+    rows = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    rows(1, 2, 3).repartition(3).write.parquet(folder + "/in/pages.parquet")
+    rows(9).write.parquet(folder + "/in/others.parquet")
+    stream = jobs.read_stream(spark, folder + "/in", rows(1).schema, "pages.parquet")
+    jobs.run_append(stream, folder + "/out", folder + "/ckpt")
+    assert sorted(r.id for r in spark.read.parquet(folder + "/out").collect()) == [1, 2, 3]
