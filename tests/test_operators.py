@@ -351,3 +351,17 @@ def test_search_table_function(spark):
     keys = register.register_token_search(spark, "sl_test_titles", "slug", "title", "sl_test_tokens")
     assert {r.slug for r in spark.sql(f"SELECT * FROM {keys}('3, BOLT')").collect()} == {f"red-bolt-{i}" for i in range(60) if i % 7 == 3}
     assert spark.sql(f"SELECT * FROM {keys}('')").count() == 0
+
+
+def test_pages_deep_and_beyond(spark, tmp_path, monkeypatch):
+    """A page beyond the end is empty however long the result is, and a deep page equals the plain one."""
+    import workloads
+
+    orders = spark.range(2_000_100).select(F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit(T0).alias("o_orderdate"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    got = {r.part: json.loads(r.rows_json) for r in workloads.QUERIES["result_as_json"](spark, str(tmp_path)).collect()}
+    assert got["beyond"] == [] and [r["o_orderkey"] for r in got["page"]] == list(range(20, 60))
+    few = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(8)
+    monkeypatch.setattr(ranking, "DEEP", 5)
+    assert [r.v for r in ranking.page(few, [F.col("v").desc()], 4, 500).collect()] == [499, 498, 497, 496]
+    assert [r.v for r in ranking.page(few, [F.col("v")], 10, 995).collect()] == [995, 996, 997, 998, 999]

@@ -196,7 +196,7 @@ def _result_json(t: Tables):
     order = [F.col("o_orderdate").desc(), F.col("o_orderkey")]
     df = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     page_of = lambda part, offset: result_to_json(df, order, 40, offset, columns=["o_orderkey", "o_custkey"]).select(F.lit(part).alias("part"), "rows_json")
-    return page_of("page", 20).unionByName(page_of("beyond", 2_000_000))
+    return page_of("page", 20).unionByName(page_of("beyond", df.count()))
 
 
 _LOOKUP_SQL = """
