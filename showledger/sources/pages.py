@@ -8,7 +8,7 @@ after that is native Columns. A spec is plain data:
      "lists": {"genres": ".genres a|text"}}
 
 Field alternatives are tried in order. Without "item" the page itself is the node.
-"pairs" names nodes holding a label and a value.
+"pairs" names nodes holding a label and a value. With "unended" False, character references without a semicolon are text.
 """
 
 from __future__ import annotations

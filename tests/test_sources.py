@@ -344,3 +344,11 @@ def test_table_in_a_folder_is_streamed(spark, folder):
     stream = jobs.read_stream(spark, folder + "/in", rows(1).schema, "pages.parquet")
     jobs.run_append(stream, folder + "/out", folder + "/ckpt")
     assert sorted(r.id for r in spark.read.parquet(folder + "/out").collect()) == [1, 2, 3]
+
+
+def test_cut_references_in_a_page(spark):
+    """A title that was cut within a reference: HTML5 reads `&amp` without its semicolon, a spec may ask for the semicolon."""
+    html = "<h1>a &amp;&amp</h1><p>x</p><article><p>&lt;b&gt; &#39 &#x27; &nosuch; &ampx;</p></article>"
+    read = lambda **k: P.extract_detail(page(spark, html), P.DETAIL_SPEC | k)[0].select("title", F.col("paragraphs")[0]).first()
+    assert tuple(read(unended=False)) == ("a &&amp", "<b> &#39 ' &nosuch; &ampx;")
+    assert tuple(read()) == ("a &&", "<b> ' ' &nosuch; &x;")
