@@ -97,12 +97,19 @@ def _code_point(n: Column) -> Column:
     return F.when(n.between(128, 159), F.substring(F.lit(windows), (n - 127).cast("int"), F.lit(1))).otherwise(char)
 
 
-def unescape_html(c) -> Column:
-    """Character references decoded in one pass: decimal, hexadecimal and all HTML5 names."""
+#: A character reference; without the semicolon, the beginning of one.
+_ENDED, _BEGUN = r"(?=&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);)", "(?=&(?:#[0-9xX]|[A-Za-z]))"
+
+
+def unescape_html(c, unended: bool = True) -> Column:
+    """Character references decoded in one pass: decimal, hexadecimal and all HTML5 names.
+
+    As in HTML5, some need no semicolon; with `unended` off, what lacks it (a text that was cut, say) stays as it is.
+    """
     text = col(c)
     whole, short, bare = _names()
     named = F.from_json(F.lit(whole), "array<map<string,string>>")
-    unended = F.from_json(F.lit(short), "array<map<string,string>>")
+    loose = F.from_json(F.lit(short), "array<map<string,string>>")
 
     def point(digits: Column, base: int) -> Column:
         plain = F.ltrim(digits, F.lit("0"))  # of too many digits: beyond the last character anyway
@@ -122,20 +129,20 @@ def unescape_html(c) -> Column:
 
     def word(piece: Column) -> Column:
         full = _named(named, F.regexp_extract(piece, r"^&([A-Za-z][A-Za-z0-9]*);", 1))
-        part = _named(unended, F.regexp_extract(piece, f"^&({bare})", 1))
+        part = _named(loose, F.regexp_extract(piece, f"^&({bare})", 1))
         return F.coalesce(
             F.concat(full, F.regexp_replace(piece, r"^&[A-Za-z0-9]+;", "")),
-            F.concat(part, F.regexp_replace(piece, f"^&({bare});?", "")), piece)
+            *([F.concat(part, F.regexp_replace(piece, f"^&({bare});?", ""))] if unended else []), piece)
 
-    pieces = F.split(text, "(?=&(?:#[0-9xX]|[A-Za-z]))")
+    pieces = F.split(text, _BEGUN if unended else _ENDED)
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
 
 
-def html_text(c) -> Column:
-    """Visible text: script/style dropped, tags removed, entities decoded, spaces collapsed."""
+def html_text(c, unended: bool = True) -> Column:
+    """Visible text: script/style dropped, tags removed, entities decoded (see unescape_html), spaces collapsed."""
     no_code = F.regexp_replace(F.coalesce(col(c), F.lit("")), r"(?is)<(script|style)\b.*?</\1>", " ")
     no_comment = F.regexp_replace(no_code, r"(?s)<!--.*?-->", " ")
-    return normalize_space(unescape_html(F.regexp_replace(no_comment, r"(?s)<[^>]+>", " ")))
+    return normalize_space(unescape_html(F.regexp_replace(no_comment, r"(?s)<[^>]+>", " "), unended))
 
 
 def html_lines(c) -> Column:

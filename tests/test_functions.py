@@ -77,6 +77,12 @@ def test_text(one):
     assert tuple(r) == ("Manga", "Action", "Ongoing")
 
 
+def test_cut_references(one):
+    html = "<p>a &amp;&amp</p> &lt;b&gt; &#39 &#x27; &nosuch; &ampx;"
+    assert one(text.html_text(L(html), unended=False)) == "a &&amp <b> &#39 ' &nosuch; &ampx;"
+    assert one(text.html_text(L(html))) == "a && <b> ' ' &nosuch; &x;"
+
+
 def test_arrays(one):
     a = F.array(L(" B"), L("a"), L(""), L("b"), L("A"))
     assert one(arrays.compact_ci(a)) == ["B", "a"]
