@@ -352,3 +352,20 @@ def test_cut_references_in_a_page(spark):
     read = lambda **k: P.extract_detail(page(spark, html), P.DETAIL_SPEC | k)[0].select("title", F.col("paragraphs")[0]).first()
     assert tuple(read(unended=False)) == ("a &&amp", "<b> &#39 ' &nosuch; &ampx;")
     assert tuple(read()) == ("a &&", "<b> ' ' &nosuch; &x;")
+
+
+def test_alerts_of_many_sources_share_state_rows(spark, folder):
+    rng, hour = random.Random(5), 3_600_000_000
+    base = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
+    touches = {f"s{k}": sorted(base + m * 60_000_000 for m in rng.sample(range(3000), 6)) for k in range(60)}
+    rows = [(n, a) for n, found in touches.items() for a in found]
+    shape = "source string, us long"
+    for lo in (0, 1000, 2000):
+        part = [r for r in rows if lo <= (r[1] - base) // 60_000_000 < lo + 1000]
+        spark.createDataFrame(part, shape).select("source", F.timestamp_micros("us").alias("at")).coalesce(1).write.mode("append").parquet(folder + "/in")
+    stream = jobs.read_stream(spark, folder + "/in", spark.read.parquet(folder + "/in").schema, files_per_batch=1)
+    query = jobs.run_append(freshness.freshness_alerts(stream, "at", "source", "10 minutes", shares=4), folder + "/out", folder + "/ckpt")
+    assert query.lastProgress.stateOperators[0].numRowsTotal <= 4
+    now = max(a for _, a in rows) - 600_000_000
+    want = {(n, s, at) for n, found in touches.items() for s, at, _ in freshness.judge(None, None, freshness.runs(found, found, 4 * hour), now, 4 * hour, 8 * hour)[0]}
+    assert {(r.source, r.status, r.us) for r in spark.read.parquet(folder + "/out").withColumn("us", F.unix_micros("changed_at")).collect()} == want
