@@ -354,6 +354,18 @@ def test_cut_references_in_a_page(spark):
     assert tuple(read()) == ("a &&", "<b> ' ' &nosuch; &x;")
 
 
+def test_batches_of_a_stream_are_written_by_many_tasks(spark, folder, monkeypatch):
+    from workloads import base, streams
+
+    monkeypatch.setattr(streams, "_work", lambda t: folder)
+    rows, files = spark.range(1000).repartition(4), []
+    for stream in streams._arrivals(base.Tables(spark, folder), rows, F.col("id") % 2, 3):
+        query = jobs.run_append(stream, folder + "/out", folder + "/ckpt")
+        assert query.recentProgress[0].numInputRows == 500
+        files.append(len([n for n in os.listdir(folder + "/in") if n.endswith(".parquet")]))
+    assert files == [4, 8] and spark.read.parquet(folder + "/out").distinct().count() == 1000
+
+
 def test_alerts_of_many_sources_share_state_rows(spark, folder):
     rng, hour = random.Random(5), 3_600_000_000
     base = int(T0.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000
