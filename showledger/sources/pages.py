@@ -1,6 +1,6 @@
 """Spec-driven extraction from landed pages.
 
-One distributed job (`mapInPandas`) reads the fields a spec names; everything
+One distributed job (`mapInArrow`) reads the fields a spec names; everything
 after that is native Columns. A spec is plain data:
 
     {"item": "article",                       # one row per matching node
@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +25,8 @@ from ..functions.numbers import card_score, card_views, chapter_number, episode_
 from ..functions.text import contains_any, entries_last_wins, is_blank, normalize_space
 from ..session import cut_lineage, spread
 
+#: Pages read between two batches of rows.
+_PAGES = 100
 _RAW = "page_id long, url string, pos int, fields map<string,string>, lists map<string,array<string>>, error string"
 
 CARD_SPEC = {
@@ -65,21 +67,25 @@ def extract_raw(pages: DataFrame, spec: dict) -> DataFrame:
     A page that can't be read gives one row with its error and no fields; the others are not touched by it.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from . import dom
 
-        compiled = dom.Spec(spec)
+        compiled, shape = dom.Spec(spec), pa.schema([
+            ("page_id", pa.int64()), ("url", pa.string()), ("pos", pa.int32()), ("fields", pa.map_(pa.string(), pa.string())),
+            ("lists", pa.map_(pa.string(), pa.list_(pa.string()))), ("error", pa.string())])
         for batch in batches:
-            rows = []
-            for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
-                try:
-                    found = [(page_id, url, pos, fields, lists, None) for pos, (fields, lists) in enumerate(compiled.rows(html), 1)]
-                except (ValueError, AssertionError, RecursionError) as e:
-                    found = [(page_id, url, 0, {}, {}, f"unreadable: {e}")]
-                rows += found
-            yield pd.DataFrame(rows, columns=["page_id", "url", "pos", "fields", "lists", "error"])
-
-    return spread(pages.select("page_id", "url", "html")).mapInPandas(run, _RAW)
+            for at in range(0, batch.num_rows, _PAGES):  # few pages and their rows are held as Python objects at once
+                rows = []
+                for page in batch.slice(at, _PAGES).to_pylist():
+                    page_id, url = page["page_id"], page["url"]
+                    try:
+                        found = [(page_id, url, pos, list(fields.items()), list(lists.items()), None) for pos, (fields, lists) in enumerate(compiled.rows(page["html"]), 1)]
+                    except (ValueError, AssertionError, RecursionError) as e:
+                        found = [(page_id, url, 0, [], [], f"unreadable: {e}")]
+                    rows += found
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(shape)], schema=shape)
+
+    return spread(pages.select("page_id", "url", "html")).mapInArrow(run, _RAW)
 
 
 def unreadable(raw: DataFrame) -> DataFrame:

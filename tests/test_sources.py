@@ -1,5 +1,6 @@
 import random
 import datetime as dt
+import gc
 import json
 import os
 import tempfile
@@ -381,3 +382,18 @@ def test_alerts_of_many_sources_share_state_rows(spark, folder):
     now = max(a for _, a in rows) - 600_000_000
     want = {(n, s, at) for n, found in touches.items() for s, at, _ in freshness.judge(None, None, freshness.runs(found, found, 4 * hour), now, 4 * hour, 8 * hour)[0]}
     assert {(r.source, r.status, r.us) for r in spark.read.parquet(folder + "/out").withColumn("us", F.unix_micros("changed_at")).collect()} == want
+
+
+def test_pages_leave_nothing_behind(spark):
+    """A page's tree goes with its rows, not when the cycle collector runs, and rows leave a task after few pages."""
+    html = "<ul>" + "".join(f"<li><a href='/{i}'>{i}</a></li>" for i in range(50)) + "</ul>"
+    spec = dom.Spec({"item": "li a", "fields": {"href": ["|@href"]}})
+    gc.collect()
+    gc.disable()
+    try:
+        assert len(list(spec.rows(html))) == 50 and not [o for o in gc.get_objects() if isinstance(o, dom.Node)]
+    finally:
+        gc.enable()
+    pages = spark.range(1050).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.when(F.col("id") % 3 > 0, F.lit(html)).alias("html")).coalesce(1)
+    raw = P.extract_raw(pages, {"item": "li a", "fields": {"href": ["|@href"]}})
+    assert raw.count() == 700 * 50 and raw.where("error is not null or url is not null").count() == 0
