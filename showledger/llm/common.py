@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showledger.session import cut_lineage
+from showledger.session import cut_lineage, dropped_shuffles
 
 __all__ = ["blocks", "clean_text", "crc_mod", "cut_lineage", "dropped_shuffles", "keep_winners", "mix", "read", "unused"]
 
@@ -62,21 +61,6 @@ def _orderable(df: DataFrame) -> bool:
     return not any(kind.startswith(("map", "variant")) or "map<" in kind for _, kind in df.dtypes)
 
 
-@contextlib.contextmanager
-def dropped_shuffles(spark: SparkSession):
-    """Plans made and run inside remove their shuffle files at their end; the session's setting is put back afterwards."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser (the public splitmix64 constants)."""
     x = x.astype(np.uint64, copy=True)
