@@ -13,8 +13,9 @@ bucket is split by the word before it. Each bucket is one file of sorted context
 order, of grams that every task has already added up.
 
 Scoring sends the grams of a text to their buckets, where a task maps the few files it needs, and only sums for each text
-come back: a task never reads the whole model, however large. Rows are worked on one at a time, so a frequent gram
-makes more rows, not larger ones, and those of one bucket are dealt to several tasks.
+come back: a task never reads the whole model, however large. A frequent gram makes more rows, not larger ones, and those of
+one bucket are dealt to several tasks. The more buckets, the shorter and more numerous the rows of a block of texts; so a task
+scores rows of one bucket together, up to FLUSH grams, and adds the sums of a block up over all of its buckets.
 
 Defined results: null and empty texts are one end token; repeated rows and ids are scored each on its own; a null id
 counts as an empty one for the split; without training texts every probability is 1 / (V + 1) = 1; an empty table gives
@@ -47,8 +48,12 @@ ORDER = 3
 BUCKET_BYTES, PART_BYTES = 8 << 20, 64 << 20
 #: Grams that a task adds up before it hands them on.
 FLUSH = 1 << 19
-#: Tasks that may share the rows of one bucket.
-SLICES = 4
+#: Tasks that may share the rows of one bucket, and runs of buckets that tasks work on, where there are more buckets.
+SLICES, RUNS = 4, 64
+#: Tokens of a block for each bucket, within FLUSH and four times that.
+BLOCK_TOKENS = 2048
+#: Sums of texts that wait in a task.
+WAITING = 1 << 22
 #: Hash of the end of a text; no word's bytes are hashed to get it.
 END = np.uint64(0x5851F42D4C957F2D)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -529,8 +534,9 @@ class Grams:
     def refine_split(self, columns: list[np.ndarray], p: np.ndarray) -> np.ndarray:
         """The same for pairs whose first word is a split one: its followers are looked up in the mapped file, wherever it lies."""
         out = p.copy()
-        for b in np.unique(columns[0]).tolist():
-            rows = np.flatnonzero(columns[0] == b)
+        order = np.argsort(columns[0], kind="stable")
+        for b, begin, end in _runs(columns[0][order]):
+            rows = order[begin:end]
             word, n, big_at, big_n, start, total, free = self._followers(b)
             at, seen = hash_arrays.find(columns[1][rows], word)
             c = np.where(seen, n[at], 0).astype(np.int64)
@@ -567,10 +573,9 @@ class Scorer:
         asked, back = np.unique(word, return_inverse=True)
         n = np.zeros(len(asked), np.int64)
         part = np.where(asked < self.model.n_words, asked // self.model.span, -1)
-        for i, held in enumerate(self.before):
-            own = part == i
-            if held is not None and own.any():
-                n[own] = held["n"][asked[own] % self.model.span]
+        for i, begin, end in _runs(part):  # ascending, but for words without a count
+            if i >= 0 and self.before[i] is not None:
+                n[begin:end] = self.before[i]["n"][asked[begin:end] % self.model.span]
         total, free = self.model.unigrams
         return ((n - self.d[np.minimum(n, 3)]) / total + free / (self.model.n_words + 1))[back]
 
@@ -599,6 +604,47 @@ def _scorer(model: Model) -> Scorer:
     return _SCORERS[model.folder]
 
 
+class Sums:
+    """Sums of the texts of blocks over the grams that were sent to buckets; `logs(columns, bucket)` scores grams of one bucket."""
+
+    def __init__(self, logs: Callable[[list[np.ndarray], int], np.ndarray]):
+        self.logs, self.bucket, self.parts, self.grams, self.found, self.waiting = logs, None, [], 0, {}, 0
+
+    def add(self, first: int, bucket: int, payload: bytes) -> None:
+        """A row of the block `first`; rows of a bucket follow each other."""
+        if bucket != self.bucket or self.grams > FLUSH:
+            self._score()
+        own, *columns = unpack(payload)
+        self.bucket, self.grams = bucket, self.grams + len(own)
+        self.parts.append((first, own, columns))
+
+    def _score(self) -> None:
+        if self.parts:
+            p, at = self.logs([np.concatenate(c) for c in zip(*(columns for _, _, columns in self.parts))], self.bucket), 0
+            for first, own, _ in self.parts:
+                self._keep(first, own, p[at : at + len(own)])
+                at += len(own)
+        self.parts, self.grams = [], 0
+
+    def _keep(self, first: int, own: np.ndarray, p: np.ndarray) -> None:
+        have = self.found.get(first)
+        total = np.bincount(own, p, 0 if have is None else len(have[0]))
+        seen = np.bincount(own, minlength=len(total)) > 0
+        if have is not None:
+            total[: len(have[0])] += have[0]
+            seen[: len(have[1])] |= have[1]
+        self.waiting += len(total) - (0 if have is None else len(have[0]))
+        self.found[first] = (total, seen)
+
+    def take(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(block, its texts, their sums) of all that was added."""
+        self._score()
+        found, self.found, self.waiting = self.found, {}, 0
+        for first, (total, seen) in found.items():
+            used = np.flatnonzero(seen)
+            yield first, used, total[used]
+
+
 ASKED = "first long, bucket int, slice long, payload binary, ids array<long>, held array<boolean>, n_tokens array<long>, n_known array<long>, base array<double>, sums binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -611,6 +657,8 @@ def score(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
     def rows(found: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_pylist(found, schema)
 
+    enough = min(4 * FLUSH, max(FLUSH, BLOCK_TOKENS * model.buckets))
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _words_of(model) if model.tokens else None
         ids, held, found, first = [], [], [], 0
@@ -637,21 +685,27 @@ def score(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
                 found.append((h, own + len(ids)))
                 ids += all_ids[a:b]
                 held += all_held[a:b]
-                if sum(len(x) for x, _ in found) > FLUSH:
+                if sum(len(x) for x, _ in found) > enough:
                     yield out()
         if ids:
             yield out()
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Sums(lambda columns, bucket: _scorer(model).logs(columns, bucket))
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for first, used, sums in held.take():
+                yield rows([{"first": first, "bucket": 0, "payload": pack([used]), "sums": sums.tobytes()}])
+
         for batch in batches:
             asked = np.asarray(batch.column("bucket")) >= 0
             if not asked.all():
                 yield batch.filter(pa.array(~asked))
             for row in batch.filter(pa.array(asked)).select(["first", "bucket", "payload"]).to_pylist():
-                own, *columns = unpack(row["payload"])
-                total = np.bincount(own, _scorer(model).logs(columns, row["bucket"]))
-                used = np.unique(own)
-                yield rows([{"first": row["first"], "bucket": 0, "payload": pack([used]), "sums": total[used].tobytes()}])
+                held.add(row["first"], row["bucket"], row["payload"])
+                if held.waiting > WAITING:
+                    yield from out()
+        yield from out()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, None
@@ -675,7 +729,8 @@ def score(docs: DataFrame, model: Model, held_out: str) -> DataFrame:
             yield out()
 
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(held_out).alias("held"), clean_text().alias("text"), F.monotonically_increasing_id().alias("at"))
-    asked = held.mapInArrow(ask, ASKED).repartition(F.col("bucket"), F.col("slice")).sortWithinPartitions("bucket")
+    run = F.floor(F.col("bucket") / F.lit(max(1, model.buckets // RUNS)))
+    asked = held.mapInArrow(ask, ASKED).repartition(run, F.col("slice")).sortWithinPartitions("bucket")
     sums = asked.mapInArrow(answer, ASKED)
     return sums.repartition(F.col("first")).sortWithinPartitions("first", "bucket").mapInArrow(gather, SCORED)
 

@@ -212,3 +212,24 @@ def test_hash_arrays_round_trip(tmp_path):
     assert hash_arrays.load(str(tmp_path / "none"), missing=True) is None
     for columns in ([np.array([0, 255, 256]), np.array([1, 1 << 40, 3])], [np.zeros(0, np.int64)]):
         assert all((a == b).all() for a, b in zip(kneser_ney.unpack(kneser_ney.pack(columns)), columns))
+
+
+def test_rows_of_a_bucket_are_scored_together():
+    """However many short rows the blocks send to a bucket, it is asked once for each FLUSH grams, and a block gets one row of sums."""
+    calls = []
+
+    def logs(columns, bucket):
+        calls.append((bucket, len(columns[0])))
+        return -columns[-1].astype(float) - bucket
+
+    held, want = kneser_ney.Sums(logs), {}
+    for bucket in (3, 4):
+        for first in range(50):
+            own, word = np.array([0, 2, 2]) + first % 3, np.arange(3) + first
+            held.add(first, bucket, kneser_ney.pack([own, word, word, word]))
+            for o, w in zip(own.tolist(), word.tolist()):
+                want[first, o] = want.get((first, o), 0.0) - w - bucket
+    got = list(held.take())
+    assert calls == [(3, 150), (4, 150)] and len(got) == 50
+    assert {(f, int(o)): s for f, used, sums in got for o, s in zip(used, sums)} == want
+    assert list(held.take()) == []
