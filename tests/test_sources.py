@@ -311,6 +311,19 @@ def test_alerts_of_a_silent_source(spark, folder):
         [("a", 0, "fresh", None), ("a", 240, "stale", 0), ("a", 480, "late", 0), ("a", 710, "fresh", 0), ("b", 0, "fresh", None)])
 
 
+def test_state_partitions_are_bounded(spark, folder):
+    """A stream begins with no more state partitions than named and keeps them; the session's setting stays."""
+    rows = lambda found: spark.createDataFrame([(s, T0 + dt.timedelta(hours=h)) for s, h in found], "source string, at timestamp")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for part, n in (([("a", 0), ("b", 1)], 1), ([("a", 20)], 2)):
+        rows(part).coalesce(1).write.mode("append").parquet(folder + "/in")
+        stream = jobs.read_stream(spark, folder + "/in", rows([("a", 0)]).schema)
+        jobs.run_append(freshness.freshness_alerts(stream, "at", "source", "10 minutes"), folder + "/out", folder + "/ckpt", n)
+        assert [n for n in os.listdir(folder + "/ckpt/state/0") if n.isdigit()] == ["0"] and spark.conf.get("spark.sql.shuffle.partitions") == before
+    got = {(r.source, r.status, (r.changed_at - T0).total_seconds() / 3600) for r in spark.read.parquet(folder + "/out").collect()}
+    assert got == {("a", "fresh", 0), ("b", "fresh", 1), ("a", "stale", 4), ("b", "stale", 5), ("a", "late", 8), ("b", "late", 9)}
+
+
 def test_clock_ticks_wake_silent_sources(spark, folder):
     shape = "source string, at timestamp"
     spark.createDataFrame([("a", T0)], shape).coalesce(1).write.parquet(folder + "/in")
